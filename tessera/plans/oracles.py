@@ -42,3 +42,62 @@ sc AS (SELECT {sc} FROM imp),
 
 ORACLES["d5_prep_train_median"] = tab_prep_sql("median")
 ORACLES["c2_prep_train_mean"] = tab_prep_sql("avg")
+
+
+# ---------------------------------------------------------------- series (H)
+def fill_sql(bfill=True, zero=True, every=None, tail=None, ffill=True) -> str:
+    def fill(c):
+        parts = [f"{c}_ff"]
+        if bfill:
+            parts.append(f"{c}_hd")
+        if zero:
+            parts.append("0")
+        return f"coalesce({', '.join(parts)})" if len(parts) > 1 else parts[0]
+    where = ["TRUE"]
+    if every:
+        where.append(f"(rn - 1) % {every} = 0")
+        pos, kept = f"(rn - 1) // {every}", f"CAST(ceil(cnt / {every}) AS BIGINT)"
+    else:
+        pos, kept = "rn - 1", "cnt"
+    if tail is not None:
+        where.append(f"{pos} >= {kept} - {tail}")
+    cols = ["value", "k"]
+    wins = ",\n".join(
+        f"last_value({c} IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}_ff, "
+        f"first_value({c} IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS {c}_hd"
+        for c in cols)
+    return f"""WITH s AS (
+  SELECT id, ts, event_id, row_number() OVER w AS rn, count(*) OVER (PARTITION BY id) AS cnt, {wins}
+  FROM series WINDOW w AS (PARTITION BY id ORDER BY ts, event_id)),
+f AS (SELECT id, ts, event_id, rn, cnt, {fill('value')} AS value, {fill('k')} AS k FROM s WHERE {' AND '.join(where)})"""
+
+
+def _ser_sql(**kw):
+    return with_views(fill_sql(**kw) + "\nSELECT id, event_id, round(value, 6) AS value, round(k, 6) AS k FROM f", "series")
+
+
+ORACLES["h1_ffill"] = _ser_sql(bfill=False, zero=False)
+ORACLES["h2_fill_chain"] = _ser_sql()
+ORACLES["h3_ffill_zero"] = _ser_sql(bfill=False)
+ORACLES["h4_downsample"] = _ser_sql(every=10)
+ORACLES["h5_tail"] = _ser_sql(every=10, tail=5)
+
+SEQ_CTE = fill_sql(every=10, tail=5) + """,
+q AS (SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY ts, event_id) - 1 AS INTEGER) AS t,
+             CAST(event_id AS DOUBLE) AS x0, value AS x1, k AS x2 FROM f)"""
+
+ORACLES["h7_sequences"] = with_views(SEQ_CTE + """
+SELECT id, t, CAST(0 AS INTEGER) AS f, round(x0, 6) AS value FROM q
+UNION ALL SELECT id, t, CAST(1 AS INTEGER), round(x1, 6) FROM q
+UNION ALL SELECT id, t, CAST(2 AS INTEGER), round(x2, 6) FROM q""", "series")
+
+_BATCH = """,
+n AS (SELECT id, count(*) AS n_steps, sum(x0 + x1 + x2) AS tot FROM q GROUP BY id),
+b AS (SELECT id, n_steps, tot, CAST((row_number() OVER (ORDER BY {order}) - 1) // 8 AS BIGINT) AS batch_id FROM n)
+SELECT id, batch_id, {cols} FROM b"""
+ORACLES["b9_pad_batches"] = with_views(SEQ_CTE + _BATCH.format(
+    order="substr(md5('42:' || id), 1, 15), id",
+    cols="CAST(n_steps AS INTEGER) AS n_steps, CAST(max(n_steps) OVER (PARTITION BY batch_id) AS INTEGER) AS padded_steps, "
+         "round(tot, 6) AS pad_sum"), "series")
+ORACLES["b9_batches_in_order"] = with_views(SEQ_CTE + _BATCH.format(
+    order="id", cols="CAST(max(n_steps) OVER (PARTITION BY batch_id) AS INTEGER) AS padded_steps"), "series")

@@ -46,3 +46,72 @@ def d5_prep_train_median(spark: SparkSession, sf: str) -> DataFrame:
 @query("c2_prep_train_mean")
 def c2_prep_train_mean(spark: SparkSession, sf: str) -> DataFrame:
     return _prep_long(spark, sf, "mean")
+
+
+# ---------------------------------------------------------------- series (H)
+from tessera.operators import series as ser  # noqa: E402
+from tessera.operators import schema as sch  # noqa: E402
+
+SER_ORDER = ("ts", "event_id")
+SER_COLS = ("event_id", "value", "k")   # numeric columns of the series view
+EVERY, TAIL = 10, 5
+
+
+def _ser_out(df):
+    return df.select("id", "event_id", F.round("value", 6).alias("value"), F.round("k", 6).alias("k"))
+
+
+@query("h1_ffill")
+def h1_ffill(spark, sf):
+    s = fx.series(spark, sf)
+    return _ser_out(ser.ffill(s, "id", SER_ORDER, ["value", "k"]))
+
+
+@query("h2_fill_chain")
+def h2_fill_chain(spark, sf):
+    s = fx.series(spark, sf)
+    return _ser_out(ser.fill_series(s, "id", SER_ORDER, ["value", "k"]))
+
+
+@query("h3_ffill_zero")
+def h3_ffill_zero(spark, sf):
+    s = fx.series(spark, sf)
+    return _ser_out(ser.fill_series(s, "id", SER_ORDER, ["value", "k"], bfill=False))
+
+
+@query("h4_downsample")
+def h4_downsample(spark, sf):
+    s = fx.series(spark, sf)
+    return _ser_out(ser.fill_series(s, "id", SER_ORDER, ["value", "k"], every=EVERY))
+
+
+@query("h5_tail")
+def h5_tail(spark, sf):
+    s = fx.series(spark, sf)
+    return _ser_out(ser.fill_series(s, "id", SER_ORDER, ["value", "k"], every=EVERY, tail=TAIL))
+
+
+def _sequences(spark, sf):
+    s = fx.series(spark, sf)
+    cols = ser.numeric_columns(s, exclude=["id"])            # H6: event_id, value, k
+    filled = ser.fill_series(s, "id", SER_ORDER, cols, every=EVERY, tail=TAIL)
+    return ser.build_sequences(filled.select("id", *SER_ORDER, *cols), "id", SER_ORDER, cols)
+
+
+@query("h7_sequences")
+def h7_sequences(spark, sf):
+    return ser.explode_sequences(_sequences(spark, sf), "id")
+
+
+@query("b9_pad_batches")
+def b9_pad_batches(spark, sf):
+    p = ser.pad_batches(_sequences(spark, sf), "id", "seq", batch_size=8, shuffle=True, seed=42)
+    pad_sum = F.aggregate(F.flatten("padded"), F.lit(0.0), lambda a, x: a + x)
+    return p.select("id", "batch_id", F.col("n_steps").cast("int").alias("n_steps"),
+                    F.size("padded").cast("int").alias("padded_steps"), F.round(pad_sum, 6).alias("pad_sum"))
+
+
+@query("b9_batches_in_order")
+def b9_batches_in_order(spark, sf):
+    p = ser.pad_batches(_sequences(spark, sf), "id", "seq", batch_size=8, shuffle=False)
+    return p.select("id", "batch_id", F.size("padded").cast("int").alias("padded_steps"))
