@@ -101,3 +101,100 @@ ORACLES["b9_pad_batches"] = with_views(SEQ_CTE + _BATCH.format(
          "round(tot, 6) AS pad_sum"), "series")
 ORACLES["b9_batches_in_order"] = with_views(SEQ_CTE + _BATCH.format(
     order="id", cols="CAST(max(n_steps) OVER (PARTITION BY batch_id) AS INTEGER) AS padded_steps"), "series")
+
+
+# ------------------------------------------------------- balance & split (G)
+DOCS = "docs AS (SELECT * FROM doc_lab WHERE quality IS NOT NULL)"
+
+
+def H60(expr: str) -> str:
+    return f"('0x' || substr(md5({expr}), 1, 15))::UBIGINT"
+
+
+def ranked_sql(src: str, key: str, group: str | None, seed: str = "42") -> str:
+    part = f"PARTITION BY {group} " if group else ""
+    return (f"SELECT *, row_number() OVER ({part}ORDER BY substr(md5('{seed}:' || {key}), 1, 15), {key}) AS rk "
+            f"FROM {src}")
+
+
+ORACLES["b1_drop_missing_target"] = with_views(f"WITH {DOCS} SELECT doc_id, quality FROM docs", "doc_lab")
+
+SPLIT_COUNTS = """cnt AS (SELECT {lab} AS c, count(*) AS n_c FROM {src} GROUP BY 1),
+tot AS (SELECT sum(n_c) AS n, CAST(ceil({ts} * sum(n_c)) AS BIGINT) AS n_test FROM cnt),
+al AS (SELECT c, n_c, (n - n_test) * n_c // n AS base, ((n - n_test) * n_c) % n AS rem, n, n_test FROM cnt, tot),
+al2 AS (SELECT *, row_number() OVER (ORDER BY rem DESC, c) AS rr,
+               (n - n_test) - sum(base) OVER () AS extra FROM al),
+tc AS (SELECT c, n_c - (base + CASE WHEN rr <= extra THEN 1 ELSE 0 END) AS t FROM al2)"""
+
+
+def strat_sql(src, lab, key, ts="0.2"):
+    return (SPLIT_COUNTS.format(lab=lab, src=src, ts=ts) + f""",
+rk AS ({ranked_sql(src, key, lab)}),
+sp AS (SELECT rk.*, CASE WHEN rk.rk <= tc.t THEN 'val' ELSE 'train' END AS split
+       FROM rk JOIN tc ON rk.{lab} = tc.c)""")
+
+
+ORACLES["b11_class_counts"] = with_views(f"WITH {DOCS}, " + strat_sql("docs", "quality", "doc_id") +
+                                         " SELECT split, quality, count(*) AS n FROM sp GROUP BY 1, 2", "doc_lab")
+ORACLES["b12_num_classes"] = with_views("SELECT count(DISTINCT y) AS num_classes FROM tab", "tab")
+ORACLES["g1_class_weights"] = with_views(
+    f"WITH {DOCS}, cnt AS (SELECT quality, count(*) AS n_c FROM docs GROUP BY 1) "
+    "SELECT quality, n_c, round(sum(n_c) OVER () / (count(*) OVER () * n_c), 6) AS weight FROM cnt", "doc_lab")
+ORACLES["g2_random_over"] = with_views(f"""WITH {DOCS},
+cnt AS (SELECT quality, count(*) AS n_c FROM docs GROUP BY 1),
+mx AS (SELECT quality, n_c, max(n_c) OVER () - n_c AS d FROM cnt),
+dr AS (SELECT quality, n_c, unnest(range(d)) AS i FROM mx WHERE d > 0),
+dj AS (SELECT quality, i, {H60("'42:' || quality || ':' || i")} % n_c + 1 AS rk FROM dr),
+rk AS ({ranked_sql("docs", "doc_id", "quality")})
+SELECT doc_id, quality, CAST(0 AS BIGINT) AS copy FROM docs
+UNION ALL
+SELECT rk.doc_id, rk.quality, CAST(dj.i + 1 AS BIGINT) FROM dj JOIN rk ON dj.quality = rk.quality AND dj.rk = rk.rk""",
+                                       "doc_lab")
+ORACLES["g3_random_under"] = with_views(f"""WITH {DOCS},
+cnt AS (SELECT quality, count(*) AS n_c FROM docs GROUP BY 1),
+rk AS ({ranked_sql("docs", "doc_id", "quality")})
+SELECT doc_id, quality FROM rk WHERE rk <= (SELECT min(n_c) FROM cnt)""", "doc_lab")
+ORACLES["g6_stratified_split"] = with_views(
+    "WITH t AS (SELECT o_orderkey, y FROM tab WHERE y IS NOT NULL), " + strat_sql("t", "y", "o_orderkey") +
+    " SELECT o_orderkey, y, split FROM sp", "tab")
+ORACLES["g7_split_val"] = with_views(f"WITH {DOCS}, " + strat_sql("docs", "quality", "doc_id") +
+                                     " SELECT doc_id, quality FROM sp WHERE split = 'val'", "doc_lab")
+ORACLES["g8_random_split"] = f"""WITH rk AS ({ranked_sql("orders", "o_orderkey", None)})
+SELECT o_orderkey, CASE WHEN rk <= floor(0.8 * (SELECT count(*) FROM orders)) THEN 'train' ELSE 'val' END AS split FROM rk"""
+
+
+# ------------------------------------------------------------- metrics (M)
+PRED_L = """pl AS (SELECT y, yhat, batch,
+  CASE WHEN yhat = 0 THEN 2.0 ELSE 0.5 * ((partkey + 0) % 3) END AS l0,
+  CASE WHEN yhat = 1 THEN 2.0 ELSE 0.5 * ((partkey + 1) % 3) END AS l1,
+  CASE WHEN yhat = 2 THEN 2.0 ELSE 0.5 * ((partkey + 2) % 3) END AS l2 FROM pred),
+pm AS (SELECT *, greatest(l0, l1, l2) AS m FROM pl),
+ls AS (SELECT y, yhat, batch, -((CASE y WHEN 0 THEN l0 WHEN 1 THEN l1 ELSE l2 END) - m
+        - ln(exp(l0 - m) + exp(l1 - m) + exp(l2 - m))) AS loss FROM pm)"""
+
+SCORES = """conf AS (SELECT y, yhat, count(*) AS n FROM pred GROUP BY 1, 2),
+sup AS (SELECT y AS c, sum(n) AS support, sum(CASE WHEN y = yhat THEN n ELSE 0 END) AS tp FROM conf GROUP BY 1),
+prd AS (SELECT yhat AS c, sum(n) AS predicted FROM conf GROUP BY 1),
+pc AS (SELECT coalesce(sup.c, prd.c) AS c, coalesce(support, 0) AS support, coalesce(predicted, 0) AS predicted,
+              coalesce(tp, 0) AS tp FROM sup FULL JOIN prd ON sup.c = prd.c),
+pr AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS p,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS r FROM pc),
+pf AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f1 FROM pr),
+sc AS (SELECT round(sum(tp) / sum(support), 6) AS accuracy,
+              round(avg(CASE WHEN support > 0 THEN r END), 6) AS balanced_accuracy,
+              round(sum(support * p) / sum(support), 6) AS precision,
+              round(sum(support * r) / sum(support), 6) AS recall,
+              round(sum(support * f1) / sum(support), 6) AS f1 FROM pf)"""
+
+ORACLES["m1_confusion"] = with_views("SELECT y, yhat, count(*) AS n FROM pred GROUP BY 1, 2", "pred")
+ORACLES["m2_m6_scores"] = with_views(f"WITH {SCORES} SELECT * FROM sc", "pred")
+ORACLES["m7_cross_entropy"] = with_views(f"WITH {PRED_L} SELECT round(avg(loss), 6) AS loss FROM ls", "pred")
+ORACLES["m7_weighted_cross_entropy"] = with_views(f"""WITH {PRED_L},
+cnt AS (SELECT y, count(*) AS n_c FROM pred GROUP BY 1),
+w AS (SELECT y, sum(n_c) OVER () / (count(*) OVER () * n_c) AS weight FROM cnt)
+SELECT round(sum(weight * loss) / sum(weight), 6) AS loss FROM ls JOIN w USING (y)""", "pred")
+ORACLES["m8_batch_mean_loss"] = with_views(
+    f"WITH {PRED_L} SELECT round(avg(bl), 6) AS loss FROM (SELECT batch, avg(loss) AS bl FROM ls GROUP BY 1)", "pred")
+ORACLES["m9_report"] = with_views(f"""WITH {PRED_L}, {SCORES},
+lo AS (SELECT round(avg(bl), 6) AS loss FROM (SELECT batch, avg(loss) AS bl FROM ls GROUP BY 1))
+SELECT * FROM sc, lo""", "pred")

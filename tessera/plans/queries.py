@@ -115,3 +115,100 @@ def b9_pad_batches(spark, sf):
 def b9_batches_in_order(spark, sf):
     p = ser.pad_batches(_sequences(spark, sf), "id", "seq", batch_size=8, shuffle=False)
     return p.select("id", "batch_id", F.size("padded").cast("int").alias("padded_steps"))
+
+
+# ------------------------------------------------------- balance & split (G)
+from tessera.operators import balance as bal  # noqa: E402
+from tessera.operators import metrics as met  # noqa: E402
+
+
+def _docs(spark, sf):
+    return sch.drop_missing_target(fx.doc_lab(spark, sf), "quality")
+
+
+@query("b1_drop_missing_target")
+def b1_drop_missing_target(spark, sf):
+    return _docs(spark, sf).select("doc_id", "quality")
+
+
+@query("b11_class_counts")
+def b11_class_counts(spark, sf):
+    s = bal.stratified_split(_docs(spark, sf), "quality", "doc_id", 0.2, 42)
+    return sch.class_counts(s, "quality", by=["split"]).select("split", "quality", F.col("n").cast("bigint"))
+
+
+@query("b12_num_classes")
+def b12_num_classes(spark, sf):
+    return sch.num_classes(fx.tab(spark, sf), "y").select(F.col("num_classes").cast("bigint"))
+
+
+@query("g1_class_weights")
+def g1_class_weights(spark, sf):
+    return bal.class_weights(_docs(spark, sf), "quality").select(
+        "quality", F.col("n_c").cast("bigint"), F.round("weight", 6).alias("weight"))
+
+
+@query("g2_random_over")
+def g2_random_over(spark, sf):
+    return bal.random_over(_docs(spark, sf).select("doc_id", "quality"), "quality", "doc_id", 42)
+
+
+@query("g3_random_under")
+def g3_random_under(spark, sf):
+    return bal.random_under(_docs(spark, sf).select("doc_id", "quality"), "quality", "doc_id", 42)
+
+
+@query("g6_stratified_split")
+def g6_stratified_split(spark, sf):
+    return bal.stratified_split(fx.tab(spark, sf).select("o_orderkey", "y"), "y", "o_orderkey", 0.2, 42)
+
+
+@query("g7_split_val")
+def g7_split_val(spark, sf):
+    s = bal.stratified_split(_docs(spark, sf).select("doc_id", "quality"), "quality", "doc_id", 0.2, 42)
+    return bal.take_split(s, "val").select("doc_id", "quality")
+
+
+@query("g8_random_split")
+def g8_random_split(spark, sf):
+    return bal.random_split(fx.table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 0.8, 42)
+
+
+# ------------------------------------------------------------- metrics (M)
+def _pred(spark, sf):
+    return fx.pred_logits(fx.pred(spark, sf))
+
+
+def _r6(df):
+    return df.select(*[F.round(c, 6).alias(c) for c in df.columns])
+
+
+@query("m1_confusion")
+def m1_confusion(spark, sf):
+    return met.confusion(fx.pred(spark, sf)).select("y", "yhat", F.col("n").cast("bigint"))
+
+
+@query("m2_m6_scores")
+def m2_m6_scores(spark, sf):
+    return _r6(met.scores(met.confusion(fx.pred(spark, sf))))
+
+
+@query("m7_cross_entropy")
+def m7_cross_entropy(spark, sf):
+    return _r6(met.cross_entropy(_pred(spark, sf)))
+
+
+@query("m7_weighted_cross_entropy")
+def m7_weighted_cross_entropy(spark, sf):
+    p = bal.with_class_weights(_pred(spark, sf), "y")
+    return _r6(met.cross_entropy(p, weight="weight"))
+
+
+@query("m8_batch_mean_loss")
+def m8_batch_mean_loss(spark, sf):
+    return _r6(met.cross_entropy(_pred(spark, sf), batch="batch"))
+
+
+@query("m9_report")
+def m9_report(spark, sf):
+    return _r6(met.report(_pred(spark, sf), batch="batch"))
