@@ -13,7 +13,9 @@ def mode_sql(col: str, src: str) -> str:
             f"GROUP BY 1) ORDER BY n DESC, v LIMIT 1)")
 
 
-def tab_prep_sql(agg: str) -> str:
+def tab_prep_sql(agg: str, new: bool = False) -> str:
+    """Fit on labelled ``tab`` rows; emit features of those rows or, with
+    ``new``, of ``tab_new`` aligned to the training schema."""
     num = ["o_totalprice", "c_acctbal"]
     cat = ["o_orderstatus", "c_mktsegment"]
     fills = ", ".join([f"{agg}({c}) AS f_{c}" for c in num] + [f"{mode_sql(c, 'l')} AS f_{c}" for c in cat])
@@ -21,23 +23,30 @@ def tab_prep_sql(agg: str) -> str:
     sc = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in num)
     cats = ",\n".join(f"cat_{c} AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS r "
                       f"FROM (SELECT DISTINCT {c} AS v FROM imp))" for c in cat)
+    if new:
+        app = ("app AS (SELECT n.o_orderkey, coalesce(n.o_totalprice, f_o_totalprice) AS o_totalprice, "
+               "f_c_acctbal AS c_acctbal, '0' AS o_orderstatus, coalesce(n.c_mktsegment, f_c_mktsegment) AS c_mktsegment "
+               "FROM tab_new n, fill)")
+    else:
+        app = "app AS (SELECT * FROM imp)"
     parts = []
     for i, c in enumerate(num):
         parts.append(f"SELECT o_orderkey, CAST({i} AS INTEGER) AS fi, '{c}' AS feature, "
                      f"round(({c} - m_{c}) / (CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1 ELSE s_{c} END), 6) AS value "
-                     f"FROM imp, sc")
+                     f"FROM app, sc")
     off = str(len(num))
     for c in cat:
         parts.append(f"SELECT o_orderkey, CAST({off} + x.r AS INTEGER) AS fi, '{c}_' || x.v AS feature, "
-                     f"round(CASE WHEN imp.{c} = x.v THEN 1.0 ELSE 0.0 END, 6) AS value FROM imp, cat_{c} x")
+                     f"round(CASE WHEN app.{c} = x.v THEN 1.0 ELSE 0.0 END, 6) AS value FROM app, cat_{c} x")
         off += f" + (SELECT count(*) FROM cat_{c})"
     body = f"""WITH l AS (SELECT * FROM tab WHERE y IS NOT NULL),
 fill AS (SELECT {fills} FROM l),
 imp AS (SELECT l.o_orderkey, {imp} FROM l, fill),
 sc AS (SELECT {sc} FROM imp),
-{cats}
+{cats},
+{app}
 """ + "\nUNION ALL\n".join(parts)
-    return with_views(body, "tab")
+    return with_views(body, "tab", "tab_new") if new else with_views(body, "tab")
 
 
 ORACLES["d5_prep_train_median"] = tab_prep_sql("median")
@@ -198,3 +207,46 @@ ORACLES["m8_batch_mean_loss"] = with_views(
 ORACLES["m9_report"] = with_views(f"""WITH {PRED_L}, {SCORES},
 lo AS (SELECT round(avg(bl), 6) AS loss FROM (SELECT batch, avg(loss) AS bl FROM ls GROUP BY 1))
 SELECT * FROM sc, lo""", "pred")
+
+
+# ------------------------------------------------- subjects & samples (B, D6)
+SUBJ_FIT = """L AS (SELECT * FROM subj WHERE sii IS NOT NULL),
+fl AS (SELECT avg(c_acctbal) AS fa, avg(c_nationkey) AS fn FROM L),
+FI AS (SELECT id, sii, coalesce(c_acctbal, fa) AS a, coalesce(c_nationkey, fn) AS n,
+              coalesce(c_mktsegment, 'Unknown') AS s FROM L, fl),
+ssc AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(n) AS mn, stddev_pop(n) AS sn FROM FI),
+cl AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT s AS v FROM FI))"""
+
+
+def static_vec_sql(src: str) -> str:
+    return (f"SELECT x.id, x.sii, (coalesce(x.c_acctbal, fa) - ma) / (CASE WHEN sa = 0 THEN 1 ELSE sa END) AS v0, "
+            f"(coalesce(x.c_nationkey, fn) - mn) / (CASE WHEN sn = 0 THEN 1 ELSE sn END) AS v1, "
+            f"CAST(coalesce(cl.code, -1) AS DOUBLE) AS v2 "
+            f"FROM {src} x CROSS JOIN fl CROSS JOIN ssc LEFT JOIN cl ON coalesce(x.c_mktsegment, 'Unknown') = cl.v")
+
+
+ORACLES["d6_static_vector"] = with_views(f"""WITH {SUBJ_FIT}, sv AS ({static_vec_sql("L")})
+SELECT id, CAST(0 AS INTEGER) AS fi, round(v0, 6) AS value FROM sv
+UNION ALL SELECT id, CAST(1 AS INTEGER), round(v1, 6) FROM sv
+UNION ALL SELECT id, CAST(2 AS INTEGER), round(v2, 6) FROM sv""", "subj")
+
+ORACLES["b7_restrict_to_available"] = with_views(
+    "SELECT id, sii FROM subj WHERE sii IS NOT NULL AND id IN (SELECT id FROM series)", "subj", "series")
+
+SAMPLES = SEQ_CTE + """,
+qs AS (SELECT id, CAST(count(*) AS INTEGER) AS n_steps, round(sum(x0 + x1 + x2), 6) AS seq_sum FROM q GROUP BY id),
+""" + SUBJ_FIT
+ORACLES["b8_assemble_samples"] = with_views(SAMPLES + f""", sv AS ({static_vec_sql("L")})
+SELECT sv.id, sv.sii, qs.n_steps, qs.seq_sum, round(v0 + v1 + v2, 6) AS static_sum FROM sv JOIN qs ON sv.id = qs.id""",
+                                            "subj", "series")
+ORACLES["h8_prepare_inference"] = with_views(SAMPLES + f""", sv AS ({static_vec_sql("subj")})
+SELECT sv.id, qs.n_steps, qs.seq_sum, round(v0 + v1 + v2, 6) AS static_sum FROM sv JOIN qs ON sv.id = qs.id""",
+                                             "subj", "series")
+
+ORACLES["b2_common_columns"] = with_views("SELECT o_orderkey, o_totalprice, c_mktsegment, y FROM tab", "tab")
+ORACLES["b3_common_static_columns"] = with_views("SELECT o_orderkey, o_totalprice, c_mktsegment FROM tab", "tab")
+ORACLES["b4_drop_columns"] = with_views("SELECT o_totalprice, o_orderstatus, c_mktsegment, y FROM tab", "tab")
+ORACLES["b6_align_columns"] = with_views(
+    "SELECT o_orderkey, o_totalprice, CAST(NULL AS DOUBLE) AS c_acctbal, '0' AS o_orderstatus, c_mktsegment "
+    "FROM tab_new", "tab_new")
+ORACLES["d5_transform_new_rows"] = tab_prep_sql("median", new=True)

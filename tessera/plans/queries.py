@@ -212,3 +212,88 @@ def m8_batch_mean_loss(spark, sf):
 @query("m9_report")
 def m9_report(spark, sf):
     return _r6(met.report(_pred(spark, sf), batch="batch"))
+
+
+# ------------------------------------------------- subjects & samples (B, D6)
+from tessera.plans import series_prep as sp  # noqa: E402
+
+
+def _subj_state(spark, sf):
+    return sp.fit_static(fx.subjects(spark, sf), "id", "sii")
+
+
+def _arr_sum(c):
+    return F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+
+
+@query("d6_static_vector")
+def d6_static_vector(spark, sf):
+    subj = fx.subjects(spark, sf)
+    st = _subj_state(spark, sf)
+    v = sp.static_vector(sch.drop_missing_target(subj, "sii"), st)
+    return (v.select("id", F.posexplode("static").alias("fi", "value"))
+            .select("id", F.col("fi").cast("int").alias("fi"), F.round("value", 6).alias("value")))
+
+
+@query("b7_restrict_to_available")
+def b7_restrict_to_available(spark, sf):
+    subj = sch.drop_missing_target(fx.subjects(spark, sf), "sii")
+    return sch.restrict_to_available(subj, fx.series(spark, sf)).select("id", "sii")
+
+
+def _samples_out(df, labelled=True):
+    seq_sum = _arr_sum(F.flatten("seq"))
+    return df.select("id", *(["sii"] if labelled else []), F.size("seq").cast("int").alias("n_steps"),
+                     F.round(seq_sum, 6).alias("seq_sum"), F.round(_arr_sum(F.col("static")), 6).alias("static_sum"))
+
+
+@query("b8_assemble_samples")
+def b8_assemble_samples(spark, sf):
+    st = _subj_state(spark, sf)
+    s = sp.assemble(fx.subjects(spark, sf), fx.series(spark, sf), st, SER_ORDER, EVERY, TAIL)
+    return _samples_out(s)
+
+
+@query("h8_prepare_inference")
+def h8_prepare_inference(spark, sf):
+    """Inference preparation for every subject with a series, using the state
+    fitted on labelled subjects (no refit on new data)."""
+    st = _subj_state(spark, sf)
+    s = sp.assemble(fx.subjects(spark, sf), fx.series(spark, sf), st, SER_ORDER, EVERY, TAIL, labelled=False)
+    return _samples_out(s, labelled=False)
+
+
+@query("b2_common_columns")
+def b2_common_columns(spark, sf):
+    t, n = fx.tab(spark, sf), fx.tab_new(spark, sf)
+    return sch.select_common(t, n, target="y")
+
+
+@query("b3_common_static_columns")
+def b3_common_static_columns(spark, sf):
+    t, n = fx.tab(spark, sf), fx.tab_new(spark, sf)
+    cols = sch.common_columns(t, n, target="y", exclude=["y", "o_orderkey"])
+    return t.select("o_orderkey", *cols)
+
+
+@query("b4_drop_columns")
+def b4_drop_columns(spark, sf):
+    return sch.drop_columns(fx.tab(spark, sf), "o_orderkey", "PCIAT-PCIAT_Total", "c_acctbal")
+
+
+@query("b6_align_columns")
+def b6_align_columns(spark, sf):
+    t = fx.tab(spark, sf)
+    num, cat = sch.feature_kinds(t, "y", exclude=["o_orderkey"])
+    cols = [c for c in t.columns if c not in ("y", "o_orderkey")]
+    types = {c: t.schema[c].dataType.simpleString() for c in cols}
+    return sch.align_columns(fx.tab_new(spark, sf), cols, cat, types, keep=["o_orderkey"])
+
+
+@query("d5_transform_new_rows")
+def d5_transform_new_rows(spark, sf):
+    """Inference: align new rows to the training schema, apply the fitted
+    imputers/scaler/one-hot (missing categorical '0' encodes to zeros)."""
+    st = prep.fit(fx.tab(spark, sf), _tab_cfg("median"))
+    new = prep.align(fx.tab_new(spark, sf), st, keep=TAB_KEYS)
+    return prep.explode_features(prep.features(new, st, keep=TAB_KEYS), TAB_KEYS, st.feature_names)
