@@ -250,3 +250,27 @@ ORACLES["b6_align_columns"] = with_views(
     "SELECT o_orderkey, o_totalprice, CAST(NULL AS DOUBLE) AS c_acctbal, '0' AS o_orderstatus, c_mktsegment "
     "FROM tab_new", "tab_new")
 ORACLES["d5_transform_new_rows"] = tab_prep_sql("median", new=True)
+
+
+# ----------------------------------------------- impute & encode steps (C, D)
+ORACLES["c1_median_impute"] = with_views("""WITH m AS (SELECT median(o_totalprice) AS a, median(c_acctbal) AS b FROM tab)
+SELECT o_orderkey, round(coalesce(o_totalprice, a), 6) AS o_totalprice, round(coalesce(c_acctbal, b), 6) AS c_acctbal
+FROM tab, m""", "tab")
+ORACLES["c4_most_frequent_impute"] = with_views(
+    f"SELECT o_orderkey, coalesce(o_orderstatus, {mode_sql('o_orderstatus', 'tab')}) AS o_orderstatus, "
+    f"coalesce(c_mktsegment, {mode_sql('c_mktsegment', 'tab')}) AS c_mktsegment FROM tab", "tab")
+ORACLES["c5_fill_unknown"] = with_views("SELECT id, coalesce(c_mktsegment, 'Unknown') AS c_mktsegment FROM subj", "subj")
+ORACLES["d1_standardize"] = with_views("""WITH s AS (SELECT avg(o_totalprice) AS ma, stddev_pop(o_totalprice) AS sa,
+  avg(c_acctbal) AS mb, stddev_pop(c_acctbal) AS sb FROM tab)
+SELECT o_orderkey, round((o_totalprice - ma) / (CASE WHEN sa = 0 THEN 1 ELSE sa END), 6) AS o_totalprice,
+       round((c_acctbal - mb) / (CASE WHEN sb = 0 THEN 1 ELSE sb END), 6) AS c_acctbal FROM tab, s""", "tab")
+ORACLES["d3_onehot"] = with_views("""WITH ca AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS r FROM (SELECT DISTINCT o_orderstatus AS v FROM tab WHERE o_orderstatus IS NOT NULL)),
+cb AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS r FROM (SELECT DISTINCT c_mktsegment AS v FROM tab WHERE c_mktsegment IS NOT NULL))
+SELECT o_orderkey, CAST(ca.r AS INTEGER) AS fi, 'o_orderstatus_' || ca.v AS feature,
+       round(CASE WHEN o_orderstatus = ca.v THEN 1.0 ELSE 0.0 END, 6) AS value FROM tab, ca
+UNION ALL
+SELECT o_orderkey, CAST((SELECT count(*) FROM ca) + cb.r AS INTEGER), 'c_mktsegment_' || cb.v,
+       round(CASE WHEN c_mktsegment = cb.v THEN 1.0 ELSE 0.0 END, 6) FROM tab, cb""", "tab")
+ORACLES["d4_label_encode"] = with_views("""WITH f AS (SELECT id, coalesce(c_mktsegment, 'Unknown') AS s FROM subj),
+cl AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT s AS v FROM f))
+SELECT id, CAST(code AS DOUBLE) AS code FROM f JOIN cl ON f.s = cl.v""", "subj")

@@ -297,3 +297,55 @@ def d5_transform_new_rows(spark, sf):
     st = prep.fit(fx.tab(spark, sf), _tab_cfg("median"))
     new = prep.align(fx.tab_new(spark, sf), st, keep=TAB_KEYS)
     return prep.explode_features(prep.features(new, st, keep=TAB_KEYS), TAB_KEYS, st.feature_names)
+
+
+# ----------------------------------------------- impute & encode steps (C, D)
+from tessera.operators import impute as imp  # noqa: E402
+from tessera.operators import encode as enc  # noqa: E402
+
+
+@query("c1_median_impute")
+def c1_median_impute(spark, sf):
+    t = fx.tab(spark, sf)
+    st = imp.fit_impute(t, ["o_totalprice", "c_acctbal"], "median")
+    out = imp.apply_impute(t.select("o_orderkey", "o_totalprice", "c_acctbal"), st)
+    return out.select("o_orderkey", F.round("o_totalprice", 6).alias("o_totalprice"),
+                      F.round("c_acctbal", 6).alias("c_acctbal"))
+
+
+@query("c4_most_frequent_impute")
+def c4_most_frequent_impute(spark, sf):
+    t = fx.tab(spark, sf)
+    st = imp.fit_impute(t, ["o_orderstatus", "c_mktsegment"], "most_frequent")
+    return imp.apply_impute(t.select("o_orderkey", "o_orderstatus", "c_mktsegment"), st)
+
+
+@query("c5_fill_unknown")
+def c5_fill_unknown(spark, sf):
+    return imp.fill_unknown(fx.subjects(spark, sf).select("id", "c_mktsegment"), ["c_mktsegment"])
+
+
+@query("d1_standardize")
+def d1_standardize(spark, sf):
+    t = fx.tab(spark, sf).select("o_orderkey", "o_totalprice", "c_acctbal")
+    st = enc.fit_scale(t, ["o_totalprice", "c_acctbal"])
+    out = enc.apply_scale(t, st)
+    return out.select("o_orderkey", F.round("o_totalprice", 6).alias("o_totalprice"),
+                      F.round("c_acctbal", 6).alias("c_acctbal"))
+
+
+@query("d3_onehot")
+def d3_onehot(spark, sf):
+    t = fx.tab(spark, sf)
+    cats = enc.fit_categories(t, ["o_orderstatus", "c_mktsegment"])
+    ex = [e for c in ["o_orderstatus", "c_mktsegment"] for e in enc.onehot_exprs(c, cats[c])]
+    names = [f"{c}_{v}" for c in ["o_orderstatus", "c_mktsegment"] for v in cats[c]]
+    w = t.select("o_orderkey", F.array(*ex).alias("features"))
+    return prep.explode_features(w, TAB_KEYS, names)
+
+
+@query("d4_label_encode")
+def d4_label_encode(spark, sf):
+    s = imp.fill_unknown(fx.subjects(spark, sf).select("id", "c_mktsegment"), ["c_mktsegment"])
+    classes = enc.fit_label_encode(s, ["c_mktsegment"])
+    return enc.apply_label_encode(s, classes).select("id", F.col("c_mktsegment").alias("code"))
