@@ -13,7 +13,7 @@ def mode_sql(col: str, src: str) -> str:
             f"GROUP BY 1) ORDER BY n DESC, v LIMIT 1)")
 
 
-def tab_prep_sql(agg: str, new: bool = False) -> str:
+def tab_prep_sql(agg: str, new: bool = False, rnd: bool = True) -> str:
     """Fit on labelled ``tab`` rows; emit features of those rows or, with
     ``new``, of ``tab_new`` aligned to the training schema."""
     num = ["o_totalprice", "c_acctbal"]
@@ -29,15 +29,16 @@ def tab_prep_sql(agg: str, new: bool = False) -> str:
                "FROM tab_new n, fill)")
     else:
         app = "app AS (SELECT * FROM imp)"
+    R, R6 = ("round", ", 6") if rnd else ("", "")
     parts = []
     for i, c in enumerate(num):
         parts.append(f"SELECT o_orderkey, CAST({i} AS INTEGER) AS fi, '{c}' AS feature, "
-                     f"round(({c} - m_{c}) / (CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1 ELSE s_{c} END), 6) AS value "
+                     f"{R}(({c} - m_{c}) / (CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1 ELSE s_{c} END){R6}) AS value "
                      f"FROM app, sc")
     off = str(len(num))
     for c in cat:
         parts.append(f"SELECT o_orderkey, CAST({off} + x.r AS INTEGER) AS fi, '{c}_' || x.v AS feature, "
-                     f"round(CASE WHEN app.{c} = x.v THEN 1.0 ELSE 0.0 END, 6) AS value FROM app, cat_{c} x")
+                     f"{R}(CASE WHEN app.{c} = x.v THEN 1.0 ELSE 0.0 END{R6}) AS value FROM app, cat_{c} x")
         off += f" + (SELECT count(*) FROM cat_{c})"
     body = f"""WITH l AS (SELECT * FROM tab WHERE y IS NOT NULL),
 fill AS (SELECT {fills} FROM l),
@@ -274,3 +275,54 @@ SELECT o_orderkey, CAST((SELECT count(*) FROM ca) + cb.r AS INTEGER), 'c_mktsegm
 ORACLES["d4_label_encode"] = with_views("""WITH f AS (SELECT id, coalesce(c_mktsegment, 'Unknown') AS s FROM subj),
 cl AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT s AS v FROM f))
 SELECT id, CAST(code AS DOUBLE) AS code FROM f JOIN cl ON f.s = cl.v""", "subj")
+
+
+# ------------------------------------------------------- feature selection (F)
+FEAT = "feat AS (" + tab_prep_sql("median", rnd=False) + "),\nfy AS (SELECT f.o_orderkey, f.fi, f.value AS x, t.y FROM feat f JOIN tab t ON f.o_orderkey = t.o_orderkey)"
+
+
+def topk_sql(score_cte: str, k: int) -> str:
+    return (f"SELECT CAST(fi AS INTEGER) AS fi, round(score, 6) AS score, "
+            f"(row_number() OVER (ORDER BY (score IS NULL OR isnan(score)), score DESC, fi DESC) <= {k}) AS selected "
+            f"FROM {score_cte}")
+
+
+ORACLES["f0_none"] = tab_prep_sql("median")
+ORACLES["f10_variance_threshold"] = with_views(f"""WITH {FEAT},
+s AS (SELECT fi, var_pop(x) AS score FROM fy GROUP BY fi)
+SELECT CAST(fi AS INTEGER) AS fi, round(score, 6) AS score, score > 0.01 AS selected FROM s""", "tab")
+ANOVA = """g AS (SELECT fi, y, count(*) AS n, avg(x) AS m, var_pop(x) AS v FROM fy GROUP BY fi, y),
+gt AS (SELECT fi, sum(n) AS nn, count(*) AS kk, sum(n * m) / sum(n) AS gm FROM g GROUP BY fi),
+s AS (SELECT g.fi, (sum(n * (m - gm) * (m - gm)) / (max(kk) - 1)) / NULLIF(sum(n * v) / (max(nn) - max(kk)), 0) AS score
+      FROM g JOIN gt ON g.fi = gt.fi GROUP BY g.fi)"""
+ORACLES["f7_f_classif"] = with_views(f"WITH {FEAT},\n{ANOVA}\n" + topk_sql("s", 4), "tab")
+ORACLES["f8_chi2"] = with_views("""WITH l AS (SELECT * FROM tab WHERE y IS NOT NULL),
+ca AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS r FROM (SELECT DISTINCT o_orderstatus AS v FROM l WHERE o_orderstatus IS NOT NULL)),
+cb AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS r FROM (SELECT DISTINCT c_mktsegment AS v FROM l WHERE c_mktsegment IS NOT NULL)),
+fy AS (SELECT o_orderkey, y, ca.r AS fi, CASE WHEN o_orderstatus = ca.v THEN 1.0 ELSE 0.0 END AS x FROM l, ca
+       UNION ALL SELECT o_orderkey, y, (SELECT count(*) FROM ca) + cb.r, CASE WHEN c_mktsegment = cb.v THEN 1.0 ELSE 0.0 END FROM l, cb),
+o AS (SELECT fi, y, sum(x) AS o, count(*) AS n FROM fy GROUP BY fi, y),
+t AS (SELECT fi, sum(o) AS tot, sum(n) AS nn FROM o GROUP BY fi),
+s AS (SELECT o.fi, sum((o - n / nn * tot) * (o - n / nn * tot) / NULLIF(n / nn * tot, 0)) AS score FROM o JOIN t ON o.fi = t.fi GROUP BY o.fi)
+""" + topk_sql("s", 4), "tab")
+ORACLES["f6_mutual_info"] = with_views(f"""WITH {FEAT},
+r AS (SELECT fi, min(x) AS lo, max(x) AS hi FROM fy GROUP BY fi),
+bn AS (SELECT fy.fi, y, CASE WHEN hi > lo THEN least(floor((x - lo) / (hi - lo) * 10), 9) ELSE 0 END AS b FROM fy JOIN r ON fy.fi = r.fi),
+c AS (SELECT fi, b, y, count(*) AS n FROM bn GROUP BY 1, 2, 3),
+c2 AS (SELECT *, sum(n) OVER (PARTITION BY fi) AS nn, sum(n) OVER (PARTITION BY fi, b) AS nb,
+              sum(n) OVER (PARTITION BY fi, y) AS ny FROM c),
+s AS (SELECT fi, sum(n / nn * ln(n * nn / (nb * ny))) AS score FROM c2 GROUP BY fi)
+""" + topk_sql("s", 4), "tab")
+ORACLES["f11_correlation_threshold"] = with_views(f"""WITH {FEAT},
+pr AS (SELECT a.fi AS i, b.fi AS j, covar_pop(a.x, b.x) / NULLIF(stddev_pop(a.x) * stddev_pop(b.x), 0) AS r
+       FROM fy a JOIN fy b ON a.o_orderkey = b.o_orderkey AND a.fi < b.fi GROUP BY 1, 2),
+dr AS (SELECT j AS fi, bool_or(abs(r) > 0.9) AS redundant FROM pr GROUP BY j),
+ry AS (SELECT fi, abs(covar_pop(x, y) / NULLIF(stddev_pop(x) * stddev_pop(y), 0)) AS abs_r FROM fy GROUP BY fi)
+SELECT CAST(ry.fi AS INTEGER) AS fi, round(abs_r, 6) AS abs_r, coalesce(redundant, false) AS redundant,
+       (abs_r > 0.01 AND NOT coalesce(redundant, false)) AS selected FROM ry LEFT JOIN dr ON ry.fi = dr.fi""", "tab")
+ORACLES["f12_apply_selection"] = with_views(f"""WITH {FEAT},
+{ANOVA},
+k AS (SELECT fi FROM ({topk_sql("s", 4)}) WHERE selected),
+kn AS (SELECT fi, row_number() OVER (ORDER BY fi) - 1 AS nfi FROM k),
+nw AS ({tab_prep_sql("median", new=True)})
+SELECT nw.o_orderkey, CAST(kn.nfi AS INTEGER) AS fi, nw.feature, nw.value FROM nw JOIN kn ON nw.fi = kn.fi""", "tab", "tab_new")

@@ -349,3 +349,112 @@ def d4_label_encode(spark, sf):
     s = imp.fill_unknown(fx.subjects(spark, sf).select("id", "c_mktsegment"), ["c_mktsegment"])
     classes = enc.fit_label_encode(s, ["c_mktsegment"])
     return enc.apply_label_encode(s, classes).select("id", F.col("c_mktsegment").alias("code"))
+
+
+# ------------------------------------------------------- feature selection (F)
+from tessera.operators import select as fsel  # noqa: E402
+
+
+def _tab_features(spark, sf):
+    t = fx.tab(spark, sf)
+    st = prep.fit(t, _tab_cfg("median"))
+    lab = t.where(F.col("y").isNotNull())
+    return prep.features(lab, st, keep=[*TAB_KEYS, "y"]), st
+
+
+def _onehot_features(spark, sf):
+    t = fx.tab(spark, sf).where(F.col("y").isNotNull())
+    cats = enc.fit_categories(t, ["o_orderstatus", "c_mktsegment"])
+    ex = [e for c in ["o_orderstatus", "c_mktsegment"] for e in enc.onehot_exprs(c, cats[c])]
+    return t.select("o_orderkey", "y", F.array(*ex).alias("features"))
+
+
+def _score_table(spark, sel: "fsel.Selection", p: int):
+    kept = set(sel.indices or [])
+    rows = [(i, None if sel.scores.get(i) is None else round(float(sel.scores[i]), 6), i in kept) for i in range(p)]
+    return spark.createDataFrame(rows, "fi int, score double, selected boolean")
+
+
+def _stat_scores(spark, scores_df, sel):
+    """Scores come from the Spark aggregate; the kept flag from the fitted selection."""
+    kept = spark.createDataFrame([(i,) for i in (sel.indices or [])], "fi int")
+    s = scores_df.select(F.col("fi").cast("int").alias("fi"), F.round("score", 6).alias("score"))
+    return s.join(kept.withColumn("selected", F.lit(True)), "fi", "left") \
+            .select("fi", "score", F.coalesce("selected", F.lit(False)).alias("selected"))
+
+
+@query("f0_none")
+def f0_none(spark, sf):
+    feats, st = _tab_features(spark, sf)
+    sel = fsel.fit_select(feats, "none", "y")
+    return prep.explode_features(fsel.apply_select(feats, sel), TAB_KEYS, st.feature_names)
+
+
+@query("f10_variance_threshold")
+def f10_variance_threshold(spark, sf):
+    feats, _ = _tab_features(spark, sf)
+    sel = fsel.fit_select(feats, "variance_threshold", "y", threshold=0.01)
+    return _stat_scores(spark, fsel.variance_scores(feats), sel)
+
+
+@query("f7_f_classif")
+def f7_f_classif(spark, sf):
+    feats, _ = _tab_features(spark, sf)
+    sel = fsel.fit_select(feats, "f_classif", "y", k=4)
+    return _stat_scores(spark, fsel.anova_scores(feats, "y"), sel)
+
+
+@query("f8_chi2")
+def f8_chi2(spark, sf):
+    feats = _onehot_features(spark, sf)
+    sel = fsel.fit_select(feats, "chi2", "y", k=4)
+    return _stat_scores(spark, fsel.chi2_scores(feats, "y"), sel)
+
+
+@query("f6_mutual_info")
+def f6_mutual_info(spark, sf):
+    feats, _ = _tab_features(spark, sf)
+    sel = fsel.fit_select(feats, "k_best", "y", k=4)
+    return _stat_scores(spark, fsel.mutual_info_scores(feats, "y"), sel)
+
+
+@query("f11_correlation_threshold")
+def f11_correlation_threshold(spark, sf):
+    feats, st = _tab_features(spark, sf)
+    idx, ry, drop = fsel.correlation_select(feats, "y", threshold=0.9, target_threshold=0.01)
+    p = len(st.feature_names)
+    rows = [(i, None if ry.get(i) is None else round(abs(ry[i]), 6), i in drop, i in set(idx)) for i in range(p)]
+    return spark.createDataFrame(rows, "fi int, abs_r double, redundant boolean, selected boolean")
+
+
+@query("f12_apply_selection")
+def f12_apply_selection(spark, sf):
+    """Fit f_classif (k=4) on training rows, apply to aligned new rows."""
+    feats, st = _tab_features(spark, sf)
+    sel = fsel.fit_select(feats, "f_classif", "y", k=4)
+    new = prep.features(prep.align(fx.tab_new(spark, sf), st, keep=TAB_KEYS), st, keep=TAB_KEYS)
+    names = [st.feature_names[i] for i in sel.indices]
+    return prep.explode_features(fsel.apply_select(new, sel), TAB_KEYS, names)
+
+
+def _model_query(method, **kw):
+    def run(spark, sf):
+        feats, st = _tab_features(spark, sf)
+        sel = fsel.fit_select(feats, method, "y", **kw)
+        return _score_table(spark, sel, len(st.feature_names))
+    return run
+
+
+QUERIES["f1_lasso"] = _model_query("lasso")
+QUERIES["f2_lasso_cv"] = _model_query("lasso_cv", k=4)
+QUERIES["f3_random_forest"] = _model_query("random_forest", k=4)
+QUERIES["f4_rf_importance"] = _model_query("rf_importance", k=4)
+QUERIES["f5_logistic_regression"] = _model_query("logistic_regression", k=4)
+
+
+@query("f9_pca")
+def f9_pca(spark, sf):
+    feats, _ = _tab_features(spark, sf)
+    sel = fsel.fit_select(feats, "pca", "y", k=3)
+    out = fsel.apply_select(feats, sel)
+    return out.select("o_orderkey", *[F.round(F.col("features")[i], 6).alias(f"PC{i + 1}") for i in range(3)])
