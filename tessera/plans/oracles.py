@@ -326,3 +326,96 @@ k AS (SELECT fi FROM ({topk_sql("s", 4)}) WHERE selected),
 kn AS (SELECT fi, row_number() OVER (ORDER BY fi) - 1 AS nfi FROM k),
 nw AS ({tab_prep_sql("median", new=True)})
 SELECT nw.o_orderkey, CAST(kn.nfi AS INTEGER) AS fi, nw.feature, nw.value FROM nw JOIN kn ON nw.fi = kn.fi""", "tab", "tab_new")
+
+
+# ------------------------------------------------------------- scoring (E)
+def _lit(v: float) -> str:
+    return f"CAST({float(v)!r} AS DOUBLE)"
+
+
+def _affine(W, b, xs):
+    return [" + ".join([_lit(b[j])] + [f"{_lit(W[j][i])} * {xs[i]}" for i in range(len(xs))]) for j in range(len(W))]
+
+
+def _softmax_cols(src: str, n: int) -> str:
+    ls = [f"l{i}" for i in range(n)]
+    m = f"greatest({', '.join(ls)})"
+    den = " + ".join(f"exp({l} - {m})" for l in ls)
+    arg = "CASE " + " ".join(
+        f"WHEN {' AND '.join(f'l{i} >= l{j}' for j in range(i + 1, n))} THEN {i}" for i in range(n - 1)
+    ) + f" ELSE {n - 1} END"
+    probs = ", ".join(f"round(exp(l{i} - {m}) / ({den}), 6) AS p{i}" for i in range(n))
+    return f"SELECT id, CAST({arg} AS INTEGER) AS prediction, {probs} FROM {src}"
+
+
+def mlp_sql(src: str, xs, layers) -> str:
+    ctes, sel = mlp_parts(src, xs, layers)
+    return ctes + "\n" + sel
+
+
+def mlp_parts(src: str, xs, layers):
+    """CTE chain computing an MLP over columns ``xs`` of ``src`` (needs id),
+    and the final SELECT of (id, prediction, p0…)."""
+    ctes, cur, cols = [], src, list(xs)
+    for k, (W, b) in enumerate(layers):
+        last = k == len(layers) - 1
+        exprs = _affine(W, b, cols)
+        names = [f"l{j}" for j in range(len(W))] if last else [f"h{k}_{j}" for j in range(len(W))]
+        body = ", ".join((f"({e}) AS {nm}" if last else f"greatest(0, {e}) AS {nm}") for e, nm in zip(exprs, names))
+        ctes.append(f"mlp{k} AS (SELECT id, {body} FROM {cur})")
+        cur, cols = f"mlp{k}", names
+    return ",\n".join(ctes), _softmax_cols(cur, len(layers[-1][0]))
+
+
+def highway_sql(src: str, xs, net) -> str:
+    ctes, cur, cols = [], src, list(xs)
+    for k, ((W, b), (V, c)) in enumerate(zip(net["layers"], net["gates"])):
+        hs = _affine(W, b, cols)
+        ts = _affine(V, c, cols)
+        body = ", ".join(f"(1.0 / (1.0 + exp(-({t})))) * greatest(0, {h}) + (1 - 1.0 / (1.0 + exp(-({t})))) * {x} AS z{k}_{j}"
+                         for j, (h, t, x) in enumerate(zip(hs, ts, cols)))
+        ctes.append(f"hw{k} AS (SELECT id, {body} FROM {cur})")
+        cur, cols = f"hw{k}", [f"z{k}_{j}" for j in range(len(cols))]
+    W, b = net["out"]
+    ctes.append(f"hwo AS (SELECT id, {', '.join(f'({e}) AS l{j}' for j, e in enumerate(_affine(W, b, cols)))} FROM {cur})")
+    return ",\n".join(ctes) + "\n" + _softmax_cols("hwo", len(W))
+
+
+def _score_oracles():
+    from tessera.plans.queries import HWN_NET, MLP_NET
+    sv = f"WITH {SUBJ_FIT}, sv AS ({static_vec_sql('L')}),\n"
+    ORACLES["e3_score_mlp"] = with_views(sv + mlp_sql("sv", ["v0", "v1", "v2"], MLP_NET), "subj")
+    ORACLES["e4_score_highway"] = with_views(sv + highway_sql("sv", ["v0", "v1", "v2"], HWN_NET), "subj")
+    sva = f"WITH {SUBJ_FIT}, sva AS ({static_vec_sql('subj')} WHERE x.id IN (SELECT id FROM series)),\n"
+    ctes, sel = mlp_parts("sva", ["v0", "v1", "v2"], MLP_NET)
+    ORACLES["b13_predictions_for"] = with_views(
+        sva + ctes + f",\nsc AS ({sel})\n"
+        "SELECT s.id, CAST(coalesce(sc.prediction, -1) AS INTEGER) AS prediction FROM subj s LEFT JOIN sc ON s.id = sc.id",
+        "subj", "series")
+
+
+PRED_LOGITS3 = """pl AS (SELECT y, yhat, partkey,
+  CASE WHEN yhat = 0 THEN 2.0 ELSE 0.5 * ((partkey + 0) % 3) END AS l0,
+  CASE WHEN yhat = 1 THEN 2.0 ELSE 0.5 * ((partkey + 1) % 3) END AS l1,
+  CASE WHEN yhat = 2 THEN 2.0 ELSE 0.5 * ((partkey + 2) % 3) END AS l2 FROM pred)"""
+
+
+def _sm3(src):
+    return ("SELECT y, {extra}CAST(CASE WHEN l0 >= l1 AND l0 >= l2 THEN 0 WHEN l1 >= l2 THEN 1 ELSE 2 END AS INTEGER) AS prediction, "
+            "round(exp(l0 - greatest(l0, l1, l2)) / (exp(l0 - greatest(l0, l1, l2)) + exp(l1 - greatest(l0, l1, l2)) + exp(l2 - greatest(l0, l1, l2))), 6) AS p0, "
+            "round(exp(l1 - greatest(l0, l1, l2)) / (exp(l0 - greatest(l0, l1, l2)) + exp(l1 - greatest(l0, l1, l2)) + exp(l2 - greatest(l0, l1, l2))), 6) AS p1, "
+            "round(exp(l2 - greatest(l0, l1, l2)) / (exp(l0 - greatest(l0, l1, l2)) + exp(l1 - greatest(l0, l1, l2)) + exp(l2 - greatest(l0, l1, l2))), 6) AS p2 "
+            f"FROM {src}")
+
+
+ORACLES["e6_softmax_argmax"] = with_views(f"WITH {PRED_LOGITS3}\n" + _sm3("pl").format(extra="yhat, "), "pred")
+# NaN logits count as 0 (NaN → 0 before softmax / arg-max)
+ORACLES["e7_nan_logits"] = with_views(
+    f"WITH {PRED_LOGITS3}, pn AS (SELECT y, l0, CASE WHEN partkey % 5 = 0 THEN 0.0 ELSE l1 END AS l1, l2 FROM pl)\n"
+    + _sm3("pn").format(extra=""), "pred")
+
+
+def register_late():
+    """Oracles that embed parameters defined next to the queries."""
+    if "e3_score_mlp" not in ORACLES:
+        _score_oracles()

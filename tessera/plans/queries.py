@@ -458,3 +458,89 @@ def f9_pca(spark, sf):
     sel = fsel.fit_select(feats, "pca", "y", k=3)
     out = fsel.apply_select(feats, sel)
     return out.select("o_orderkey", *[F.round(F.col("features")[i], 6).alias(f"PC{i + 1}") for i in range(3)])
+
+
+# ------------------------------------------------------------- scoring (E)
+from tessera.operators import score as sco  # noqa: E402
+
+# Supplied model weights for the scoring queries (the reference ships none):
+# generated by ``score.rule_weights`` so the oracle can embed the same numbers.
+MLP_NET = sco.mlp_weights([3, 4, 4], salt=0)
+HWN_NET = {"proj": None,
+           "layers": [(sco.rule_weights(3, 3, 10 + i), sco.rule_bias(3, 10 + i)) for i in range(2)],
+           "gates": [(sco.rule_weights(3, 3, 20 + i), sco.rule_bias(3, 20 + i)) for i in range(2)],
+           "out": (sco.rule_weights(4, 3, 30), sco.rule_bias(4, 30))}
+HYB_NET = {"lstm": [(sco.rule_weights(16, 3, 40, 0.05), sco.rule_weights(16, 4, 41), sco.rule_bias(16, 42),
+                     sco.rule_bias(16, 43))],
+           "static": (sco.rule_weights(8, 3, 44), sco.rule_bias(8, 44)),
+           "fc1": (sco.rule_weights(8, 12, 45), sco.rule_bias(8, 45)),
+           "fc2": (sco.rule_weights(4, 8, 46), sco.rule_bias(4, 46))}
+
+
+def _static_train(spark, sf):
+    st = _subj_state(spark, sf)
+    return sp.static_vector(sch.drop_missing_target(fx.subjects(spark, sf), "sii"), st)
+
+
+def _probs_out(df, key="id", n=4):
+    return df.select(key, "prediction", *[F.round(F.col("probability")[i], 6).alias(f"p{i}") for i in range(n)])
+
+
+@query("e3_score_mlp")
+def e3_score_mlp(spark, sf):
+    return _probs_out(sco.score_mlp(_static_train(spark, sf), MLP_NET, col="static"))
+
+
+@query("e4_score_highway")
+def e4_score_highway(spark, sf):
+    return _probs_out(sco.score_highway(_static_train(spark, sf), HWN_NET, col="static"))
+
+
+@query("e5_score_hybrid")
+def e5_score_hybrid(spark, sf):
+    st = _subj_state(spark, sf)
+    s = sp.assemble(fx.subjects(spark, sf), fx.series(spark, sf), st, SER_ORDER, EVERY, TAIL, labelled=False)
+    return _probs_out(sco.score_hybrid(s, HYB_NET))
+
+
+@query("e6_softmax_argmax")
+def e6_softmax_argmax(spark, sf):
+    p = sco.softmax_argmax(_pred(spark, sf))
+    return p.select("y", "yhat", "prediction", *[F.round(F.col("probability")[i], 6).alias(f"p{i}") for i in range(3)])
+
+
+@query("e7_nan_logits")
+def e7_nan_logits(spark, sf):
+    p = _pred(spark, sf)
+    lg = F.col("logits")
+    p = p.withColumn("logits", F.array(lg[0], F.when(F.col("partkey") % 5 == 0, F.lit(float("nan"))).otherwise(lg[1]),
+                                       lg[2]))
+    p = sco.softmax_argmax(p)
+    return p.select("y", "prediction", *[F.round(F.col("probability")[i], 6).alias(f"p{i}") for i in range(3)])
+
+
+@query("b13_predictions_for")
+def b13_predictions_for(spark, sf):
+    """Every subject gets a prediction; subjects without a series get -1."""
+    st = _subj_state(spark, sf)
+    subj = fx.subjects(spark, sf)
+    have = sch.restrict_to_available(subj, fx.series(spark, sf))
+    scored = sco.score_mlp(sp.static_vector(have, st), MLP_NET, col="static")
+    return sch.predictions_for(subj, scored, "id", "prediction")
+
+
+@query("e1_fit_mlp")
+def e1_fit_mlp(spark, sf):
+    v = fx.vec(spark, sf)
+    m = sco.fit_mlp(v, "label", hidden=(8,), max_iter=30)
+    from pyspark.ml.functions import array_to_vector
+    out = m.transform(v.withColumn("_v", array_to_vector("features")))
+    return out.select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("e2_fit_weighted_linear")
+def e2_fit_weighted_linear(spark, sf):
+    feats, _ = _tab_features(spark, sf)
+    w = bal.with_class_weights(feats, "y")
+    net = sco.fit_weighted_linear(w, "y", "weight", max_iter=50)
+    return sco.score_mlp(feats, net, keep=["o_orderkey", "y"]).select("o_orderkey", "y", "prediction")
