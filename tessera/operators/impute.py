@@ -25,35 +25,61 @@ def normalize_nan(df: DataFrame, cols) -> DataFrame:
     return df.select(*out)
 
 
+def bracket_aggs(cols, q: float = 0.5, accuracy: int = 10000, prefix: str = "_q"):
+    """Aggregate expressions of the first quantile pass (count and an
+    approximate bracket around the target rank); callers may fold them into
+    another aggregate over the same rows."""
+    eps = 1.0 / accuracy
+    lo_p, hi_p = max(0.0, q - 2 * eps), min(1.0, q + 2 * eps)
+    out = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        out += [F.count(x).alias(f"{prefix}n{i}"),
+                F.percentile_approx(x, F.array(F.lit(lo_p), F.lit(hi_p)), accuracy).alias(f"{prefix}b{i}")]
+    return out
+
+
 def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000,
-                    max_collect: int = 200_000, max_rounds: int = 10) -> dict:
+                    max_collect: int = 200_000, max_rounds: int = 10, first=None, prefix: str = "_q") -> dict:
     """Exact linear-interpolated quantile of many columns, distributed.
 
     A global exact percentile would merge every distinct value of a column
-    in one task. Instead: (1) one pass of ``percentile_approx`` brackets the
-    target ranks (rank error ≤ n/accuracy); (2) a counting pass checks the
-    bracket; (3) narrower brackets are drawn from the rows inside until at
-    most ``max_collect`` rows remain; (4) only the value histogram inside the
-    bracket reaches the driver. Result per column: value or None (no data).
+    in one task. Instead: (1) ``percentile_approx`` brackets the target
+    ranks (rank error ≤ n/accuracy); (2) one job counts, per column, the rows
+    below the bracket and the rows per distinct value inside it (values below
+    / above collapse to two sentinel groups), fetching at most
+    ``max_collect`` groups; (3) a bracket holding more distinct values is
+    narrowed by another approximate pass over its rows only. Only bounded
+    histograms reach the driver. Result per column: value or None (no data).
+    ``first`` is a Row already holding the ``bracket_aggs`` results.
     """
+    cols = list(cols)
     if not cols:
         return {}
     eps = 1.0 / accuracy
     xs = {c: F.col(c).cast("double") for c in cols}
-    first = df.agg(*[a for i, c in enumerate(cols) for a in (
-        F.count(xs[c]).alias(f"n{i}"),
-        F.percentile_approx(xs[c], F.array(F.lit(max(0.0, q - 2 * eps)), F.lit(min(1.0, q + 2 * eps))),
-                            accuracy).alias(f"b{i}"))]).first()
+    if first is None:
+        first = df.agg(*bracket_aggs(cols, q, accuracy, prefix)).first()
     st = {}
     for i, c in enumerate(cols):
-        n = first[f"n{i}"]
+        n = first[f"{prefix}n{i}"]
         if not n:
             continue
         pos = q * (n - 1)
-        b = first[f"b{i}"]
+        b = first[f"{prefix}b{i}"]
         st[c] = dict(n=n, pos=pos, r1=math.floor(pos), r2=math.ceil(pos),
                      lo=None if q - 2 * eps <= 0 else b[0], hi=None if q + 2 * eps >= 1 else b[1])
     result = {c: None for c in cols}
+    NEG, POS = float("-inf"), float("inf")
+
+    def bucket(c):
+        s, x = st[c], xs[c]
+        e = x
+        if s["hi"] is not None:
+            e = F.when(x > F.lit(s["hi"]), F.lit(POS)).otherwise(e)
+        if s["lo"] is not None:
+            e = F.when(x < F.lit(s["lo"]), F.lit(NEG)).otherwise(e)
+        return e
 
     def inside(c):
         s, x = st[c], xs[c]
@@ -64,54 +90,56 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000,
             cond = cond & (x <= F.lit(s["hi"]))
         return cond
 
-    def below(c):
-        s = st[c]
-        return (xs[c] < F.lit(s["lo"])) if s["lo"] is not None else F.lit(False)
-
     todo = list(st)
     for _ in range(max_rounds):
         if not todo:
             break
-        cnt = df.agg(*[a for i, c in enumerate(todo) for a in (
-            F.sum(F.when(below(c), 1).otherwise(0)).alias(f"lo{i}"),
-            F.sum(F.when(inside(c), 1).otherwise(0)).alias(f"in{i}"))]).first()
-        ready, refine = [], []
-        for i, c in enumerate(todo):
+        long = df.select(F.explode(F.array(*[
+            F.struct(F.lit(j).alias("ci"), bucket(c).alias("v")) for j, c in enumerate(todo)])).alias("s")) \
+            .select("s.*").where(F.col("v").isNotNull())
+        hist_rows = long.groupBy("ci", "v").count().limit(max_collect + 2 * len(todo) + 1).collect()
+        complete = len(hist_rows) <= max_collect + 2 * len(todo)
+        hist = {}
+        for r in hist_rows:
+            hist.setdefault(r["ci"], []).append((r["v"], r["count"]))
+        refine, nxt = [], []
+        for j, c in enumerate(todo):
             s = st[c]
-            s["below"], s["inside"] = cnt[f"lo{i}"] or 0, cnt[f"in{i}"] or 0
+            vals = sorted(hist.get(j, []))
+            below = sum(k for v, k in vals if v == NEG)
+            mid = [(v, k) for v, k in vals if v not in (NEG, POS)]
+            inside_n = s["n"] - below - sum(k for v, k in vals if v == POS) if complete else None
             ok = True
-            if s["below"] > s["r1"]:
-                s["lo"], ok = None, False
-            if s["below"] + s["inside"] <= s["r2"]:
-                s["hi"], ok = None, False
+            if complete:
+                if below > s["r1"]:
+                    s["lo"], ok = None, False
+                if below + inside_n <= s["r2"]:
+                    s["hi"], ok = None, False
             if not ok:
-                continue  # widened; recount next round
-            (ready if s["inside"] <= max_collect else refine).append(c)
-        if ready:
-            long = df.select(F.explode(F.array(*[
-                F.when(inside(c), F.struct(F.lit(j).alias("ci"), xs[c].alias("v")))
-                for j, c in enumerate(ready)])).alias("s")).where(F.col("s").isNotNull()).select("s.*")
-            hist = {}
-            for r in long.groupBy("ci", "v").count().collect():
-                hist.setdefault(r["ci"], []).append((r["v"], r["count"]))
-            for j, c in enumerate(ready):
-                s = st[c]
-                vals = sorted(hist.get(j, []))
-
-                def at(rank, s=s, vals=vals):
-                    acc = s["below"]
-                    for v, k in vals:
-                        acc += k
-                        if acc > rank:
-                            return v
-                    raise AssertionError("rank outside bracket")
-                v1, v2 = at(s["r1"]), at(s["r2"])
-                result[c] = v1 + (s["pos"] - s["r1"]) * (v2 - v1)
+                nxt.append(c)  # widened: recount next round
+                continue
+            if not complete:
+                refine.append(c)
+                continue
+
+            def at(rank, below=below, mid=mid):
+                acc = below
+                for v, k in mid:
+                    acc += k
+                    if acc > rank:
+                        return v
+                raise AssertionError("rank outside bracket")
+            v1, v2 = at(s["r1"]), at(s["r2"])
+            result[c] = v1 + (s["pos"] - s["r1"]) * (v2 - v1)
         if refine:
+            cnt = df.agg(*[a for i, c in enumerate(refine) for a in (
+                F.sum(F.when(xs[c] < F.lit(st[c]["lo"]) if st[c]["lo"] is not None else F.lit(False), 1)
+                      .otherwise(0)).alias(f"lo{i}"),
+                F.sum(F.when(inside(c), 1).otherwise(0)).alias(f"in{i}"))]).first()
             aggs = []
             for i, c in enumerate(refine):
                 s = st[c]
-                m = s["inside"]
+                s["below"], m = cnt[f"lo{i}"] or 0, max(cnt[f"in{i}"] or 1, 1)
                 p1 = max(0.0, (s["r1"] - s["below"]) / m - 2 * eps)
                 p2 = min(1.0, (s["r2"] - s["below"] + 1) / m + 2 * eps)
                 aggs.append(F.percentile_approx(F.when(inside(c), xs[c]), F.array(F.lit(p1), F.lit(p2)),
@@ -122,12 +150,31 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000,
                 lo, hi = nb[f"b{i}"]
                 s["lo"] = lo if s["lo"] is None else max(s["lo"], lo)
                 s["hi"] = hi if s["hi"] is None else min(s["hi"], hi)
-        todo = [c for c in todo if c not in ready]
+            nxt += refine
+        todo = nxt
     if todo:
         raise RuntimeError(f"quantile bracket did not converge for {todo}")
     return result
 
 
+def value_counts(df: DataFrame, cols, limit: int) -> dict:
+    """Distinct non-null values with counts for many columns in one job
+    (partial counts per task). At most ``limit`` groups are fetched; more
+    raises instead of truncating."""
+    if not cols:
+        return {}
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("ci"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)
+    ])).alias("s")).select("s.*").where(F.col("v").isNotNull())
+    rows = long.groupBy("ci", "v").agg(F.count(F.lit(1)).alias("k")).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} distinct categorical values; use a sparse encoding")
+    out = {c: {} for c in cols}
+    for r in rows:
+        out[cols[r["ci"]]][r["v"]] = r["k"]
+    return out
+
+
 def most_frequent(df: DataFrame, cols) -> dict:
     """Mode of many columns at once; ties go to the smallest value.
 

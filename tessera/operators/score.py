@@ -38,7 +38,7 @@ def _relu(x):
 
 
 def _sigmoid(x):
-    return 1.0 / (1.0 + np.exp(-x))
+    return 0.5 * (1.0 + np.tanh(0.5 * x))   # overflow-free logistic
 
 
 def mlp_forward(X, layers):

@@ -70,16 +70,17 @@ def _imputed_moments(df: DataFrame, cols, strategy: str, **kw):
     cols = list(cols)
     if not cols:
         return {}, [], {}, {}
+    if strategy not in ("mean", "median"):
+        raise ValueError(f"unsupported imputation method: {strategy}")
+    extra = impute.bracket_aggs(cols, 0.5) if strategy == "median" else []
     row = df.agg(F.count(F.lit(1)).alias("N"), *[a for i, c in enumerate(cols) for a in (
         F.count(F.col(c)).alias(f"k{i}"),
         F.avg(F.col(c).cast("double")).alias(f"m{i}"),
-        F.var_pop(F.col(c).cast("double")).alias(f"v{i}"))]).first()
+        F.var_pop(F.col(c).cast("double")).alias(f"v{i}"))], *extra).first()
     if strategy == "mean":
         fills = {c: row[f"m{i}"] for i, c in enumerate(cols)}
-    elif strategy == "median":
-        fills = impute.exact_quantiles(df, cols, 0.5, **kw)
     else:
-        raise ValueError(f"unsupported imputation method: {strategy}")
+        fills = impute.exact_quantiles(df, cols, 0.5, first=row, **kw)
     N = row["N"]
     mean, scale, dropped = {}, {}, []
     for i, c in enumerate(cols):
@@ -107,13 +108,15 @@ def fit(df: DataFrame, cfg: PrepConfig) -> PrepState:
     if cfg.imp == "knn":
         raise ValueError("knn imputation is fitted with operators.knn.knn_impute")
     st.num_fill, dropped_n, st.mean, st.scale = _imputed_moments(df, num, cfg.imp)
-    st.cat_fill = impute.most_frequent(df, cat)
-    dropped_c = [c for c in cat if st.cat_fill.get(c) is None]
+    # one job: value counts give both the mode (ties → smallest) and the
+    # sorted category list (the fill is an existing value, so it adds none)
+    vc = impute.value_counts(df, cat, cfg.max_categories * max(1, len(cat)))
+    st.cat_fill = {c: min(v.items(), key=lambda kv: (-kv[1], kv[0]))[0] for c, v in vc.items() if v}
+    dropped_c = [c for c in cat if c not in st.cat_fill]
     st.dropped = dropped_n + dropped_c
     st.num = [c for c in num if c not in dropped_n]
     st.cat = [c for c in cat if c not in dropped_c]
-    filled = df.select(*[F.coalesce(F.col(c), F.lit(st.cat_fill[c])).alias(c) for c in st.cat])
-    st.categories = encode.fit_categories(filled, st.cat, cfg.max_categories)
+    st.categories = {c: sorted(vc[c]) for c in st.cat}
     st.feature_names = list(st.num) + [f"{c}_{v}" for c in st.cat for v in st.categories[c]]
     return st
 
