@@ -419,3 +419,48 @@ def register_late():
     """Oracles that embed parameters defined next to the queries."""
     if "e3_score_mlp" not in ORACLES:
         _score_oracles()
+
+
+# ------------------------------------------------ neighbour family
+# Brute force over all recipient × donor pairs: fine for DuckDB at the
+# check's scale; the Spark side uses the grid-verified search.
+def _knn_col(t, o):
+    return f"""r_{t} AS (SELECT o_orderkey, {o} FROM tt WHERE {t} IS NULL AND {o} IS NOT NULL),
+c_{t} AS (SELECT r.o_orderkey AS rk, d.o_orderkey AS dk, d.{t} AS v,
+                 sqrt(2.0 / 1.0 * (0.0 + (r.{o} - d.{o}) * (r.{o} - d.{o}))) AS dist
+          FROM r_{t} r JOIN tt d ON d.{t} IS NOT NULL AND d.{o} IS NOT NULL),
+k_{t} AS (SELECT rk, avg(v) AS imp FROM (SELECT *, row_number() OVER (PARTITION BY rk ORDER BY dist, dk) AS rn
+          FROM c_{t}) WHERE rn <= 5 GROUP BY rk)"""
+
+
+ORACLES["c3_knn_impute"] = with_views(f"""WITH tt AS (SELECT o_orderkey, o_totalprice, c_acctbal FROM tab),
+{_knn_col("o_totalprice", "c_acctbal")},
+{_knn_col("c_acctbal", "o_totalprice")},
+m AS (SELECT avg(o_totalprice) AS m1, avg(c_acctbal) AS m2 FROM tt)
+SELECT tt.o_orderkey, round(coalesce(tt.o_totalprice, k1.imp, m1), 6) AS o_totalprice,
+       round(coalesce(tt.c_acctbal, k2.imp, m2), 6) AS c_acctbal
+FROM tt LEFT JOIN k_o_totalprice k1 ON tt.o_orderkey = k1.rk LEFT JOIN k_c_acctbal k2 ON tt.o_orderkey = k2.rk, m""",
+                                      "tab")
+
+ORACLES["g4_smote"] = with_views(f"""WITH cnt AS (SELECT label, count(*) AS n_c FROM vec GROUP BY 1),
+need AS (SELECT label, n_c, max(n_c) OVER () - n_c AS d FROM cnt),
+mino AS (SELECT v.* FROM vec v JOIN need USING (label) WHERE d > 0),
+pairs AS (SELECT a.label, a.vec_id AS q, b.vec_id AS nn,
+                 list_sum(list_transform(list_zip(a.features, b.features), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d2
+          FROM mino a JOIN mino b ON a.label = b.label AND a.vec_id <> b.vec_id),
+knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY d2, nn) AS nr FROM pairs) WHERE nr <= 5),
+kn AS (SELECT q, count(*) AS kn FROM knn GROUP BY q),
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY substr(md5('42:' || vec_id), 1, 15), vec_id) AS rk FROM mino),
+dr AS (SELECT label, n_c, unnest(range(d)) AS i FROM need WHERE d > 0),
+dj AS (SELECT label, i, {H60("'42:' || label || ':' || i || ':b'")} % n_c + 1 AS rk,
+              CAST(('0x' || substr(md5('42:' || label || ':' || i || ':u'), 1, 8))::UBIGINT AS DOUBLE) / 4294967296.0 AS u
+       FROM dr),
+base AS (SELECT dj.label, dj.i, dj.u, rk.vec_id, rk.features, kn.kn FROM dj JOIN rk ON dj.label = rk.label AND dj.rk = rk.rk
+         JOIN kn ON kn.q = rk.vec_id),
+bp AS (SELECT base.*, {H60("'42:' || label || ':' || i || ':n'")} % kn + 1 AS nr FROM base),
+syn AS (SELECT bp.vec_id, bp.label, CAST(bp.i AS BIGINT) AS synthetic,
+               list_transform(list_zip(bp.features, o.features), lambda z: z[1] + bp.u * (z[2] - z[1])) AS features
+        FROM bp JOIN knn ON knn.q = bp.vec_id AND knn.nr = bp.nr JOIN vec o ON o.vec_id = knn.nn),
+allr AS (SELECT vec_id, label, CAST(-1 AS BIGINT) AS synthetic, features FROM vec UNION ALL SELECT * FROM syn)
+SELECT vec_id, label, synthetic, CAST(g.i - 1 AS INTEGER) AS dim, round(features[g.i], 6) AS value
+FROM allr, LATERAL (SELECT unnest(range(1, len(features) + 1)) AS i) g""", "vec")

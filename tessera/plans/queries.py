@@ -544,3 +544,23 @@ def e2_fit_weighted_linear(spark, sf):
     w = bal.with_class_weights(feats, "y")
     net = sco.fit_weighted_linear(w, "y", "weight", max_iter=50)
     return sco.score_mlp(feats, net, keep=["o_orderkey", "y"]).select("o_orderkey", "y", "prediction")
+
+
+# ------------------------------------------------ neighbour family
+from tessera.operators import knn  # noqa: E402
+
+
+@query("c3_knn_impute")
+def c3_knn_impute(spark, sf):
+    t = fx.tab(spark, sf).select("o_orderkey", "o_totalprice", "c_acctbal")
+    out = knn.knn_impute(t, "o_orderkey", ["o_totalprice", "c_acctbal"], k=5)
+    return out.select("o_orderkey", F.round("o_totalprice", 6).alias("o_totalprice"),
+                      F.round("c_acctbal", 6).alias("c_acctbal"))
+
+
+@query("g4_smote")
+def g4_smote(spark, sf):
+    out = knn.smote(fx.vec(spark, sf), "label", "vec_id", "features", k=5, seed=42)
+    return out.select("vec_id", "label", "synthetic", F.posexplode("features").alias("dim", "value")) \
+              .select("vec_id", "label", "synthetic", F.col("dim").cast("int").alias("dim"),
+                      F.round("value", 6).alias("value"))
