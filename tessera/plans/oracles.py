@@ -464,3 +464,17 @@ syn AS (SELECT bp.vec_id, bp.label, CAST(bp.i AS BIGINT) AS synthetic,
 allr AS (SELECT vec_id, label, CAST(-1 AS BIGINT) AS synthetic, features FROM vec UNION ALL SELECT * FROM syn)
 SELECT vec_id, label, synthetic, CAST(g.i - 1 AS INTEGER) AS dim, round(features[g.i], 6) AS value
 FROM allr, LATERAL (SELECT unnest(range(1, len(features) + 1)) AS i) g""", "vec")
+
+
+# ------------------------------------------------------- end-to-end pipeline
+ORACLES["p1_fit_transform_fclassif_under"] = with_views(f"""WITH {FEAT},
+{ANOVA},
+k AS (SELECT fi FROM ({topk_sql("s", 4)}) WHERE selected),
+kn AS (SELECT fi, row_number() OVER (ORDER BY fi) - 1 AS nfi FROM k),
+lab AS (SELECT o_orderkey, y FROM tab WHERE y IS NOT NULL),
+cnt AS (SELECT y, count(*) AS n_c FROM lab GROUP BY 1),
+rk AS ({ranked_sql("lab", "o_orderkey", "y")}),
+kept AS (SELECT o_orderkey FROM rk WHERE rk <= (SELECT min(n_c) FROM cnt))
+SELECT f.o_orderkey, CAST(kn.nfi AS INTEGER) AS fi, f.feature, round(f.value, 6) AS value
+FROM feat f JOIN kn ON f.fi = kn.fi JOIN kept ON f.o_orderkey = kept.o_orderkey""", "tab")
+ORACLES["p2_transform_new_rows"] = ORACLES["f12_apply_selection"]

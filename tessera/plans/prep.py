@@ -151,3 +151,64 @@ def explode_features(df: DataFrame, keys, names, col: str = "features") -> DataF
     return (df.select(*keys, F.posexplode(col).alias("fi", "value"))
             .select(*keys, F.col("fi").cast("int").alias("fi"), F.element_at(nm, F.col("fi") + 1).alias("feature"),
                     F.round("value", 6).alias("value")))
+
+
+def fit_transform(df: DataFrame, cfg: PrepConfig, out: str = "features"):
+    """Training preparation end to end: drop null target → fit imputers,
+    scaler, one-hot → features → (optional) selection → (optional)
+    rebalancing → (optional) class weights.
+
+    Returns (DataFrame[keys…, target, features], PrepState, weights or None);
+    the DataFrame is lazy and the state is driver-sized.
+    """
+    from tessera.operators import balance, select
+    st = fit(df, cfg)
+    base = schema.drop_missing_target(df, cfg.target) if cfg.drop_missing_target else df
+    x = features(base, st, keep=[*cfg.keys, cfg.target], out=out)
+    st.num_classes = None
+    if cfg.fts and cfg.fts != "none":
+        kw = {}
+        if cfg.fts == "correlation_threshold":
+            kw = dict(threshold=cfg.correlation_threshold, target_threshold=cfg.target_corr_threshold)
+        sel = select.fit_select(x, cfg.fts, cfg.target, out, k=cfg.k_best, **kw)
+        x = select.apply_select(x, sel, out)
+        st.selected, st.projection, st.centre = sel.indices, sel.projection, sel.centre
+        st.selected_names = ([st.feature_names[i] for i in sel.indices] if sel.indices is not None
+                             else [f"PC{i + 1}" for i in range(len(sel.projection or []))])
+    key = cfg.keys[0] if len(cfg.keys) == 1 else list(cfg.keys)
+    weights = None
+    if cfg.imb == "random_under":
+        x = balance.random_under(x, cfg.target, key, cfg.seed)
+    elif cfg.imb == "random_over":
+        x = balance.random_over(x, cfg.target, key, cfg.seed)
+    elif cfg.imb == "smote":
+        from tessera.operators.knn import smote
+        x = smote(x, cfg.target, key, out, seed=cfg.seed)
+    elif cfg.imb == "class_weight":
+        weights = balance.class_weights(x, cfg.target)
+    elif cfg.imb not in (None, "none"):
+        raise ValueError(f"unknown balancing strategy: {cfg.imb}")
+    return x, st, weights
+
+
+def transform(df: DataFrame, st: PrepState, out: str = "features") -> DataFrame:
+    """Inference: align to the training schema, apply the fitted state and
+    the fitted selection; one narrow projection, no job at call time."""
+    from tessera.functions.arrays import pick
+    keys = list(st.config["keys"])
+    x = features(align(df, st, keep=keys), st, keep=keys, out=out)
+    if st.projection is not None:
+        from tessera.operators.select import pca_project
+        x = x.withColumn(out, pca_project(out, st.projection, st.centre))
+    elif st.selected is not None:
+        x = x.withColumn(out, pick(F.col(out), st.selected))
+    return x
+
+
+def save_state(spark, st: PrepState, path: str) -> None:
+    """Persist the fitted state as a one-row JSON table (no pickle)."""
+    spark.createDataFrame([(st.to_json(),)], "state string").coalesce(1).write.mode("overwrite").json(path)
+
+
+def load_state(spark, path: str) -> PrepState:
+    return PrepState.from_json(spark.read.json(path).first()["state"])

@@ -564,3 +564,20 @@ def g4_smote(spark, sf):
     return out.select("vec_id", "label", "synthetic", F.posexplode("features").alias("dim", "value")) \
               .select("vec_id", "label", "synthetic", F.col("dim").cast("int").alias("dim"),
                       F.round("value", 6).alias("value"))
+
+
+# ------------------------------------------------------- end-to-end pipeline
+@query("p1_fit_transform_fclassif_under")
+def p1_fit_transform_fclassif_under(spark, sf):
+    """DataPreprocessor-style run: median impute, f_classif top-4, random
+    under-sampling; long form of the kept rows' selected features."""
+    cfg = _tab_cfg("median", fts="f_classif", k_best=4, imb="random_under")
+    x, st, _ = prep.fit_transform(fx.tab(spark, sf), cfg)
+    return prep.explode_features(x, TAB_KEYS, st.selected_names)
+
+
+@query("p2_transform_new_rows")
+def p2_transform_new_rows(spark, sf):
+    cfg = _tab_cfg("median", fts="f_classif", k_best=4)
+    _, st, _ = prep.fit_transform(fx.tab(spark, sf), cfg)
+    return prep.explode_features(prep.transform(fx.tab_new(spark, sf), st), TAB_KEYS, st.selected_names)
