@@ -478,3 +478,12 @@ kept AS (SELECT o_orderkey FROM rk WHERE rk <= (SELECT min(n_c) FROM cnt))
 SELECT f.o_orderkey, CAST(kn.nfi AS INTEGER) AS fi, f.feature, round(f.value, 6) AS value
 FROM feat f JOIN kn ON f.fi = kn.fi JOIN kept ON f.o_orderkey = kept.o_orderkey""", "tab")
 ORACLES["p2_transform_new_rows"] = ORACLES["f12_apply_selection"]
+
+
+# ---------------------------------------------------------- sources (A)
+ORACLES["a1_read_table_string_key"] = "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_acctbal FROM customer"
+ORACLES["a3_read_series_layout"] = with_views(
+    "SELECT id, event_id, round(value, 6) AS value, round(k, 6) AS k FROM series", "series")
+ORACLES["a8_profile"] = ("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, "
+                         "(SELECT count(*) FROM customer) AS n_rows, CAST(5 AS INTEGER) AS n_cols "
+                         "FROM customer ORDER BY c_custkey LIMIT 5")

@@ -581,3 +581,37 @@ def p2_transform_new_rows(spark, sf):
     cfg = _tab_cfg("median", fts="f_classif", k_best=4)
     _, st, _ = prep.fit_transform(fx.tab(spark, sf), cfg)
     return prep.explode_features(prep.transform(fx.tab_new(spark, sf), st), TAB_KEYS, st.selected_names)
+
+
+# ---------------------------------------------------------- sources (A)
+from tessera.sources import io  # noqa: E402
+
+
+@query("a1_read_table_string_key")
+def a1_read_table_string_key(spark, sf):
+    """A1/A2: scan with a declared schema (no inference pass), key forced to string."""
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, IntegerType
+    schema = StructType([StructField("c_custkey", LongType()), StructField("c_name", StringType()),
+                         StructField("c_nationkey", IntegerType()), StructField("c_acctbal", DoubleType()),
+                         StructField("c_mktsegment", StringType())])
+    df = io.read_table(spark, f"{sf}/customer.parquet", schema=schema, string_cols=["c_custkey"])
+    return df.select("c_custkey", "c_acctbal")
+
+
+@query("a3_read_series_layout")
+def a3_read_series_layout(spark, sf):
+    """A3: write the series as an ``id=<subject>`` layout into the shared
+    checkpoint folder, then read it back in one scan (ids stay strings)."""
+    import uuid
+    from tessera.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark)}/series-{uuid.uuid4().hex}"
+    fx.series(spark, sf).write.partitionBy("id").mode("overwrite").parquet(path)
+    back = io.read_series(spark, path)
+    return back.select("id", "event_id", F.round("value", 6).alias("value"), F.round("k", 6).alias("k"))
+
+
+@query("a8_profile")
+def a8_profile(spark, sf):
+    return io.profile(fx.table(spark, sf, "customer"), 5, ["c_custkey"]) \
+        .select(*[F.col(c) for c in ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]],
+                F.col("n_rows").cast("bigint"), F.col("n_cols").cast("int"))
