@@ -111,9 +111,15 @@ def _w(*cols):
     return Window.partitionBy(*cols)
 
 
-def correlation_table(df: DataFrame, p: int, label: str | None, col: str = "features"):
+def correlation_table(df: DataFrame, p: int, label: str | None, col: str = "features",
+                      wide_from: int = 32):
     """Pearson r for every feature pair and with the label, one aggregate
-    pass (population covariances; zero variance → None)."""
+    pass (population covariances; zero variance → None). Beyond
+    ``wide_from`` features the p² aggregate expressions would swamp the
+    planner, so the Gram matrix comes from ``ml.stat.Correlation`` (a tree
+    aggregate of per-partition partial sums) instead."""
+    if p > wide_from:
+        return _correlation_ml(df, p, label, col)
     x = [F.col(col).getItem(i) for i in range(p)]
     aggs = [F.stddev_pop(x[i]).alias(f"s{i}") for i in range(p)]
     aggs += [F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i in range(p) for j in range(i + 1, p)]
@@ -129,6 +135,20 @@ def correlation_table(df: DataFrame, p: int, label: str | None, col: str = "feat
     return pair, ry
 
 
+def _correlation_ml(df: DataFrame, p: int, label: str | None, col: str):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Correlation
+    arr = F.concat(F.col(col), F.array(F.col(label).cast("double"))) if label else F.col(col)
+    v = df.select(array_to_vector(arr).alias("_v"))
+    m = Correlation.corr(v, "_v").first()[0].toArray()
+
+    def clean(r):
+        return None if r is None or math.isnan(r) else float(r)
+    pair = {(i, j): clean(m[i][j]) for i in range(p) for j in range(i + 1, p)}
+    ry = {i: clean(m[i][p]) for i in range(p)} if label else {}
+    return pair, ry
+
+
 def correlation_select(df: DataFrame, label: str | None, col: str = "features", threshold: float = 0.9,
                        target_threshold: float = 0.05):
     """drop feature j when an earlier feature has |r| > threshold;
@@ -171,7 +191,8 @@ def lasso_cv_coefficients(df, label, col="features", folds=5, n_alphas=12, seed=
     grid = [a_max * (1e-3 ** (i / (n_alphas - 1))) for i in range(n_alphas)]
     lr = LinearRegression(featuresCol="_v", labelCol="_y", elasticNetParam=1.0, standardization=False, maxIter=500)
     cv = CrossValidator(estimator=lr, estimatorParamMaps=ParamGridBuilder().addGrid(lr.regParam, grid).build(),
-                        evaluator=RegressionEvaluator(labelCol="_y", metricName="mse"), numFolds=folds, seed=seed)
+                        evaluator=RegressionEvaluator(labelCol="_y", metricName="mse"), numFolds=folds, seed=seed,
+                        parallelism=4)
     return list(cv.fit(d).bestModel.coefficients.toArray())
 
 

@@ -82,3 +82,18 @@ def test_lstm_last_step_shape():
            "fc2": (sco.rule_weights(3, 8, 7), sco.rule_bias(3, 7))}
     out = sco.hybrid_forward(np.ones((4, 2)), np.ones(1), net)
     assert out.shape == (3,)
+
+
+def test_wide_correlation_path_agrees(spark):
+    rng = np.random.default_rng(4)
+    X = rng.normal(size=(80, 6))
+    X[:, 3] = 5.0
+    X[:, 4] = X[:, 0] * 2 + 0.01 * rng.normal(size=80)
+    y = (X[:, 1] > 0).astype(int)
+    df = spark.createDataFrame([(x.tolist(), int(c)) for x, c in zip(X, y)], "features array<double>, y int")
+    a_pair, a_y = fsel.correlation_table(df, 6, "y")
+    b_pair, b_y = fsel.correlation_table(df, 6, "y", wide_from=2)
+    for key, v in a_pair.items():
+        assert (v is None and b_pair[key] is None) or math.isclose(v, b_pair[key], rel_tol=1e-9, abs_tol=1e-12)
+    for key, v in a_y.items():
+        assert (v is None and b_y[key] is None) or math.isclose(v, b_y[key], rel_tol=1e-9, abs_tol=1e-12)
