@@ -51,8 +51,19 @@ def scores(conf: DataFrame) -> DataFrame:
         (F.sum(F.col("support") * F.col("f1")) / n).alias("f1"))
 
 
-def log_prob(logits: Column, y: Column, nan_to_zero_logits: bool = True) -> Column:
-    """log softmax(logits)[y] (stable: x_y - max - log Σ exp(x - max))."""
+def log_prob(logits: Column, y: Column, nan_to_zero_logits: bool = True, n_classes: int | None = None) -> Column:
+    """log softmax(logits)[y] (stable: x_y - max - log Σ exp(x - max)).
+
+    With a known ``n_classes`` the expression is written element by element
+    (stays in whole-stage codegen); otherwise array lambdas are used."""
+    if n_classes:
+        xs = [logits.getItem(i) for i in range(n_classes)]
+        if nan_to_zero_logits:
+            xs = [F.when(F.isnan(x) | x.isNull(), F.lit(0.0)).otherwise(x) for x in xs]
+        m = F.greatest(*xs) if n_classes > 1 else xs[0]
+        lse = F.log(sum((F.exp(x - m) for x in xs[1:]), F.exp(xs[0] - m)))
+        picked = F.coalesce(*[F.when(y.cast("int") == i, x) for i, x in enumerate(xs)])
+        return picked - m - lse
     lg = nan_to_zero(logits) if nan_to_zero_logits else logits
     m = F.array_max(lg)
     lse = F.log(F.aggregate(F.transform(lg, lambda x: F.exp(x - m)), F.lit(0.0), lambda a, x: a + x))
@@ -60,10 +71,10 @@ def log_prob(logits: Column, y: Column, nan_to_zero_logits: bool = True) -> Colu
 
 
 def cross_entropy(df: DataFrame, logits: str = "logits", y: str = "y", weight: str | None = None,
-                  batch: str | None = None) -> DataFrame:
+                  batch: str | None = None, n_classes: int | None = None) -> DataFrame:
     """M7 mean (optionally class-weighted: Σ w·l / Σ w) cross-entropy;
     M8 with ``batch``: mean of per-batch means."""
-    loss = -log_prob(F.col(logits), F.col(y))
+    loss = -log_prob(F.col(logits), F.col(y), n_classes=n_classes)
     w = F.col(weight) if weight else F.lit(1.0)
     if batch is None:
         return df.agg((F.sum(w * loss) / F.sum(w)).alias("loss"))
@@ -72,11 +83,11 @@ def cross_entropy(df: DataFrame, logits: str = "logits", y: str = "y", weight: s
 
 
 def report(df: DataFrame, logits: str = "logits", y: str = "y", yhat: str = "yhat",
-           batch: str | None = None) -> DataFrame:
+           batch: str | None = None, n_classes: int | None = None) -> DataFrame:
     """M9: loss, accuracy, balanced accuracy, precision, recall, F1 in one row
     (plain accuracy and unweighted loss)."""
     s = scores(confusion(df, y, yhat))
-    loss = cross_entropy(df, logits, y, batch=batch)
+    loss = cross_entropy(df, logits, y, batch=batch, n_classes=n_classes)
     return _one_row(s, loss)
 
 

@@ -169,10 +169,17 @@ def score_hybrid(df: DataFrame, net: dict, seq_col: str = "seq", static_col: str
         run, f"{schema}, logits array<double>, probability array<double>, prediction int")
 
 
-def softmax_argmax(df: DataFrame, logits: str = "logits", nan_zero: bool = True) -> DataFrame:
-    """E6/E7 on an existing logits column: probabilities and arg-max, JVM-side."""
-    lg = nan_to_zero(F.col(logits)) if nan_zero else F.col(logits)
-    return df.withColumn("probability", softmax(lg)).withColumn("prediction", argmax(lg))
+def softmax_argmax(df: DataFrame, logits: str = "logits", nan_zero: bool = True,
+                   n_classes: int | None = None) -> DataFrame:
+    """E6/E7 on an existing logits column: probabilities and arg-max, JVM-side
+    (element-wise expressions when the class count is known)."""
+    from tessera.functions.arrays import nan_to_zero_n
+    if n_classes:
+        lg = nan_to_zero_n(F.col(logits), n_classes) if nan_zero else F.col(logits)
+    else:
+        lg = nan_to_zero(F.col(logits)) if nan_zero else F.col(logits)
+    return df.withColumn("_lg", lg).withColumn("probability", softmax(F.col("_lg"), n_classes)) \
+             .withColumn("prediction", argmax(F.col("_lg"))).drop("_lg")
 
 
 # ------------------------------------------------------------- fitting (distributed learners)

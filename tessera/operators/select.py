@@ -150,10 +150,10 @@ def _correlation_ml(df: DataFrame, p: int, label: str | None, col: str):
 
 
 def correlation_select(df: DataFrame, label: str | None, col: str = "features", threshold: float = 0.9,
-                       target_threshold: float = 0.05):
+                       target_threshold: float = 0.05, width: int | None = None):
     """drop feature j when an earlier feature has |r| > threshold;
     keep features with |r(x, y)| > target_threshold (all when no label)."""
-    p = _width(df, col)
+    p = width if width is not None else _width(df, col)
     pair, ry = correlation_table(df, p, label, col)
     drop = {j for (i, j), v in pair.items() if v is not None and abs(v) > threshold}
     by_target = [i for i in range(p) if (ry.get(i) is not None and abs(ry[i]) > target_threshold)] \
@@ -274,7 +274,8 @@ def fit_select(df: DataFrame, method: str, label: str | None, col: str = "featur
         s = _collect_scores(mutual_info_scores(df, label, col, kw.get("bins", 10)))
         return Selection(method, _topk(s, k, ascending_output=(method == "mutual_info")), s)
     if method == "correlation_threshold":
-        idx, ry, _ = correlation_select(df, label, col, kw.get("threshold", 0.9), kw.get("target_threshold", 0.05))
+        idx, ry, _ = correlation_select(df, label, col, kw.get("threshold", 0.9), kw.get("target_threshold", 0.05),
+                                        kw.get("width"))
         return Selection(method, idx, ry)
     if method == "lasso":
         coef = lasso_coefficients(df, label, col, kw.get("alpha", 0.01))

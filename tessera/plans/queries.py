@@ -195,23 +195,23 @@ def m2_m6_scores(spark, sf):
 
 @query("m7_cross_entropy")
 def m7_cross_entropy(spark, sf):
-    return _r6(met.cross_entropy(_pred(spark, sf)))
+    return _r6(met.cross_entropy(_pred(spark, sf), n_classes=3))
 
 
 @query("m7_weighted_cross_entropy")
 def m7_weighted_cross_entropy(spark, sf):
     p = bal.with_class_weights(_pred(spark, sf), "y")
-    return _r6(met.cross_entropy(p, weight="weight"))
+    return _r6(met.cross_entropy(p, weight="weight", n_classes=3))
 
 
 @query("m8_batch_mean_loss")
 def m8_batch_mean_loss(spark, sf):
-    return _r6(met.cross_entropy(_pred(spark, sf), batch="batch"))
+    return _r6(met.cross_entropy(_pred(spark, sf), batch="batch", n_classes=3))
 
 
 @query("m9_report")
 def m9_report(spark, sf):
-    return _r6(met.report(_pred(spark, sf), batch="batch"))
+    return _r6(met.report(_pred(spark, sf), batch="batch", n_classes=3))
 
 
 # ------------------------------------------------- subjects & samples (B, D6)
@@ -375,12 +375,12 @@ def _score_table(spark, sel: "fsel.Selection", p: int):
     return spark.createDataFrame(rows, "fi int, score double, selected boolean")
 
 
-def _stat_scores(spark, scores_df, sel):
-    """Scores come from the Spark aggregate; the kept flag from the fitted selection."""
-    kept = spark.createDataFrame([(i,) for i in (sel.indices or [])], "fi int")
-    s = scores_df.select(F.col("fi").cast("int").alias("fi"), F.round("score", 6).alias("score"))
-    return s.join(kept.withColumn("selected", F.lit(True)), "fi", "left") \
-            .select("fi", "score", F.coalesce("selected", F.lit(False)).alias("selected"))
+def _stat_scores(spark, sel):
+    """The fitted selection's scores (computed by the Spark aggregate during
+    fitting, one per feature) with the kept flag; nothing is recomputed."""
+    kept = set(sel.indices or [])
+    rows = [(int(i), None if v is None else round(float(v), 6), int(i) in kept) for i, v in sorted(sel.scores.items())]
+    return spark.createDataFrame(rows, "fi int, score double, selected boolean")
 
 
 @query("f0_none")
@@ -394,35 +394,35 @@ def f0_none(spark, sf):
 def f10_variance_threshold(spark, sf):
     feats, _ = _tab_features(spark, sf)
     sel = fsel.fit_select(feats, "variance_threshold", "y", threshold=0.01)
-    return _stat_scores(spark, fsel.variance_scores(feats), sel)
+    return _stat_scores(spark, sel)
 
 
 @query("f7_f_classif")
 def f7_f_classif(spark, sf):
     feats, _ = _tab_features(spark, sf)
     sel = fsel.fit_select(feats, "f_classif", "y", k=4)
-    return _stat_scores(spark, fsel.anova_scores(feats, "y"), sel)
+    return _stat_scores(spark, sel)
 
 
 @query("f8_chi2")
 def f8_chi2(spark, sf):
     feats = _onehot_features(spark, sf)
     sel = fsel.fit_select(feats, "chi2", "y", k=4)
-    return _stat_scores(spark, fsel.chi2_scores(feats, "y"), sel)
+    return _stat_scores(spark, sel)
 
 
 @query("f6_mutual_info")
 def f6_mutual_info(spark, sf):
     feats, _ = _tab_features(spark, sf)
     sel = fsel.fit_select(feats, "k_best", "y", k=4)
-    return _stat_scores(spark, fsel.mutual_info_scores(feats, "y"), sel)
+    return _stat_scores(spark, sel)
 
 
 @query("f11_correlation_threshold")
 def f11_correlation_threshold(spark, sf):
     feats, st = _tab_features(spark, sf)
-    idx, ry, drop = fsel.correlation_select(feats, "y", threshold=0.9, target_threshold=0.01)
     p = len(st.feature_names)
+    idx, ry, drop = fsel.correlation_select(feats, "y", threshold=0.9, target_threshold=0.01, width=p)
     rows = [(i, None if ry.get(i) is None else round(abs(ry[i]), 6), i in drop, i in set(idx)) for i in range(p)]
     return spark.createDataFrame(rows, "fi int, abs_r double, redundant boolean, selected boolean")
 
@@ -505,7 +505,7 @@ def e5_score_hybrid(spark, sf):
 
 @query("e6_softmax_argmax")
 def e6_softmax_argmax(spark, sf):
-    p = sco.softmax_argmax(_pred(spark, sf))
+    p = sco.softmax_argmax(_pred(spark, sf), n_classes=3)
     return p.select("y", "yhat", "prediction", *[F.round(F.col("probability")[i], 6).alias(f"p{i}") for i in range(3)])
 
 
@@ -515,7 +515,7 @@ def e7_nan_logits(spark, sf):
     lg = F.col("logits")
     p = p.withColumn("logits", F.array(lg[0], F.when(F.col("partkey") % 5 == 0, F.lit(float("nan"))).otherwise(lg[1]),
                                        lg[2]))
-    p = sco.softmax_argmax(p)
+    p = sco.softmax_argmax(p, n_classes=3)
     return p.select("y", "prediction", *[F.round(F.col("probability")[i], 6).alias(f"p{i}") for i in range(3)])
 
 

@@ -93,3 +93,11 @@ def test_cross_entropy_weighted_and_batch_mean(spark):
     assert math.isclose(met.cross_entropy(df).first()["loss"], sum(l) / 3)
     assert math.isclose(met.cross_entropy(df, weight="w").first()["loss"], (l[0] + 3 * l[1] + l[2]) / 5)
     assert math.isclose(met.cross_entropy(df, batch="b").first()["loss"], ((l[0] + l[1]) / 2 + l[2]) / 2)
+
+
+def test_log_prob_codegen_path_equals_lambda_path(spark):
+    rows = [([0.5, float("nan"), 2.0], 1), ([1.0, 1.0, 1.0], 2), ([-3.0, 0.0, 3.0], 0)]
+    df = spark.createDataFrame(rows, "logits array<double>, y int")
+    a = [r[0] for r in df.select(met.log_prob(F.col("logits"), F.col("y"))).collect()]
+    b = [r[0] for r in df.select(met.log_prob(F.col("logits"), F.col("y"), n_classes=3)).collect()]
+    assert all(math.isclose(x, z) for x, z in zip(a, b))
