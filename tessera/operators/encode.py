@@ -44,23 +44,16 @@ def apply_scale(df: DataFrame, st: ScaleState) -> DataFrame:
 
 
 def fit_categories(df: DataFrame, cols, max_categories: int = 10_000) -> dict:
-    """Sorted distinct non-null values per column (one distinct job over a
-    long (column, value) frame). A dense encoding wider than
-    ``max_categories`` is refused rather than silently truncated."""
+    """Sorted distinct non-null values per column, from one partial
+    ``groupBy(column, value)`` job. A dense encoding wider than
+    ``max_categories`` per column is refused rather than silently truncated."""
+    from tessera.operators.impute import value_counts
     cols = list(cols)
-    if not cols:
-        return {}
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("ci"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)
-    ])).alias("s")).select("s.*").where(F.col("v").isNotNull()).distinct()
-    sizes = long.groupBy("ci").count().collect()
-    big = [cols[r["ci"]] for r in sizes if r["count"] > max_categories]
+    vc = value_counts(df, cols, max_categories * max(1, len(cols)))
+    big = [c for c in cols if len(vc[c]) > max_categories]
     if big:
         raise ValueError(f"too many categories for a dense encoding: {big}")
-    cats = {c: [] for c in cols}
-    for r in long.collect():
-        cats[cols[r["ci"]]].append(r["v"])
-    return {c: sorted(v) for c, v in cats.items()}
+    return {c: sorted(vc[c]) for c in cols}
 
 
 def onehot_exprs(c: str, cats: list) -> list[Column]:

