@@ -33,8 +33,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Attach ``weight`` to every row (broadcast join of the class table)."""
-    return df.join(F.broadcast(class_weights(df, label).select(label, "weight")), label, "left")
+    """Attach ``weight`` to every row: a join with the class table (one row
+    per class; adaptive execution broadcasts it after measuring it)."""
+    return df.join(class_weights(df, label).select(label, "weight"), label, "left")
 
 
 def _counts(df, label):
@@ -49,7 +50,7 @@ def random_under(df: DataFrame, label: str, key, seed=42) -> DataFrame:
     n_min rows of each class with the smallest keyed hash)."""
     counts = _counts(df, label)
     n_min = min(counts.values())
-    r = hash_rank(df.where(F.col(label).isNotNull()), key, seed, group=[label])
+    r = hash_rank(df.where(F.col(label).isNotNull()), key, seed, group=[label], n_groups=len(counts))
     return r.where(F.col("_rank") <= n_min).drop("_rank")
 
 
@@ -80,7 +81,7 @@ def random_over(df: DataFrame, label: str, key, seed=42) -> DataFrame:
     nc = df.sparkSession.createDataFrame([(c, n) for c, n in counts.items()], f"{label} {lt}, n_c bigint")
     draws = draws.join(F.broadcast(nc), label).select(
         label, "i", (keyed_index(seed, F.col("n_c"), F.col(label), F.col("i")) + 1).alias("_rank"))
-    ranked = hash_rank(df, keys, seed, group=[label])
+    ranked = hash_rank(df, keys, seed, group=[label], n_groups=len(counts))
     dup = ranked.join(draws, [label, "_rank"]).withColumn("copy", F.col("i") + 1).drop("i", "_rank")
     return df.withColumn("copy", F.lit(0).cast("bigint")).unionByName(dup.select(*df.columns, "copy"))
 
@@ -107,10 +108,11 @@ def stratified_split(df: DataFrame, label: str, key, test_size: float = 0.2, see
     """Exact stratified split; adds ``split`` = 'train' | 'val'. In each
     class the rows with the smallest keyed hash go to 'val'."""
     df = df.where(F.col(label).isNotNull())
-    tc = split_counts(_counts(df, label), test_size)
+    counts = _counts(df, label)
+    tc = split_counts(counts, test_size)
     lt = df.schema[label].dataType.simpleString()
     tt = df.sparkSession.createDataFrame(list(tc.items()), f"{label} {lt}, _t bigint")
-    r = hash_rank(df, key, seed, group=[label]).join(F.broadcast(tt), label)
+    r = hash_rank(df, key, seed, group=[label], n_groups=len(counts)).join(F.broadcast(tt), label)
     return r.withColumn("split", F.when(F.col("_rank") <= F.col("_t"), "val").otherwise("train")) \
             .drop("_rank", "_t")
 

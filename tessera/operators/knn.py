@@ -185,7 +185,7 @@ def smote(df: DataFrame, label: str, key: str, vec: str = "features", k: int = 5
     draws = draws.join(F.broadcast(nc), label).select(
         label, "i", (keyed_index(seed, F.col("n_c"), F.col(label), F.col("i"), F.lit("b")) + 1).alias("_rank"),
         keyed_uniform(seed, F.col(label), F.col("i"), F.lit("u")).alias("_u"))
-    ranked = hash_rank(minority, key, seed, group=[label])
+    ranked = hash_rank(minority, key, seed, group=[label], n_groups=len(counts))
     base = draws.join(ranked, [label, "_rank"]).join(kk, [label, key])
     base = base.withColumn("nn_rank", (keyed_index(seed, F.col("_kn"), F.col(label), F.col("i"), F.lit("n")) + 1)
                            .cast("int"))

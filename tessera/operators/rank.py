@@ -21,12 +21,19 @@ MAX_BROADCAST_ROWS = 4_000_000
 
 
 def hash_rank(df: DataFrame, keys, seed=42, group=(), buckets: int = 4096, out: str = "_rank",
-              with_total: bool = False) -> DataFrame:
+              with_total: bool = False, n_groups: int | None = None) -> DataFrame:
     """Add ``out``: 1-based rank of each row within ``group`` when rows are
     ordered by md5(seed:keys) (ties, which need an md5 collision, by keys).
-    ``with_total`` also adds ``_group_n`` (rows in the group)."""
+    ``with_total`` also adds ``_group_n`` (rows in the group).
+
+    The offsets table has at most groups × buckets rows. It is broadcast
+    only when that bound is known to be small (no group, or ``n_groups``
+    given, with the bucket count shrunk to fit); otherwise adaptive
+    execution decides from its measured size."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     group = [group] if isinstance(group, str) else list(group)
+    if group and n_groups:
+        buckets = max(16, min(buckets, MAX_BROADCAST_ROWS // max(n_groups, 1)))
     bits = max(1, (buckets - 1).bit_length())
     h = df.withColumn("_h", keyed_hash60(seed, *keys)) \
           .withColumn("_b", F.shiftright(F.col("_h"), 60 - bits))
@@ -37,9 +44,8 @@ def hash_rank(df: DataFrame, keys, seed=42, group=(), buckets: int = 4096, out:
                                     F.lit(0)).alias("_off"),
                          F.sum("_bn").over(wg.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
                          .alias("_group_n"))
-    # bounded: one row per (group, bucket); the group must be low-cardinality
-    # (class labels, split names) for the offsets to stay broadcastable.
-    offs = F.broadcast(offs) if buckets <= MAX_BROADCAST_ROWS else offs
+    proven = (not group) or (n_groups is not None and n_groups * (1 << bits) <= MAX_BROADCAST_ROWS)
+    offs = F.broadcast(offs) if proven else offs
     j = h.join(offs, [*group, "_b"])
     wl = W.partitionBy(*group, "_b").orderBy("_h", *keys)
     r = j.withColumn(out, F.col("_off") + F.row_number().over(wl))
