@@ -86,6 +86,50 @@ def lstm_last(seq, lstm_layers):
     return x[-1] if x.shape[0] else np.zeros(np.asarray(lstm_layers[-1][1]).shape[1])
 
 
+def lstm_last_batch(X, lstm_layers):
+    """``lstm_last`` for a batch of equal-length sequences X[B, T, F]."""
+    x = np.asarray(X, dtype=np.float64)
+    B, T = x.shape[0], x.shape[1]
+    for (Wih, Whh, bih, bhh) in lstm_layers:
+        Wih, Whh = np.asarray(Wih), np.asarray(Whh)
+        H = Whh.shape[1]
+        h, c = np.zeros((B, H)), np.zeros((B, H))
+        out = np.zeros((B, T, H))
+        bias = np.asarray(bih) + np.asarray(bhh)
+        for t in range(T):
+            z = x[:, t, :] @ Wih.T + h @ Whh.T + bias
+            i, f = _sigmoid(z[:, :H]), _sigmoid(z[:, H:2 * H])
+            g, o = np.tanh(z[:, 2 * H:3 * H]), _sigmoid(z[:, 3 * H:])
+            c = f * c + i * g
+            h = o * np.tanh(c)
+            out[:, t, :] = h
+        x = out
+    return x[:, -1, :] if T else np.zeros((B, np.asarray(lstm_layers[-1][1]).shape[1]))
+
+
+def hybrid_forward_batch(seqs, statics, net):
+    """Hybrid scores for many samples: sequences of equal length are run
+    through the LSTM together (one matrix product per step per group)."""
+    n = len(seqs)
+    H = np.asarray(net["lstm"][-1][1]).shape[1]
+    hl = np.zeros((n, H))
+    by_len = {}
+    for idx, s in enumerate(seqs):
+        by_len.setdefault(len(s), []).append(idx)
+    for L, idxs in by_len.items():
+        if L == 0:
+            continue
+        X = np.stack([np.asarray([np.asarray(step, dtype=np.float64) for step in seqs[i]]) for i in idxs])
+        hl[idxs] = lstm_last_batch(X, net["lstm"])
+    Ws, bs = net["static"]
+    S = np.vstack([np.asarray(st, dtype=np.float64) for st in statics])
+    hs = _relu(S @ np.asarray(Ws).T + np.asarray(bs))
+    z = np.concatenate([hl, hs], axis=1)
+    W1, b1 = net["fc1"]
+    W2, b2 = net["fc2"]
+    return _relu(z @ np.asarray(W1).T + np.asarray(b1)) @ np.asarray(W2).T + np.asarray(b2)
+
+
 def hybrid_forward(seq, static, net):
     """LSTM last step ∥ relu(static branch) → relu → logits."""
     hl = lstm_last(seq, net["lstm"])
@@ -155,10 +199,7 @@ def score_hybrid(df: DataFrame, net: dict, seq_col: str = "seq", static_col: str
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            logits = np.vstack([hybrid_forward(np.asarray(list(s), dtype=np.float64).reshape(len(s), -1)
-                                               if len(s) else np.zeros((0, 1)),
-                                               np.asarray(st, dtype=np.float64), n)
-                                for s, st in zip(pdf[seq_col], pdf[static_col])])
+            logits = hybrid_forward_batch(list(pdf[seq_col]), list(pdf[static_col]), n)
             p, yhat = _finish(logits)
             res = pdf[keep].copy()
             res["logits"] = list(logits)

@@ -25,3 +25,18 @@ def test_query_runs(spark, name):
     cols = df.columns
     df.limit(5).collect()
     assert len(cols) == len(set(cols))
+
+
+def test_hybrid_scores_equal_numpy_per_sample(spark):
+    from tessera.operators import score as sco
+    from tessera.plans import queries as Q
+    from tessera.plans import series_prep as sp
+    from tessera.sources import fixtures as fx
+    st = sp.fit_static(fx.subjects(spark, SF), "id", "sii")
+    s = sp.assemble(fx.subjects(spark, SF), fx.series(spark, SF), st, Q.SER_ORDER, Q.EVERY, Q.TAIL, labelled=False)
+    samples = {r["id"]: (r["seq"], r["static"]) for r in s.collect()}
+    got = {r["id"]: r["logits"] for r in sco.score_hybrid(s, Q.HYB_NET).collect()}
+    import numpy as np
+    assert set(got) == set(samples) and samples
+    for i, (seq, stat) in samples.items():
+        assert np.allclose(got[i], sco.hybrid_forward(np.asarray(seq), np.asarray(stat), Q.HYB_NET))

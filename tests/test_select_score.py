@@ -97,3 +97,17 @@ def test_wide_correlation_path_agrees(spark):
         assert (v is None and b_pair[key] is None) or math.isclose(v, b_pair[key], rel_tol=1e-9, abs_tol=1e-12)
     for key, v in a_y.items():
         assert (v is None and b_y[key] is None) or math.isclose(v, b_y[key], rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_lstm_batch_equals_per_sample():
+    net = {"lstm": [(sco.rule_weights(8, 2, 1), sco.rule_weights(8, 2, 2), sco.rule_bias(8, 3), sco.rule_bias(8, 4)),
+                    (sco.rule_weights(8, 2, 5), sco.rule_weights(8, 2, 6), sco.rule_bias(8, 7), sco.rule_bias(8, 8))],
+           "static": (sco.rule_weights(8, 1, 5), sco.rule_bias(8, 5)),
+           "fc1": (sco.rule_weights(8, 10, 6), sco.rule_bias(8, 6)),
+           "fc2": (sco.rule_weights(3, 8, 7), sco.rule_bias(3, 7))}
+    rng = np.random.default_rng(0)
+    seqs = [rng.normal(size=(L, 2)).tolist() for L in (3, 5, 3, 1)]
+    statics = [[0.5], [-1.0], [2.0], [0.0]]
+    got = sco.hybrid_forward_batch(seqs, statics, net)
+    for i in range(4):
+        assert np.allclose(got[i], sco.hybrid_forward(np.asarray(seqs[i]), np.asarray(statics[i]), net))
