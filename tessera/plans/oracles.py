@@ -382,7 +382,19 @@ def highway_sql(src: str, xs, net) -> str:
 
 
 def _score_oracles():
-    from tessera.plans.queries import HWN_NET, MLP_NET
+    from tessera.plans.queries import HWN_NET, MLP_NET, TAB_NET
+    ctes, sel = mlp_parts("xw", ["x0", "x1", "x2", "x3"], TAB_NET)
+    ORACLES["e3_predict_new_rows"] = with_views(f"""WITH {FEAT},
+{ANOVA},
+k AS (SELECT fi FROM ({topk_sql("s", 4)}) WHERE selected),
+kn AS (SELECT fi, row_number() OVER (ORDER BY fi) - 1 AS nfi FROM k),
+nw AS ({tab_prep_sql("median", new=True, rnd=False)}),
+xl AS (SELECT nw.o_orderkey, kn.nfi, nw.value FROM nw JOIN kn ON nw.fi = kn.fi),
+xw AS (SELECT o_orderkey AS id, max(CASE WHEN nfi = 0 THEN value END) AS x0, max(CASE WHEN nfi = 1 THEN value END) AS x1,
+              max(CASE WHEN nfi = 2 THEN value END) AS x2, max(CASE WHEN nfi = 3 THEN value END) AS x3
+       FROM xl GROUP BY o_orderkey),
+{ctes}
+{sel}""", "tab", "tab_new")
     sv = f"WITH {SUBJ_FIT}, sv AS ({static_vec_sql('L')}),\n"
     ORACLES["e3_score_mlp"] = with_views(sv + mlp_sql("sv", ["v0", "v1", "v2"], MLP_NET), "subj")
     ORACLES["e4_score_highway"] = with_views(sv + highway_sql("sv", ["v0", "v1", "v2"], HWN_NET), "subj")

@@ -212,3 +212,30 @@ def save_state(spark, st: PrepState, path: str) -> None:
 
 def load_state(spark, path: str) -> PrepState:
     return PrepState.from_json(spark.read.json(path).first()["state"])
+
+
+def output_width(st: PrepState) -> int:
+    """Width of ``transform``'s feature vector under this state."""
+    if st.projection is not None:
+        return len(st.projection)
+    return len(st.selected) if st.selected is not None else len(st.feature_names)
+
+
+def check_width(st: PrepState, model_input: int) -> None:
+    """Refuse to score when the model was trained on another feature width
+    (e.g. a different selection method or k)."""
+    w = output_width(st)
+    if w != model_input:
+        raise ValueError(f"transformed width {w} != model input {model_input}; "
+                         "check the selection method and k used at training")
+
+
+def predict_new(df: DataFrame, st: PrepState, layers, id_col: str | None = None) -> DataFrame:
+    """Inference end to end: align → fitted transform → selection → width
+    check → MLP scores → (id, prediction, probability)."""
+    from tessera.operators import score
+    check_width(st, len(layers[0][0][0]))
+    keys = list(st.config["keys"])
+    x = transform(df, st)
+    out = score.score_mlp(x, layers, col="features", keep=keys)
+    return out.select(F.col(id_col or keys[0]).alias("id"), "prediction", "probability")

@@ -615,3 +615,15 @@ def a8_profile(spark, sf):
     return io.profile(fx.table(spark, sf, "customer"), 5, ["c_custkey"]) \
         .select(*[F.col(c) for c in ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]],
                 F.col("n_rows").cast("bigint"), F.col("n_cols").cast("int"))
+
+
+TAB_NET = sco.mlp_weights([4, 4, 5], salt=50)
+
+
+@query("e3_predict_new_rows")
+def e3_predict_new_rows(spark, sf):
+    """The inference script as one plan: state fitted on labelled rows
+    (median impute, f_classif top-4), new rows aligned and scored."""
+    cfg = _tab_cfg("median", fts="f_classif", k_best=4)
+    _, st, _ = prep.fit_transform(fx.tab(spark, sf), cfg)
+    return _probs_out(prep.predict_new(fx.tab_new(spark, sf), st, TAB_NET), n=5)
