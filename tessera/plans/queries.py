@@ -627,3 +627,12 @@ def e3_predict_new_rows(spark, sf):
     cfg = _tab_cfg("median", fts="f_classif", k_best=4)
     _, st, _ = prep.fit_transform(fx.tab(spark, sf), cfg)
     return _probs_out(prep.predict_new(fx.tab_new(spark, sf), st, TAB_NET), n=5)
+
+
+@query("f9_series_static_pca")
+def f9_series_static_pca(spark, sf):
+    """Series path selection: static numerics → PC1, PC2 (scaled) + codes."""
+    subj = fx.subjects(spark, sf)
+    st = sp.fit_static(subj, "id", "sii", feature_selection="pca", n_features=2)
+    v = sp.static_vector(sch.drop_missing_target(subj, "sii"), st)
+    return v.select("id", *[F.round(F.col("static")[i], 6).alias(n) for i, n in enumerate(st.num + st.cat)])

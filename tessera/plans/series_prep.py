@@ -27,15 +27,22 @@ class SeriesState:
     mean: dict = field(default_factory=dict)
     scale: dict = field(default_factory=dict)
     classes: dict = field(default_factory=dict)
+    selection: str = "none"
+    projection: list | None = None      # PCA: PC loadings over the filled numerics
+    centre: list | None = None
+    num_source: list = field(default_factory=list)   # PCA: filled numerics feeding the components
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
 
 
-def fit_static(static: DataFrame, id_col: str = "id", target: str = "sii", columns=None) -> SeriesState:
-    """Fit on labelled subjects: numeric mean fill → standardize; strings
-    filled with 'Unknown' → sorted label codes (series kind policy: other
-    types are ignored). ``columns`` restricts to e.g. common static columns."""
+def fit_static(static: DataFrame, id_col: str = "id", target: str = "sii", columns=None,
+               feature_selection: str = "none", n_features: int = 10) -> SeriesState:
+    """Fit on labelled subjects: numeric mean fill → (optional selection over
+    the filled numerics: ``mutual_info``, ``lasso`` (CV), ``rf_importance``,
+    ``pca`` → PC1…) → standardize; strings filled with 'Unknown' → sorted
+    label codes (series kind policy: other types are ignored). ``columns``
+    restricts to e.g. common static columns."""
     df = schema.drop_missing_target(static, target)
     if columns is not None:
         df = df.select(id_col, target, *[c for c in columns if c in df.columns])
@@ -46,15 +53,51 @@ def fit_static(static: DataFrame, id_col: str = "id", target: str = "sii", colum
     from tessera.plans.prep import _imputed_moments
     st.fills, dropped, st.mean, st.scale = _imputed_moments(df, num, "mean")
     st.num = [c for c in num if c not in dropped]
+    if feature_selection not in ("none", None) and st.num:
+        _select_static(df, st, feature_selection, n_features)
     filled = impute.fill_unknown(df.select(*cat), cat)
     st.classes = encode.fit_label_encode(filled, cat)
     return st
 
 
+def _filled_numeric(st: SeriesState, cols):
+    return F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(st.fills[c])) for c in cols])
+
+
+def _select_static(df: DataFrame, st: SeriesState, method: str, n: int) -> None:
+    """Selection over the mean-filled numeric static columns."""
+    from tessera.operators import select
+    x = df.select(_filled_numeric(st, st.num).alias("features"), F.col(st.target))
+    meth = {"mutual_info": "mutual_info", "lasso": "lasso_cv", "rf_importance": "rf_importance",
+            "pca": "pca"}.get(method)
+    if meth is None:
+        raise ValueError(f"unknown feature selection method: {method}")
+    sel = select.fit_select(x, meth, st.target, k=min(n, len(st.num)) if meth != "lasso_cv" else n)
+    st.selection = method
+    if sel.projection is not None:
+        st.projection, st.centre = sel.projection, sel.centre
+        pcs = select.pca_project("features", sel.projection, sel.centre)
+        names = [f"PC{i + 1}" for i in range(len(sel.projection))]
+        pc = x.select(*[pcs.getItem(i).alias(nm) for i, nm in enumerate(names)])
+        from tessera.operators import encode
+        sc = encode.fit_scale(pc, names)
+        st.mean.update(sc.mean)
+        st.scale.update(sc.scale)
+        st.num_source, st.num = list(st.num), names
+    else:
+        st.num = [st.num[i] for i in sel.indices]
+
+
 def static_vector(df: DataFrame, st: SeriesState, keep=None, unseen: str = "keep", out: str = "static") -> DataFrame:
     """[scaled numerics…, label codes…] as array<double>."""
     ex = []
-    for c in st.num:
+    if st.projection is not None:
+        from tessera.operators.select import pca_project
+        df = df.withColumn("_pcin", _filled_numeric(st, st.num_source)) \
+               .withColumn("_pcs", pca_project("_pcin", st.projection, st.centre))
+        for i, c in enumerate(st.num):
+            ex.append((F.col("_pcs").getItem(i) - F.lit(st.mean[c])) / F.lit(st.scale[c]))
+    for c in ([] if st.projection is not None else st.num):
         x = F.coalesce(F.col(c).cast("double"), F.lit(st.fills[c]))
         ex.append((x - F.lit(st.mean[c])) / F.lit(st.scale[c]))
     for c in st.cat:

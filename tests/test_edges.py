@@ -72,3 +72,20 @@ def test_align_adds_missing_and_drops_extra(spark):
     out = sch.align_columns(df, ["n", "c", "m"], ["m"], {"n": "double"}, keep=["id"])
     r = out.first()
     assert out.columns == ["id", "n", "c", "m"] and r["n"] is None and r["m"] == "0"
+
+
+def test_series_static_selection(spark):
+    from tessera.plans import series_prep as sp
+    from tessera.sources import fixtures as fx
+    from tests.conftest import SF
+    subj = fx.subjects(spark, SF)
+    st = sp.fit_static(subj, "id", "sii", feature_selection="mutual_info", n_features=1)
+    assert len(st.num) == 1 and st.num[0] in ("c_acctbal", "c_nationkey")
+    v = sp.static_vector(subj, st).first()["static"]
+    assert len(v) == 2                                  # 1 numeric + 1 label code
+    st = sp.fit_static(subj, "id", "sii", feature_selection="pca", n_features=2)
+    assert st.num == ["PC1", "PC2"]
+    rows = sp.static_vector(subj.where("sii IS NOT NULL"), st).collect()
+    import numpy as np
+    pcs = np.array([r["static"][:2] for r in rows])
+    assert np.allclose(pcs.mean(axis=0), 0, atol=1e-9) and np.allclose(pcs.std(axis=0), 1, atol=1e-9)
