@@ -16,7 +16,7 @@ def test_every_query_has_oracle_or_is_model_based():
     no_oracle = set(E.queries()) - set(E.oracle_sql())
     assert no_oracle <= {"f1_lasso", "f2_lasso_cv", "f3_random_forest", "f4_rf_importance",
                          "f5_logistic_regression", "f9_pca", "e1_fit_mlp", "e2_fit_weighted_linear",
-                         "e5_score_hybrid", "c3_knn_impute", "g4_smote"}
+                         "e5_score_hybrid", "f9_series_static_pca"}
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
