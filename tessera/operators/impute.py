@@ -40,7 +40,8 @@ def bracket_aggs(cols, q: float = 0.5, accuracy: int = 10000, prefix: str = "_q"
 
 
 def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000,
-                    max_collect: int = 200_000, max_rounds: int = 10, first=None, prefix: str = "_q") -> dict:
+                    max_collect: int = 200_000, max_rounds: int = 10, first=None, prefix: str = "_q",
+                    cat_cols=(), cat_limit: int = 0, cat_out: dict | None = None) -> dict:
     """Exact linear-interpolated quantile of many columns, distributed.
 
     A global exact percentile would merge every distinct value of a column
@@ -52,9 +53,14 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000,
     narrowed by another approximate pass over its rows only. Only bounded
     histograms reach the driver. Result per column: value or None (no data).
     ``first`` is a Row already holding the ``bracket_aggs`` results.
+    ``cat_cols``: value counts of these columns ride along in the first
+    histogram job (written into ``cat_out``), saving a scan.
     """
     cols = list(cols)
+    cat_cols = list(cat_cols)
     if not cols:
+        if cat_cols and cat_out is not None:
+            cat_out.update(value_counts(df, cat_cols, cat_limit))
         return {}
     eps = 1.0 / accuracy
     xs = {c: F.col(c).cast("double") for c in cols}
@@ -91,17 +97,37 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000,
         return cond
 
     todo = list(st)
+    ride = list(cat_cols) if cat_out is not None else []
+    if ride and not todo:
+        cat_out.update(value_counts(df, ride, cat_limit))
+        ride = []
     for _ in range(max_rounds):
         if not todo:
             break
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(j).alias("ci"), bucket(c).alias("v")) for j, c in enumerate(todo)])).alias("s")) \
-            .select("s.*").where(F.col("v").isNotNull())
-        hist_rows = long.groupBy("ci", "v").count().limit(max_collect + 2 * len(todo) + 1).collect()
-        complete = len(hist_rows) <= max_collect + 2 * len(todo)
+        nt = len(todo)
+        structs = [F.struct(F.lit(j).alias("ci"), bucket(c).alias("v"), F.lit(None).cast("string").alias("t"))
+                   for j, c in enumerate(todo)]
+        structs += [F.struct(F.lit(nt + j).alias("ci"), F.lit(None).cast("double").alias("v"),
+                             F.col(c).cast("string").alias("t")) for j, c in enumerate(ride)]
+        long = df.select(F.explode(F.array(*structs)).alias("s")).select("s.*") \
+            .where(F.col("v").isNotNull() | F.col("t").isNotNull())
+        cap = max_collect + 2 * nt + (cat_limit if ride else 0)
+        hist_rows = long.groupBy("ci", "v", "t").count().limit(cap + 1).collect()
+        complete = len(hist_rows) <= cap
         hist = {}
         for r in hist_rows:
-            hist.setdefault(r["ci"], []).append((r["v"], r["count"]))
+            if r["ci"] < nt:
+                hist.setdefault(r["ci"], []).append((r["v"], r["count"]))
+        if ride:
+            if complete:
+                got = {c: {} for c in ride}
+                for r in hist_rows:
+                    if r["ci"] >= nt:
+                        got[ride[r["ci"] - nt]][r["t"]] = r["count"]
+                cat_out.update(got)
+            else:   # cannot tell which part overflowed: count categories on their own
+                cat_out.update(value_counts(df, ride, cat_limit))
+            ride = []
         refine, nxt = [], []
         for j, c in enumerate(todo):
             s = st[c]

@@ -60,7 +60,8 @@ class PrepState:
         return PrepState(**json.loads(s))
 
 
-def _imputed_moments(df: DataFrame, cols, strategy: str, **kw):
+def _imputed_moments(df: DataFrame, cols, strategy: str, cat_cols=(), cat_limit: int = 0,
+                     cat_out: dict | None = None, **kw):
     """Fill values and the mean / population std of the *imputed* columns.
 
     The scaler is fitted after imputation; with a constant fill f the
@@ -69,6 +70,8 @@ def _imputed_moments(df: DataFrame, cols, strategy: str, **kw):
     combination, numerically stable)."""
     cols = list(cols)
     if not cols:
+        if cat_cols and cat_out is not None:
+            cat_out.update(impute.value_counts(df, list(cat_cols), cat_limit))
         return {}, [], {}, {}
     if strategy not in ("mean", "median"):
         raise ValueError(f"unsupported imputation method: {strategy}")
@@ -79,8 +82,11 @@ def _imputed_moments(df: DataFrame, cols, strategy: str, **kw):
         F.var_pop(F.col(c).cast("double")).alias(f"v{i}"))], *extra).first()
     if strategy == "mean":
         fills = {c: row[f"m{i}"] for i, c in enumerate(cols)}
+        if cat_cols and cat_out is not None:
+            cat_out.update(impute.value_counts(df, list(cat_cols), cat_limit))
     else:
-        fills = impute.exact_quantiles(df, cols, 0.5, first=row, **kw)
+        fills = impute.exact_quantiles(df, cols, 0.5, first=row, cat_cols=cat_cols, cat_limit=cat_limit,
+                                       cat_out=cat_out, **kw)
     N = row["N"]
     mean, scale, dropped = {}, {}, []
     for i, c in enumerate(cols):
@@ -107,10 +113,14 @@ def fit(df: DataFrame, cfg: PrepConfig) -> PrepState:
     st.types = {c: df.schema[c].dataType.simpleString() for c in st.train_features}
     if cfg.imp == "knn":
         raise ValueError("knn imputation is fitted with operators.knn.knn_impute")
-    st.num_fill, dropped_n, st.mean, st.scale = _imputed_moments(df, num, cfg.imp)
-    # one job: value counts give both the mode (ties → smallest) and the
-    # sorted category list (the fill is an existing value, so it adds none)
-    vc = impute.value_counts(df, cat, cfg.max_categories * max(1, len(cat)))
+    # value counts give both the mode (ties → smallest) and the sorted
+    # category list (the fill is an existing value, so it adds none); with
+    # median imputation they ride along in the exact-median histogram job
+    vc = {}
+    st.num_fill, dropped_n, st.mean, st.scale = _imputed_moments(
+        df, num, cfg.imp, cat_cols=cat, cat_limit=cfg.max_categories * max(1, len(cat)), cat_out=vc)
+    if cat and not vc:
+        vc = impute.value_counts(df, cat, cfg.max_categories * max(1, len(cat)))
     st.cat_fill = {c: min(v.items(), key=lambda kv: (-kv[1], kv[0]))[0] for c, v in vc.items() if v}
     dropped_c = [c for c in cat if c not in st.cat_fill]
     st.dropped = dropped_n + dropped_c

@@ -90,3 +90,14 @@ def test_state_json_round_trip(spark):
     df = spark.createDataFrame([(1, 1.0, "a", 0), (2, 3.0, "b", 1)], "id long, x double, c string, y int")
     st = prep.fit(df, prep.PrepConfig(target="y", keys=("id",), imp="mean"))
     assert prep.PrepState.from_json(st.to_json()).to_json() == st.to_json()
+
+
+def test_value_counts_ride_along_and_overflow_fallback(spark):
+    rows = [(float(i % 50), "abc"[i % 3]) for i in range(300)]
+    df = spark.createDataFrame(rows, "x double, c string")
+    for mc in (200_000, 5):                      # fits / overflows the first histogram job
+        out = {}
+        med = impute.exact_quantiles(df, ["x"], accuracy=10, max_collect=mc, cat_cols=["c"], cat_limit=10,
+                                     cat_out=out)
+        assert med["x"] == 24.5
+        assert out == {"c": {"a": 100, "b": 100, "c": 100}}
