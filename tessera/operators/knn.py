@@ -48,15 +48,25 @@ def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
     part = list(part)
     q0 = queries.select(*part, F.col(qkey).alias("_q"), F.col(vec).alias("_qv"))
     d0 = donors.select(*part, F.col(dkey).alias("_d"), F.col(vec).alias("_dv"))
+    # duplicate compression: donors sharing a vector tie on distance and
+    # break ties by key, so only their smallest k (+1 for self) keys can
+    # ever be chosen. row_number() ≤ m becomes a partial WindowGroupLimit
+    # before the shuffle, so a vector held by a third of all rows ships at
+    # most m rows per map task; the kept keys ride in an array.
+    m = k + 1 if exclude_self else k
+    d0 = (d0.withColumn("_r", F.row_number().over(W.partitionBy(*part, "_dv").orderBy("_d")))
+          .where(F.col("_r") <= m)
+          .groupBy(*part, "_dv").agg(F.array_sort(F.collect_list("_d")).alias("_keys")))
     dim = d0.select(F.size("_dv")).limit(1).collect()
     if not dim:
         return spark.createDataFrame([], f"{', '.join(f'{p} string' for p in part) + ', ' if part else ''}"
                                      f"{qkey} long, {dkey} long, nn_rank int, dist double")
     dim = dim[0][0]
-    proj = _projection(donors.select(F.col(vec)), vec, dim, grid_dims)
+    ensure_checkpoint_dir(spark)
+    proj = _projection(d0.select(F.col("_dv").alias(vec)), vec, dim, grid_dims)
     g = len(proj)
     qp = q0.select("*", *[p("_qv").alias(f"_p{i}") for i, p in enumerate(proj)])
-    dp = d0.select("*", *[p("_dv").alias(f"_p{i}") for i, p in enumerate(proj)])
+    dp = d0.select("*", *[p("_dv").alias(f"_p{i}") for i, p in enumerate(proj)]).checkpoint()
     st = dp.agg(F.count(F.lit(1)).alias("n"), *[a for i in range(g) for a in (
         F.min(f"_p{i}").alias(f"lo{i}"), F.max(f"_p{i}").alias(f"hi{i}"))]).first()
     qs = qp.agg(*[a for i in range(g) for a in (F.min(f"_p{i}").alias(f"lo{i}"),
@@ -68,20 +78,19 @@ def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
                  (qs[f"lo{i}"] if qs[f"lo{i}"] is not None else 0.0)) for i in range(g)]
     span = max(spans + [1e-12])
     w = max(span * min(1.0, (4.0 * k / max(n, 1)) ** (1.0 / g)), 1e-9)
-    ensure_checkpoint_dir(spark)
     offsets = [list(o) for o in itertools.product([-1, 0, 1], repeat=g)]
     done, pending = [], qp
     for _ in range(max_rounds):
         full = w > span
         cell = lambda i: F.floor(F.col(f"_p{i}") / F.lit(w)).cast("long")
-        dcell = dp.select(*part, "_d", "_dv", F.array(*[cell(i) for i in range(g)]).alias("_cell"))
+        dcell = dp.select(*part, "_keys", "_dv", F.array(*[cell(i) for i in range(g)]).alias("_cell"))
         qcell = pending.select(*part, "_q", "_qv", F.explode(F.array(*[
             F.array(*[cell(i) + F.lit(o[i]) for i in range(g)]) for o in offsets])).alias("_cell"))
         cand = qcell.join(dcell, [*part, "_cell"])
+        cand = cand.select(*part, "_q", "_keys", (F.sqrt(sq_dist(F.col("_qv"), F.col("_dv")) * F.lit(scale * scale)))
+                           .alias("dist")).select(*part, "_q", "dist", F.explode("_keys").alias("_d"))
         if exclude_self:
             cand = cand.where(F.col("_q") != F.col("_d"))
-        cand = cand.select(*part, "_q", "_d", (F.sqrt(sq_dist(F.col("_qv"), F.col("_dv")) * F.lit(scale * scale)))
-                           .alias("dist"))
         wq = W.partitionBy(*part, "_q").orderBy("dist", "_d")
         top = cand.withColumn("nn_rank", F.row_number().over(wq)).where(F.col("nn_rank") <= k).checkpoint()
         stat = top.groupBy(*part, "_q").agg(F.count(F.lit(1)).alias("_c"), F.max("dist").alias("_dk"))

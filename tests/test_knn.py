@@ -93,3 +93,18 @@ def test_smote_balances_and_interpolates(spark):
                     ok = True
                     break
         assert ok
+
+
+def test_exact_knn_with_a_hot_duplicate_vector(spark):
+    rng = np.random.default_rng(9)
+    X = rng.normal(size=(200, 2))
+    X[:90] = [0.25, -0.5]                            # 45 % of rows share one vector
+    df = spark.createDataFrame([(i, X[i].tolist()) for i in range(200)], "k long, vec array<double>")
+    got = knn.exact_knn(df, df.withColumnRenamed("k", "d"), "k", "d", "vec", 5, exclude_self=True)
+    res = {}
+    for r in got.collect():
+        res.setdefault(r["k"], []).append((r["nn_rank"], r["d"]))
+    for i in range(200):
+        d = np.sqrt(((X - X[i]) ** 2).sum(axis=1))
+        want = [j for _, j in sorted((d[j], j) for j in range(200) if j != i)[:5]]
+        assert [j for _, j in sorted(res[i])] == want
