@@ -404,6 +404,8 @@ xw AS (SELECT o_orderkey AS id, max(CASE WHEN nfi = 0 THEN value END) AS x0, max
         sva + ctes + f",\nsc AS ({sel})\n"
         "SELECT s.id, CAST(coalesce(sc.prediction, -1) AS INTEGER) AS prediction FROM subj s LEFT JOIN sc ON s.id = sc.id",
         "subj", "series")
+    ORACLES["a5_prediction_sink"] = ORACLES["b13_predictions_for"].replace(
+        "AS INTEGER) AS prediction FROM subj s", "AS INTEGER) AS sii FROM subj s")
 
 
 PRED_LOGITS3 = """pl AS (SELECT y, yhat, partkey,

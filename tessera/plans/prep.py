@@ -14,7 +14,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators import encode, impute, schema
+from tessera.operators import impute, schema
 
 
 @dataclass

@@ -636,3 +636,14 @@ def f9_series_static_pca(spark, sf):
     st = sp.fit_static(subj, "id", "sii", feature_selection="pca", n_features=2)
     v = sp.static_vector(sch.drop_missing_target(subj, "sii"), st)
     return v.select("id", *[F.round(F.col("static")[i], 6).alias(n) for i, n in enumerate(st.num + st.cat)])
+
+
+@query("a5_prediction_sink")
+def a5_prediction_sink(spark, sf):
+    """A5: the submission (``id,sii``, −1 for subjects without a series)
+    written as CSV by the executors into the shared folder, read back."""
+    import uuid
+    from tessera.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark)}/submission-{uuid.uuid4().hex}"
+    io.write_predictions(b13_predictions_for(spark, sf), path, "id", "prediction", out_name="sii")
+    return spark.read.option("header", True).schema("id string, sii int").csv(path)
