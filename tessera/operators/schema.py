@@ -83,9 +83,12 @@ def align_columns(df: DataFrame, columns, cat_cols, types: dict | None = None, k
 
 def restrict_to_available(static: DataFrame, series: DataFrame, id_col: str = "id",
                           check: bool = False) -> DataFrame:
-    """Keep subjects that have at least one series row (left-semi join;
-    the semi join needs no distinct and AQE picks broadcast or sort-merge)."""
-    out = static.join(series.select(id_col), id_col, "left_semi")
+    """Keep subjects that have at least one series row (left-semi join).
+
+    The series side is reduced to its distinct ids first: the partial
+    aggregate dedupes map-side, so a subject owning a third of all series
+    rows ships one row per task instead of skewing one join partition."""
+    out = static.join(series.select(id_col).distinct(), id_col, "left_semi")
     if check and out.isEmpty():
         raise ValueError("no subject of the static table has a series")
     return out
