@@ -501,3 +501,8 @@ ORACLES["a3_read_series_layout"] = with_views(
 ORACLES["a8_profile"] = ("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, "
                          "(SELECT count(*) FROM customer) AS n_rows, CAST(5 AS INTEGER) AS n_cols "
                          "FROM customer ORDER BY c_custkey LIMIT 5")
+ORACLES["a7_metrics_history"] = with_views(f"""WITH {PRED_L}, {SCORES},
+lo AS (SELECT round(avg(bl), 6) AS loss FROM (SELECT batch, avg(loss) AS bl FROM ls GROUP BY 1)),
+ep AS (SELECT unnest([1, 2]) AS epoch)
+SELECT 'mod=mlp-fts=f_classif-k=4-imb=class_weight' AS run, CAST(epoch AS INTEGER) AS epoch, loss, accuracy,
+       balanced_accuracy, precision, recall, f1 FROM sc, lo, ep""", "pred")

@@ -647,3 +647,18 @@ def a5_prediction_sink(spark, sf):
     path = f"{ensure_checkpoint_dir(spark)}/submission-{uuid.uuid4().hex}"
     io.write_predictions(b13_predictions_for(spark, sf), path, "id", "prediction", out_name="sii")
     return spark.read.option("header", True).schema("id string, sii int").csv(path)
+
+
+@query("a7_metrics_history")
+def a7_metrics_history(spark, sf):
+    """One report row per epoch appended to a run-partitioned history
+    table in the shared folder, read back."""
+    import uuid
+    from tessera.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark)}/history-{uuid.uuid4().hex}"
+    run = io.run_name(mod="mlp", fts="f_classif", k=4, imb="class_weight")
+    rep = met.report(_pred(spark, sf), batch="batch", n_classes=3)
+    for epoch in (1, 2):
+        io.append_metrics(_r6(rep).withColumn("epoch", F.lit(epoch)).withColumn("run", F.lit(run)), path)
+    return spark.read.parquet(path).select("run", "epoch", "loss", "accuracy", "balanced_accuracy",
+                                           "precision", "recall", "f1")

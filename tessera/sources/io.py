@@ -79,6 +79,11 @@ def write_predictions(df: DataFrame, path: str, id_col: str = "id", pred_col: st
         w.parquet(path)
 
 
+def run_name(**params) -> str:
+    """Run name from the run's parameters, ``key=value`` joined by '-'."""
+    return "-".join(f"{k}={v}" for k, v in params.items()).replace(" ", "")
+
+
 def append_metrics(df: DataFrame, path: str, run_col: str = "run") -> None:
     """Append one row per (run, epoch/step) to a metrics history table
     partitioned by run name."""
