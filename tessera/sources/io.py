@@ -59,10 +59,16 @@ def read_subject(series: DataFrame, id_col: str, subject) -> DataFrame:
 
 
 def require_ids(df: DataFrame, id_col: str, ids) -> None:
-    """A4: raise if any requested subject has no rows (bounded by len(ids))."""
+    """A4: raise if any requested subject has no rows. Short lists become a
+    pruned ``isin`` filter; long lists an anti join (what comes back to the
+    driver is bounded by the list)."""
     want = [str(i) for i in ids]
-    have = {r[0] for r in df.where(F.col(id_col).isin(want)).select(id_col).distinct().collect()}
-    missing = [i for i in want if i not in have]
+    if len(want) <= 1000:
+        have = {r[0] for r in df.where(F.col(id_col).isin(want)).select(id_col).distinct().collect()}
+        missing = [i for i in want if i not in have]
+    else:
+        req = df.sparkSession.createDataFrame([(i,) for i in want], f"{id_col} string")
+        missing = [r[0] for r in req.join(df.select(id_col).distinct(), id_col, "left_anti").limit(10).collect()]
     if missing:
         raise ValueError(f"no series rows for subject(s): {missing[:10]}")
 
