@@ -429,12 +429,6 @@ ORACLES["e7_nan_logits"] = with_views(
     + _sm3("pn").format(extra=""), "pred")
 
 
-def register_late():
-    """Oracles that embed parameters defined next to the queries."""
-    if "e3_score_mlp" not in ORACLES:
-        _score_oracles()
-
-
 # ------------------------------------------------ neighbour family
 # Brute force over all recipient × donor pairs: fine for DuckDB at the
 # check's scale; the Spark side uses the grid-verified search.
@@ -506,3 +500,49 @@ lo AS (SELECT round(avg(bl), 6) AS loss FROM (SELECT batch, avg(loss) AS bl FROM
 ep AS (SELECT unnest([1, 2]) AS epoch)
 SELECT 'mod=mlp-fts=f_classif-k=4-imb=class_weight' AS run, CAST(epoch AS INTEGER) AS epoch, loss, accuracy,
        balanced_accuracy, precision, recall, f1 FROM sc, lo, ep""", "pred")
+
+
+# E5: the hybrid LSTM as a recursive CTE over each subject's steps
+def _sig(e: str) -> str:
+    return f"(0.5 * (1 + tanh(0.5 * ({e}))))"
+
+
+def hybrid_sql() -> str:
+    from tessera.plans.queries import HYB_NET
+    (Wih, Whh, bih, bhh), = HYB_NET["lstm"]
+    H = len(Whh[0])
+    xs = ["q.x0", "q.x1", "q.x2"]
+    hs = [f"r.h{j}" for j in range(H)]
+    bias = [bih[i] + bhh[i] for i in range(4 * H)]
+    z = [" + ".join([_lit(bias[i])] + [f"{_lit(Wih[i][a])} * {xs[a]}" for a in range(len(xs))]
+                    + [f"{_lit(Whh[i][b])} * {hs[b]}" for b in range(H)]) for i in range(4 * H)]
+    gates = ", ".join(f"({e}) AS z{i}" for i, e in enumerate(z))
+    cnew = [f"{_sig(f'z{H + j}')} * c{j} + {_sig(f'z{j}')} * tanh(z{2 * H + j})" for j in range(H)]
+    step = (f"SELECT id, t, " + ", ".join(f"{cn} AS c{j}" for j, cn in enumerate(cnew)) + ", "
+            + ", ".join(f"{_sig(f'z{3 * H + j}')} * tanh({cn}) AS h{j}" for j, cn in enumerate(cnew))
+            + f" FROM (SELECT r.id, q.t, {', '.join(f'r.c{j} AS c{j}' for j in range(H))}, {gates} "
+              f"FROM rec r JOIN q ON q.id = r.id AND q.t = r.t + 1) g")
+    init = ("SELECT id, CAST(-1 AS INTEGER) AS t, " + ", ".join(f"0.0::DOUBLE AS c{j}" for j in range(H)) + ", "
+            + ", ".join(f"0.0::DOUBLE AS h{j}" for j in range(H)) + " FROM (SELECT DISTINCT id FROM q)")
+    Ws, bs = HYB_NET["static"]
+    W1, b1 = HYB_NET["fc1"]
+    W2, b2 = HYB_NET["fc2"]
+    st = _affine(Ws, bs, ["sv.v0", "sv.v1", "sv.v2"])
+    z1 = _affine(W1, b1, [f"h{j}" for j in range(H)] + [f"s{j}" for j in range(len(Ws))])
+    body = SAMPLES + f""", sv AS ({static_vec_sql("subj")}),
+rec AS ({init} UNION ALL {step}),
+last AS (SELECT rec.* FROM rec JOIN (SELECT id, max(t) AS mt FROM rec GROUP BY id) m ON rec.id = m.id AND rec.t = m.mt),
+br AS (SELECT last.*, {", ".join(f"greatest(0, {e}) AS s{j}" for j, e in enumerate(st))}
+       FROM last JOIN sv ON sv.id = last.id),
+f1 AS (SELECT id, {", ".join(f"greatest(0, {e}) AS u{j}" for j, e in enumerate(z1))} FROM br),
+lg AS (SELECT id, {", ".join(f"({e}) AS l{j}" for j, e in enumerate(_affine(W2, b2, [f"u{j}" for j in range(len(W1))])))} FROM f1)
+{_softmax_cols("lg", len(W2))}"""
+    return with_views(body, "subj", "series").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def register_late():
+    """Oracles that embed parameters (network weights) defined next to the
+    queries; called once the query module is imported."""
+    if "e3_score_mlp" not in ORACLES:
+        _score_oracles()
+        ORACLES["e5_score_hybrid"] = hybrid_sql()
