@@ -114,23 +114,30 @@ def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
     return out.select(*part, F.col("_q").alias(qkey), F.col("_d").alias(dkey), "nn_rank", "dist")
 
 
-def knn_impute(df: DataFrame, key: str, cols, k: int = 5, max_patterns: int = 64) -> DataFrame:
+def knn_impute(df: DataFrame, key: str, cols, k: int = 5, max_patterns: int = 64,
+               donors: DataFrame | None = None, means: dict | None = None) -> DataFrame:
     """Every missing numeric value ← mean of that column over the k
     nearest rows having it, by nan-Euclidean distance
     sqrt(p / |common| · Σ_common (a − b)²) over the other columns present in
     both; column mean when no row shares a present column. Distances use the
-    original (unimputed) values for every column."""
+    original (unimputed) values for every column.
+
+    ``donors`` (default: ``df`` itself) are the fitted rows, e.g. the
+    training table when new rows are transformed; ``means`` their column
+    means (computed when not given)."""
     cols = list(cols)
     p = len(cols)
-    means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    dsrc = df if donors is None else donors
+    if means is None:
+        row = dsrc.agg(*[F.avg(c).alias(c) for c in cols]).first()
+        means = {c: row[c] for c in cols}
     out = df
     for t in cols:
         others = [c for c in cols if c != t]
         pat = F.concat_ws("", *[F.when(F.col(c).isNotNull(), "1").otherwise("0") for c in others]) \
             if others else F.lit("")
-        base = df.select(key, t, *others, pat.alias("_pat"))
-        rec = base.where(F.col(t).isNull())
-        don = base.where(F.col(t).isNotNull())
+        rec = df.select(key, t, *others, pat.alias("_pat")).where(F.col(t).isNull())
+        don = dsrc.select(key, t, *others, pat.alias("_pat")).where(F.col(t).isNotNull())
         rp = [r[0] for r in rec.select("_pat").distinct().limit(max_patterns + 1).collect()]
         dpt = [r[0] for r in don.select("_pat").distinct().limit(max_patterns + 1).collect()]
         if len(rp) > max_patterns or len(dpt) > max_patterns:

@@ -51,6 +51,8 @@ class PrepState:
     projection: list | None = None                        # PCA loadings (rows = components)
     centre: list | None = None
     num_classes: int | None = None
+    knn_donors: str | None = None        # imp='knn': training rows (key + numerics) in the shared folder
+    knn_means: dict | None = None
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -112,7 +114,7 @@ def fit(df: DataFrame, cfg: PrepConfig) -> PrepState:
     st.train_features = [c for c in df.columns if c != cfg.target and c not in cfg.keys]
     st.types = {c: df.schema[c].dataType.simpleString() for c in st.train_features}
     if cfg.imp == "knn":
-        raise ValueError("knn imputation is fitted with operators.knn.knn_impute")
+        return _fit_knn(df, cfg, st, num, cat)
     # value counts give both the mode (ties → smallest) and the sorted
     # category list (the fill is an existing value, so it adds none); with
     # median imputation they ride along in the exact-median histogram job
@@ -131,6 +133,51 @@ def fit(df: DataFrame, cfg: PrepConfig) -> PrepState:
     return st
 
 
+def _fit_knn(df: DataFrame, cfg: PrepConfig, st: PrepState, num, cat) -> PrepState:
+    """imp='knn': the training rows are the donors. They are written once to
+    the shared checkpoint folder (the state keeps the path), the scaler is
+    fitted on the kNN-imputed training rows."""
+    import uuid
+    from tessera.operators.knn import knn_impute
+    from tessera.session import ensure_checkpoint_dir
+    key = cfg.keys[0]
+    vc = impute.value_counts(df, cat, cfg.max_categories * max(1, len(cat)))
+    st.cat_fill = {c: min(v.items(), key=lambda kv: (-kv[1], kv[0]))[0] for c, v in vc.items() if v}
+    row = df.agg(*[F.count(F.col(c)).alias(c) for c in num]).first() if num else {}
+    dropped_n = [c for c in num if not row[c]]
+    dropped_c = [c for c in cat if c not in st.cat_fill]
+    st.dropped = dropped_n + dropped_c
+    st.num = [c for c in num if c not in dropped_n]
+    st.cat = [c for c in cat if c not in dropped_c]
+    st.categories = {c: sorted(vc[c]) for c in st.cat}
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/knn-donors-{uuid.uuid4().hex}"
+    df.select(key, *st.num).write.mode("overwrite").parquet(path)
+    st.knn_donors = path
+    donors = df.sparkSession.read.parquet(path)
+    m = donors.agg(*[F.avg(c).alias(c) for c in st.num]).first() if st.num else {}
+    st.knn_means = {c: m[c] for c in st.num}
+    imputed = knn_impute(donors, key, st.num, donors=donors, means=st.knn_means) if st.num else donors
+    sc = imputed.agg(*[a for i, c in enumerate(st.num) for a in (
+        F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"))]).first() if st.num else {}
+    for i, c in enumerate(st.num):
+        st.mean[c] = sc[f"m{i}"]
+        st.scale[c] = sc[f"s{i}"] or 1.0
+        st.num_fill[c] = st.knn_means[c]      # only a fallback; rows are kNN-imputed first
+    st.feature_names = list(st.num) + [f"{c}_{v}" for c in st.cat for v in st.categories[c]]
+    return st
+
+
+def knn_fill(df: DataFrame, st: PrepState) -> DataFrame:
+    """imp='knn': impute the numeric columns of ``df`` from the stored
+    training donors (no-op for other strategies)."""
+    if not st.knn_donors or not st.num:
+        return df
+    from tessera.operators.knn import knn_impute
+    key = st.config["keys"][0]
+    donors = df.sparkSession.read.parquet(st.knn_donors)
+    return knn_impute(df, key, st.num, donors=donors, means=st.knn_means)
+
+
 def feature_exprs(st: PrepState):
     """D5 column transformer: [scaled numerics…, one-hots…] as expressions."""
     exprs = []
@@ -174,7 +221,7 @@ def fit_transform(df: DataFrame, cfg: PrepConfig, out: str = "features"):
     from tessera.operators import balance, select
     st = fit(df, cfg)
     base = schema.drop_missing_target(df, cfg.target) if cfg.drop_missing_target else df
-    x = features(base, st, keep=[*cfg.keys, cfg.target], out=out)
+    x = features(knn_fill(base, st), st, keep=[*cfg.keys, cfg.target], out=out)
     st.num_classes = None
     if cfg.fts and cfg.fts != "none":
         kw = {}
@@ -206,7 +253,7 @@ def transform(df: DataFrame, st: PrepState, out: str = "features") -> DataFrame:
     the fitted selection; one narrow projection, no job at call time."""
     from tessera.functions.arrays import pick
     keys = list(st.config["keys"])
-    x = features(align(df, st, keep=keys), st, keep=keys, out=out)
+    x = features(knn_fill(align(df, st, keep=keys), st), st, keep=keys, out=out)
     if st.projection is not None:
         from tessera.operators.select import pca_project
         x = x.withColumn(out, pca_project(out, st.projection, st.centre))

@@ -662,3 +662,12 @@ def a7_metrics_history(spark, sf):
         io.append_metrics(_r6(rep).withColumn("epoch", F.lit(epoch)).withColumn("run", F.lit(run)), path)
     return spark.read.parquet(path).select("run", "epoch", "loss", "accuracy", "balanced_accuracy",
                                            "precision", "recall", "f1")
+
+
+@query("c3_pipeline_knn")
+def c3_pipeline_knn(spark, sf):
+    """DataPreprocessor with imp='knn': kNN-imputed numerics (donors = the
+    labelled training rows, stored in the shared folder) → scale → one-hot."""
+    t = fx.tab(spark, sf)
+    x, st, _ = prep.fit_transform(t, _tab_cfg("knn"))
+    return prep.explode_features(x, TAB_KEYS, st.feature_names)

@@ -108,3 +108,19 @@ def test_exact_knn_with_a_hot_duplicate_vector(spark):
         d = np.sqrt(((X - X[i]) ** 2).sum(axis=1))
         want = [j for _, j in sorted((d[j], j) for j in range(200) if j != i)[:5]]
         assert [j for _, j in sorted(res[i])] == want
+
+
+def test_pipeline_knn_transform_uses_training_donors(spark):
+    from tessera.plans import prep
+    rows = [(i, None if i % 4 == 0 else float(i), float(i % 7), "a" if i % 2 else "b", i % 3) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, x double, z double, c string, y int")
+    x, st, _ = prep.fit_transform(df, prep.PrepConfig(target="y", keys=("id",), imp="knn"))
+    a = {r["id"]: r["features"] for r in x.collect()}
+    b = {r["id"]: r["features"] for r in prep.transform(df.drop("y"), st).collect()}
+    assert a == b
+    # a new row with x missing: its 5 nearest training rows by z (ties → smaller key)
+    new = spark.createDataFrame([(1000, None, 3.0, "a")], "id long, x double, z double, c string")
+    f = prep.transform(new, st).first()["features"]
+    donors = sorted((abs(3.0 - (i % 7)), i) for i in range(40) if i % 4 != 0)[:5]
+    want = sum(float(i) for _, i in donors) / 5
+    assert abs(f[0] * st.scale["x"] + st.mean["x"] - want) < 1e-9
