@@ -59,8 +59,10 @@ def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
           .groupBy(*part, "_dv").agg(F.array_sort(F.collect_list("_d")).alias("_keys")))
     dim = d0.select(F.size("_dv")).limit(1).collect()
     if not dim:
-        return spark.createDataFrame([], f"{', '.join(f'{p} string' for p in part) + ', ' if part else ''}"
-                                     f"{qkey} long, {dkey} long, nn_rank int, dist double")
+        cols = [f"{p} {queries.schema[p].dataType.simpleString()}" for p in part]
+        cols += [f"{qkey} {queries.schema[qkey].dataType.simpleString()}",
+                 f"{dkey} {donors.schema[dkey].dataType.simpleString()}", "nn_rank int", "dist double"]
+        return spark.createDataFrame([], ", ".join(cols))
     dim = dim[0][0]
     ensure_checkpoint_dir(spark)
     proj = _projection(d0.select(F.col("_dv").alias(vec)), vec, dim, grid_dims)
@@ -76,13 +78,16 @@ def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
                  (qs[f"hi{i}"] if qs[f"hi{i}"] is not None else 0.0)) -
              min((st[f"lo{i}"] if st[f"lo{i}"] is not None else 0.0),
                  (qs[f"lo{i}"] if qs[f"lo{i}"] is not None else 0.0)) for i in range(g)]
+    # cells are counted from the lowest corner, so floor(·/w) stays small
+    origin = [min((st[f"lo{i}"] if st[f"lo{i}"] is not None else 0.0),
+                  (qs[f"lo{i}"] if qs[f"lo{i}"] is not None else 0.0)) for i in range(g)]
     span = max(spans + [1e-12])
     w = max(span * min(1.0, (4.0 * k / max(n, 1)) ** (1.0 / g)), 1e-9)
     offsets = [list(o) for o in itertools.product([-1, 0, 1], repeat=g)]
     done, pending = [], qp
     for _ in range(max_rounds):
         full = w > span
-        cell = lambda i: F.floor(F.col(f"_p{i}") / F.lit(w)).cast("long")
+        cell = lambda i: F.floor((F.col(f"_p{i}") - F.lit(origin[i])) / F.lit(w)).cast("long")
         dcell = dp.select(*part, "_keys", "_dv", F.array(*[cell(i) for i in range(g)]).alias("_cell"))
         qcell = pending.select(*part, "_q", "_qv", F.explode(F.array(*[
             F.array(*[cell(i) + F.lit(o[i]) for i in range(g)]) for o in offsets])).alias("_cell"))

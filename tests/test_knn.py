@@ -124,3 +124,12 @@ def test_pipeline_knn_transform_uses_training_donors(spark):
     donors = sorted((abs(3.0 - (i % 7)), i) for i in range(40) if i % 4 != 0)[:5]
     want = sum(float(i) for _, i in donors) / 5
     assert abs(f[0] * st.scale["x"] + st.mean["x"] - want) < 1e-9
+
+
+def test_exact_knn_far_from_origin_and_empty(spark):
+    rows = [(i, [1e12 + (i % 3) * 1e-6, 5.0]) for i in range(30)]
+    df = spark.createDataFrame(rows, "k long, vec array<double>")
+    got = knn.exact_knn(df, df.withColumnRenamed("k", "d"), "k", "d", "vec", 3, exclude_self=True)
+    assert got.count() == 90
+    empty = df.where("k < 0")
+    assert knn.exact_knn(df, empty.withColumnRenamed("k", "d"), "k", "d", "vec", 3).count() == 0
