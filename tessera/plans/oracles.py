@@ -26,7 +26,8 @@ k_{t} AS (SELECT rk, avg(v) AS imp FROM (SELECT *, row_number() OVER (PARTITION
 
 
 
-def tab_prep_sql(agg: str, new: bool = False, rnd: bool = True) -> str:
+def tab_prep_sql(agg: str, new: bool = False, rnd: bool = True, l_sql: str | None = None,
+                 pre: str = "", app_src: str | None = None) -> str:
     """Fit on labelled ``tab`` rows; emit features of those rows or, with
     ``new``, of ``tab_new`` aligned to the training schema."""
     num = ["o_totalprice", "c_acctbal"]
@@ -47,6 +48,9 @@ def tab_prep_sql(agg: str, new: bool = False, rnd: bool = True) -> str:
         app = ("app AS (SELECT n.o_orderkey, coalesce(n.o_totalprice, f_o_totalprice) AS o_totalprice, "
                "f_c_acctbal AS c_acctbal, '0' AS o_orderstatus, coalesce(n.c_mktsegment, f_c_mktsegment) AS c_mktsegment "
                "FROM tab_new n, fill)")
+    elif app_src:
+        app = (f"app AS (SELECT a.o_orderkey, {', '.join(f'coalesce(a.{c}, f_{c}) AS {c}' for c in num + cat)} "
+               f"FROM {app_src} a, fill)")
     else:
         app = "app AS (SELECT * FROM imp)"
     R, R6 = ("round", ", 6") if rnd else ("", "")
@@ -65,7 +69,7 @@ def tab_prep_sql(agg: str, new: bool = False, rnd: bool = True) -> str:
                 if knn else "")
     knn_join = (" LEFT JOIN k_o_totalprice k1 ON l.o_orderkey = k1.rk LEFT JOIN k_c_acctbal k2 ON l.o_orderkey = k2.rk"
                 if knn else "")
-    body = f"""WITH l AS (SELECT * FROM tab WHERE y IS NOT NULL),
+    body = f"""WITH {pre}l AS ({l_sql or "SELECT * FROM tab WHERE y IS NOT NULL"}),
 fill AS (SELECT {fills} FROM l),
 {knn_ctes}imp AS (SELECT l.o_orderkey, {imp} FROM l{knn_join}, fill),
 sc AS (SELECT {sc} FROM imp),
@@ -561,3 +565,14 @@ def register_late():
         ORACLES["e5_score_hybrid"] = hybrid_sql()
 
 ORACLES["c3_pipeline_knn"] = tab_prep_sql("knn")
+
+ORACLES["g6_tab_datasets_fit_all"] = with_views("""WITH lab AS (SELECT o_orderkey, y FROM tab WHERE y IS NOT NULL),
+cnt0 AS (SELECT y, count(*) AS n_c FROM lab GROUP BY 1),
+rk0 AS (""" + ranked_sql("lab", "o_orderkey", "y") + """),
+kept AS (SELECT o_orderkey, y FROM rk0 WHERE rk <= (SELECT min(n_c) FROM cnt0)),
+""" + strat_sql("kept", "y", "o_orderkey") + """
+SELECT o_orderkey, y, split FROM sp""", "tab")
+
+ORACLES["g6_tab_datasets_fit_train"] = tab_prep_sql(
+    "median", pre="lab AS (SELECT * FROM tab WHERE y IS NOT NULL),\n" + strat_sql("lab", "y", "o_orderkey") + ",\n",
+    l_sql="SELECT * FROM sp WHERE split = 'train'", app_src="lab")

@@ -671,3 +671,26 @@ def c3_pipeline_knn(spark, sf):
     t = fx.tab(spark, sf)
     x, st, _ = prep.fit_transform(t, _tab_cfg("knn"))
     return prep.explode_features(x, TAB_KEYS, st.feature_names)
+
+
+from tessera.plans import tabular  # noqa: E402
+
+
+@query("g6_tab_datasets_fit_all")
+def g6_tab_datasets_fit_all(spark, sf):
+    """Reference order: fit + f_classif + random under-sampling on all
+    labelled rows, then the stratified 80/20 split of the kept rows."""
+    cfg = _tab_cfg("median", fts="f_classif", k_best=4, imb="random_under")
+    tr, va, _, _ = tabular.tab_datasets(fx.tab(spark, sf), fx.tab_new(spark, sf), cfg, 0.8, "all")
+    return tr.select("o_orderkey", "y", F.lit("train").alias("split")) \
+             .unionByName(va.select("o_orderkey", "y", F.lit("val").alias("split")))
+
+
+@query("g6_tab_datasets_fit_train")
+def g6_tab_datasets_fit_train(spark, sf):
+    """Default order: split first, fit on the training part, transform the
+    validation part with that state (long form of both)."""
+    cfg = _tab_cfg("median")
+    tr, va, st, _ = tabular.tab_datasets(fx.tab(spark, sf), None, cfg, 0.8, "train")
+    both = tr.select(*TAB_KEYS, "features").unionByName(va.select(*TAB_KEYS, "features"))
+    return prep.explode_features(both, TAB_KEYS, st.feature_names)
