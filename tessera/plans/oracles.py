@@ -576,3 +576,15 @@ SELECT o_orderkey, y, split FROM sp""", "tab")
 ORACLES["g6_tab_datasets_fit_train"] = tab_prep_sql(
     "median", pre="lab AS (SELECT * FROM tab WHERE y IS NOT NULL),\n" + strat_sql("lab", "y", "o_orderkey") + ",\n",
     l_sql="SELECT * FROM sp WHERE split = 'train'", app_src="lab")
+
+ORACLES["b9_series_datasets_both"] = with_views(SEQ_CTE + """,
+n AS (SELECT id, count(*) AS n_steps FROM q GROUP BY id),
+lab AS (SELECT id, sii FROM subj WHERE sii IS NOT NULL),
+""" + strat_sql("lab", "sii", "id") + """,
+av AS (SELECT sp.id, sp.sii, sp.split, n.n_steps FROM sp JOIN n ON sp.id = n.id),
+b AS (SELECT *, CAST((row_number() OVER (PARTITION BY split ORDER BY
+        CASE WHEN split = 'train' THEN substr(md5('42:' || id), 1, 15) ELSE id END, id) - 1) // 8 AS BIGINT) AS batch_id
+      FROM av)
+SELECT id, sii, batch_id, CAST(n_steps AS INTEGER) AS n_steps,
+       CAST(max(n_steps) OVER (PARTITION BY split, batch_id) AS INTEGER) AS padded_steps, split FROM b""",
+    "subj", "series")

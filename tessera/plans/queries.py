@@ -694,3 +694,15 @@ def g6_tab_datasets_fit_train(spark, sf):
     tr, va, st, _ = tabular.tab_datasets(fx.tab(spark, sf), None, cfg, 0.8, "train")
     both = tr.select(*TAB_KEYS, "features").unionByName(va.select(*TAB_KEYS, "features"))
     return prep.explode_features(both, TAB_KEYS, st.feature_names)
+
+
+@query("b9_series_datasets_both")
+def b9_series_datasets_both(spark, sf):
+    """Series loaders for split='both': subject split, availability filter,
+    batches (shuffled train, ordered val)."""
+    sets, _ = sp.series_datasets(fx.subjects(spark, sf), fx.series(spark, sf), SER_ORDER, "both", 0.2,
+                                 batch_size=8, every=EVERY, tail=TAIL)
+    cols = ["id", "sii", "batch_id", F.col("n_steps").cast("int").alias("n_steps"),
+            F.size("padded").cast("int").alias("padded_steps")]
+    return sets["train"].select(*cols, F.lit("train").alias("split")).unionByName(
+        sets["val"].select(*cols, F.lit("val").alias("split")))

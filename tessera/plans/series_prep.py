@@ -133,3 +133,30 @@ def assemble(static: DataFrame, series_df: DataFrame, st: SeriesState, order, ev
     sv = static_vector(s, st, keep=keep)
     seq = sequences(series_df, st.id_col, order, every, tail)
     return schema.assemble_samples(sv, seq, st.id_col)
+
+
+def series_datasets(static: DataFrame, series_df: DataFrame, order, split: str = "both", test_size: float = 0.2,
+                    batch_size: int = 8, every: int = 10, tail: int = 1000, id_col: str = "id",
+                    target: str = "sii", seed=42, columns=None, feature_selection: str = "none",
+                    n_features: int = 10):
+    """Series loaders as one plan: labelled subjects split (stratified on the
+    target) → subjects without a series dropped → state fitted on the
+    training subjects → samples → padded batches (training batches in keyed
+    shuffled order, validation batches in id order).
+
+    Returns {split name: DataFrame(id, target, batch_id, n_steps, padded,
+    static)} for 'train', 'val' or both, plus the fitted state."""
+    from tessera.operators import balance, series as ser
+    if split not in ("train", "val", "both"):
+        raise ValueError("split must be 'train', 'val' or 'both'")
+    lab = schema.drop_missing_target(static, target)
+    parts = balance.stratified_split(lab, target, id_col, test_size, seed)
+    st = fit_static(parts.where(F.col("split") == "train").drop("split"), id_col, target, columns,
+                    feature_selection, n_features)
+    want = ["train", "val"] if split == "both" else [split]
+    out = {}
+    for name in want:
+        ids = parts.where(F.col("split") == name).select(id_col)
+        s = assemble(static, series_df, st, order, every, tail, labelled=True, ids=ids)
+        out[name] = ser.pad_batches(s, id_col, "seq", batch_size, shuffle=(name == "train"), seed=seed)
+    return out, st
