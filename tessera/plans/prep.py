@@ -103,6 +103,12 @@ def _imputed_moments(df: DataFrame, cols, strategy: str, cat_cols=(), cat_limit:
     return {c: f for c, f in fills.items() if c not in dropped}, dropped, mean, scale
 
 
+def _check_categories(vc: dict, limit: int) -> None:
+    big = [c for c, v in vc.items() if len(v) > limit]
+    if big:
+        raise ValueError(f"too many categories for a dense one-hot encoding: {big}")
+
+
 def fit(df: DataFrame, cfg: PrepConfig) -> PrepState:
     """Fit imputers, scaler and one-hot categories (dataproc fit_transform
     up to the column transformer). Selection is fitted by ``fit_select``."""
@@ -123,6 +129,7 @@ def fit(df: DataFrame, cfg: PrepConfig) -> PrepState:
         df, num, cfg.imp, cat_cols=cat, cat_limit=cfg.max_categories * max(1, len(cat)), cat_out=vc)
     if cat and not vc:
         vc = impute.value_counts(df, cat, cfg.max_categories * max(1, len(cat)))
+    _check_categories(vc, cfg.max_categories)
     st.cat_fill = {c: min(v.items(), key=lambda kv: (-kv[1], kv[0]))[0] for c, v in vc.items() if v}
     dropped_c = [c for c in cat if c not in st.cat_fill]
     st.dropped = dropped_n + dropped_c
@@ -142,6 +149,7 @@ def _fit_knn(df: DataFrame, cfg: PrepConfig, st: PrepState, num, cat) -> PrepSta
     from tessera.session import ensure_checkpoint_dir
     key = cfg.keys[0]
     vc = impute.value_counts(df, cat, cfg.max_categories * max(1, len(cat)))
+    _check_categories(vc, cfg.max_categories)
     st.cat_fill = {c: min(v.items(), key=lambda kv: (-kv[1], kv[0]))[0] for c, v in vc.items() if v}
     row = df.agg(*[F.count(F.col(c)).alias(c) for c in num]).first() if num else {}
     dropped_n = [c for c in num if not row[c]]

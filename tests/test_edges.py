@@ -89,3 +89,11 @@ def test_series_static_selection(spark):
     import numpy as np
     pcs = np.array([r["static"][:2] for r in rows])
     assert np.allclose(pcs.mean(axis=0), 0, atol=1e-9) and np.allclose(pcs.std(axis=0), 1, atol=1e-9)
+
+
+def test_dense_onehot_width_is_checked_per_column(spark):
+    import pytest
+    rows = [(i, f"v{i}", "a", i % 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, wide string, narrow string, y int")
+    with pytest.raises(ValueError):
+        prep.fit(df, prep.PrepConfig(target="y", keys=("id",), imp="mean", max_categories=20))
