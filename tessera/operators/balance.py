@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tessera.functions.keys import keyed_index
-from tessera.operators.rank import hash_rank
+from tessera.operators.rank import hash_rank, hash_within
 
 MAX_CLASSES = 100_000   # class tables are broadcast; refuse label columns beyond this
 
@@ -50,8 +50,8 @@ def random_under(df: DataFrame, label: str, key, seed=42) -> DataFrame:
     n_min rows of each class with the smallest keyed hash)."""
     counts = _counts(df, label)
     n_min = min(counts.values())
-    r = hash_rank(df.where(F.col(label).isNotNull()), key, seed, group=[label], n_groups=len(counts))
-    return r.where(F.col("_rank") <= n_min).drop("_rank")
+    r = hash_within(df.where(F.col(label).isNotNull()), key, n_min, seed, group=[label], n_groups=len(counts))
+    return r.where(F.col("_in")).drop("_in")
 
 
 def _draws(spark, deficits: dict, label: str, label_type: str, chunk: int = 1_000_000) -> DataFrame:
@@ -111,10 +111,9 @@ def stratified_split(df: DataFrame, label: str, key, test_size: float = 0.2, see
     counts = _counts(df, label)
     tc = split_counts(counts, test_size)
     lt = df.schema[label].dataType.simpleString()
-    tt = df.sparkSession.createDataFrame(list(tc.items()), f"{label} {lt}, _t bigint")
-    r = hash_rank(df, key, seed, group=[label], n_groups=len(counts)).join(F.broadcast(tt), label)
-    return r.withColumn("split", F.when(F.col("_rank") <= F.col("_t"), "val").otherwise("train")) \
-            .drop("_rank", "_t")
+    tt = df.sparkSession.createDataFrame(list(tc.items()), f"{label} {lt}, _lim bigint")
+    r = hash_within(df, key, tt, seed, group=[label], n_groups=len(counts))
+    return r.withColumn("split", F.when(F.col("_in"), "val").otherwise("train")).drop("_in")
 
 
 def take_split(df: DataFrame, split: str) -> DataFrame | tuple:
@@ -129,6 +128,6 @@ def take_split(df: DataFrame, split: str) -> DataFrame | tuple:
 def random_split(df: DataFrame, key, frac: float = 0.8, seed=42) -> DataFrame:
     """Unstratified split, train = floor(frac · n) rows with the
     smallest keyed hash; adds ``split``."""
-    r = hash_rank(df, key, seed, with_total=True)
-    return r.withColumn("split", F.when(F.col("_rank") <= F.floor(F.col("_group_n") * F.lit(frac)), "train")
-                        .otherwise("val")).drop("_rank", "_group_n")
+    n = df.count()
+    r = hash_within(df, key, int(math.floor(n * frac)), seed)
+    return r.withColumn("split", F.when(F.col("_in"), "train").otherwise("val")).drop("_in")

@@ -66,3 +66,38 @@ def ordered_rank(df: DataFrame, order, out: str = "_rank", chunks: int | None =
     j = ranged.join(F.broadcast(offs), "_chunk")
     return j.withColumn(out, F.col("_off") + F.row_number().over(
         W.partitionBy("_chunk").orderBy(*order))).drop("_chunk", "_off")
+
+
+def hash_within(df: DataFrame, keys, limits, seed=42, group=(), buckets: int = 4096,
+                n_groups: int | None = None, out: str = "_in") -> DataFrame:
+    """Add boolean ``out``: is the row's keyed-hash rank within its group
+    ≤ the group's limit? Same answer as ``hash_rank(...) <= limit``, but
+    without shuffling every row: bucket counts (a small aggregate) decide
+    whole buckets map-side through a broadcast join, and only each group's
+    one boundary bucket is shuffled and ranked.
+
+    ``limits``: an int (every group) or a DataFrame (group…, ``_lim``) with
+    one row per group (low cardinality, like a class table)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    group = [group] if isinstance(group, str) else list(group)
+    if group and n_groups:
+        buckets = max(16, min(buckets, MAX_BROADCAST_ROWS // max(n_groups, 1)))
+    bits = max(1, (buckets - 1).bit_length())
+    h = df.withColumn("_h", keyed_hash60(seed, *keys)).withColumn("_b", F.shiftright(F.col("_h"), 60 - bits))
+    counts = h.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    wg = W.partitionBy(*group).orderBy("_b") if group else W.orderBy("_b")
+    offs = counts.select(*group, "_b", "_bn", F.coalesce(F.sum("_bn").over(
+        wg.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    if isinstance(limits, int):
+        offs = offs.withColumn("_lim", F.lit(limits).cast("bigint"))
+    else:
+        offs = offs.join(limits.select(*group, F.col("_lim").cast("bigint").alias("_lim")), group)
+    offs = offs.withColumn("_state", F.when(F.col("_off") + F.col("_bn") <= F.col("_lim"), F.lit(1))
+                           .when(F.col("_off") >= F.col("_lim"), F.lit(0)).otherwise(F.lit(2)))
+    proven = (not group) or (n_groups is not None and n_groups * (1 << bits) <= MAX_BROADCAST_ROWS)
+    offs = F.broadcast(offs) if proven else offs
+    j = h.join(offs.select(*group, "_b", "_off", "_lim", "_state"), [*group, "_b"])
+    sure = j.where(F.col("_state") != 2).withColumn(out, F.col("_state") == 1)
+    edge = j.where(F.col("_state") == 2).withColumn(
+        out, F.col("_off") + F.row_number().over(W.partitionBy(*group, "_b").orderBy("_h", *keys)) <= F.col("_lim"))
+    return sure.unionByName(edge).drop("_h", "_b", "_off", "_lim", "_state")

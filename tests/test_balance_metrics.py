@@ -101,3 +101,13 @@ def test_log_prob_codegen_path_equals_lambda_path(spark):
     a = [r[0] for r in df.select(met.log_prob(F.col("logits"), F.col("y"))).collect()]
     b = [r[0] for r in df.select(met.log_prob(F.col("logits"), F.col("y"), n_classes=3)).collect()]
     assert all(math.isclose(x, z) for x, z in zip(a, b))
+
+
+def test_hash_within_equals_rank_threshold(spark):
+    from tessera.operators.rank import hash_within
+    df = _lab(spark, 700, 0.3)
+    lim = spark.createDataFrame([(0, 123), (1, 7)], "y int, _lim long")
+    a = {r["k"]: r["_in"] for r in hash_within(df, "k", lim, 42, group=["y"], buckets=32).collect()}
+    ranked = hash_rank(df, "k", 42, group=["y"], buckets=32).collect()
+    b = {r["k"]: r["_rank"] <= (123 if r["y"] == 0 else 7) for r in ranked}
+    assert a == b and sum(a.values()) == 130
