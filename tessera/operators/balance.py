@@ -39,7 +39,7 @@ def with_class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def _counts(df, label):
-    rows = class_table(df, label).collect()
+    rows = class_table(df, label).limit(MAX_CLASSES + 1).collect()   # bounded fetch
     if len(rows) > MAX_CLASSES:
         raise ValueError("label has too many distinct values for class balancing")
     return {r[label]: r["n_c"] for r in rows}
