@@ -23,7 +23,13 @@ from pyspark.sql import Window as W
 from tessera.session import ensure_checkpoint_dir
 
 
-def sq_dist(a, b):
+def sq_dist(a, b, dim: int | None = None):
+    """Squared Euclidean distance of two array<double> columns; with a known
+    (moderate) width it is written element by element so it compiles into
+    generated code instead of running interpreted array lambdas."""
+    if dim is not None and dim <= 256:
+        terms = [(a.getItem(i) - b.getItem(i)) * (a.getItem(i) - b.getItem(i)) for i in range(dim)]
+        return sum(terms[1:], terms[0]) if terms else F.lit(0.0)
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
 
@@ -92,7 +98,7 @@ def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
         qcell = pending.select(*part, "_q", "_qv", F.explode(F.array(*[
             F.array(*[cell(i) + F.lit(o[i]) for i in range(g)]) for o in offsets])).alias("_cell"))
         cand = qcell.join(dcell, [*part, "_cell"])
-        cand = cand.select(*part, "_q", "_keys", (F.sqrt(sq_dist(F.col("_qv"), F.col("_dv")) * F.lit(scale * scale)))
+        cand = cand.select(*part, "_q", "_keys", (F.sqrt(sq_dist(F.col("_qv"), F.col("_dv"), dim) * F.lit(scale * scale)))
                            .alias("dist")).select(*part, "_q", "dist", F.explode("_keys").alias("_d"))
         if exclude_self:
             cand = cand.where(F.col("_q") != F.col("_d"))
