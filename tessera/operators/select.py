@@ -236,11 +236,15 @@ def fit_pca(df, col="features", k=10):
 
 
 def pca_project(col: str, projection, centre):
-    """PC_j = Σ_i (x_i − centre_i) · loading_ji, as JVM expressions."""
-    d = F.zip_with(F.col(col), F.array(*[F.lit(v) for v in centre]), lambda a, b: a - b)
-    return F.array(*[
-        F.aggregate(F.zip_with(d, F.array(*[F.lit(v) for v in comp]), lambda a, b: a * b), F.lit(0.0),
-                    lambda acc, v: acc + v) for comp in projection])
+    """PC_j = Σ_i (x_i − centre_i) · loading_ji, written element by element
+    (the widths are known from the fit, so this compiles into generated code)."""
+    x = F.col(col)
+    d = [x.getItem(i) - F.lit(c) for i, c in enumerate(centre)]
+    out = []
+    for comp in projection:
+        terms = [d[i] * F.lit(w) for i, w in enumerate(comp)]
+        out.append(sum(terms[1:], terms[0]) if terms else F.lit(0.0))
+    return F.array(*out)
 
 
 # ------------------------------------------------------------ dispatcher
