@@ -111,3 +111,20 @@ def test_lstm_batch_equals_per_sample():
     got = sco.hybrid_forward_batch(seqs, statics, net)
     for i in range(4):
         assert np.allclose(got[i], sco.hybrid_forward(np.asarray(seqs[i]), np.asarray(statics[i]), net))
+
+
+def test_pca_projection_matches_numpy(spark):
+    rng = np.random.default_rng(8)
+    X = rng.normal(size=(50, 4)) @ rng.normal(size=(4, 4))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "i long, features array<double>")
+    sel = fsel.fit_select(df, "pca", None, k=2)
+    got = np.array([r["features"] for r in fsel.apply_select(df, sel).orderBy("i").collect()])
+    want = (X - np.array(sel.centre)) @ np.array(sel.projection).T
+    assert np.allclose(got, want)
+    # components are orthonormal and sign-fixed (largest |loading| positive)
+    P = np.array(sel.projection)
+    assert np.allclose(P @ P.T, np.eye(2), atol=1e-8)
+    assert all(row[np.argmax(np.abs(row))] > 0 for row in P)
+    # the first component is the top eigenvector of the covariance
+    w, v = np.linalg.eigh(np.cov((X - X.mean(0)).T))
+    assert abs(abs(np.dot(v[:, -1], P[0])) - 1) < 1e-6
