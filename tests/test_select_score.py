@@ -128,3 +128,29 @@ def test_pca_projection_matches_numpy(spark):
     # the first component is the top eigenvector of the covariance
     w, v = np.linalg.eigh(np.cov((X - X.mean(0)).T))
     assert abs(abs(np.dot(v[:, -1], P[0])) - 1) < 1e-6
+
+
+def _lasso_cd(X, y, alpha, iters=5000):
+    """min (1/2n)‖y − Xw − b‖² + α‖w‖₁ by coordinate descent (centred data)."""
+    n, p = X.shape
+    Xc, yc = X - X.mean(0), y - y.mean()
+    w = np.zeros(p)
+    for _ in range(iters):
+        for j in range(p):
+            r = yc - Xc @ w + Xc[:, j] * w[j]
+            rho = Xc[:, j] @ r / n
+            z = (Xc[:, j] ** 2).sum() / n
+            w[j] = np.sign(rho) * max(abs(rho) - alpha, 0.0) / z
+    return w
+
+
+def test_lasso_matches_coordinate_descent(spark):
+    rng = np.random.default_rng(12)
+    X = rng.normal(size=(200, 5))
+    y = 2.0 * X[:, 0] - 0.5 * X[:, 2] + 0.05 * X[:, 4] + 0.1 * rng.normal(size=200)
+    df = spark.createDataFrame([(x.tolist(), float(t)) for x, t in zip(X, y)], "features array<double>, y double")
+    got = np.array(fsel.lasso_coefficients(df, "y", alpha=0.1))
+    want = _lasso_cd(X, y, 0.1)
+    assert np.allclose(got, want, atol=1e-3), (got, want)
+    sel = fsel.fit_select(df, "lasso", "y", alpha=0.1)
+    assert sel.indices == [i for i in range(5) if abs(want[i]) > 1e-9]
