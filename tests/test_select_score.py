@@ -154,3 +154,23 @@ def test_lasso_matches_coordinate_descent(spark):
     assert np.allclose(got, want, atol=1e-3), (got, want)
     sel = fsel.fit_select(df, "lasso", "y", alpha=0.1)
     assert sel.indices == [i for i in range(5) if abs(want[i]) > 1e-9]
+
+
+def test_logistic_first_row_matches_numpy(spark):
+    rng = np.random.default_rng(21)
+    n, p, K = 240, 3, 3
+    X = rng.normal(size=(n, p))
+    y = np.argmax(X @ rng.normal(size=(p, K)) + 0.5 * rng.normal(size=(n, K)), axis=1)
+    df = spark.createDataFrame([(x.tolist(), int(c)) for x, c in zip(X, y)], "features array<double>, y int")
+    got = np.array(fsel.logistic_first_row(df, "y", C=1.0))
+    # sklearn objective (C=1): Σ CE + ½‖W‖², i.e. mean CE + ‖W‖² / (2n); intercepts unpenalised
+    W, b, Y = np.zeros((K, p)), np.zeros(K), np.eye(K)[y]
+    for _ in range(20000):
+        Z = X @ W.T + b
+        P = np.exp(Z - Z.max(1, keepdims=True))
+        P /= P.sum(1, keepdims=True)
+        gW = (P - Y).T @ X / n + W / n
+        gb = (P - Y).mean(0)
+        W -= 0.5 * gW
+        b -= 0.5 * gb
+    assert np.allclose(got, np.abs(W[0]), atol=2e-3), (got, np.abs(W[0]))
