@@ -174,3 +174,41 @@ def test_logistic_first_row_matches_numpy(spark):
         W -= 0.5 * gW
         b -= 0.5 * gb
     assert np.allclose(got, np.abs(W[0]), atol=2e-3), (got, np.abs(W[0]))
+
+
+def test_forest_importances_and_ascending_selection(spark):
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(300, 4))
+    y = (X[:, 2] > 0).astype(int) + (X[:, 0] > 1).astype(int)
+    df = spark.createDataFrame([(x.tolist(), int(c)) for x, c in zip(X, y)], "features array<double>, y int")
+    sel = fsel.fit_select(df, "random_forest", "y", k=2)
+    imp = np.array([sel.scores[i] for i in range(4)])
+    assert abs(imp.sum() - 1) < 1e-9 and np.argmax(imp) == 2
+    assert sel.indices == sorted(sel.indices, key=lambda i: imp[i]) and sel.indices[-1] == 2
+    reg = fsel.fit_select(df, "rf_importance", "y", k=1)
+    assert reg.indices == [2]
+
+
+def test_fitted_learners_predict_known_classes(spark):
+    rng = np.random.default_rng(4)
+    X = rng.normal(size=(200, 3))
+    y = (X[:, 0] + 0.1 * rng.normal(size=200) > 0).astype(int)
+    df = spark.createDataFrame([(i, x.tolist(), int(c)) for i, (x, c) in enumerate(zip(X, y))],
+                               "id long, features array<double>, y int")
+    from pyspark.ml.functions import array_to_vector
+    m = sco.fit_mlp(df, "y", hidden=(4,), max_iter=50)
+    pred = m.transform(df.withColumn("_v", array_to_vector("features"))).select("prediction", "y").toPandas()
+    assert set(pred["prediction"].astype(int)) <= {0, 1} and (pred["prediction"] == pred["y"]).mean() > 0.8
+    from tessera.operators import balance as bal
+    net = sco.fit_weighted_linear(bal.with_class_weights(df, "y"), "y", "weight")
+    scored = sco.score_mlp(df, net, keep=["id", "y"]).toPandas()
+    assert (scored["prediction"] == scored["y"]).mean() > 0.9
+
+
+def test_lasso_cv_falls_back_to_top_n(spark):
+    rng = np.random.default_rng(6)
+    X = rng.normal(size=(120, 3))
+    y = 3 * X[:, 1] + 0.1 * rng.normal(size=120)
+    df = spark.createDataFrame([(x.tolist(), float(t)) for x, t in zip(X, y)], "features array<double>, y double")
+    sel = fsel.fit_select(df, "lasso_cv", "y", k=2)
+    assert 1 in sel.indices
