@@ -11,6 +11,18 @@ from pyspark.sql import functions as F
 
 from tessera.plans import prep
 from tessera.sources import fixtures as fx
+from tessera.operators import series as ser
+from tessera.operators import schema as sch
+from tessera.operators import balance as bal
+from tessera.operators import metrics as met
+from tessera.plans import series_prep as sp
+from tessera.operators import impute as imp
+from tessera.operators import encode as enc
+from tessera.operators import select as fsel
+from tessera.operators import score as sco
+from tessera.operators import knn
+from tessera.sources import io
+from tessera.plans import tabular
 
 QUERIES: dict = {}
 
@@ -49,8 +61,6 @@ def c2_prep_train_mean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- series (H)
-from tessera.operators import series as ser  # noqa: E402
-from tessera.operators import schema as sch  # noqa: E402
 
 SER_ORDER = ("ts", "event_id")
 SER_COLS = ("event_id", "value", "k")   # numeric columns of the series view
@@ -118,8 +128,6 @@ def b9_batches_in_order(spark, sf):
 
 
 # ------------------------------------------------------- balance & split (G)
-from tessera.operators import balance as bal  # noqa: E402
-from tessera.operators import metrics as met  # noqa: E402
 
 
 def _docs(spark, sf):
@@ -215,7 +223,6 @@ def m9_report(spark, sf):
 
 
 # ------------------------------------------------- subjects & samples (B, D6)
-from tessera.plans import series_prep as sp  # noqa: E402
 
 
 def _subj_state(spark, sf):
@@ -300,8 +307,6 @@ def d5_transform_new_rows(spark, sf):
 
 
 # ----------------------------------------------- impute & encode steps (C, D)
-from tessera.operators import impute as imp  # noqa: E402
-from tessera.operators import encode as enc  # noqa: E402
 
 
 @query("c1_median_impute")
@@ -352,7 +357,6 @@ def d4_label_encode(spark, sf):
 
 
 # ------------------------------------------------------- feature selection (F)
-from tessera.operators import select as fsel  # noqa: E402
 
 
 def _tab_features(spark, sf):
@@ -461,7 +465,6 @@ def f9_pca(spark, sf):
 
 
 # ------------------------------------------------------------- scoring (E)
-from tessera.operators import score as sco  # noqa: E402
 
 # Supplied model weights for the scoring queries (the reference ships none):
 # generated by ``score.rule_weights`` so the oracle can embed the same numbers.
@@ -547,7 +550,6 @@ def e2_fit_weighted_linear(spark, sf):
 
 
 # ------------------------------------------------ neighbour family
-from tessera.operators import knn  # noqa: E402
 
 
 @query("c3_knn_impute")
@@ -584,7 +586,6 @@ def p2_transform_new_rows(spark, sf):
 
 
 # ---------------------------------------------------------- sources (A)
-from tessera.sources import io  # noqa: E402
 
 
 @query("a1_read_table_string_key")
@@ -673,9 +674,6 @@ def c3_pipeline_knn(spark, sf):
     return prep.explode_features(x, TAB_KEYS, st.feature_names)
 
 
-from tessera.plans import tabular  # noqa: E402
-
-
 @query("g6_tab_datasets_fit_all")
 def g6_tab_datasets_fit_all(spark, sf):
     """Reference order: fit + f_classif + random under-sampling on all
