@@ -91,3 +91,16 @@ def test_streaming_inference_matches_batch(spark):
         .select(F.col("o_orderkey").alias("id"), "prediction")
     assert got.count() == new.count()
     assert got.exceptAll(batch).count() == 0
+
+
+def test_run_name_and_long_id_list(spark):
+    assert io.run_name(mod="mlp", fts="f_classif", k=4) == "mod=mlp-fts=f_classif-k=4"
+    s = fx.series(spark, SF)
+    ids = [str(i) for i in range(2000)]          # > 1000: anti-join path
+    try:
+        io.require_ids(s, "id", ids)
+        raise AssertionError("expected missing subjects")
+    except ValueError as e:
+        assert "subject" in str(e)
+    have = [r[0] for r in s.select("id").distinct().collect()]
+    io.require_ids(s, "id", have)
