@@ -110,8 +110,8 @@ def _check_categories(vc: dict, limit: int) -> None:
 
 
 def fit(df: DataFrame, cfg: PrepConfig) -> PrepState:
-    """Fit imputers, scaler and one-hot categories (dataproc fit_transform
-    up to the column transformer). Selection is fitted by ``fit_select``."""
+    """Fit imputers, scaler and one-hot categories (training preparation up
+    to the column transformer). Selection is fitted by ``fit_select``."""
     if cfg.drop_missing_target and cfg.target in df.columns:
         df = schema.drop_missing_target(df, cfg.target)
     num, cat = schema.feature_kinds(df, cfg.target, exclude=cfg.keys)
