@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -51,7 +52,7 @@ def slices(batch: pa.RecordBatch, col: str, limit: int = SLICE_BYTES) -> Iterato
     if values.nbytes <= limit:
         yield batch
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
     start = held = 0
     for i, n in enumerate(sizes):
         if held and held + n > limit:
@@ -94,3 +95,11 @@ def add_struct(df: DataFrame, text_col: str, out: str, fields: T.StructType,
 def _arrow(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
     return to_arrow_type(kind)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it (case aside)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
