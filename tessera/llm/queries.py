@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import quality, sharding, simhash, url_vocab
+from tessera.llm import duck_bpe, license_index, quality, secret_scan, sharding, simhash, url_vocab
 from tessera.llm.common import table
 
 URL_RULES = [
@@ -35,11 +35,30 @@ def op4_simhash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = secret_scan.scan(table(spark, sf_dir, "documents"), owner_col="source", repo_col="lang")
+    return got.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
+                      "spans", "n_live", "n_example")
+
+
+def op6_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_index.scan_licenses(table(spark, sf_dir, "documents")).select("doc_id", "license.*")
+
+
+def op8_duckdb_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    got = duck_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                              public_tokenizers.PATTERN, keep=["doc_id"])
+    return got.select("doc_id", "bpe.*")
+
+
 def op10_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = url_vocab.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
     return got.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict",
                       F.concat_ws(",", "judged.strict").alias("strict_terms"), F.concat_ws(",", "judged.soft").alias("soft_terms"))
 
 
-QUERIES = {f.__name__: f for f in (op1_histogram_shards, op3_quality_ledger, op4_simhash_index, op10_url_vocabulary)}
+QUERIES = {f.__name__: f for f in (op1_histogram_shards, op3_quality_ledger, op4_simhash_index, op5_secret_ownership, op6_license_index,
+                                  op8_duckdb_bpe, op10_url_vocabulary)}
 ORACLES: dict[str, str] = {}
