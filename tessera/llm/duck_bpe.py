@@ -16,6 +16,7 @@ import base64
 import functools
 import hashlib
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -75,8 +76,8 @@ class DuckBpe:
         self.con.execute("CREATE TABLE merges AS FROM merges")
         self.con.execute("CREATE TABLE vocabulary AS FROM vocabulary")
 
-    def contract(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word, by the recursive query."""
+    def contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, and how many each has, by the recursive query."""
         lens = np.array([len(w) for w in words], np.int64)
         starts = np.cumsum(lens) - lens
         positions = pa.table({  # noqa: F841 (read by name)
@@ -84,18 +85,19 @@ class DuckBpe:
             "pos": (np.arange(lens.sum()) - np.repeat(starts, lens)).astype(np.int32),
             "id": self.byte_id[np.frombuffer(b"".join(words), np.uint8)]})
         got = self.con.sql(CONTRACT).to_arrow_table().column("ids").combine_chunks()
-        flat, ends = got.flatten().to_numpy(), np.cumsum(pc.list_value_length(got).to_numpy())
-        return np.split(flat, ends[:-1])
+        return got.flatten().to_numpy(), pc.list_value_length(got).to_numpy()
 
     def learn(self, pieces: set[str]) -> None:
         """Ids of all pieces not known yet: a token of its own, or the contracted bytes."""
+        whole: list[str] = []
         todo: list[tuple[str, bytes]] = []
         for p in self.pieces.missing(pieces):
             raw = p.encode()
-            if (one := self.ranks.get(raw)) is not None:
-                self.pieces.add(p, (one,))
+            if raw in self.ranks:
+                whole.append(p)
             else:
                 todo.append((p, raw))
+        self.pieces.add(whole, np.array([self.ranks[p.encode()] for p in whole], np.int32), np.ones(len(whole)))
         todo.sort(key=lambda x: len(x[1]))  # words of like length end together
         at = 0
         while at < len(todo):
@@ -103,8 +105,7 @@ class DuckBpe:
             while end < len(todo) and end - at < AT_ONCE and (end == at or held + len(todo[end][1]) <= BYTES_AT_ONCE):
                 held += len(todo[end][1])
                 end += 1
-            for (p, _), ids in zip(todo[at:end], self.contract([r for _, r in todo[at:end]])):
-                self.pieces.add(p, ids.tolist())
+            self.pieces.add([p for p, _ in todo[at:end]], *self.contract([r for _, r in todo[at:end]]))
             at = end
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -123,7 +124,7 @@ class DuckBpe:
             if c:
                 c[0] = c[0].encode()  # bytes: no space before it
             cut.append(c)
-        new = self.chunks.missing(c for cs in cut for c in cs)
+        new = self.chunks.missing(chain.from_iterable(cut))
         odd: set = set()
         split: dict = {}
         for c in new:
@@ -136,20 +137,16 @@ class DuckBpe:
             else:
                 split[c] = self.split(whole)
         by_text = {i: self.split(texts[i]) for i, cs in enumerate(cut) if odd and not odd.isdisjoint(cs)}
-        self.learn({p for ps in (*split.values(), *by_text.values()) for p in ps})
+        self.learn(set(chain.from_iterable(chain(split.values(), by_text.values()))))
         if split:
-            flat, size = self.pieces.gather([p for ps in split.values() for p in ps])
-            ends, at, flat = np.cumsum(size).tolist(), 0, flat.tolist()
-            begin = 0
-            for c, ps in split.items():
-                at += len(ps)
-                self.chunks.add(c, flat[begin:ends[at - 1]])
-                begin = ends[at - 1]
-        parts, counts, run, run_texts = [], np.zeros(len(texts), np.int64), [], []
+            flat, size = self.pieces.gather(list(chain.from_iterable(split.values())))
+            first = np.cumsum([0, *map(len, split.values())])[:-1]
+            self.chunks.add(list(split), flat, np.add.reduceat(size, first))
+        parts, counts, run_texts = [], np.zeros(len(texts), np.int64), []
 
         def flush() -> None:
             if run_texts:
-                ids, size = self.chunks.gather([c for i in run_texts for c in cut[i]])
+                ids, size = self.chunks.gather(list(chain.from_iterable(cut[i] for i in run_texts)))
                 parts.append(ids)
                 total = np.concatenate([[0], np.cumsum(size)])
                 ends = np.cumsum([len(cut[i]) for i in run_texts])

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from array import array
-from collections.abc import Hashable, Iterable
+from collections.abc import Hashable, Iterable, Sequence
+from itertools import filterfalse
 
 import numpy as np
 
@@ -27,28 +28,19 @@ class IdPool:
 
     def missing(self, keys: Iterable[Hashable]) -> set:
         """Keys that are not known and have to be added before they are gathered."""
-        new = {k for k in keys if k not in self.now.code}
-        if self.old:
-            for k in [k for k in new if k in self.old.code]:
-                self.now.add(k, self.old.get(k))
-                new.remove(k)
+        new = set(filterfalse(self.now.code.__contains__, keys))
+        if self.old and (back := list(filter(self.old.code.__contains__, new))):
+            self.now.add(back, *self.old.gather(back))
+            new.difference_update(back)
         return new
 
-    def add(self, key: Hashable, ids: Iterable[int]) -> None:
-        self.now.add(key, ids)
+    def add(self, keys: Sequence[Hashable], ids: np.ndarray, size: np.ndarray) -> None:
+        """New keys: their ids one after the other, and how many each has."""
+        self.now.add(keys, ids, size)
 
-    def gather(self, keys: list) -> tuple[np.ndarray, np.ndarray]:
+    def gather(self, keys: Sequence[Hashable]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all keys one after the other, and how many each has."""
-        at = self.now
-        codes = np.fromiter(map(at.code.__getitem__, keys), np.int64, len(keys))
-        if not len(codes):
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        start = np.frombuffer(at.start, np.int64)[codes]
-        size = np.frombuffer(at.size, np.int32)[codes].astype(np.int64)
-        ends = np.cumsum(size)
-        where = np.arange(ends[-1]) + np.repeat(start - (ends - size), size)
-        flat = np.frombuffer(at.flat, np.int32) if len(at.flat) else np.zeros(0, np.int32)
-        return flat[where], size
+        return self.now.gather(keys)
 
 
 class _Ids:
@@ -56,12 +48,20 @@ class _Ids:
         self.code: dict[Hashable, int] = {}
         self.start, self.size, self.flat = array("q"), array("i"), array("i")
 
-    def add(self, key: Hashable, ids: Iterable[int]) -> None:
-        self.code[key] = len(self.start)
-        self.start.append(len(self.flat))
-        self.flat.extend(ids)
-        self.size.append(len(self.flat) - self.start[-1])
+    def add(self, keys: Sequence[Hashable], ids: np.ndarray, size: np.ndarray) -> None:
+        size = np.asarray(size, np.int64)
+        self.code.update(zip(keys, range(len(self.start), len(self.start) + len(keys))))
+        self.start.frombytes((np.cumsum(size) - size + len(self.flat)).astype(np.int64).tobytes())
+        self.size.frombytes(size.astype(np.int32).tobytes())
+        self.flat.frombytes(np.asarray(ids, np.int32).tobytes())
 
-    def get(self, key: Hashable) -> array:
-        c = self.code[key]
-        return self.flat[self.start[c]:self.start[c] + self.size[c]]
+    def gather(self, keys: Sequence[Hashable]) -> tuple[np.ndarray, np.ndarray]:
+        codes = np.fromiter(map(self.code.__getitem__, keys), np.int64, len(keys))
+        if not len(codes):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        start = np.frombuffer(self.start, np.int64)[codes]
+        size = np.frombuffer(self.size, np.int32)[codes].astype(np.int64)
+        ends = np.cumsum(size)
+        where = np.arange(ends[-1]) + np.repeat(start - (ends - size), size)
+        flat = np.frombuffer(self.flat, np.int32) if len(self.flat) else np.zeros(0, np.int32)
+        return flat[where], size
