@@ -87,18 +87,12 @@ class DuckBpe:
         got = self.con.sql(CONTRACT).to_arrow_table().column("ids").combine_chunks()
         return got.flatten().to_numpy(), pc.list_value_length(got).to_numpy()
 
-    def learn(self, pieces: set[str]) -> None:
-        """Ids of all pieces not known yet: a token of its own, or the contracted bytes."""
-        whole: list[str] = []
-        todo: list[tuple[str, bytes]] = []
-        for p in self.pieces.missing(pieces):
-            raw = p.encode()
-            if raw in self.ranks:
-                whole.append(p)
-            else:
-                todo.append((p, raw))
-        self.pieces.add(whole, np.array([self.ranks[p.encode()] for p in whole], np.int32), np.ones(len(whole)))
-        todo.sort(key=lambda x: len(x[1]))  # words of like length end together
+    def learn_pieces(self, new: list[str]) -> None:
+        """A token of its own, or the contracted bytes."""
+        raw = {p: p.encode() for p in new}
+        whole = [p for p, r in raw.items() if r in self.ranks]
+        self.pieces.add(whole, np.array([self.ranks[raw.pop(p)] for p in whole], np.int32), np.ones(len(whole)))
+        todo = sorted(raw.items(), key=lambda x: len(x[1]))  # words of like length end together
         at = 0
         while at < len(todo):
             end, held = at, 0
@@ -108,6 +102,24 @@ class DuckBpe:
             self.pieces.add([p for p, _ in todo[at:end]], *self.contract([r for _, r in todo[at:end]]))
             at = end
 
+    def learn_chunks(self, new: list) -> None:
+        """Ids of chunks; none for a chunk that is not a place of its own (see ``encode``)."""
+        split: dict = {}
+        odd: list = []
+        for c in new:
+            if isinstance(c, bytes):
+                core = whole = c.decode()
+            else:
+                core, whole = (c[1:], c) if c[:1] == "\n" else (c, " " + c)
+            if not core or core[0].isspace() or core[-1].isspace():
+                odd.append(c)
+            else:
+                split[c] = self.split(whole)
+        self.chunks.add(odd, np.zeros(0, np.int32), np.zeros(len(odd)))
+        if split:
+            flat, size = self.pieces.gather(list(chain.from_iterable(split.values())), self.learn_pieces)
+            self.chunks.add(list(split), flat, np.add.reduceat(size, np.cumsum([0, *map(len, split.values())])[:-1]))
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each text's.
 
@@ -120,49 +132,20 @@ class DuckBpe:
         self.chunks.trim()
         cut: list[list] = []
         for t in texts:
-            c: list = (t or "").replace("\n", " \n").split(" ") if t else []
+            c: list = t.replace("\n", " \n").split(" ") if t else []
             if c:
                 c[0] = c[0].encode()  # bytes: no space before it
             cut.append(c)
-        new = self.chunks.missing(chain.from_iterable(cut))
-        odd: set = set()
-        split: dict = {}
-        for c in new:
-            if isinstance(c, bytes):
-                core = whole = c.decode()
-            else:
-                core, whole = (c[1:], c) if c[:1] == "\n" else (c, " " + c)
-            if not core or core[0].isspace() or core[-1].isspace():
-                odd.add(c)
-            else:
-                split[c] = self.split(whole)
-        by_text = {i: self.split(texts[i]) for i, cs in enumerate(cut) if odd and not odd.isdisjoint(cs)}
-        self.learn(set(chain.from_iterable(chain(split.values(), by_text.values()))))
-        if split:
-            flat, size = self.pieces.gather(list(chain.from_iterable(split.values())))
-            first = np.cumsum([0, *map(len, split.values())])[:-1]
-            self.chunks.add(list(split), flat, np.add.reduceat(size, first))
-        parts, counts, run_texts = [], np.zeros(len(texts), np.int64), []
-
-        def flush() -> None:
-            if run_texts:
-                ids, size = self.chunks.gather(list(chain.from_iterable(cut[i] for i in run_texts)))
-                parts.append(ids)
-                total = np.concatenate([[0], np.cumsum(size)])
-                ends = np.cumsum([len(cut[i]) for i in run_texts])
-                counts[run_texts] = np.diff(total[np.concatenate([[0], ends])])
-                run_texts.clear()
-
-        for i in range(len(texts)):
-            if i in by_text:
-                flush()
-                ids, _ = self.pieces.gather(by_text[i])
-                parts.append(ids)
-                counts[i] = len(ids)
-            else:
-                run_texts.append(i)
-        flush()
-        return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), counts
+        ids, size = self.chunks.gather(list(chain.from_iterable(cut)), self.learn_chunks)
+        bounds = np.cumsum([0, *map(len, cut)])
+        total = np.concatenate([[0], np.cumsum(size)])[bounds]
+        odd = np.unique(np.searchsorted(bounds, np.nonzero(size == 0)[0], side="right") - 1)
+        if not len(odd):
+            return ids, np.diff(total)
+        parts = [ids[a:b] for a, b in zip(total[:-1], total[1:])]
+        for i in odd.tolist():
+            parts[i], _ = self.pieces.gather(self.split(texts[i]), self.learn_pieces)
+        return np.concatenate(parts), np.array([len(p) for p in parts])
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """Bytes of each text from its ids, by ordered aggregation."""

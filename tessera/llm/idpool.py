@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from array import array
-from collections.abc import Hashable, Iterable, Sequence
-from itertools import filterfalse
+from collections.abc import Callable, Hashable, Sequence
+from itertools import repeat
 
 import numpy as np
 
@@ -22,25 +22,31 @@ class IdPool:
         self.now = _Ids()
 
     def trim(self) -> None:
-        """To be called between two rounds of ``missing``, ``add`` and ``gather``."""
+        """To be called between two rounds of ``gather``."""
         if len(self.now.code) > self.limit:
             self.old, self.now = self.now, _Ids()
 
-    def missing(self, keys: Iterable[Hashable]) -> set:
-        """Keys that are not known and have to be added before they are gathered."""
-        new = set(filterfalse(self.now.code.__contains__, keys))
-        if self.old and (back := list(filter(self.old.code.__contains__, new))):
-            self.now.add(back, *self.old.gather(back))
-            new.difference_update(back)
-        return new
-
     def add(self, keys: Sequence[Hashable], ids: np.ndarray, size: np.ndarray) -> None:
         """New keys: their ids one after the other, and how many each has."""
         self.now.add(keys, ids, size)
 
-    def gather(self, keys: Sequence[Hashable]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all keys one after the other, and how many each has."""
-        return self.now.gather(keys)
+    def gather(self, keys: Sequence[Hashable], make: Callable[[list], None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all keys one after the other, and how many each has.
+
+        ``make`` gets the distinct keys that are not known and adds them.
+        """
+        codes = np.fromiter(map(self.now.code.get, keys, repeat(-1)), np.int64, len(keys))
+        absent = np.nonzero(codes < 0)[0].tolist()
+        if absent:
+            gone = [keys[i] for i in absent]
+            new = set(gone)
+            if self.old and (back := list(filter(self.old.code.__contains__, new))):
+                self.now.add(back, *self.old.take(np.fromiter(map(self.old.code.__getitem__, back), np.int64, len(back))))
+                new.difference_update(back)
+            if new:
+                make(list(new))
+            codes[absent] = np.fromiter(map(self.now.code.__getitem__, gone), np.int64, len(gone))
+        return self.now.take(codes)
 
 
 class _Ids:
@@ -55,8 +61,7 @@ class _Ids:
         self.size.frombytes(size.astype(np.int32).tobytes())
         self.flat.frombytes(np.asarray(ids, np.int32).tobytes())
 
-    def gather(self, keys: Sequence[Hashable]) -> tuple[np.ndarray, np.ndarray]:
-        codes = np.fromiter(map(self.code.__getitem__, keys), np.int64, len(keys))
+    def take(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(codes):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         start = np.frombuffer(self.start, np.int64)[codes]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import duck_bpe, license_index, quality, secret_scan, sharding, simhash, url_vocab
+from tessera.llm import duck_bpe, license_index, quality, secret_scan, sharding, simhash, token_files, url_vocab
 from tessera.llm.common import table
 
 URL_RULES = [
@@ -45,6 +45,13 @@ def op6_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_index.scan_licenses(table(spark, sf_dir, "documents")).select("doc_id", "license.*")
 
 
+def op7_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    manifest = token_files.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_ids(manifest)
+
+
 def op8_duckdb_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -60,5 +67,5 @@ def op10_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_histogram_shards, op3_quality_ledger, op4_simhash_index, op5_secret_ownership, op6_license_index,
-                                  op8_duckdb_bpe, op10_url_vocabulary)}
+                                  op7_simple8b_ids, op8_duckdb_bpe, op10_url_vocabulary)}
 ORACLES: dict[str, str] = {}
