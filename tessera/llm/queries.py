@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import duck_bpe, license_index, quality, secret_scan, sharding, simhash, token_files, url_vocab
+from tessera.llm import decontaminate, duck_bpe, license_index, quality, secret_scan, sharding, simhash, token_files, url_vocab
 from tessera.llm.common import table
 
 URL_RULES = [
@@ -60,6 +60,11 @@ def op8_duckdb_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "bpe.*")
 
 
+def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.drop("text_hash").distinct()
+
+
 def op10_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = url_vocab.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
     return got.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict",
@@ -67,5 +72,5 @@ def op10_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_histogram_shards, op3_quality_ledger, op4_simhash_index, op5_secret_ownership, op6_license_index,
-                                  op7_simple8b_ids, op8_duckdb_bpe, op10_url_vocabulary)}
+                                  op7_simple8b_ids, op8_duckdb_bpe, op9_template_leaks, op10_url_vocabulary)}
 ORACLES: dict[str, str] = {}
