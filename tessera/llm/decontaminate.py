@@ -65,7 +65,8 @@ class Canon:
             elif low in UNITS:
                 kind = UNIT
             else:
-                kind = CAPITAL if word[0].isupper() else LITERAL
+                # a word all in capitals says nothing about names
+                kind = CAPITAL if word[0].isupper() and word != word.upper() else LITERAL
             self.code[c] = len(self.kinds)
             self.hashes.append(self.hash(low))
             self.kinds.append(kind)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, duck_bpe, license_index, quality, secret_scan, sharding, simhash, token_files, url_vocab
+from tessera.llm import decontaminate, duck_bpe, html_mincut, license_index, quality, secret_scan, sharding, simhash, token_files, url_vocab
 from tessera.llm.common import table
 
 URL_RULES = [
@@ -21,6 +21,10 @@ def op1_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_mincut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_mincut.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"]).select("page_id", "url", "main.*")
+
+
 def op3_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality.ledger(table(spark, sf_dir, "documents"))
     failed = F.col("ledger.failed")
@@ -71,6 +75,6 @@ def op10_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.concat_ws(",", "judged.strict").alias("strict_terms"), F.concat_ws(",", "judged.soft").alias("soft_terms"))
 
 
-QUERIES = {f.__name__: f for f in (op1_histogram_shards, op3_quality_ledger, op4_simhash_index, op5_secret_ownership, op6_license_index,
+QUERIES = {f.__name__: f for f in (op1_histogram_shards, op2_mincut_text, op3_quality_ledger, op4_simhash_index, op5_secret_ownership, op6_license_index,
                                   op7_simple8b_ids, op8_duckdb_bpe, op9_template_leaks, op10_url_vocabulary)}
 ORACLES: dict[str, str] = {}
