@@ -102,9 +102,13 @@ class Canon:
         return doc[at], hashes[at], kinds[at], codes, at, span
 
     def slots(self, kinds: np.ndarray, codes: np.ndarray, at: np.ndarray, span: np.ndarray, i: int, n: int) -> list[str]:
-        """Values of the placeholders of the window of ``n`` tokens at ``i``: offset and text."""
-        return [f"{j}:" + " ".join(self.words[c] for c in codes[at[i + j]:at[i + j] + span[i + j]])
-                for j in range(n) if kinds[i + j] != LITERAL]
+        """Values of the placeholders of the window of ``n`` tokens at ``i``: offset and text, units without a plural s."""
+        out = []
+        for j in range(n):
+            if (kind := kinds[i + j]) != LITERAL:
+                value = " ".join(self.words[c] for c in codes[at[i + j]:at[i + j] + span[i + j]])
+                out.append(f"{j}:{value.rstrip('s') if kind == UNIT else value}")
+        return out
 
 
 def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:

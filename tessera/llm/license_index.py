@@ -13,6 +13,7 @@ import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import median
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -79,8 +80,9 @@ class Index:
         self.templates, self.idf, self.min_idf, self.top, self.slack, self.least = templates, idf, min_idf, top, slack, least
         self.words = [words_of(t.text.encode()) for t in templates]
         self.phrases = [[words_of(p.encode()) for p in t.phrases] for t in templates]
-        self.rare = [[(q, w) for q, w in enumerate(ws) if idf[w] >= min_idf] for ws in self.words]
-        self.total = [sum(idf[w] for _, w in r) for r in self.rare]
+        least_idf = [min(min_idf, median(idf[w] for w in ws)) for ws in self.words]
+        self.rare = [[(q, w) for q, w in enumerate(ws) if idf[w] >= cut] for ws, cut in zip(self.words, least_idf)]
+        self.total = [sum(idf[w] for _, w in r) or 1.0 for r in self.rare]
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for t, r in enumerate(self.rare):
             for q, w in r:
@@ -154,11 +156,11 @@ def scan_licenses(df: DataFrame, text_col: str = "text", templates: tuple[Templa
                   min_idf: float = 1.5, top: int = 16, slack: int = 2, least: float = 0.7) -> DataFrame:
     """``df`` and a struct ``out``: word and phrase counts, base labels, all labels, score.
 
-    ``min_idf``: licence words more common than that do not enter the index;
+    ``min_idf``: licence words more common than that do not enter the index
+    (where a licence is very common, the rarer half of its words still does);
     ``top``: words looked up for each file; ``slack``: words by which positions
     may shift; ``least``: share of a template's rare weight that must match.
-    Null and empty texts have no words, no labels and score 0. If every rare
-    word of a template is common in the corpus, that template finds nothing.
+    Null and empty texts have no words, no labels and score 0.
     """
     vocabulary = {w for t in templates for w in words_of(t.text.encode())}
     idf = corpus_idf(df, text_col, vocabulary)

@@ -162,7 +162,9 @@ def redact(df: DataFrame, text_col: str = "text", owner_col: str = "source", rep
     live = judge(held, key, s, owner_col, repo_col, max_owners).where(F.size("live") > 0).select(key, F.col("live").alias(s))
 
     @F.udf(returnType="string", useArrow=True)
-    def cut(text: str, spans: list) -> str:
+    def cut(text: str | None, spans: list | None) -> str | None:
+        if text is None or not spans:  # both arms of a conditional are evaluated for a Python function
+            return text
         parts, end = [], 0
         for a, b in sorted((x["start"], x["end"]) for x in spans):
             if a >= end:
@@ -171,8 +173,7 @@ def redact(df: DataFrame, text_col: str = "text", owner_col: str = "source", rep
         return "".join([*parts, text[end:]])
 
     joined = held.drop(s).join(live, key, "left")
-    text = F.when(F.col(s).isNotNull(), cut(F.col(f"`{text_col}`"), F.col(s))).otherwise(F.col(f"`{text_col}`"))
-    done = joined.withColumn(text_col, text)
+    done = joined.withColumn(text_col, cut(F.col(f"`{text_col}`"), F.col(s)))
     if length_col in df.columns:
         kind = df.schema[length_col].dataType
         done = done.withColumn(length_col, F.when(F.col(s).isNotNull(), F.length(f"`{text_col}`").cast(kind)).otherwise(F.col(f"`{length_col}`")))

@@ -80,13 +80,16 @@ def links(fps: DataFrame, max_distance: int = 2) -> DataFrame:
 
 
 def _components_by_fp(rows: DataFrame, max_distance: int) -> DataFrame:
-    """fp, component_id (smallest id of its component) for each distinct fingerprint of ``rows`` (doc_id, fp)."""
+    """fp, root (a fingerprint of its component), component_id (smallest id there) for each distinct fingerprint of ``rows`` (doc_id, fp)."""
     fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     found = components(links(fps.select("fp"), max_distance))
     inside = materialize(fps.join(found.withColumnRenamed("node", "fp"), "fp"), "linked")
     root = materialize(inside.groupBy("root").agg(F.min("least").alias("component_id")), "roots")
-    linked = inside.join(root, "root").select("fp", "component_id")
-    return materialize(fps.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "classes")
+    linked = inside.join(root, "root").select("fp", "root", "component_id")
+    # a linked component without any id has none; a fingerprint alone has its own
+    alone = F.col("root").isNull()
+    return materialize(fps.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.when(alone, F.col("least")).otherwise(F.col("component_id")).alias("component_id")), "classes")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
@@ -99,7 +102,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     component has no other). Repeated rows are returned each.
     """
     rows = _rows(df, id_col, text_col, shingle)
-    return rows.join(_components_by_fp(rows, max_distance), "fp").select("doc_id", "fp", "component_id")
+    return rows.join(_components_by_fp(rows, max_distance).drop("root"), "fp").select("doc_id", "fp", "component_id")
 
 
 def _rows(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -126,7 +129,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     plain = df.join(single, mine.eqNullSafe(F.col("_kept")), "left_semi").join(repeated, mine.eqNullSafe(F.col("_again")), "left_anti")
     again = df.join(repeated, mine.eqNullSafe(F.col("_again")), "left_semi")
     tagged = with_fingerprint(again, text_col, shingle, "_simhash").withColumn("_fp", F.col("_simhash.value"))
-    one = Window.partitionBy("_class").orderBy("_fp", F.xxhash64(F.col(f"`{text_col}`")))
-    chosen = (tagged.join(classes.select(F.col("fp").alias("_fp"), F.col("component_id").alias("_class")), "_fp")
+    one = Window.partitionBy("_root").orderBy("_fp", F.xxhash64(F.col(f"`{text_col}`")))
+    chosen = (tagged.join(classes.select(F.col("fp").alias("_fp"), F.col("component_id").alias("_class"), F.col("root").alias("_root")), "_fp")
               .where(mine.eqNullSafe(F.col("_class"))).withColumn("_nth", F.row_number().over(one)).where("_nth = 1"))
     return plain.select(*[f"`{c}`" for c in df.columns]).union(chosen.select(*[f"`{c}`" for c in df.columns]))
