@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tessera.functions.keys import keyed_hash60
+from tessera.functions.ranges import chunk_column
 
 MAX_BROADCAST_ROWS = 4_000_000
 
@@ -55,11 +56,12 @@ def hash_rank(df: DataFrame, keys, seed=42, group=(), buckets: int = 4096, out:
 
 def ordered_rank(df: DataFrame, order, out: str = "_rank", chunks: int | None = None) -> DataFrame:
     """1-based global rank by ``order`` columns (unique), without a
-    single-task window: range-partition, count rows per range chunk, add the
-    chunk offsets (one row per chunk, broadcast) to a local row number."""
+    single-task window: bounds that are literals of the plan cut the rows into
+    ordered chunks, the rows per chunk are counted, and the chunk offsets (one
+    row per chunk, broadcast) are added to a local row number."""
     order = [order] if isinstance(order, str) else list(order)
     n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(o) for o in order]).withColumn("_chunk", F.spark_partition_id())
+    ranged = df.withColumn("_chunk", chunk_column(df, order, n))
     counts = ranged.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_cn"))
     offs = counts.select("_chunk", F.coalesce(F.sum("_cn").over(
         W.orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"))

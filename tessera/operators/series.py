@@ -5,15 +5,15 @@ computations over each subject's ordered rows. A plain
 ``Window.partitionBy(id)`` would put a whole subject in one task, and a
 single subject may hold a large share of all rows. So the scan is chunked:
 
-1. range-partition on (id, order…): a hot subject is cut into several
-   ordered chunks (the chunk id is the range partition's index);
+1. bounds on (id, order…), drawn once and written into the plan as literals,
+   cut a hot subject into several ordered chunks; the chunk is a function of
+   the row, the same in every branch of the plan;
 2. one small aggregate per (id, chunk): row count, last and first non-null
-   value of every column;
+   value of every column (partial sums before its shuffle);
 3. a window over that small summary gives each chunk its carry-in (row
    offset, last value before the chunk, first value of the subject);
-4. windows over (id, chunk) finish the scan locally.
-
-All windows of steps 3-4 share one spec, so each adds one exchange at most.
+4. the rows are exchanged once, by (id, chunk), joined with their carry-in and
+   finished by local windows over the same (id, chunk).
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import NumericType, BooleanType
 
+from tessera.functions.ranges import chunk_column
+
 
 def numeric_columns(df: DataFrame, exclude=()) -> list:
     """H6: numeric columns (bool excluded), in schema order."""
@@ -31,10 +33,8 @@ def numeric_columns(df: DataFrame, exclude=()) -> list:
 
 
 def _chunked(df: DataFrame, id_col: str, order, cols, chunks: int | None):
-    spark = df.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(id_col), *[F.col(o) for o in order]) \
-               .withColumn("_chunk", F.spark_partition_id())
+    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.withColumn("_chunk", chunk_column(df, [id_col, *order], n))
     ordk = F.struct(*[F.col(o) for o in order])
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in cols:
@@ -51,7 +51,9 @@ def _chunked(df: DataFrame, id_col: str, order, cols, chunks: int | None):
         F.sum("_n").over(whole).alias("_total"),
         *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols],
         *[F.first(f"_first_{c}", ignorenulls=True).over(whole).alias(f"_head_{c}") for c in cols])
-    return ranged.join(carry, [id_col, "_chunk"])
+    # null-safe: a row without an id belongs to the subject "null"
+    carry = carry.withColumnRenamed(id_col, "_cid").withColumnRenamed("_chunk", "_cchunk")
+    return ranged.join(carry, F.col(id_col).eqNullSafe(F.col("_cid")) & (F.col("_chunk") == F.col("_cchunk"))).drop("_cid", "_cchunk")
 
 
 def fill_series(df: DataFrame, id_col: str, order, cols=None, bfill: bool = True, zero: bool = True,

@@ -120,6 +120,15 @@ ORACLES["h2_fill_chain"] = _ser_sql()
 ORACLES["h3_ffill_zero"] = _ser_sql(bfill=False)
 ORACLES["h4_downsample"] = _ser_sql(every=10)
 ORACLES["h5_tail"] = _ser_sql(every=10, tail=5)
+ORACLES["h2_fill_keep_columns"] = with_views(fill_sql() + """
+SELECT f.id, f.event_id, s.event_type, round(f.value, 6) AS value, round(f.k, 6) AS k
+FROM f JOIN series s ON f.id = s.id AND f.ts = s.ts AND f.event_id = s.event_id""", "series")
+ORACLES["h4_downsample_rows"] = with_views("""
+SELECT id, event_id, event_type FROM series
+QUALIFY (row_number() OVER (PARTITION BY id ORDER BY ts, event_id) - 1) % 10 = 0""", "series")
+ORACLES["h5_tail_rows"] = with_views("""
+SELECT id, event_id, event_type FROM series
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC, event_id DESC) <= 5""", "series")
 
 SEQ_CTE = fill_sql(every=10, tail=5) + """,
 q AS (SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY ts, event_id) - 1 AS INTEGER) AS t,

@@ -101,6 +101,26 @@ def h5_tail(spark, sf):
     return _ser_out(ser.fill_series(s, "id", SER_ORDER, ["value", "k"], every=EVERY, tail=TAIL))
 
 
+SER_KEEP = ("id", "ts", "event_id", "event_type")
+
+
+@query("h2_fill_keep_columns")
+def h2_fill_keep_columns(spark, sf):
+    """The fill chain with a column that the summary does not need."""
+    s = ser.fill_series(fx.series(spark, sf), "id", SER_ORDER, ["value", "k"])
+    return s.select("id", "event_id", "event_type", F.round("value", 6).alias("value"), F.round("k", 6).alias("k"))
+
+
+@query("h4_downsample_rows")
+def h4_downsample_rows(spark, sf):
+    return ser.downsample(fx.series(spark, sf).select(*SER_KEEP), "id", SER_ORDER, n=EVERY).select("id", "event_id", "event_type")
+
+
+@query("h5_tail_rows")
+def h5_tail_rows(spark, sf):
+    return ser.tail(fx.series(spark, sf).select(*SER_KEEP), "id", SER_ORDER, n=TAIL).select("id", "event_id", "event_type")
+
+
 def _sequences(spark, sf):
     s = fx.series(spark, sf)
     cols = ser.numeric_columns(s, exclude=["id"])            # H6: event_id, value, k

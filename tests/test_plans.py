@@ -23,10 +23,12 @@ def test_transform_is_a_narrow_projection_over_pruned_scans(spark):
     assert "o_orderstatus" not in plan.split("FileScan")[1].split("\n")[0]     # absent column never read
 
 
-def test_series_chain_reuses_its_range_shuffle(spark):
+def test_series_rows_are_exchanged_once(spark):
     import __spark_entry__ as E
-    plan = _final_plan(E.queries()["h5_tail"](spark, SF))
-    assert "ReusedExchange" in plan
+    plan = _final_plan(E.queries()["h5_tail"](spark, SF)).split("Initial Plan")[0]
+    assert "rangepartitioning" not in plan
+    # rows by (id, chunk), the summary's partial sums by the same, and the summary by id
+    assert plan.count("Exchange hashpartitioning") <= 3
 
 
 def test_duplicate_donors_are_limited_before_the_shuffle(spark):

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from tessera.plans.queries import QUERIES
 from tests.conftest import SF
 
 
@@ -13,13 +14,13 @@ def test_entry(spark):
 
 
 def test_every_query_has_oracle_or_is_model_based():
-    no_oracle = set(E.queries()) - set(E.oracle_sql())
+    no_oracle = set(QUERIES) - set(E.oracle_sql())
     assert no_oracle <= {"f1_lasso", "f2_lasso_cv", "f3_random_forest", "f4_rf_importance",
                          "f5_logistic_regression", "f9_pca", "e1_fit_mlp", "e2_fit_weighted_linear",
                          "e5_score_hybrid", "f9_series_static_pca"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_runs(spark, name):
     df = E.queries()[name](spark, SF)
     cols = df.columns

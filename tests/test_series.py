@@ -68,3 +68,33 @@ def test_sequences_and_padding(spark):
 def test_numeric_columns_skip_bool_and_strings(spark):
     df = spark.createDataFrame([("a", 1, True, 1.5)], "id string, t long, f boolean, v double")
     assert ser.numeric_columns(df, exclude=["id"]) == ["t", "v"]
+
+
+def test_ranks_and_rows_hold_with_a_payload_column_at_size(spark):
+    """Enough rows that sampled bounds differ from exchange to exchange."""
+    from pyspark.sql import Window as W
+    from tessera.operators import rank, series as ser
+    n = 2_000_000
+    df = spark.range(0, n, 1, 16).select((F.col("id") * 7919 % n).alias("k"), F.concat(F.lit("p"), F.col("id")).alias("payload"))
+    r = rank.ordered_rank(df, "k", chunks=64).select("k", "_rank", "payload")
+    x = r.agg(F.count("*"), F.countDistinct("_rank"), F.min("_rank"), F.max("_rank"), F.sum((F.col("_rank") - 1 - F.col("k")).cast("long")),
+              F.count("payload")).first()
+    assert tuple(x) == (n, n, 1, n, 0, n)
+    s = spark.range(0, 300_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("id"), (F.col("id") * 31 % 300_007).alias("o"),
+        F.when(F.col("id") % 4 == 0, F.col("id").cast("double")).alias("v"), F.concat(F.lit("x"), F.col("id")).alias("payload"))
+    w = W.partitionBy("id").orderBy("o")
+    want = s.select("id", "o", "payload", F.last("v", True).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("v"))
+    got = ser.ffill(s, "id", "o", ["v"], chunks=40).select("id", "o", "payload", "v")
+    assert got.count() == 300_000 and got.exceptAll(want).count() == 0
+    last = s.withColumn("r", F.row_number().over(W.partitionBy("id").orderBy(F.desc("o")))).where("r <= 100").select("id", "o", "payload")
+    tail = ser.tail(s.drop("v"), "id", "o", n=100, chunks=40).select("id", "o", "payload")
+    assert tail.count() == last.count() and tail.exceptAll(last).count() == 0
+
+
+def test_series_without_an_id_and_without_rows(spark):
+    from tessera.operators import series as ser
+    df = spark.createDataFrame([(None, 1, None), (None, 2, 5.0), ("a", 1, 1.0)], "id string, o int, v double")
+    got = {(r.id, r.o): r.v for r in ser.fill_series(df, "id", "o", ["v"]).collect()}
+    assert got == {(None, 1): 5.0, (None, 2): 5.0, ("a", 1): 1.0}
+    assert ser.fill_series(df.where("false"), "id", "o", ["v"]).count() == 0
