@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.missing import number
+
 
 @dataclass
 class ScaleState:
@@ -20,13 +22,13 @@ class ScaleState:
 
 def fit_scale(df: DataFrame, cols) -> ScaleState:
     """Mean and **population** std per column in one pass; a zero
-    variance (or a single row) gives scale 1."""
+    variance (or a single row) gives scale 1. Missing values (null, NaN) do
+    not count and stay missing (null) when the scale is applied."""
     cols = list(cols)
     if not cols:
         return ScaleState()
     row = df.agg(*[a for i, c in enumerate(cols) for a in (
-        F.avg(F.col(c).cast("double")).alias(f"m{i}"),
-        F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}"))]).first()
+        F.avg(number(c)).alias(f"m{i}"), F.stddev_pop(number(c)).alias(f"s{i}"))]).first()
     st = ScaleState()
     for i, c in enumerate(cols):
         s = row[f"s{i}"]
@@ -36,7 +38,7 @@ def fit_scale(df: DataFrame, cols) -> ScaleState:
 
 
 def scale_expr(c: str, st: ScaleState) -> Column:
-    return (F.col(c).cast("double") - F.lit(st.mean[c])) / F.lit(st.scale[c])
+    return (number(c) - F.lit(st.mean[c])) / F.lit(st.scale[c])
 
 
 def apply_scale(df: DataFrame, st: ScaleState) -> DataFrame:
@@ -67,7 +69,7 @@ def label_code(c: str, classes: list, unseen: str = "error") -> Column:
     x = F.col(c).cast("string")
     idx = (F.array_position(F.array(*[F.lit(v) for v in classes]), x) - 1).cast("double")
     if unseen == "error":
-        return F.when(idx < 0, F.raise_error(F.concat(F.lit(f"unseen label in {c}: "),
+        return F.when(F.coalesce(idx, F.lit(-1.0)) < 0, F.raise_error(F.concat(F.lit(f"unseen label in {c}: "),
                                                        F.coalesce(x, F.lit("null"))))).otherwise(idx)
     return idx
 

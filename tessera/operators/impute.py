@@ -13,16 +13,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.missing import present
+
 
 def normalize_nan(df: DataFrame, cols) -> DataFrame:
     """Incoming NaN counts as missing: NaN → null for float columns."""
-    out = []
-    for f in df.schema.fields:
-        if f.name in cols and f.dataType.typeName() in ("double", "float"):
-            out.append(F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+    return df.select(*[present(f.name, f.dataType).alias(f.name) if f.name in cols else F.col(f.name)
+                       for f in df.schema.fields])
 
 
 def bracket_aggs(cols, q: float = 0.5, accuracy: int = 10000, prefix: str = "_q"):
@@ -235,6 +232,7 @@ def fit_impute(df: DataFrame, cols, strategy: str = "median", **kw) -> ImputeSta
     """
     cols = list(cols)
     types = {c: df.schema[c].dataType.simpleString() for c in cols}
+    df = normalize_nan(df, cols)
     if strategy == "mean":
         row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first() if cols else {}
         fills = {c: row[f"m{i}"] for i, c in enumerate(cols)}
@@ -260,7 +258,7 @@ def apply_impute(df: DataFrame, state: ImputeState) -> DataFrame:
             v = state.fills[c]
             t = state.types.get(c) or df.schema[c].dataType.simpleString()
             fill = F.lit(v).cast(t) if state.strategy in ("most_frequent",) else F.lit(v)
-            out.append(F.coalesce(F.col(c), fill).alias(c))
+            out.append(F.coalesce(present(c, df.schema[c].dataType), fill).alias(c))
         else:
             out.append(F.col(c))
     return df.select(*out)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tessera.operators.impute import normalize_nan
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -138,7 +139,8 @@ def knn_impute(df: DataFrame, key: str, cols, k: int = 5, max_patterns: int = 64
     means (computed when not given)."""
     cols = list(cols)
     p = len(cols)
-    dsrc = df if donors is None else donors
+    df = normalize_nan(df, cols)
+    dsrc = df if donors is None else normalize_nan(donors, cols)
     if means is None:
         row = dsrc.agg(*[F.avg(c).alias(c) for c in cols]).first()
         means = {c: row[c] for c in cols}

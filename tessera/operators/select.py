@@ -1,11 +1,12 @@
 """Feature selection (F0-F12) over an ``array<double>`` feature column.
 
-Statistical scores are aggregates over a long (feature, value[, class])
-form: each task pre-aggregates its rows, and the shuffled data is one row
-per (feature[, class, bin]) per task — independent of the row count. Model
-scores use ``pyspark.ml`` learners (distributed fitting). Every method
-returns a ``Selection``: 0-based indices into the input features (or a
-projection for PCA) plus a small score table (one row per feature).
+Statistical scores are wide aggregates of the vectors (per class where a label
+counts): each task adds up its rows, and what is shuffled is one row per class
+per task — independent of the row count. Lasso is solved on the (p + 2)²
+moments of one pass; forests and logistic regression use ``pyspark.ml``
+learners (distributed fitting). Every method returns a ``Selection``: 0-based
+indices into the input features (or a projection for PCA) plus a small score
+table (one row per feature).
 """
 
 from __future__ import annotations
@@ -32,11 +33,6 @@ class Selection:
     centre: list | None = None
 
 
-def _long(df: DataFrame, col: str, label: str | None = None) -> DataFrame:
-    keep = [F.col(label).alias("y")] if label else []
-    return df.select(*keep, F.posexplode(col).alias("fi", "x"))
-
-
 def _width(df: DataFrame, col: str) -> int:
     r = df.select(F.size(col).alias("w")).limit(1).collect()
     return r[0]["w"] if r else 0
@@ -54,50 +50,69 @@ def _topk(scores: dict, k: int | None, ascending_output: bool = False) -> list:
 
 
 # ------------------------------------------------------------ statistics
+def _summary(df: DataFrame, col: str, metrics, label: str | None = None) -> DataFrame:
+    """(fi[, y], n, metrics…): one wide aggregate of the vectors, for each class
+    of ``label``; only its result, a row a class, is unfolded by feature."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    s = Summarizer.metrics("count", *metrics).summary(array_to_vector(F.col(col))).alias("s")
+    if label:
+        g, keep = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("y")).agg(s), ["y"]
+    else:
+        g, keep = df.agg(s), []
+    arrays = F.arrays_zip(*[vector_to_array(f"s.{m}").alias(m) for m in metrics])
+    return (g.select(*keep, F.col("s.count").alias("n"), F.posexplode(arrays).alias("fi", "m"))
+            .select(*keep, "fi", "n", *[F.col("m").getField(m).alias(m) for m in metrics]))
+
+
 def variance_scores(df: DataFrame, col: str = "features") -> DataFrame:
     """population variance per feature."""
-    return _long(df, col).groupBy("fi").agg(F.var_pop("x").alias("score"))
+    return _summary(df, col, ["variance"]).select("fi", (F.col("variance") * (F.col("n") - 1) / F.col("n")).alias("score"))
 
 
 def anova_scores(df: DataFrame, label: str, col: str = "features") -> DataFrame:
-    """one-way ANOVA F per feature from per-class (n, mean, M2)."""
-    g = _long(df, col, label).where(F.col("y").isNotNull()) \
-        .groupBy("fi", "y").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.var_pop("x").alias("v"))
-    t = g.groupBy("fi").agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("K"),
-                            (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("gm"),
-                            F.collect_list(F.struct("n", "m", "v")).alias("cls"))
-    ssb = F.aggregate("cls", F.lit(0.0), lambda a, s: a + s["n"] * (s["m"] - F.col("gm")) * (s["m"] - F.col("gm")))
-    ssw = F.aggregate("cls", F.lit(0.0), lambda a, s: a + s["n"] * s["v"])
-    f = F.try_divide(ssb / (F.col("K") - 1), ssw / (F.col("N") - F.col("K")))
+    """one-way ANOVA F per feature from per-class (n, mean, variance)."""
+    t = _summary(df, col, ["mean", "variance"], label)
+    gm = F.sum(F.col("n") * F.col("mean")).over(_w("fi")) / F.sum("n").over(_w("fi"))   # a row a class
+    t = t.withColumn("d", F.col("mean") - gm).groupBy("fi").agg(
+        F.sum("n").alias("N"), F.count(F.lit(1)).alias("K"), F.sum(F.col("n") * F.col("d") * F.col("d")).alias("ssb"),
+        F.sum((F.col("n") - 1) * F.col("variance")).alias("ssw"))
+    f = F.try_divide(F.col("ssb") / (F.col("K") - 1), F.col("ssw") / (F.col("N") - F.col("K")))
     return t.select("fi", f.alias("score"))
 
 
 def chi2_scores(df: DataFrame, label: str, col: str = "features") -> DataFrame:
-    """F8: chi² of per-class feature sums against class-share × total.
-    Negative inputs raise, as the statistic is defined for counts."""
-    lg = _long(df, col, label).where(F.col("y").isNotNull())
-    mn = lg.agg(F.min("x").alias("mn")).first()["mn"]
-    if mn is not None and mn < 0:
-        raise ValueError("chi2 needs non-negative features")
-    obs = lg.groupBy("fi", "y").agg(F.sum("x").alias("o"), F.count(F.lit(1)).alias("n"))
-    t = obs.groupBy("fi").agg(F.sum("o").alias("tot"), F.sum("n").alias("N"),
-                              F.collect_list(F.struct("o", "n")).alias("cls"))
-    chi = F.aggregate("cls", F.lit(0.0), lambda a, s: a + F.coalesce(F.try_divide(
-        (s["o"] - s["n"] / F.col("N") * F.col("tot")) * (s["o"] - s["n"] / F.col("N") * F.col("tot")),
-        s["n"] / F.col("N") * F.col("tot")), F.lit(None).cast("double")))
-    return t.select("fi", chi.alias("score"))
+    """F8: chi² of per-class feature sums against class-share × total, and
+    ``lo``, the feature's minimum: the statistic is defined for counts, so a
+    negative one makes the score meaningless (``fit_select`` raises)."""
+    t = _summary(df, col, ["sum", "min"], label)
+    share = F.col("n") / F.sum("n").over(_w("fi")) * F.sum("sum").over(_w("fi"))
+    t = t.withColumn("e", share)
+    return t.groupBy("fi").agg(F.sum(F.try_divide((F.col("sum") - F.col("e")) * (F.col("sum") - F.col("e")), F.col("e"))).alias("score"),
+                               F.min("min").alias("lo"))
+
+
+def quantile_cuts(df: DataFrame, p: int, col: str = "features", bins: int = 10, accuracy: int = 1_000_000) -> list:
+    """Inner bin edges of each feature: the values of rank ceil(n·k / bins), to a rank error of n / ``accuracy``."""
+    at = F.array(*[F.lit(k / bins) for k in range(1, bins)])
+    row = df.agg(*[F.percentile_approx(F.col(col).getItem(i), at, accuracy).alias(f"c{i}") for i in range(p)]).first()
+    return [row[f"c{i}"] or [] for i in range(p)]
 
 
 def mutual_info_scores(df: DataFrame, label: str, col: str = "features", bins: int = 10) -> DataFrame:
-    """F6 (re-aimed): mutual information of equal-width-binned features with
-    the class, Σ p(b,y) ln(p(b,y) / (p(b) p(y)))."""
-    lg = _long(df, col, label).where(F.col("y").isNotNull())
-    rng = lg.groupBy("fi").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    b = F.when(F.col("hi") > F.col("lo"),
-               F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))) \
-         .otherwise(F.lit(0))
-    # the range table has one row per feature: broadcast
-    cnt = lg.join(F.broadcast(rng), "fi").groupBy("fi", b.alias("b"), "y").agg(F.count(F.lit(1)).alias("n"))
+    """F6 (re-aimed): mutual information of quantile-binned features with the
+    class, Σ p(b,y) ln(p(b,y) / (p(b) p(y))). A value's bin is the number of
+    edges below it, so one far value moves no other."""
+    df = df.where(F.col(label).isNotNull())
+    p = _width(df, col)
+    cuts = quantile_cuts(df, p, col, bins) if p else []
+
+    def bin_of(i):
+        x = F.col(col).getItem(i)
+        return sum((F.when(x > F.lit(c), 1).otherwise(0) for c in dict.fromkeys(cuts[i])), F.lit(0))
+
+    lg = df.select(F.col(label).alias("y"), F.posexplode(F.array(*[bin_of(i) for i in range(p)]) if p else F.array().cast("array<int>")).alias("fi", "b"))
+    cnt = lg.groupBy("fi", "b", "y").agg(F.count(F.lit(1)).alias("n"))
     # cnt has one row per (feature, bin, class): the windows below are tiny
     c = (cnt.withColumn("tot", F.sum("n").over(_w("fi")))
          .withColumn("nb", F.sum("n").over(_w("fi", "b")))
@@ -111,36 +126,18 @@ def _w(*cols):
     return Window.partitionBy(*cols)
 
 
-def correlation_table(df: DataFrame, p: int, label: str | None, col: str = "features",
-                      wide_from: int = 4):
-    """Pearson r for every feature pair and with the label, one aggregate
-    pass (population covariances; zero variance → None). Beyond
-    ``wide_from`` features the p² aggregate expressions outgrow generated
-    code, so the Gram matrix comes from ``ml.stat.Correlation`` (a tree
-    aggregate of per-partition partial sums, measured 2× faster at p = 10)."""
-    if p > wide_from:
-        return _correlation_ml(df, p, label, col)
-    x = [F.col(col).getItem(i) for i in range(p)]
-    aggs = [F.stddev_pop(x[i]).alias(f"s{i}") for i in range(p)]
-    aggs += [F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i in range(p) for j in range(i + 1, p)]
-    if label:
-        yv = F.col(label).cast("double")
-        aggs += [F.stddev_pop(yv).alias("sy")] + [F.covar_pop(x[i], yv).alias(f"cy{i}") for i in range(p)]
-    row = df.agg(*aggs).first()
-
-    def r(c, a, b):
-        return c / (a * b) if c is not None and a and b else None
-    pair = {(i, j): r(row[f"c{i}_{j}"], row[f"s{i}"], row[f"s{j}"]) for i in range(p) for j in range(i + 1, p)}
-    ry = {i: r(row[f"cy{i}"], row[f"s{i}"], row["sy"]) for i in range(p)} if label else {}
-    return pair, ry
-
-
-def _correlation_ml(df: DataFrame, p: int, label: str | None, col: str):
+def correlation_table(df: DataFrame, p: int, label: str | None, col: str = "features"):
+    """Pearson r for every feature pair and with the label, from one Gram
+    matrix (a tree aggregate of per-partition sums, at every width). Rows
+    without a label do not count; zero variance → None."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Correlation
+    if label:
+        df = df.where(F.col(label).isNotNull())
+    if not p or df.isEmpty():
+        return {(i, j): None for i in range(p) for j in range(i + 1, p)}, ({i: None for i in range(p)} if label else {})
     arr = F.concat(F.col(col), F.array(F.col(label).cast("double"))) if label else F.col(col)
-    v = df.select(array_to_vector(arr).alias("_v"))
-    m = Correlation.corr(v, "_v").first()[0].toArray()
+    m = Correlation.corr(df.select(array_to_vector(arr).alias("_v")), "_v").first()[0].toArray()
 
     def clean(r):
         return None if r is None or math.isnan(r) else float(r)
@@ -167,41 +164,114 @@ def _vec(df: DataFrame, col: str):
     return df.withColumn("_v", array_to_vector(F.col(col)))
 
 
-def lasso_coefficients(df, label, col="features", alpha=0.01):
-    """L1 linear regression on the numeric label, sklearn's objective
-    (1/2n)‖y − Xw − b‖² + α‖w‖₁ (no feature standardization)."""
-    from pyspark.ml.regression import LinearRegression
-    m = LinearRegression(featuresCol="_v", labelCol="_y", elasticNetParam=1.0, regParam=alpha,
-                         standardization=False, maxIter=1000, tol=1e-8)
-    d = _vec(df, col).withColumn("_y", F.col(label).cast("double"))
-    return list(m.fit(d).coefficients.toArray())
+def fold_moments(df: DataFrame, label: str, col: str = "features", folds: int = 1) -> dict:
+    """Moments of (features, label, 1) for each fold: a (p + 2)² matrix of sums
+    of products. One pass over the rows, added up in Arrow batches; what comes
+    to the driver is (p + 2)² numbers a fold. A row's fold is a hash of its
+    values, whatever its partition. Rows without a label do not count."""
+    import numpy as np
+    import pyarrow as pa
+
+    def sums(batches):
+        held = {}
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            z = np.column_stack([x, b.column("y").to_numpy(zero_copy_only=False), np.ones(n)])
+            fold = b.column("fold").to_numpy(zero_copy_only=False)
+            for f in np.unique(fold):
+                part = z[fold == f]
+                held[f] = held.get(f, 0.0) + part.T @ part
+        for f, m in held.items():
+            flat = m.ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(flat), f, np.int32)), pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)],
+                                             names=["fold", "i", "v"])
+
+    y = F.col(label).cast("double")
+    d = df.where(y.isNotNull()).select(F.col(col).cast("array<double>").alias("x"), y.alias("y"),
+                                       F.pmod(F.xxhash64(F.col(col), y), F.lit(folds)).cast("int").alias("fold"))
+    rows = d.mapInArrow(sums, "fold int, i int, v double").groupBy("fold", "i").agg(F.sum("v").alias("v")).collect()
+    out: dict = {}
+    for r in rows:
+        out.setdefault(r["fold"], {})[r["i"]] = r["v"]
+    size = {f: int(round(math.sqrt(len(v)))) for f, v in out.items()}
+    return {f: np.array([v[i] for i in range(len(v))]).reshape(size[f], size[f]) for f, v in out.items()}
+
+
+def _covariance(m):
+    """Centred second moments (population) of the features and with the label."""
+    n = m[-1, -1]
+    mean = m[-1, :-1] / n
+    c = m[:-1, :-1] / n - mean[:, None] * mean[None, :]
+    return c[:-1, :-1], c[:-1, -1]
+
+
+def lasso_descent(a, c, alpha, start=None, tol: float = 1e-12, sweeps: int = 100_000):
+    """Minimum of ½ wᵀAw − cᵀw + α‖w‖₁ by cyclic coordinate descent."""
+    import numpy as np
+    w = np.zeros(len(c)) if start is None else start.copy()
+    for _ in range(sweeps):
+        moved = 0.0
+        for j in range(len(c)):
+            if a[j, j] <= 0:
+                continue
+            r = c[j] - a[j] @ w + a[j, j] * w[j]
+            new = math.copysign(max(abs(r) - alpha, 0.0), r) / a[j, j]
+            moved = max(moved, abs(new - w[j]))
+            w[j] = new
+        if moved <= tol * max(1.0, float(np.abs(w).max(initial=0.0))):
+            break
+    return w
 
 
-def lasso_cv_coefficients(df, label, col="features", folds=5, n_alphas=12, seed=42):
-    """choose α by k-fold CV over a log grid below α_max, refit."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.regression import LinearRegression
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    d = _vec(df, col).withColumn("_y", F.col(label).cast("double"))
-    p = _width(df, col)
-    # α_max = max_j |<x_j - mean, y - mean>| / n : the smallest α giving all-zero coefficients
-    x = [F.col(col).getItem(i) for i in range(p)]
-    row = d.agg(F.count(F.lit(1)).alias("n"), *[F.covar_pop(x[i], F.col("_y")).alias(f"c{i}") for i in range(p)]).first()
-    a_max = max([abs(row[f"c{i}"] or 0.0) for i in range(p)] + [1e-6])
-    grid = [a_max * (1e-3 ** (i / (n_alphas - 1))) for i in range(n_alphas)]
-    lr = LinearRegression(featuresCol="_v", labelCol="_y", elasticNetParam=1.0, standardization=False, maxIter=500)
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=ParamGridBuilder().addGrid(lr.regParam, grid).build(),
-                        evaluator=RegressionEvaluator(labelCol="_y", metricName="mse"), numFolds=folds, seed=seed,
-                        parallelism=4)
-    return list(cv.fit(d).bestModel.coefficients.toArray())
-
-
-def rf_importances(df, label, col="features", trees=100, seed=42, regression=False):
-    """F3 (classifier) / F4 (regressor): impurity importances of a forest."""
+def lasso_coefficients(df, label, col="features", alpha=0.01):
+    """L1 linear regression on the numeric label, sklearn's objective
+    (1/2n)‖y − Xw − b‖² + α‖w‖₁ (no feature standardization), from the moments."""
+    m = fold_moments(df, label, col)
+    return list(lasso_descent(*_covariance(m[0]), alpha)) if m else [0.0] * _width(df, col)
+
+
+def lasso_cv_coefficients(df, label, col="features", folds=5, n_alphas=100, eps=1e-3):
+    """α of least mean squared error over ``folds`` folds, from
+    ``n_alphas`` values below the smallest that gives all zeros; refit on all
+    rows. Rows are read once: the moments of each fold give the fits without
+    it and the error on it."""
+    import numpy as np
+    by = fold_moments(df, label, col, folds)
+    if not by:
+        return [0.0] * _width(df, col)
+    total = sum(by.values())
+    a, c = _covariance(total)
+    top = max(float(np.abs(c).max(initial=0.0)), 1e-12)
+    grid = [top * eps ** (i / (n_alphas - 1)) for i in range(n_alphas)]
+    error = np.zeros(n_alphas)
+    for m in by.values():
+        rest = total - m
+        if rest[-1, -1] < 1:
+            continue
+        fa, fc = _covariance(rest)
+        mean, w = rest[-1, :-1] / rest[-1, -1], None
+        for i, alpha in enumerate(grid):
+            w = lasso_descent(fa, fc, alpha, w, tol=1e-9)
+            z = np.append(w, [-1.0, mean[-1] - mean[:-1] @ w])    # prediction minus label
+            error[i] += (z @ m @ z) / m[-1, -1]
+    best = grid[int(np.argmin(error))]
+    return list(lasso_descent(a, c, best))
+
+
+def rf_importances(df, label, col="features", trees=100, seed=42, regression=False, max_depth=10):
+    """F3 (classifier) / F4 (regressor): impurity importances of a forest.
+
+    As in the library, a classifier's split sees the square root of the
+    features and a regressor's all of them. The library grows trees to the
+    end; here the depth is a parameter (Spark allows 30 at most)."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.regression import RandomForestRegressor
     cls = RandomForestRegressor if regression else RandomForestClassifier
-    m = cls(featuresCol="_v", labelCol="_y", numTrees=trees, seed=seed)
+    m = cls(featuresCol="_v", labelCol="_y", numTrees=trees, seed=seed, maxDepth=max_depth,
+            featureSubsetStrategy="all" if regression else "sqrt")
     d = _vec(df, col).withColumn("_y", F.col(label).cast("double"))
     return list(m.fit(d).featureImportances.toArray())
 
@@ -272,7 +342,10 @@ def fit_select(df: DataFrame, method: str, label: str | None, col: str = "featur
         s = _collect_scores(anova_scores(df, label, col))
         return Selection(method, _topk(s, k), s)
     if method == "chi2":
-        s = _collect_scores(chi2_scores(df, label, col))
+        rows = chi2_scores(df, label, col).collect()
+        if any(r["lo"] is not None and r["lo"] < 0 for r in rows):
+            raise ValueError("chi2 needs non-negative features")
+        s = {int(r["fi"]): r["score"] for r in rows}
         return Selection(method, _topk(s, k), s)
     if method in ("k_best", "mutual_info"):
         s = _collect_scores(mutual_info_scores(df, label, col, kw.get("bins", 10)))
@@ -293,7 +366,7 @@ def fit_select(df: DataFrame, method: str, label: str | None, col: str = "featur
     if method in ("random_forest", "rf_importance"):
         if k is None:
             raise ValueError("random_forest selection needs k")
-        imp = rf_importances(df, label, col, regression=(method == "rf_importance"))
+        imp = rf_importances(df, label, col, regression=(method == "rf_importance"), max_depth=kw.get("max_depth", 10))
         s = dict(enumerate(imp))
         return Selection(method, _topk(s, k, ascending_output=True), s)
     if method == "logistic_regression":

@@ -344,8 +344,9 @@ t AS (SELECT fi, sum(o) AS tot, sum(n) AS nn FROM o GROUP BY fi),
 s AS (SELECT o.fi, sum((o - n / nn * tot) * (o - n / nn * tot) / NULLIF(n / nn * tot, 0)) AS score FROM o JOIN t ON o.fi = t.fi GROUP BY o.fi)
 """ + topk_sql("s", 4), "tab")
 ORACLES["f6_mutual_info"] = with_views(f"""WITH {FEAT},
-r AS (SELECT fi, min(x) AS lo, max(x) AS hi FROM fy GROUP BY fi),
-bn AS (SELECT fy.fi, y, CASE WHEN hi > lo THEN least(floor((x - lo) / (hi - lo) * 10), 9) ELSE 0 END AS b FROM fy JOIN r ON fy.fi = r.fi),
+r AS (SELECT fi, x, row_number() OVER (PARTITION BY fi ORDER BY x) AS rn, count(*) OVER (PARTITION BY fi) AS n FROM fy),
+e AS (SELECT fi, list(x) AS edges FROM r, (SELECT unnest(range(1, 10)) AS k) WHERE rn = CAST(ceil(n * k / 10) AS BIGINT) GROUP BY fi),
+bn AS (SELECT fy.fi, y, len(list_filter(edges, lambda c: c < x)) AS b FROM fy JOIN e ON fy.fi = e.fi),
 c AS (SELECT fi, b, y, count(*) AS n FROM bn GROUP BY 1, 2, 3),
 c2 AS (SELECT *, sum(n) OVER (PARTITION BY fi) AS nn, sum(n) OVER (PARTITION BY fi, b) AS nb,
               sum(n) OVER (PARTITION BY fi, y) AS ny FROM c),
@@ -597,3 +598,14 @@ b AS (SELECT *, CAST((row_number() OVER (PARTITION BY split ORDER BY
 SELECT id, sii, batch_id, CAST(n_steps AS INTEGER) AS n_steps,
        CAST(max(n_steps) OVER (PARTITION BY split, batch_id) AS INTEGER) AS padded_steps, split FROM b""",
     "subj", "series")
+
+# the same rows must come out where missing values are NaN, where columns
+# without any value are added, and where the state was saved and loaded
+for _again, _first in (("d5_prep_train_nan", "d5_prep_train_median"), ("c6_all_missing_dropped", "d5_prep_train_median"),
+                       ("a6_state_roundtrip", "d5_transform_new_rows"), ("d6_static_vector_nan", "d6_static_vector"),
+                       ("c3_knn_impute_nan", "c3_knn_impute")):
+    ORACLES[_again] = ORACLES[_first]
+ORACLES["a4_missing_ids"] = with_views("SELECT id FROM subj WHERE id NOT IN (SELECT id FROM series)", "subj", "series")
+ORACLES["a2_csv_string_key"] = """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS id, CAST(c_nationkey AS INTEGER) AS c_nationkey, round(CAST(c_acctbal AS DOUBLE), 6) AS c_acctbal
+FROM customer"""

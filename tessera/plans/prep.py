@@ -14,6 +14,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.missing import number
 from tessera.operators import impute, schema
 
 
@@ -79,9 +80,8 @@ def _imputed_moments(df: DataFrame, cols, strategy: str, cat_cols=(), cat_limit:
         raise ValueError(f"unsupported imputation method: {strategy}")
     extra = impute.bracket_aggs(cols, 0.5) if strategy == "median" else []
     row = df.agg(F.count(F.lit(1)).alias("N"), *[a for i, c in enumerate(cols) for a in (
-        F.count(F.col(c)).alias(f"k{i}"),
-        F.avg(F.col(c).cast("double")).alias(f"m{i}"),
-        F.var_pop(F.col(c).cast("double")).alias(f"v{i}"))], *extra).first()
+        F.count(number(c)).alias(f"k{i}"), F.avg(number(c)).alias(f"m{i}"),
+        F.var_pop(number(c)).alias(f"v{i}"))], *extra).first()
     if strategy == "mean":
         fills = {c: row[f"m{i}"] for i, c in enumerate(cols)}
         if cat_cols and cat_out is not None:
@@ -183,14 +183,14 @@ def knn_fill(df: DataFrame, st: PrepState) -> DataFrame:
     from tessera.operators.knn import knn_impute
     key = st.config["keys"][0]
     donors = df.sparkSession.read.parquet(st.knn_donors)
-    return knn_impute(df, key, st.num, donors=donors, means=st.knn_means)
+    return knn_impute(impute.normalize_nan(df, st.num), key, st.num, donors=donors, means=st.knn_means)
 
 
 def feature_exprs(st: PrepState):
     """D5 column transformer: [scaled numerics…, one-hots…] as expressions."""
     exprs = []
     for c in st.num:
-        x = F.coalesce(F.col(c).cast("double"), F.lit(st.num_fill[c]))
+        x = F.coalesce(number(c), F.lit(st.num_fill[c]))
         exprs.append((x - F.lit(st.mean[c])) / F.lit(st.scale[c]))
     for c in st.cat:
         x = F.coalesce(F.col(c).cast("string"), F.lit(st.cat_fill[c]))
@@ -230,7 +230,7 @@ def fit_transform(df: DataFrame, cfg: PrepConfig, out: str = "features"):
     st = fit(df, cfg)
     base = schema.drop_missing_target(df, cfg.target) if cfg.drop_missing_target else df
     x = features(knn_fill(base, st), st, keep=[*cfg.keys, cfg.target], out=out)
-    st.num_classes = None
+    st.num_classes = schema.num_classes(base, cfg.target).first()[0] if cfg.target in base.columns else None
     if cfg.fts and cfg.fts != "none":
         kw = {}
         if cfg.fts == "correlation_threshold":
@@ -256,11 +256,12 @@ def fit_transform(df: DataFrame, cfg: PrepConfig, out: str = "features"):
     return x, st, weights
 
 
-def transform(df: DataFrame, st: PrepState, out: str = "features") -> DataFrame:
+def transform(df: DataFrame, st: PrepState, out: str = "features", keep=()) -> DataFrame:
     """Inference: align to the training schema, apply the fitted state and
-    the fitted selection; one narrow projection, no job at call time."""
+    the fitted selection; one narrow projection, no job at call time.
+    ``keep``: further columns that ride along (a label to compare with)."""
     from tessera.functions.arrays import pick
-    keys = list(st.config["keys"])
+    keys = [*st.config["keys"], *keep]
     x = features(knn_fill(align(df, st, keep=keys), st), st, keep=keys, out=out)
     if st.projection is not None:
         from tessera.operators.select import pca_project

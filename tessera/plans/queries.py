@@ -60,6 +60,37 @@ def c2_prep_train_mean(spark: SparkSession, sf: str) -> DataFrame:
     return _prep_long(spark, sf, "mean")
 
 
+TAB_NUM = ("o_totalprice", "c_acctbal")
+
+
+@query("d5_prep_train_nan")
+def d5_prep_train_nan(spark, sf):
+    """NaN instead of null in the numeric columns: the same features."""
+    t = fx.with_nan(fx.tab(spark, sf), *TAB_NUM)
+    st = prep.fit(t, _tab_cfg("median"))
+    return prep.explode_features(prep.features(t.where(F.col("y").isNotNull()), st, keep=TAB_KEYS), TAB_KEYS, st.feature_names)
+
+
+@query("c6_all_missing_dropped")
+def c6_all_missing_dropped(spark, sf):
+    """Columns without any value (null, NaN, no text) leave no feature."""
+    t = fx.tab(spark, sf).withColumns({"gone": F.lit(None).cast("double"), "gone_nan": F.lit(float("nan")), "gone_text": F.lit(None).cast("string")})
+    st = prep.fit(t, _tab_cfg("median"))
+    return prep.explode_features(prep.features(t.where(F.col("y").isNotNull()), st, keep=TAB_KEYS), TAB_KEYS, st.feature_names)
+
+
+@query("a6_state_roundtrip")
+def a6_state_roundtrip(spark, sf):
+    """A fitted state saved, loaded and applied to new rows."""
+    import uuid
+    from tessera.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark)}/state-{uuid.uuid4().hex}"
+    prep.save_state(spark, prep.fit(fx.tab(spark, sf), _tab_cfg("median")), path)
+    st = prep.load_state(spark, path)
+    new = prep.align(fx.tab_new(spark, sf), st, keep=TAB_KEYS)
+    return prep.explode_features(prep.features(new, st, keep=TAB_KEYS), TAB_KEYS, st.feature_names)
+
+
 # ---------------------------------------------------------------- series (H)
 
 SER_ORDER = ("ts", "event_id")
@@ -262,6 +293,37 @@ def d6_static_vector(spark, sf):
             .select("id", F.col("fi").cast("int").alias("fi"), F.round("value", 6).alias("value")))
 
 
+@query("d6_static_vector_nan")
+def d6_static_vector_nan(spark, sf):
+    """NaN instead of null, and the state saved and loaded in between."""
+    import uuid
+    from tessera.session import ensure_checkpoint_dir
+    subj = fx.with_nan(fx.subjects(spark, sf), "c_acctbal")
+    path = f"{ensure_checkpoint_dir(spark)}/series-state-{uuid.uuid4().hex}"
+    sp.save_state(spark, sp.fit_static(subj, "id", "sii"), path)
+    v = sp.static_vector(sch.drop_missing_target(subj, "sii"), sp.load_state(spark, path))
+    return (v.select("id", F.posexplode("static").alias("fi", "value"))
+            .select("id", F.col("fi").cast("int").alias("fi"), F.round("value", 6).alias("value")))
+
+
+@query("a4_missing_ids")
+def a4_missing_ids(spark, sf):
+    """Subjects of the static table that have no series row."""
+    return io.missing_ids(fx.series(spark, sf), "id", fx.subjects(spark, sf))
+
+
+@query("a2_csv_string_key")
+def a2_csv_string_key(spark, sf):
+    """A CSV with zero-padded keys, its other columns inferred, read back."""
+    import uuid
+    from tessera.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark)}/customer-{uuid.uuid4().hex}"
+    c = fx.table(spark, sf, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 9, "0").alias("id"), "c_nationkey", "c_acctbal")
+    c.write.option("header", True).csv(path)
+    back = io.read_table(spark, path, fmt="csv", string_cols=["id"])
+    return back.select("id", F.col("c_nationkey").cast("int").alias("c_nationkey"), F.round("c_acctbal", 6).alias("c_acctbal"))
+
+
 @query("b7_restrict_to_available")
 def b7_restrict_to_available(spark, sf):
     subj = sch.drop_missing_target(fx.subjects(spark, sf), "sii")
@@ -580,6 +642,13 @@ def c3_knn_impute(spark, sf):
                       F.round("c_acctbal", 6).alias("c_acctbal"))
 
 
+@query("c3_knn_impute_nan")
+def c3_knn_impute_nan(spark, sf):
+    t = fx.with_nan(fx.tab(spark, sf).select("o_orderkey", *TAB_NUM), *TAB_NUM)
+    out = knn.knn_impute(t, "o_orderkey", list(TAB_NUM), k=5)
+    return out.select("o_orderkey", *[F.round(c, 6).alias(c) for c in TAB_NUM])
+
+
 @query("g4_smote")
 def g4_smote(spark, sf):
     out = knn.smote(fx.vec(spark, sf), "label", "vec_id", "features", k=5, seed=42)

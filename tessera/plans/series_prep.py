@@ -14,6 +14,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.missing import number
 from tessera.operators import encode, impute, schema, series
 
 
@@ -35,6 +36,19 @@ class SeriesState:
     def to_json(self) -> str:
         return json.dumps(asdict(self))
 
+    @staticmethod
+    def from_json(s: str) -> "SeriesState":
+        return SeriesState(**json.loads(s))
+
+
+def save_state(spark, st: SeriesState, path: str) -> None:
+    """The fitted state as a one-row JSON table (no pickle)."""
+    spark.createDataFrame([(st.to_json(),)], "state string").coalesce(1).write.mode("overwrite").json(path)
+
+
+def load_state(spark, path: str) -> SeriesState:
+    return SeriesState.from_json(spark.read.json(path).first()["state"])
+
 
 def fit_static(static: DataFrame, id_col: str = "id", target: str = "sii", columns=None,
                feature_selection: str = "none", n_features: int = 10) -> SeriesState:
@@ -47,6 +61,7 @@ def fit_static(static: DataFrame, id_col: str = "id", target: str = "sii", colum
     if columns is not None:
         df = df.select(id_col, target, *[c for c in columns if c in df.columns])
     num, cat = schema.feature_kinds(df, target, exclude=[id_col], policy="series")
+    df = impute.normalize_nan(df, num)
     st = SeriesState(id_col, target, num, cat)
     # one pass: mean fill and the moments of the filled columns (the scaler
     # is fitted after filling); one pass: categories of the filled strings
@@ -61,7 +76,7 @@ def fit_static(static: DataFrame, id_col: str = "id", target: str = "sii", colum
 
 
 def _filled_numeric(st: SeriesState, cols):
-    return F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(st.fills[c])) for c in cols])
+    return F.array(*[F.coalesce(number(c), F.lit(st.fills[c])) for c in cols])
 
 
 def _select_static(df: DataFrame, st: SeriesState, method: str, n: int) -> None:
@@ -98,7 +113,7 @@ def static_vector(df: DataFrame, st: SeriesState, keep=None, unseen: str = "keep
         for i, c in enumerate(st.num):
             ex.append((F.col("_pcs").getItem(i) - F.lit(st.mean[c])) / F.lit(st.scale[c]))
     for c in ([] if st.projection is not None else st.num):
-        x = F.coalesce(F.col(c).cast("double"), F.lit(st.fills[c]))
+        x = F.coalesce(number(c), F.lit(st.fills[c]))
         ex.append((x - F.lit(st.mean[c])) / F.lit(st.scale[c]))
     for c in st.cat:
         x = F.coalesce(F.col(c).cast("string"), F.lit("Unknown"))
@@ -121,14 +136,14 @@ def sequences(series_df: DataFrame, id_col: str, order, every: int = 10, tail: i
 
 def assemble(static: DataFrame, series_df: DataFrame, st: SeriesState, order, every: int = 10,
              tail: int = 1000, labelled: bool = True, ids: DataFrame | None = None) -> DataFrame:
-    """B7 + B8 + H8: subjects that have a series (left-semi), their static
+    """B7 + B8 + H8: subjects that have a series, their static
     vector, sequence and (when ``labelled``) label. ``ids`` optionally
     restricts to a list of subjects (one pruned scan, no per-id loop)."""
     s = schema.drop_missing_target(static, st.target) if labelled else static
     if ids is not None:
         s = s.join(ids.select(st.id_col), st.id_col, "left_semi")
         series_df = series_df.join(ids.select(st.id_col), st.id_col, "left_semi")
-    s = schema.restrict_to_available(s, series_df, st.id_col)
+    # the inner join with the sequences keeps only subjects that have a series
     keep = [st.id_col] + ([st.target] if labelled else [])
     sv = static_vector(s, st, keep=keep)
     seq = sequences(series_df, st.id_col, order, every, tail)

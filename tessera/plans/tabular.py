@@ -11,7 +11,6 @@ then split the balanced rows).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tessera.operators import balance, schema
 from tessera.plans import prep
@@ -33,7 +32,7 @@ def tab_datasets(train: DataFrame, test: DataFrame | None, cfg: prep.PrepConfig,
         s = balance.stratified_split(lab, cfg.target, key, 1 - train_split, cfg.seed)
         tr, va = balance.take_split(s, "both")
         x_tr, st, w = prep.fit_transform(tr.drop("split"), cfg)
-        x_va = prep.transform(va.drop("split", cfg.target), st).join(va.select(*keys, cfg.target), keys)
+        x_va = prep.transform(va.drop("split"), st, keep=[cfg.target])
         return x_tr, x_va, st, w
     x, st, w = prep.fit_transform(lab, cfg)
     extra = [c for c in ("copy", "synthetic") if c in x.columns]

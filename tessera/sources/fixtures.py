@@ -53,6 +53,11 @@ def tab_new(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_mktsegment")))
 
 
+def with_nan(df: DataFrame, *cols: str) -> DataFrame:
+    """The same view with NaN where the columns hold null: to be treated alike."""
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols})
+
+
 def subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Static per-subject table for the series path: one row per customer,
     id forced to string; label ``sii`` in 0..3, null for some subjects."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
@@ -21,10 +21,11 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     if fmt == "csv":
         r = spark.read.option("header", True)
-        if schema is not None:
-            df = r.schema(schema).csv(path)
-        else:
-            df = r.option("inferSchema", True).csv(path)
+        if schema is None:
+            schema = r.option("inferSchema", True).csv(path).schema
+        # read as string, never inferred and cast back: "007" must not become "7"
+        text = StructType([StructField(f.name, StringType(), f.nullable) if f.name in string_cols else f for f in schema.fields])
+        df = r.option("inferSchema", False).schema(text).csv(path)
     else:
         df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
     for c in string_cols:
@@ -59,18 +60,21 @@ def read_subject(series: DataFrame, id_col: str, subject) -> DataFrame:
 
 
 def require_ids(df: DataFrame, id_col: str, ids) -> None:
-    """A4: raise if any requested subject has no rows. Short lists become a
-    pruned ``isin`` filter; long lists an anti join (what comes back to the
-    driver is bounded by the list)."""
-    want = [str(i) for i in ids]
-    if len(want) <= 1000:
-        have = {r[0] for r in df.where(F.col(id_col).isin(want)).select(id_col).distinct().collect()}
-        missing = [i for i in want if i not in have]
-    else:
-        req = df.sparkSession.createDataFrame([(i,) for i in want], f"{id_col} string")
-        missing = [r[0] for r in req.join(df.select(id_col).distinct(), id_col, "left_anti").limit(10).collect()]
+    """A4: raise if any requested subject has no rows, naming all of them (at
+    most the list that was given)."""
+    missing = [r[0] for r in missing_ids(df, id_col, ids).orderBy(id_col).collect()]
     if missing:
-        raise ValueError(f"no series rows for subject(s): {missing[:10]}")
+        raise ValueError(f"no series rows for subject(s): {missing}")
+
+
+def missing_ids(df: DataFrame, id_col: str, ids) -> DataFrame:
+    """A4: the requested ids (a list, or a frame with ``id_col``) without rows;
+    the table's ids are made distinct before the shuffle."""
+    if isinstance(ids, DataFrame):
+        want = ids.select(F.col(id_col).cast("string").alias(id_col)).distinct()
+    else:
+        want = df.sparkSession.createDataFrame([(str(i),) for i in dict.fromkeys(ids)], f"{id_col} string")
+    return want.join(df.select(F.col(id_col).cast("string").alias(id_col)).distinct(), id_col, "left_anti")
 
 
 def write_predictions(df: DataFrame, path: str, id_col: str = "id", pred_col: str = "prediction",

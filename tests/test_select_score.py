@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import score as sco
@@ -91,12 +92,62 @@ def test_wide_correlation_path_agrees(spark):
     X[:, 4] = X[:, 0] * 2 + 0.01 * rng.normal(size=80)
     y = (X[:, 1] > 0).astype(int)
     df = spark.createDataFrame([(x.tolist(), int(c)) for x, c in zip(X, y)], "features array<double>, y int")
-    a_pair, a_y = fsel.correlation_table(df, 6, "y")
-    b_pair, b_y = fsel.correlation_table(df, 6, "y", wide_from=64)
-    for key, v in a_pair.items():
-        assert (v is None and b_pair[key] is None) or math.isclose(v, b_pair[key], rel_tol=1e-9, abs_tol=1e-12)
-    for key, v in a_y.items():
-        assert (v is None and b_y[key] is None) or math.isclose(v, b_y[key], rel_tol=1e-9, abs_tol=1e-12)
+    pair, by_y = fsel.correlation_table(df, 6, "y")
+    for i in range(6):
+        if i == 3:
+            assert by_y[3] is None
+            continue
+        assert math.isclose(by_y[i], np.corrcoef(X[:, i], y)[0, 1], rel_tol=1e-9, abs_tol=1e-12)
+        for j in range(i + 1, 6):
+            if j != 3:
+                assert math.isclose(pair[i, j], np.corrcoef(X[:, i], X[:, j])[0, 1], rel_tol=1e-9, abs_tol=1e-12)
+
+
+@pytest.mark.parametrize("p", [1, 2, 4, 5, 12])
+def test_correlation_treats_null_labels_alike_at_every_width(spark, p):
+    rng = np.random.default_rng(p)
+    X = rng.normal(size=(40, p))
+    y = X[:, 0] + rng.normal(size=40)
+    df = spark.createDataFrame([(x.tolist(), float(v) if i % 4 else None) for i, (x, v) in enumerate(zip(X, y))], "features array<double>, y double")
+    _, by_y = fsel.correlation_table(df, p, "y")
+    has = np.arange(40) % 4 > 0
+    assert all(math.isclose(by_y[i], np.corrcoef(X[has, i], y[has])[0, 1], rel_tol=1e-9) for i in range(p))
+    assert fsel.correlation_table(df.where("false"), p, "y")[1] == {i: None for i in range(p)}
+
+
+def test_mutual_information_survives_one_far_value(spark):
+    rows = [([float(i % 10), float(i % 7)], int(i % 10 > 4)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "features array<double>, y int")
+    far = spark.createDataFrame([*rows[:-1], ([1e9, 1.0], rows[-1][1])], "features array<double>, y int")
+    score = lambda d: {r["fi"]: r["score"] for r in fsel.mutual_info_scores(d, "y").collect()}
+    assert math.isclose(score(df)[0], math.log(2), rel_tol=1e-6) and score(far)[0] > 0.68 and score(far)[1] < 0.1
+
+
+def test_lasso_cv_equals_fits_on_the_rows(spark):
+    """Moments of the folds against the same search on the rows themselves."""
+    rng = np.random.default_rng(11)
+    X = rng.normal(size=(150, 4))
+    y = 2 * X[:, 1] - X[:, 2] + rng.normal(size=150)
+    df = spark.createDataFrame([(x.tolist(), float(v)) for x, v in zip(X, y)], "features array<double>, y double")
+    fold = np.array([r[0] for r in df.select(F.pmod(F.xxhash64("features", "y"), F.lit(5))).collect()])
+    rows = df.collect()
+    X, y = np.array([r["features"] for r in rows]), np.array([r["y"] for r in rows])
+
+    def fit(x, t, alpha, w):
+        xc, tc = x - x.mean(0), t - t.mean()
+        return fsel.lasso_descent(xc.T @ xc / len(x), xc.T @ tc / len(x), alpha, w, tol=1e-10)
+
+    top = np.abs((X - X.mean(0)).T @ (y - y.mean()) / len(y)).max()
+    grid = [top * 1e-3 ** (i / 99) for i in range(100)]
+    error = np.zeros(100)
+    for f in range(5):
+        tr, te, w = fold != f, fold == f, None
+        for i, alpha in enumerate(grid):
+            w = fit(X[tr], y[tr], alpha, w)
+            error[i] += (((X[te] - X[tr].mean(0)) @ w + y[tr].mean() - y[te]) ** 2).mean()
+    want = fit(X, y, grid[int(error.argmin())], None)
+    assert np.allclose(fsel.lasso_cv_coefficients(df, "y"), want, atol=1e-6)
+    assert np.allclose(fsel.lasso_cv_coefficients(df.repartition(7), "y"), want, atol=1e-6)
 
 
 def test_lstm_batch_equals_per_sample():

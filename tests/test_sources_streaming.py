@@ -22,9 +22,10 @@ def test_csv_read_inferred_and_string_key(spark):
     df = io.read_table(spark, d + "/t", fmt="csv")
     assert dict(df.dtypes)["id"] == "int"                       # inference loses the zeros
     df = io.read_table(spark, d + "/t", fmt="csv", string_cols=["id"])
-    assert sorted(r["id"] for r in df.collect()) == ["10", "7"]
-    sch = "id string, x double, c string"
-    df = spark.read.option("header", True).schema(sch).csv(d + "/t")
+    assert sorted(r["id"] for r in df.collect()) == ["007", "010"] and dict(df.dtypes)["x"] == "double"
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructType
+    sch = StructType().add("id", LongType()).add("x", DoubleType()).add("c", StringType())
+    df = io.read_table(spark, d + "/t", schema=sch, fmt="csv", string_cols=["id"])
     assert sorted(r["id"] for r in df.collect()) == ["007", "010"]
 
 
