@@ -7,6 +7,7 @@ from collections.abc import Callable, Hashable, Sequence
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 
 
 class IdPool:
@@ -30,11 +31,8 @@ class IdPool:
         """New keys: their ids one after the other, and how many each has."""
         self.now.add(keys, ids, size)
 
-    def gather(self, keys: Sequence[Hashable], make: Callable[[list], None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all keys one after the other, and how many each has.
-
-        ``make`` gets the distinct keys that are not known and adds them.
-        """
+    def codes(self, keys: Sequence[Hashable], make: Callable[[list], None]) -> np.ndarray:
+        """Where each key's ids are. ``make`` gets the distinct keys that are not known and adds them."""
         codes = np.fromiter(map(self.now.code.get, keys, repeat(-1)), np.int64, len(keys))
         absent = np.nonzero(codes < 0)[0].tolist()
         if absent:
@@ -46,7 +44,23 @@ class IdPool:
             if new:
                 make(list(new))
             codes[absent] = np.fromiter(map(self.now.code.__getitem__, gone), np.int64, len(gone))
-        return self.now.take(codes)
+        return codes
+
+    def gather(self, keys: Sequence[Hashable], make: Callable[[list], None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all keys one after the other, and how many each has."""
+        return self.now.take(self.codes(keys, make))
+
+    def gather_array(self, keys: pa.Array, make: Callable[[list], None]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``gather``, for an Arrow array of keys: only distinct ones become Python objects."""
+        found = keys.dictionary_encode()
+        codes = self.codes(found.dictionary.to_pylist(), make)
+        return self.now.take(codes[found.indices.to_numpy()])
+
+
+def by_group(size: np.ndarray, n: Sequence[int] | np.ndarray) -> np.ndarray:
+    """Sums of ``size`` over groups of ``n`` neighbours each (a group may be empty)."""
+    bounds = np.concatenate([[0], np.cumsum(np.asarray(n, np.int64))]).astype(np.int64)
+    return np.diff(np.concatenate([[0], np.cumsum(size)])[bounds]).astype(np.int64)
 
 
 class _Ids:

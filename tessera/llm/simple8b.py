@@ -26,68 +26,75 @@ MAGIC = b"TSIMPL8B"
 COUNT = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTH = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 ESCAPE = 15
+COUNT_OF_ALL = np.append(COUNT, 1)
 BLOCK = 512
 #: Blocks encoded or decoded at a time.
-AT_ONCE = 1024
+AT_ONCE = 2048
 TAIL = struct.Struct("<QQQQ")
 _LIMITS = np.array([1 << int(w) for w in WIDTH[1:]], np.uint64)
 
 
+def best_selectors(ids: np.ndarray) -> np.ndarray:
+    """For each place of ``ids`` the selector that holds most of the ids from there on; 60 more ids must follow the last place."""
+    work = ids.astype(np.uint16) if len(ids) and ids.max() < 1 << 16 else ids
+    least = np.ones(len(ids), np.int8)  # the narrowest selector for each id alone
+    for limit in _LIMITS[:np.searchsorted(_LIMITS, ids.max(initial=0), side="right")]:
+        least += work >= work.dtype.type(limit)
+    most = {1: least}  # over a window of so many ids: from two shorter windows
+    for n, first in ((2, 1), (3, 2), (4, 2), (5, 4), (6, 4), (7, 4), (8, 4), (10, 8), (12, 8), (15, 8), (20, 12), (30, 15), (60, 30)):
+        a, b = most[first], most[n - first]
+        most[n] = np.maximum(a[:len(ids) - n + 1], b[first:first + len(ids) - n + 1])
+    places = len(ids) - 60
+    best = np.where(least[:places] == ESCAPE, np.int8(ESCAPE), np.int8(14))
+    for s in range(13, 0, -1):
+        best[most[int(COUNT[s])][:places] <= s] = s
+    return best
+
+
 def encode_blocks(ids: np.ndarray, escapes: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Words of all blocks of ``ids`` (unsigned 64 bits), and each block's number of words.
 
-    Every block is packed greedily, the word with most ids first; all blocks go
-    forward in step. Values of more than 60 bits are appended to ``escapes``.
+    Every block is packed greedily, the word with most ids first. Zeros that
+    follow the last id of a block fill its last word. Values of more than 60
+    bits are appended to ``escapes``.
     """
-    n = len(ids)
+    n, stride = len(ids), BLOCK + 60
     blocks = -(-n // BLOCK)
-    wide = np.zeros((blocks, BLOCK + 60), np.uint64)
-    flat = np.zeros(blocks * BLOCK, np.uint64)
-    flat[:n] = ids
-    wide[:, :BLOCK] = flat.reshape(blocks, BLOCK)
-    # the narrowest selector that can hold each id; zeros past the end fit anywhere
-    least = (np.searchsorted(_LIMITS, wide, side="right") + 1).astype(np.int8)
-    sizes = np.full(blocks, BLOCK)
-    if blocks:
-        sizes[-1] = n - (blocks - 1) * BLOCK
-    words = np.zeros((blocks, BLOCK), np.uint64)
-    at, used = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
-    live = np.arange(blocks)
-    while len(live):
-        pos = at[live]
-        top = least[live, pos].astype(np.int64)
-        best = np.where(top == ESCAPE, ESCAPE, 14)
-        running, ahead = top.copy(), 1
-        for s in range(13, 0, -1):
-            while ahead < COUNT[s]:
-                running = np.maximum(running, least[live, pos + ahead])
-                ahead += 1
-            ok = running <= s
-            best[ok] = s
-            if not (running <= s - 1).any():
-                break
-        for s in np.unique(best):
-            mine = best == s
-            rows, cols = live[mine], pos[mine]
-            if s == ESCAPE:
-                packed = np.arange(len(escapes), len(escapes) + len(rows), dtype=np.uint64)
-                escapes.extend(int(v) for v in wide[rows, cols])
-                took = 1
-            else:
-                took = int(COUNT[s])
-                part = wide[rows[:, None], cols[:, None] + np.arange(took)]
-                packed = np.bitwise_or.reduce(part << (np.arange(took) * WIDTH[s]).astype(np.uint64), axis=1)
-            words[rows, used[rows]] = packed | np.uint64(int(s) << 60)
-            used[rows] += 1
-            at[rows] += took
-        live = live[at[live] < sizes[live]]
-    return words[np.arange(BLOCK) < used[:, None]], used
+    if not blocks:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    padded = np.zeros(blocks * BLOCK, np.uint64)
+    padded[:n] = ids
+    wide = np.zeros((blocks, stride), np.uint64)
+    wide[:, :BLOCK] = padded.reshape(blocks, BLOCK)
+    flat = np.append(wide.ravel(), np.zeros(60, np.uint64))
+    selector = best_selectors(flat)
+    step = COUNT_OF_ALL[selector].tolist()
+    starts: list[int] = []
+    for b in range(blocks):
+        at, end = b * stride, b * stride + min(BLOCK, n - b * BLOCK)
+        while at < end:
+            starts.append(at)
+            at += step[at]
+    place = np.array(starts, np.int64)
+    chosen = selector[place].astype(np.int64)
+    words = np.zeros(len(place), np.uint64)
+    for s in np.unique(chosen):
+        mine = place[chosen == s]
+        if s == ESCAPE:
+            packed = np.arange(len(escapes), len(escapes) + len(mine), dtype=np.uint64)
+            escapes.extend(flat[mine].tolist())
+        else:
+            packed = flat[mine]
+            for k in range(1, int(COUNT[s])):
+                packed |= flat[mine + k] << np.uint64(k * int(WIDTH[s]))
+        words[chosen == s] = packed | np.uint64(int(s) << 60)
+    return words, np.bincount(place // stride, minlength=blocks)
 
 
 def decode_blocks(words: np.ndarray, used: np.ndarray, sizes: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     """Ids of a run of blocks: ``used`` words and ``sizes`` ids each."""
     selector = (words >> np.uint64(60)).astype(np.int64)
-    counts = np.where(selector == ESCAPE, 1, COUNT[np.minimum(selector, 14)])
+    counts = COUNT_OF_ALL[selector]
     if (selector == 0).any():
         raise ValueError("not a Simple-8b word")
     start = np.cumsum(counts) - counts

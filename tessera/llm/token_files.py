@@ -10,20 +10,31 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, shared_path, slices, utf8
-from tessera.llm.idpool import IdPool
+from tessera.llm.common import materialize, shared_path, slices
+from tessera.llm.idpool import IdPool, by_group
 
 REMEMBERED = 160_000
-#: ASCII signs that may end a chunk and are then pieces of their own.
-SIGNS = ".,;:!?%&$*#|)]}>\"-/+="
+#: The vocabulary's pattern for lower-case ASCII and the UTF-8 bytes of Latin letters up to U+024F.
+LATIN_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xc3-\xc9\x80-\xbf]+|[0-9]|[^\s0-9a-z\xc3-\xc9\x80-\xbf]+")
+#: Bytes of ASCII and those letters; the two signs between them, and the letter that folds to two characters.
+LATIN_BYTES = bytes([*range(0x80), *range(0x80, 0xC0), *range(0xC3, 0xCA)])
+NOT_LATIN = (b"\xc3\x97", b"\xc3\xb7", b"\xc4\xb0")
+
+
+def byte_chars() -> dict[int, str]:
+    """The character that stands for each byte before the merges: printable Latin-1 for itself, the others from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in own)}}
 
 
 class WordEncoder:
@@ -39,41 +50,48 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merge = self.tokenizer.model.tokenize
+        # letters in the Latin blocks, as decoded from Latin-1: their UTF-8 bytes as the model's characters
+        self.chars = str.maketrans({chr(b): c for b, c in byte_chars().items()})
         self.chunks, self.pieces = IdPool(REMEMBERED), IdPool(REMEMBERED)
 
-    @staticmethod
-    def cut(chunk: str) -> tuple[str, ...]:
-        """Pieces that are encoded apart: signs after a letter stand alone, and case does not matter in Latin letters.
-
-        Other chunks go to the library as they are.
-        """
-        body = chunk.rstrip(SIGNS)
-        if not body or not body[-1].lower()[-1].isalpha():
-            return (chunk,)
-        if max(body) < "İ":
-            body = body.lower()
-        return (body, chunk[len(body):]) if len(body) < len(chunk) else (body,)
-
-    def learn_pieces(self, new: list[str], at_once: int = 5000) -> None:
-        for i in range(0, len(new), at_once):
-            part = new[i:i + at_once]
-            got = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+    def learn_pieces(self, new: list[bytes | str], at_once: int = 5000) -> None:
+        """A word of Latin letters is left as it is by normalisation, but for its case: it goes to the library's merges
+        at once. All others go through the library's whole path."""
+        plain, letters, rest = [], [], []
+        for p in new:
+            low = p.decode().lower() if isinstance(p, bytes) else ""
+            if low.isalpha():
+                plain.append(p)
+                letters.append(low if low.isascii() else low.encode().decode("latin-1").translate(self.chars))
+            else:
+                rest.append(p)
+        got = [[t.id for t in self.merge(x)] for x in letters]
+        self.pieces.add(plain, np.fromiter(chain.from_iterable(got), np.int32), np.fromiter(map(len, got), np.int64, len(got)))
+        for i in range(0, len(rest), at_once):
+            part = rest[i:i + at_once]
+            got = self.tokenizer.encode([p if isinstance(p, str) else p.decode() for p in part], is_pretokenized=True, add_special_tokens=False)
             size = np.bincount(np.array(got.word_ids, np.int64), minlength=len(part))
             self.pieces.add(part, np.array(got.ids, np.int32), size)
 
     def learn_chunks(self, new: list[bytes]) -> None:
-        split = [self.cut(c.decode()) for c in new]
+        """Latin chunks are cut by the pattern; any other is one piece for the library."""
+        split = [LATIN_WORDS.findall(c.lower()) if c.isascii() or not c.translate(None, LATIN_BYTES) and not any(x in c for x in NOT_LATIN)
+                 else [c.decode()] for c in new]
         flat, size = self.pieces.gather(list(chain.from_iterable(split)), self.learn_pieces)
-        self.chunks.add(new, flat, np.add.reduceat(size, np.cumsum([0, *map(len, split)])[:-1]))
+        self.chunks.add(new, flat, by_group(size, list(map(len, split))))
 
-    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each text's."""
         self.chunks.trim()
         self.pieces.trim()
-        cut = [t.split() if t else [] for t in texts]
-        ids, size = self.chunks.gather(list(chain.from_iterable(cut)), self.learn_chunks)
-        total = np.concatenate([[0], np.cumsum(size)])
-        return ids, np.diff(total[np.cumsum([0, *map(len, cut)])])
+        texts = pc.fill_null(texts, "")
+        # capitals of ASCII fold alike before and after normalisation, unless a combining mark follows
+        marks = pc.match_substring_regex(texts, "[\u0300-\u036f]")
+        low = pc.ascii_lower(texts)
+        cut = pc.ascii_split_whitespace(pc.if_else(marks, texts, low) if pc.any(marks).as_py() else low)
+        ids, size = self.chunks.gather_array(cut.flatten().cast(pa.binary()), self.learn_chunks)
+        return ids, by_group(size, pc.list_value_length(cut).to_numpy())
 
 
 @functools.lru_cache(maxsize=2)
@@ -108,7 +126,7 @@ def write_ids(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "do
         enc, zip_ = encoder(tokenizer_path), zstandard.ZstdCompressor(level=1)
         for whole in batches:
             for b in slices(whole, "text"):
-                flat, counts = enc.encode(utf8(b.column("text")))
+                flat, counts = enc.encode(b.column("text"))
                 ends = np.cumsum(counts)
                 docs = b.column("id").to_pylist()
                 packed = [zip_.compress(np.append(flat[e - n:e], end_id).astype("<u4" if end_id > 65535 or n and flat[e - n:e].max() > 65535 else "<u2").tobytes())

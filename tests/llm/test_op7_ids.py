@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -20,7 +21,7 @@ def whole(texts):
 
 
 def coded(texts, enc):
-    ids, n = enc.encode([None if t is None else t.encode() for t in texts])
+    ids, n = enc.encode(pa.array(texts, pa.string()))
     return [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
 
 
