@@ -11,13 +11,10 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from tessera.functions.keys import keyed_index
-from tessera.operators.rank import hash_rank, hash_within
-
-MAX_CLASSES = 100_000   # class tables are broadcast; refuse label columns beyond this
-
+from tessera.operators.rank import hash_rank, hash_within, ordered_rank
+from tessera.session import written
 
 def class_table(df: DataFrame, label: str) -> DataFrame:
     """Per-class counts (small: one row per class)."""
@@ -26,10 +23,9 @@ def class_table(df: DataFrame, label: str) -> DataFrame:
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """G1: balanced weights n / (classes · n_c), one row per class."""
-    ct = class_table(df, label)
-    w = W.partitionBy()  # over the class table only (≤ MAX_CLASSES rows)
-    return ct.select(label, "n_c", (F.sum("n_c").over(w) / (F.count(F.lit(1)).over(w) * F.col("n_c")))
-                     .alias("weight"))
+    ct = written(class_table(df, label), "classes")
+    total = ct.agg(F.coalesce(F.sum("n_c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("k")).first()   # one row
+    return ct.select(label, "n_c", (F.lit(total["n"]) / (F.lit(total["k"]) * F.col("n_c"))).alias("weight"))
 
 
 def with_class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -38,81 +34,71 @@ def with_class_weights(df: DataFrame, label: str) -> DataFrame:
     return df.join(class_weights(df, label).select(label, "weight"), label, "left")
 
 
-def _counts(df, label):
-    rows = class_table(df, label).limit(MAX_CLASSES + 1).collect()   # bounded fetch
-    if len(rows) > MAX_CLASSES:
-        raise ValueError("label has too many distinct values for class balancing")
-    return {r[label]: r["n_c"] for r in rows}
-
-
 def random_under(df: DataFrame, label: str, key, seed=42) -> DataFrame:
     """Every class cut to the minority count, without replacement (the
     n_min rows of each class with the smallest keyed hash)."""
-    counts = _counts(df, label)
-    n_min = min(counts.values())
-    r = hash_within(df.where(F.col(label).isNotNull()), key, n_min, seed, group=[label], n_groups=len(counts))
+    n_min = class_table(df, label).agg(F.min("n_c")).first()[0] or 0
+    r = hash_within(df.where(F.col(label).isNotNull()), key, n_min, seed, group=[label])
     return r.where(F.col("_in")).drop("_in")
 
 
-def _draws(spark, deficits: dict, label: str, label_type: str, chunk: int = 1_000_000) -> DataFrame:
-    """One row (label, i) for i in [0, deficit) per class, generated in
+def deficits(df: DataFrame, label: str) -> DataFrame:
+    """(label, n_c, d): the classes below the majority count and what they lack."""
+    ct = written(class_table(df, label), "classes")
+    n_max = ct.agg(F.max("n_c")).first()[0] or 0
+    return ct.withColumn("d", F.lit(n_max) - F.col("n_c")).where("d > 0")
+
+
+def draws(need: DataFrame, label: str, chunk: int = 1_000_000) -> DataFrame:
+    """One row (label, n_c, i) for i in [0, d) per class of ``need``, made in
     chunks of ``chunk`` rows so a large deficit is spread over tasks."""
-    rows = [(c, d, math.ceil(d / chunk)) for c, d in deficits.items() if d > 0]
-    if not rows:
-        return spark.createDataFrame([], f"{label} {label_type}, i bigint")
-    base = spark.createDataFrame(rows, f"{label} {label_type}, d bigint, nch bigint")
-    chunks = base.select(label, "d", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nch") - 1)).alias("ch"))
-    nparts = max(1, min(sum(r[2] for r in rows), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    chunks = chunks.repartition(nparts, label, "ch")
-    return chunks.select(label, F.explode(F.sequence(
+    chunks = need.select(label, "n_c", "d", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.floor((F.col("d") - 1) / F.lit(chunk)))).alias("ch")).repartition(label, "ch")
+    return chunks.select(label, "n_c", F.explode(F.sequence(
         F.col("ch") * chunk, F.least((F.col("ch") + 1) * chunk, F.col("d")) - 1)).alias("i"))
 
 
 def random_over(df: DataFrame, label: str, key, seed=42) -> DataFrame:
     """Every class drawn up to the majority count with replacement;
     originals kept (``copy`` = 0), draw i of class c picks the row of rank
-    md5(seed:c:i) mod n_c (``copy`` = i + 1)."""
+    md5(seed:c:i) mod n_c (``copy`` = i + 1). Only the classes that get draws
+    are ranked."""
     keys = [key] if isinstance(key, str) else list(key)
     df = df.where(F.col(label).isNotNull())
-    counts = _counts(df, label)
-    n_max = max(counts.values())
-    lt = df.schema[label].dataType.simpleString()
-    draws = _draws(df.sparkSession, {c: n_max - n for c, n in counts.items()}, label, lt)
-    nc = df.sparkSession.createDataFrame([(c, n) for c, n in counts.items()], f"{label} {lt}, n_c bigint")
-    draws = draws.join(F.broadcast(nc), label).select(
+    need = deficits(df, label)
+    drawn = draws(need, label).select(
         label, "i", (keyed_index(seed, F.col("n_c"), F.col(label), F.col("i")) + 1).alias("_rank"))
-    ranked = hash_rank(df, keys, seed, group=[label], n_groups=len(counts))
-    dup = ranked.join(draws, [label, "_rank"]).withColumn("copy", F.col("i") + 1).drop("i", "_rank")
+    ranked = hash_rank(df.join(need.select(label), label, "left_semi"), keys, seed, group=[label])
+    dup = ranked.join(drawn, [label, "_rank"]).withColumn("copy", F.col("i") + 1).drop("i", "_rank")
     return df.withColumn("copy", F.lit(0).cast("bigint")).unionByName(dup.select(*df.columns, "copy"))
 
 
-def split_counts(counts: dict, test_size: float) -> dict:
-    """Per-class test counts of a stratified split (driver, O(classes)).
+def split_counts(df: DataFrame, label: str, test_size: float) -> DataFrame:
+    """(label, n_c, _lim): rows of each class that a stratified split puts to the test side.
 
     n_test = ceil(test_size · n); the train share of each class is
     floor(n_train · n_c / n) plus one for the classes with the largest
-    remainders (ties → smaller class); test takes the rest of the class.
+    remainders (ties → smaller class); test takes the rest of the class. All
+    by class table; two single rows come to the driver.
     """
-    n = sum(counts.values())
-    n_test = math.ceil(test_size * n)
-    n_train = n - n_test
-    cls = sorted(counts)
-    base = {c: (n_train * counts[c]) // n for c in cls}
-    rem = sorted(cls, key=lambda c: (-((n_train * counts[c]) % n), c))
-    for c in rem[: n_train - sum(base.values())]:
-        base[c] += 1
-    return {c: counts[c] - base[c] for c in cls}
+    ct = written(class_table(df, label), "classes")
+    n = ct.agg(F.sum("n_c")).first()[0] or 0
+    if not n:
+        return ct.withColumn("_lim", F.col("n_c"))
+    n_train = n - math.ceil(test_size * n)
+    product = F.lit(n_train).cast("decimal(19,0)") * F.col("n_c").cast("decimal(18,0)")
+    t = ct.withColumn("_p", product).withColumn("_base", F.expr(f"CAST(_p div {n} AS BIGINT)")) \
+          .withColumn("_minus", -(F.col("_p") % F.lit(n)).cast("decimal(38,0)"))
+    extra = n_train - t.agg(F.sum("_base")).first()[0]
+    t = ordered_rank(t.drop("_p"), ["_minus", label])
+    return t.select(label, "n_c", (F.col("n_c") - F.col("_base") - F.when(F.col("_rank") <= extra, 1).otherwise(0)).alias("_lim"))
 
 
 def stratified_split(df: DataFrame, label: str, key, test_size: float = 0.2, seed=42) -> DataFrame:
     """Exact stratified split; adds ``split`` = 'train' | 'val'. In each
     class the rows with the smallest keyed hash go to 'val'."""
     df = df.where(F.col(label).isNotNull())
-    counts = _counts(df, label)
-    tc = split_counts(counts, test_size)
-    lt = df.schema[label].dataType.simpleString()
-    tt = df.sparkSession.createDataFrame(list(tc.items()), f"{label} {lt}, _lim bigint")
-    r = hash_within(df, key, tt, seed, group=[label], n_groups=len(counts))
+    r = hash_within(df, key, split_counts(df, label, test_size), seed, group=[label])
     return r.withColumn("split", F.when(F.col("_in"), "val").otherwise("train")).drop("_in")
 
 

@@ -54,7 +54,7 @@ def fit_categories(df: DataFrame, cols, max_categories: int = 10_000) -> dict:
     vc = value_counts(df, cols, max_categories * max(1, len(cols)))
     big = [c for c in cols if len(vc[c]) > max_categories]
     if big:
-        raise ValueError(f"too many categories for a dense encoding: {big}")
+        raise ValueError(f"too many categories for a dense encoding (see category_index): {big}")
     return {c: sorted(vc[c]) for c in cols}
 
 
@@ -64,6 +64,28 @@ def onehot_exprs(c: str, cats: list) -> list[Column]:
     return [F.when(x == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{c}_{v}") for v in cats]
 
 
+def category_index(df: DataFrame, cols) -> DataFrame:
+    """D3 at any cardinality: (ci, v, idx), the sorted non-null categories of
+    the columns, one block of slots a column. It stays a table; no task holds
+    all categories of a column."""
+    from tessera.operators.rank import ordered_rank
+    from tessera.session import written
+    values = F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)]))
+    seen = written(df.select(values.alias("s")).select("s.*").where(F.col("v").isNotNull()).distinct(), "categories")
+    return written(ordered_rank(seen, ["ci", "v"], out="idx").select("ci", "v", (F.col("idx") - 1).alias("idx")), "category-index")
+
+
+def onehot_sparse(df: DataFrame, keys, cols, index: DataFrame, out: str = "slots") -> DataFrame:
+    """D3 as sparse vectors: keys and the sorted slots that hold a 1. Unseen
+    and null categories set none. ``keys`` name a row; rows that share them
+    share a result. Both sides of the join are plain tables, so adaptive
+    execution can split a category that very many rows have."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    values = F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)]))
+    long = df.select(*keys, values.alias("_s")).select(*keys, "_s.ci", "_s.v")
+    return long.join(index, ["ci", "v"], "left").groupBy(*keys).agg(F.array_sort(F.collect_set("idx")).alias(out))
+
+
 def label_code(c: str, classes: list, unseen: str = "error") -> Column:
     """Index in the sorted class list. Unseen → error (default) or -1."""
     x = F.col(c).cast("string")

@@ -194,28 +194,24 @@ def smote(df: DataFrame, label: str, key: str, vec: str = "features", k: int = 5
     the k nearest same-class rows (self excluded), u = uniform(seed:c:i:u).
     Output: originals (``synthetic`` = -1) and draws (``synthetic`` = i)."""
     from tessera.functions.keys import keyed_index, keyed_uniform
-    from tessera.operators.balance import _counts, _draws
+    from tessera.operators.balance import deficits, draws
     from tessera.operators.rank import hash_rank
     df = df.where(F.col(label).isNotNull()).select(key, label, vec)
-    counts = _counts(df, label)
-    n_max = max(counts.values())
-    need = {c: n_max - n for c, n in counts.items() if n < n_max}
-    lt = df.schema[label].dataType.simpleString()
+    need = deficits(df, label)
     orig = df.withColumn("synthetic", F.lit(-1).cast("bigint"))
-    if not need:
+    if need.isEmpty():
         return orig
-    minority = df.where(F.col(label).isin(list(need)))
-    nn = exact_knn(minority, minority.withColumnRenamed(key, "_nn"), key, "_nn", vec, k, part=[label],
-                   exclude_self=True)
-    kk = nn.groupBy(label, key).agg(F.count(F.lit(1)).alias("_kn"))
-    spark = df.sparkSession
-    draws = _draws(spark, need, label, lt)
-    nc = spark.createDataFrame([(c, counts[c]) for c in need], f"{label} {lt}, n_c bigint")
-    draws = draws.join(F.broadcast(nc), label).select(
+    minority = df.join(need.select(label), label, "left_semi")
+    drawn = draws(need, label).select(
         label, "i", (keyed_index(seed, F.col("n_c"), F.col(label), F.col("i"), F.lit("b")) + 1).alias("_rank"),
         keyed_uniform(seed, F.col(label), F.col("i"), F.lit("u")).alias("_u"))
-    ranked = hash_rank(minority, key, seed, group=[label], n_groups=len(counts))
-    base = draws.join(ranked, [label, "_rank"]).join(kk, [label, key])
+    ranked = hash_rank(minority, key, seed, group=[label])
+    # neighbours only of the rows that are drawn as a base
+    bases = drawn.join(ranked, [label, "_rank"]).select(key, label, vec, "i", "_u")
+    wanted = bases.select(key, label, vec).dropDuplicates([label, key])
+    nn = exact_knn(wanted, minority.withColumnRenamed(key, "_nn"), key, "_nn", vec, k, part=[label], exclude_self=True)
+    kk = nn.groupBy(label, key).agg(F.count(F.lit(1)).alias("_kn"))
+    base = bases.join(kk, [label, key])
     base = base.withColumn("nn_rank", (keyed_index(seed, F.col("_kn"), F.col(label), F.col("i"), F.lit("n")) + 1)
                            .cast("int"))
     pair = base.join(nn.select(label, key, "nn_rank", "_nn"), [label, key, "nn_rank"])

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import nan_to_zero
+from tessera.session import written
 
 
 def confusion(df: DataFrame, y: str = "y", yhat: str = "yhat") -> DataFrame:
@@ -84,12 +85,15 @@ def cross_entropy(df: DataFrame, logits: str = "logits", y: str = "y", weight: s
 def report(df: DataFrame, logits: str = "logits", y: str = "y", yhat: str = "yhat",
            batch: str | None = None, n_classes: int | None = None) -> DataFrame:
     """M9: loss, accuracy, balanced accuracy, precision, recall, F1 in one row
-    (plain accuracy and unweighted loss)."""
-    s = scores(confusion(df, y, yhat))
-    loss = cross_entropy(df, logits, y, batch=batch, n_classes=n_classes)
-    return _one_row(s, loss)
+    (plain accuracy and unweighted loss).
 
-
-def _one_row(a: DataFrame, b: DataFrame) -> DataFrame:
-    k = F.lit(1).alias("_k")
-    return a.select(k, "*").join(b.select(k, "*"), "_k").drop("_k")
+    The rows are read once: counts and loss sums by (batch, y, yhat) are
+    written, and everything else is an aggregate of those."""
+    loss = -log_prob(F.col(logits), F.col(y), n_classes=n_classes)
+    by = [F.col(batch).alias("b")] if batch else []
+    cells = written(df.groupBy(*by, F.col(y).alias("y"), F.col(yhat).alias("yhat"))
+                    .agg(F.count(F.lit(1)).alias("n"), F.count(loss).alias("k"), F.sum(loss).alias("s")), "report")
+    mean = (F.sum("s") / F.sum("k")).alias("loss")
+    total = (cells.groupBy("b").agg(mean).agg(F.avg("loss")) if batch else cells.agg(mean)).first()[0]
+    conf = cells.groupBy("y", "yhat").agg(F.sum("n").alias("n"))
+    return scores(conf).withColumn("loss", F.lit(total).cast("double"))

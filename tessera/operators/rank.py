@@ -3,10 +3,11 @@
 ``row_number().over(Window.orderBy(h))`` or ``partitionBy(label)`` would sort
 all rows (or a whole class) in one task. Here the hash's top bits pick one of
 ``buckets`` buckets; a small aggregate counts rows per (group, bucket); a
-window over that count table (≤ groups × buckets rows) gives each bucket its
-offset; the offsets are broadcast back (their size is bounded by the bucket
-count, checked below) and only (group, bucket) — about n / buckets rows —
-is sorted per task. A hot group is spread over all buckets like any other.
+window over that count table gives each bucket its offset, which is joined
+back; and only (group, bucket) — about n / buckets rows — is sorted per task.
+A hot group is spread over all buckets like any other. Without a group the
+offsets are as many rows as buckets and are broadcast; with one, adaptive
+execution decides from their measured size, however many groups there are.
 """
 
 from __future__ import annotations
@@ -18,23 +19,13 @@ from pyspark.sql import Window as W
 from tessera.functions.keys import keyed_hash60
 from tessera.functions.ranges import chunk_column
 
-MAX_BROADCAST_ROWS = 4_000_000
-
-
 def hash_rank(df: DataFrame, keys, seed=42, group=(), buckets: int = 4096, out: str = "_rank",
-              with_total: bool = False, n_groups: int | None = None) -> DataFrame:
+              with_total: bool = False) -> DataFrame:
     """Add ``out``: 1-based rank of each row within ``group`` when rows are
     ordered by md5(seed:keys) (ties, which need an md5 collision, by keys).
-    ``with_total`` also adds ``_group_n`` (rows in the group).
-
-    The offsets table has at most groups × buckets rows. It is broadcast
-    only when that bound is known to be small (no group, or ``n_groups``
-    given, with the bucket count shrunk to fit); otherwise adaptive
-    execution decides from its measured size."""
+    ``with_total`` also adds ``_group_n`` (rows in the group)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     group = [group] if isinstance(group, str) else list(group)
-    if group and n_groups:
-        buckets = max(16, min(buckets, MAX_BROADCAST_ROWS // max(n_groups, 1)))
     bits = max(1, (buckets - 1).bit_length())
     h = df.withColumn("_h", keyed_hash60(seed, *keys)) \
           .withColumn("_b", F.shiftright(F.col("_h"), 60 - bits))
@@ -45,8 +36,7 @@ def hash_rank(df: DataFrame, keys, seed=42, group=(), buckets: int = 4096, out:
                                     F.lit(0)).alias("_off"),
                          F.sum("_bn").over(wg.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
                          .alias("_group_n"))
-    proven = (not group) or (n_groups is not None and n_groups * (1 << bits) <= MAX_BROADCAST_ROWS)
-    offs = F.broadcast(offs) if proven else offs
+    offs = offs if group else F.broadcast(offs)
     j = h.join(offs, [*group, "_b"])
     wl = W.partitionBy(*group, "_b").orderBy("_h", *keys)
     r = j.withColumn(out, F.col("_off") + F.row_number().over(wl))
@@ -71,7 +61,7 @@ def ordered_rank(df: DataFrame, order, out: str = "_rank", chunks: int | None =
 
 
 def hash_within(df: DataFrame, keys, limits, seed=42, group=(), buckets: int = 4096,
-                n_groups: int | None = None, out: str = "_in") -> DataFrame:
+                out: str = "_in") -> DataFrame:
     """Add boolean ``out``: is the row's keyed-hash rank within its group
     ≤ the group's limit? Same answer as ``hash_rank(...) <= limit``, but
     without shuffling every row: bucket counts (a small aggregate) decide
@@ -82,8 +72,6 @@ def hash_within(df: DataFrame, keys, limits, seed=42, group=(), buckets: int = 4
     one row per group (low cardinality, like a class table)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     group = [group] if isinstance(group, str) else list(group)
-    if group and n_groups:
-        buckets = max(16, min(buckets, MAX_BROADCAST_ROWS // max(n_groups, 1)))
     bits = max(1, (buckets - 1).bit_length())
     h = df.withColumn("_h", keyed_hash60(seed, *keys)).withColumn("_b", F.shiftright(F.col("_h"), 60 - bits))
     counts = h.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_bn"))
@@ -96,8 +84,7 @@ def hash_within(df: DataFrame, keys, limits, seed=42, group=(), buckets: int = 4
         offs = offs.join(limits.select(*group, F.col("_lim").cast("bigint").alias("_lim")), group)
     offs = offs.withColumn("_state", F.when(F.col("_off") + F.col("_bn") <= F.col("_lim"), F.lit(1))
                            .when(F.col("_off") >= F.col("_lim"), F.lit(0)).otherwise(F.lit(2)))
-    proven = (not group) or (n_groups is not None and n_groups * (1 << bits) <= MAX_BROADCAST_ROWS)
-    offs = F.broadcast(offs) if proven else offs
+    offs = offs if group else F.broadcast(offs)
     j = h.join(offs.select(*group, "_b", "_off", "_lim", "_state"), [*group, "_b"])
     sure = j.where(F.col("_state") != 2).withColumn(out, F.col("_state") == 1)
     edge = j.where(F.col("_state") == 2).withColumn(

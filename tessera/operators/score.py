@@ -1,6 +1,6 @@
 """Model fitting and batch scoring.
 
-Scoring runs where the rows are: ``mapInPandas`` hands each task Arrow
+Scoring runs where the rows are: ``mapInArrow`` hands each task Arrow
 batches, the network weights travel once per executor as a broadcast, and
 numpy does the matrix products per batch (float64). Softmax / arg-max over an
 existing logits column stay JVM-side array expressions.
@@ -159,20 +159,20 @@ def _score_rows(df: DataFrame, keep, col: str, forward, payload) -> DataFrame:
         "logits array<double>, probability array<double>, prediction int"
 
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
         net = bc.value
-        for pdf in batches:
-            if len(pdf) == 0:
+        for b in batches:
+            if b.num_rows == 0:
                 continue
-            X = np.vstack(pdf[col].map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
+            # the list column's values as one matrix: no row becomes a Python object
+            X = b.column(col).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
             logits = forward(X, net)
             p, yhat = _finish(logits)
-            res = pdf[keep].copy() if keep else pd.DataFrame(index=pdf.index)
-            res["logits"] = list(logits)
-            res["probability"] = list(p)
-            res["prediction"] = yhat.astype("int32")
-            yield res
-    return df.select(*keep, col).mapInPandas(run, out_schema)
+            at = pa.array(np.arange(0, logits.size + 1, logits.shape[1]), pa.int32())
+            made = [pa.ListArray.from_arrays(at, pa.array(np.ascontiguousarray(m, np.float64).ravel())) for m in (logits, p)]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), *made, pa.array(yhat.astype(np.int32))],
+                                             names=[*keep, "logits", "probability", "prediction"])
+    return df.select(*keep, F.col(col).cast("array<double>").alias(col)).mapInArrow(run, out_schema)
 
 
 def score_mlp(df: DataFrame, layers, col: str = "features", keep=("id",)) -> DataFrame:

@@ -573,6 +573,9 @@ def register_late():
     if "e3_score_mlp" not in ORACLES:
         _score_oracles()
         ORACLES["e5_score_hybrid"] = hybrid_sql()
+        ORACLES["e5_predict_series"] = f"""
+SELECT c.id, CAST(coalesce(h.prediction, -1) AS INTEGER) AS sii FROM (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer) c
+LEFT JOIN ({hybrid_sql()}) h ON c.id = h.id"""
 
 ORACLES["c3_pipeline_knn"] = tab_prep_sql("knn")
 
@@ -609,3 +612,9 @@ ORACLES["a4_missing_ids"] = with_views("SELECT id FROM subj WHERE id NOT IN (SEL
 ORACLES["a2_csv_string_key"] = """
 SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS id, CAST(c_nationkey AS INTEGER) AS c_nationkey, round(CAST(c_acctbal AS DOUBLE), 6) AS c_acctbal
 FROM customer"""
+ORACLES["d3_onehot_sparse"] = """
+WITH v AS (SELECT 0 AS ci, c_name AS v FROM customer WHERE c_custkey % 4 <> 0 UNION SELECT 1, c_mktsegment FROM customer WHERE c_custkey % 4 <> 0),
+i AS (SELECT ci, v, row_number() OVER (ORDER BY ci, v) - 1 AS idx FROM v),
+x AS (SELECT c_custkey, 0 AS ci, c_name AS v FROM customer UNION ALL SELECT c_custkey, 1, c_mktsegment FROM customer)
+SELECT c_custkey, coalesce(string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx), '') AS slots FROM x LEFT JOIN i ON x.ci = i.ci AND x.v = i.v
+GROUP BY c_custkey"""

@@ -298,10 +298,13 @@ def check_width(st: PrepState, model_input: int) -> None:
 
 def predict_new(df: DataFrame, st: PrepState, layers, id_col: str | None = None) -> DataFrame:
     """Inference end to end: align → fitted transform → selection → width
-    check → MLP scores → (id, prediction, probability)."""
+    check → scores → (id, prediction, probability). ``layers``: an MLP's
+    [(W, b), …] or a highway network (a dict, see ``score_highway``)."""
     from tessera.operators import score
-    check_width(st, len(layers[0][0][0]))
+    highway = isinstance(layers, dict)
+    first = (layers["proj"] or layers["layers"][0]) if highway else layers[0]
+    check_width(st, len(first[0][0]))
     keys = list(st.config["keys"])
     x = transform(df, st)
-    out = score.score_mlp(x, layers, col="features", keep=keys)
+    out = (score.score_highway if highway else score.score_mlp)(x, layers, col="features", keep=keys)
     return out.select(F.col(id_col or keys[0]).alias("id"), "prediction", "probability")

@@ -306,6 +306,16 @@ def d6_static_vector_nan(spark, sf):
             .select("id", F.col("fi").cast("int").alias("fi"), F.round("value", 6).alias("value")))
 
 
+@query("d3_onehot_sparse")
+def d3_onehot_sparse(spark, sf):
+    """One-hot of a column with a category for each row, beside a narrow one."""
+    from tessera.operators import encode as enc
+    c = fx.table(spark, sf, "customer")
+    cols = ["c_name", "c_mktsegment"]
+    index = enc.category_index(c.where(F.col("c_custkey") % 4 != 0), cols)        # a quarter of the names is unseen
+    return enc.onehot_sparse(c, "c_custkey", cols, index).select("c_custkey", F.concat_ws(",", F.transform("slots", lambda x: x.cast("string"))).alias("slots"))
+
+
 @query("a4_missing_ids")
 def a4_missing_ids(spark, sf):
     """Subjects of the static table that have no series row."""
@@ -588,6 +598,17 @@ def e5_score_hybrid(spark, sf):
     return _probs_out(sco.score_hybrid(s, HYB_NET))
 
 
+@query("e5_predict_series")
+def e5_predict_series(spark, sf):
+    """The series submission: hybrid predictions, −1 without a series, as CSV and back."""
+    import uuid
+    from tessera.session import ensure_checkpoint_dir
+    got = sp.predict_series(fx.subjects(spark, sf), fx.series(spark, sf), _subj_state(spark, sf), HYB_NET, SER_ORDER, EVERY, TAIL)
+    path = f"{ensure_checkpoint_dir(spark)}/series-submission-{uuid.uuid4().hex}"
+    io.write_predictions(got, path, "id", "prediction", out_name="sii")
+    return spark.read.option("header", True).schema("id string, sii int").csv(path)
+
+
 @query("e6_softmax_argmax")
 def e6_softmax_argmax(spark, sf):
     p = sco.softmax_argmax(_pred(spark, sf), n_classes=3)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.missing import number
 from tessera.operators import encode, impute, schema, series
+from tessera.session import written
 
 
 @dataclass
@@ -169,9 +170,20 @@ def series_datasets(static: DataFrame, series_df: DataFrame, order, split: str =
     st = fit_static(parts.where(F.col("split") == "train").drop("split"), id_col, target, columns,
                     feature_selection, n_features)
     want = ["train", "val"] if split == "both" else [split]
-    out = {}
-    for name in want:
-        ids = parts.where(F.col("split") == name).select(id_col)
-        s = assemble(static, series_df, st, order, every, tail, labelled=True, ids=ids)
-        out[name] = ser.pad_batches(s, id_col, "seq", batch_size, shuffle=(name == "train"), seed=seed)
+    # the series is read once for both loaders: samples with their split, written, then batched per split
+    chosen = parts.where(F.col("split").isin(want)).select(id_col, "split")
+    samples = written(assemble(static, series_df, st, order, every, tail, labelled=True, ids=chosen).join(chosen, id_col), "samples")
+    out = {name: ser.pad_batches(samples.where(F.col("split") == name).drop("split"), id_col, "seq", batch_size,
+                                 shuffle=(name == "train"), seed=seed) for name in want}
     return out, st
+
+
+def predict_series(static: DataFrame, series_df: DataFrame, st: SeriesState, net: dict, order, every: int = 10,
+                   tail: int = 1000, ids: DataFrame | None = None) -> DataFrame:
+    """Series inference as one plan: prepared samples → hybrid scores → one
+    prediction for each requested id (default: every row of ``static``), −1
+    where there is no series."""
+    from tessera.operators import score
+    want = static.select(st.id_col) if ids is None else ids.select(st.id_col)
+    scored = score.score_hybrid(assemble(static, series_df, st, order, every, tail, labelled=False, ids=ids), net, keep=(st.id_col,))
+    return schema.predictions_for(want, scored, st.id_col)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here assumes: adaptive execution re-plans joins and
 # coalesces/splits skewed shuffle partitions at run time; partition columns
@@ -49,3 +50,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
     return d
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back: a cut
+    lineage that survives lost executors, and one computation for what several
+    jobs read (class tables, bounds)."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tessera-{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

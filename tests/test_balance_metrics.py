@@ -57,10 +57,23 @@ def test_stratified_split_exact_disjoint_complete(spark):
     assert s.count() == 203 and s.select("k").distinct().count() == 203
     c = {(r["split"], r["y"]): r["count"] for r in s.groupBy("split", "y").count().collect()}
     assert c[("val", 0)] + c[("val", 1)] == math.ceil(0.2 * 203)
-    tc = bal.split_counts({0: 142, 1: 61}, 0.2)
+    tc = {r["y"]: r["_lim"] for r in bal.split_counts(df, "y", 0.2).collect()}
     assert c[("val", 0)] == tc[0] and c[("val", 1)] == tc[1]
 
 
+def test_split_counts_equal_largest_remainders_at_many_classes(spark):
+    rng = np.random.default_rng(8)
+    y = rng.integers(0, 700, 5000)
+    df = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "k long, y int")
+    got = {r["y"]: r["_lim"] for r in bal.split_counts(df, "y", 0.3).collect()}
+    counts = {int(c): int(n) for c, n in zip(*np.unique(y, return_counts=True))}
+    n, n_train = 5000, 5000 - 1500
+    base = {c: n_train * k // n for c, k in counts.items()}
+    for c in sorted(counts, key=lambda c: (-(n_train * counts[c] % n), c))[:n_train - sum(base.values())]:
+        base[c] += 1
+    assert got == {c: counts[c] - base[c] for c in counts} and sum(got.values()) == 1500
+
+
 def test_random_split_floor(spark):
     s = bal.random_split(spark.range(0, 101).withColumnRenamed("id", "k"), "k", 0.8)
     assert s.where("split = 'train'").count() == 80
