@@ -77,4 +77,50 @@ def op10_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_histogram_shards, op2_mincut_text, op3_quality_ledger, op4_simhash_index, op5_secret_ownership, op6_license_index,
                                   op7_simple8b_ids, op8_duckdb_bpe, op9_template_leaks, op10_url_vocabulary)}
-ORACLES: dict[str, str] = {}
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _op3_sql() -> str:
+    fail = lambda name: f"(failed & {1 << next(r.bit for r in quality.RULES if r.name == name)}) <> 0"
+    base, production = (" OR ".join(map(fail, p.rules)) for p in (quality.BASE, quality.PRODUCTION))
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, doc_id, text, regexp_extract_all(text, '{_WORD}') AS ws,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS ls FROM t),
+g AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM w, unnest(range(1, len(ws) - 1)) AS u(i)),
+d AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1),
+c AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM d) GROUP BY r),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(ls) AS n_lines,
+             len(list_filter(ws, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_upper_words
+      FROM w LEFT JOIN c ON w.r = c.r),
+f AS (SELECT *, CAST((n_words < 50)::INT + (100 * n_repeat_words > 50 * n_words)::INT * 2 + (10 * n_symbols > n_words)::INT * 4
+                     + (2 * n_dup_lines > n_lines)::INT * 8 + (2 * n_upper_words > n_words)::INT * 16
+                     + (NOT (2 * n_words <= word_chars AND word_chars <= 15 * n_words))::INT * 32 + (n_words > 100000)::INT * 64
+                     + (10 * n_dup_lines > 3 * n_lines)::INT * 128 + (100 * n_repeat_words > 20 * n_words)::INT * 256 AS BIGINT) AS failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({base}) AS base_failed, NOT ({production}) AS kept, failed AS failed_rules
+FROM f"""
+
+
+def _op10_sql() -> str:
+    def hits(terms):
+        return f"list_filter({list(terms)}, lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)'))"
+
+    rules = sorted(URL_RULES, key=lambda r: -len(r.name))
+    fits = [f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in rules]
+    case = lambda value: "CASE " + " ".join(f"WHEN {f} THEN '{value(r)}'" for f, r in zip(fits, rules)) + " END"
+    return f"""
+WITH u AS (SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS p FROM pages),
+h AS (SELECT page_id, lower(url) AS low, CASE WHEN p > 0 THEN translate(regexp_extract(substr(url, p + 3), '^([^/?#]*)', 1),
+             '{url_vocab.UPPER}', '{url_vocab.LOWER}') ELSE '' END AS host,
+             CASE WHEN p > 0 THEN regexp_extract(substr(url, p + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM u),
+x AS (SELECT *, {hits(sorted(url_vocab.STRICT))} AS strict, {hits(sorted(set(url_vocab.SOFT) - set(url_vocab.STRICT)))} AS soft FROM h)
+SELECT page_id, host, path, {case(lambda r: r.name)} AS rule,
+       coalesce({case(lambda r: r.verdict)}, CASE WHEN len(strict) > 0 OR len(soft) > 1 THEN 'block' ELSE 'allow' END) AS verdict,
+       array_to_string(strict, ',') AS strict_terms, array_to_string(soft, ',') AS soft_terms FROM x"""
+
+
+#: Fingerprints, crc32, spans, minimum cuts and token ids have no DuckDB form: those queries are tested against brute force.
+ORACLES = {"op3_quality_ledger": _op3_sql(), "op10_url_vocabulary": _op10_sql()}

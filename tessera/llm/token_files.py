@@ -158,7 +158,7 @@ def write_ids(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "do
 
     made = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     made = made.mapInArrow(make, "part int, id long, n long, ids binary")
-    ordered = made.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", F.col("id").asc_nulls_first(), "n")
+    ordered = made.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", F.col("id").asc_nulls_first(), "n")
     return materialize(ordered.mapInArrow(write, "part int, path string, n_docs long, n_ids long"), "manifest")
 
 
