@@ -14,14 +14,13 @@ cell's partition. Ties order by (distance, donor key).
 from __future__ import annotations
 
 import itertools
-import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tessera.operators.impute import normalize_nan
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, written
 
 
 def sq_dist(a, b, dim: int | None = None):
@@ -45,8 +44,7 @@ def _projection(donors: DataFrame, vec: str, dim: int, g: int):
 
 
 def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec: str = "vec", k: int = 5,
-              part=(), exclude_self: bool = False, scale: float = 1.0, grid_dims: int = 3,
-              max_rounds: int = 40) -> DataFrame:
+              part=(), exclude_self: bool = False, scale: float = 1.0, grid_dims: int = 3) -> DataFrame:
     """(part…, qkey, dkey, nn_rank, dist) for the k nearest donors of every
     query (fewer when fewer donors exist). ``vec`` is a complete
     array<double> in both frames; ``part`` restricts neighbours to the same
@@ -92,8 +90,8 @@ def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
     w = max(span * min(1.0, (4.0 * k / max(n, 1)) ** (1.0 / g)), 1e-9)
     offsets = [list(o) for o in itertools.product([-1, 0, 1], repeat=g)]
     done, pending = [], qp
-    for _ in range(max_rounds):
-        full = w > span
+    while True:    # w at least doubles, and a round with w > span is the last
+        full = not w <= span
         cell = lambda i: F.floor((F.col(f"_p{i}") - F.lit(origin[i])) / F.lit(w)).cast("long")
         dcell = dp.select(*part, "_keys", "_dv", F.array(*[cell(i) for i in range(g)]).alias("_cell"))
         qcell = pending.select(*part, "_q", "_qv", F.explode(F.array(*[
@@ -118,27 +116,83 @@ def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
         if not left["n"]:
             break
         w = max(2.0 * w, (left["d90"] or 0.0) * 1.0001)
-    else:
-        raise RuntimeError("kNN search did not converge")
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
     return out.select(*part, F.col("_q").alias(qkey), F.col("_d").alias(dkey), "nn_rank", "dist")
 
 
-def knn_impute(df: DataFrame, key: str, cols, k: int = 5, max_patterns: int = 64,
-               donors: DataFrame | None = None, means: dict | None = None) -> DataFrame:
+def nan_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, p: int, width: int, vec: str = "vec", k: int = 5) -> DataFrame:
+    """(qkey, dkey, nn_rank, dist): the k nearest donors of every query by the
+    nan-Euclidean distance sqrt(p / |common| · Σ_common (a − b)²) of vectors
+    with ``width`` coordinates, any of which may be null.
+
+    One search whatever the missing-value patterns: a row enters the grid
+    under each coordinate that it has, so a donor that shares a coordinate and
+    differs by less than w in it is a candidate. All other donors differ by w
+    or more in every common coordinate and lie at distance w or more. A query
+    whose k-th candidate is closer than w is done, the others go on with a
+    larger w. A pair that meets under several coordinates counts at the first.
+    """
+    m = F.row_number().over(W.partitionBy("_dv").orderBy("_d"))
+    d0 = (donors.select(F.col(dkey).alias("_d"), F.col(vec).alias("_dv")).withColumn("_r", m).where(F.col("_r") <= k)
+          .groupBy("_dv").agg(F.array_sort(F.collect_list("_d")).alias("_keys")))
+    d0 = written(d0, "donors")
+    q0 = queries.select(F.col(qkey).alias("_q"), F.col(vec).alias("_qv"))
+    at = [F.col(vec).getItem(i) for i in range(width)]
+    both = q0.select(F.col("_qv").alias(vec)).unionByName(d0.select(F.col("_dv").alias(vec)))
+    st = both.agg(*[a for i in range(width) for a in (F.min(at[i]).alias(f"lo{i}"), F.max(at[i]).alias(f"hi{i}"))]).first()
+    low = [st[f"lo{i}"] if st[f"lo{i}"] is not None else 0.0 for i in range(width)]
+    span = max([(st[f"hi{i}"] or 0.0) - low[i] for i in range(width) if st[f"hi{i}"] is not None] + [1e-12])
+    n = d0.count()
+    w = max(span * min(1.0, 4.0 * k / max(n, 1)), 1e-9)
+
+    def distance(a, b):
+        d = [(F.col(a).getItem(i) - F.col(b).getItem(i)) for i in range(width)]
+        square = sum((F.coalesce(x * x, F.lit(0.0)) for x in d[1:]), F.coalesce(d[0] * d[0], F.lit(0.0)))
+        common = sum((F.when(x.isNotNull(), 1).otherwise(0) for x in d[1:]), F.when(d[0].isNotNull(), 1).otherwise(0))
+        return F.sqrt(F.lit(float(p)) / common * square)
+
+    done, pending = [], q0
+    while True:
+        full = not w <= span
+        cells = lambda v: F.array(*[F.floor((F.col(v).getItem(i) - F.lit(low[i])) / F.lit(w)) for i in range(width)])
+        dc = d0.withColumn("_dc", cells("_dv")).select("*", F.posexplode("_dc").alias("_c", "_cell")).where("_cell IS NOT NULL")
+        qc = (pending.withColumn("_qc", cells("_qv")).select("*", F.posexplode("_qc").alias("_c", "_x")).where("_x IS NOT NULL")
+              .select("*", F.explode(F.array(*[F.col("_x") + o for o in (-1, 0, 1)])).alias("_cell")))
+        first = F.expr("NOT exists(slice(arrays_zip(_qc, _dc), 1, _c), z -> coalesce(abs(z._qc - z._dc) <= 1, false))")
+        cand = qc.join(dc, ["_c", "_cell"]).where(first)
+        cand = cand.select("_q", distance("_qv", "_dv").alias("dist"), F.explode("_keys").alias("_d"))
+        near = F.row_number().over(W.partitionBy("_q").orderBy("dist", "_d"))
+        top = written(cand.withColumn("nn_rank", near).where(F.col("nn_rank") <= k), "nearest")
+        stat = top.groupBy("_q").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_dk"))
+        if full:
+            done.append(top)
+            break
+        ok = stat.where((F.col("_n") == k) & (F.col("_dk") < F.lit(w))).select("_q")
+        done.append(top.join(ok, "_q", "left_semi"))
+        pending = written(pending.join(ok, "_q", "left_anti"), "pending")
+        left = pending.join(stat, "_q", "left").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_dk", 0.9).alias("d90")).first()
+        if not left["n"]:
+            break
+        w = max(2.0 * w, (left["d90"] or 0.0) * 1.0001)
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out.select(F.col("_q").alias(qkey), F.col("_d").alias(dkey), "nn_rank", "dist")
+
+
+def knn_impute(df: DataFrame, key: str, cols, k: int = 5, donors: DataFrame | None = None, means: dict | None = None) -> DataFrame:
     """Every missing numeric value ← mean of that column over the k
-    nearest rows having it, by nan-Euclidean distance
-    sqrt(p / |common| · Σ_common (a − b)²) over the other columns present in
-    both; column mean when no row shares a present column. Distances use the
-    original (unimputed) values for every column.
+    nearest rows having it, by nan-Euclidean distance over the other columns
+    present in both (p = all columns); column mean when no row shares a present
+    column. Distances use the original (unimputed) values for every column. One
+    search a column, whatever the patterns of missing values.
 
     ``donors`` (default: ``df`` itself) are the fitted rows, e.g. the
     training table when new rows are transformed; ``means`` their column
     means (computed when not given)."""
     cols = list(cols)
-    p = len(cols)
     df = normalize_nan(df, cols)
     dsrc = df if donors is None else normalize_nan(donors, cols)
     if means is None:
@@ -147,37 +201,16 @@ def knn_impute(df: DataFrame, key: str, cols, k: int = 5, max_patterns: int = 64
     out = df
     for t in cols:
         others = [c for c in cols if c != t]
-        pat = F.concat_ws("", *[F.when(F.col(c).isNotNull(), "1").otherwise("0") for c in others]) \
-            if others else F.lit("")
-        rec = df.select(key, t, *others, pat.alias("_pat")).where(F.col(t).isNull())
-        don = dsrc.select(key, t, *others, pat.alias("_pat")).where(F.col(t).isNotNull())
-        rp = [r[0] for r in rec.select("_pat").distinct().limit(max_patterns + 1).collect()]
-        dpt = [r[0] for r in don.select("_pat").distinct().limit(max_patterns + 1).collect()]
-        if len(rp) > max_patterns or len(dpt) > max_patterns:
-            raise ValueError("too many missing-value patterns for exact kNN imputation")
-        cands = []
-        for a in rp:
-            for b in dpt:
-                common = [c for c, x, y in zip(others, a, b) if x == "1" and y == "1"]
-                if not common:
-                    continue
-                vq = rec.where(F.col("_pat") == a).select(key, F.array(*[F.col(c).cast("double") for c in common])
-                                                         .alias("vec"))
-                vd = don.where(F.col("_pat") == b).select(F.col(key).alias("_dk"),
-                                                          F.array(*[F.col(c).cast("double") for c in common])
-                                                          .alias("vec"))
-                cands.append(exact_knn(vq, vd, key, "_dk", "vec", k, scale=math.sqrt(p / len(common))))
-        if cands:
-            allc = cands[0]
-            for c in cands[1:]:
-                allc = allc.unionByName(c)
-            best = allc.withColumn("_r", F.row_number().over(W.partitionBy(key).orderBy("dist", "_dk"))) \
-                       .where(F.col("_r") <= k)
-            vals = best.join(don.select(F.col(key).alias("_dk"), F.col(t).alias("_tv")), "_dk") \
-                       .groupBy(key).agg(F.avg("_tv").alias(f"_imp_{t}"))
-            out = out.join(vals, key, "left")
-        else:
+        if not others:
             out = out.withColumn(f"_imp_{t}", F.lit(None).cast("double"))
+            continue
+        vec = F.array(*[F.col(c).cast("double") for c in others]).alias("vec")
+        some = F.coalesce(*[F.col(c).cast("double") for c in others]).isNotNull()
+        rec = df.where(F.col(t).isNull() & some).select(key, vec)
+        don = dsrc.where(F.col(t).isNotNull() & some).select(F.col(key).alias("_dk"), F.col(t).alias("_tv"), vec)
+        best = nan_knn(rec, don, key, "_dk", len(cols), len(others), "vec", k)
+        vals = best.join(don.select("_dk", "_tv"), "_dk").groupBy(key).agg(F.avg("_tv").alias(f"_imp_{t}"))
+        out = out.join(vals, key, "left")
     sel = []
     for c in df.columns:
         if c in cols:

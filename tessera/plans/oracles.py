@@ -618,3 +618,17 @@ i AS (SELECT ci, v, row_number() OVER (ORDER BY ci, v) - 1 AS idx FROM v),
 x AS (SELECT c_custkey, 0 AS ci, c_name AS v FROM customer UNION ALL SELECT c_custkey, 1, c_mktsegment FROM customer)
 SELECT c_custkey, coalesce(string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx), '') AS slots FROM x LEFT JOIN i ON x.ci = i.ci AND x.v = i.v
 GROUP BY c_custkey"""
+
+_W = 10
+ORACLES["c3_knn_impute_wide"] = with_views("WITH l AS (" + " UNION ALL ".join(
+    f"SELECT vec_id, {i} AS i, CASE WHEN (vec_id * {7 + i} + {13 * i} + vec_id // {i + 2}) % 5 <> 0 THEN features[{i + 1}] END AS x FROM vec"
+    for i in range(_W)) + f"""),
+h AS (SELECT * FROM l WHERE x IS NOT NULL),
+p AS (SELECT a.vec_id AS q, b.vec_id AS d, sqrt({_W}.0 / count(*) * sum((a.x - b.x) * (a.x - b.x))) AS dist
+      FROM h a JOIN h b ON a.i = b.i AND a.vec_id <> b.vec_id GROUP BY 1, 2),
+r AS (SELECT l.vec_id, l.i, h.x, row_number() OVER (PARTITION BY l.vec_id, l.i ORDER BY p.dist, p.d) AS rn
+      FROM l JOIN p ON l.vec_id = p.q JOIN h ON h.vec_id = p.d AND h.i = l.i WHERE l.x IS NULL),
+v AS (SELECT vec_id, i, avg(x) AS x FROM r WHERE rn <= 5 GROUP BY 1, 2),
+m AS (SELECT i, avg(x) AS x FROM h GROUP BY 1),
+z AS (SELECT l.vec_id, l.i, round(coalesce(l.x, v.x, m.x), 6) AS x FROM l LEFT JOIN v ON l.vec_id = v.vec_id AND l.i = v.i JOIN m ON l.i = m.i)
+SELECT vec_id, """ + ", ".join(f"max(CASE WHEN i = {i} THEN x END) AS x{i}" for i in range(_W)) + " FROM z GROUP BY vec_id", "vec")

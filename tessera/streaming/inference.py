@@ -30,6 +30,8 @@ def read_new_rows(spark: SparkSession, path: str, schema: StructType, fmt: str =
 
 def score_stream(stream: DataFrame, st: prep.PrepState, layers, id_col: str | None = None) -> DataFrame:
     """Lazy streaming plan: align → features → selection → MLP scores."""
+    if st.knn_donors:
+        raise ValueError("a state with imp='knn' searches neighbours in several jobs; a stream needs 'mean' or 'median'")
     keys = list(st.config["keys"])
     x = prep.transform(stream, st)
     out = score.score_mlp(x, layers, col="features", keep=keys)

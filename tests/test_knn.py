@@ -133,3 +133,26 @@ def test_exact_knn_far_from_origin_and_empty(spark):
     assert got.count() == 90
     empty = df.where("k < 0")
     assert knn.exact_knn(df, empty.withColumnRenamed("k", "d"), "k", "d", "vec", 3).count() == 0
+
+
+def test_knn_impute_with_more_patterns_than_could_be_listed(spark):
+    """2 000 rows, 9 columns, a fifth missing, all-missing rows among them."""
+    rng = np.random.default_rng(12)
+    X = rng.normal(size=(400, 9))
+    X[:, 3] *= 20
+    X[rng.random(X.shape) < 0.2] = np.nan
+    X[7] = np.nan
+    cols = [f"c{i}" for i in range(9)]
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(X)], ["k", *cols])
+    got = {r["k"]: [r[c] for c in cols] for r in knn.knn_impute(df, "k", cols).collect()}
+    assert len({tuple(np.isnan(x)) for x in X}) > 64
+    mean = np.nanmean(X, 0)
+    for i in range(400):
+        common = ~np.isnan(X[i]) & ~np.isnan(X)
+        d = np.sqrt(9 / np.maximum(common.sum(1), 1) * np.where(common, (X - X[i]) ** 2, 0).sum(1))
+        for c in range(9):
+            if np.isnan(X[i, c]):
+                have = [j for j in range(400) if j != i and not np.isnan(X[j, c]) and common[j].any()]
+                best = sorted(have, key=lambda j: (d[j], j))[:5]
+                want = X[best, c].mean() if best else mean[c]
+                assert abs(got[i][c] - want) < 1e-9, (i, c)

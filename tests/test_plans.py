@@ -49,3 +49,31 @@ def test_threshold_shuffles_only_boundary_rows(spark):
     assert r.where("_in").count() == 1234
     plan = r._jdf.queryExecution().optimizedPlan().toString()
     assert "_state" in plan and "Union" in plan
+
+
+def test_report_reads_its_rows_once(spark):
+    import __spark_entry__ as E
+    plan = _final_plan(E.queries()["m9_report"](spark, SF))
+    assert "BroadcastNestedLoopJoin" not in plan and "lineitem" not in plan     # aggregates of the written counts only
+
+
+def test_validation_rows_keep_their_label_without_a_join(spark):
+    from tessera.plans import tabular
+    t = fx.tab(spark, SF)
+    _, va, _, _ = tabular.tab_datasets(t, None, prep.PrepConfig(target="y", keys=("o_orderkey",)), 0.8, "train")
+    assert va.columns == ["o_orderkey", "y", "features"] and va.where("y IS NULL").count() == 0
+
+
+def test_class_scores_shuffle_a_row_a_class(spark):
+    from tessera.operators import select as fsel
+    df = spark.range(0, 1000).select(F.array(F.col("id").cast("double"), F.lit(1.0)).alias("features"), (F.col("id") % 3).alias("y"))
+    plan = fsel.anova_scores(df, "y")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate posexplode") < plan.index("Aggregate [y")           # rows are unfolded above the aggregate
+
+
+def test_knn_state_is_refused_by_the_stream(spark):
+    import pytest
+    from tessera.streaming import inference
+    st = prep.PrepState(config={"keys": ["id"]}, knn_donors="somewhere")
+    with pytest.raises(ValueError, match="knn"):
+        inference.score_stream(spark.range(1), st, [])
