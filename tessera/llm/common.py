@@ -8,6 +8,9 @@ with any names pass through.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -69,11 +72,12 @@ def utf8(values: pa.Array) -> list[bytes | None]:
 
 def add_struct(df: DataFrame, text_col: str, out: str, fields: T.StructType,
                make: Callable[[list], dict[str, list]], keep: list[str] | None = None,
-               where: Callable[[dict[str, list]], list[bool]] | None = None, as_bytes: bool = True) -> DataFrame:
+               as_bytes: bool = True, stateful: bool = False, limit: int = SLICE_BYTES) -> DataFrame:
     """``df`` and a struct column ``out``, made from ``text_col`` by ``make`` in Arrow batches.
 
     ``make`` gets the texts of a slice (UTF-8 bytes, or str, null as None) and
-    returns a list for each field. ``where`` may drop rows, ``keep`` columns.
+    returns a list for each field. ``keep`` may drop columns. ``stateful``: it
+    uses ``worker_state``; ``limit``: bytes of text held at a time.
     """
     names = [c for c in (df.columns if keep is None else keep) if c != out]
     need = list(dict.fromkeys([*names, text_col]))
@@ -81,13 +85,14 @@ def add_struct(df: DataFrame, text_col: str, out: str, fields: T.StructType,
     kinds = [(f.name, _arrow(f.dataType)) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not stateful:
+            release()
         for whole in batches:
-            for b in slices(whole, text_col):
+            for b in slices(whole, text_col, limit):
                 made = make(utf8(b.column(text_col)) if as_bytes else b.column(text_col).to_pylist())
                 struct = pa.StructArray.from_arrays([pa.array(made[n], t) for n, t in kinds],
                                                     fields=[pa.field(n, t) for n, t in kinds])
-                res = pa.RecordBatch.from_arrays([*(b.column(c) for c in names), struct], names=[*names, out])
-                yield res.filter(pa.array(where(made))) if where else res
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), struct], names=[*names, out])
 
     return df.select(*[f"`{c}`" for c in need]).mapInArrow(run, schema)
 
@@ -97,6 +102,31 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
+_state: dict = {}
+
+
+def worker_state(key: tuple, make: Callable):
+    """What a Python worker keeps from task to task (a codec, a memory of words), made anew where it is missing.
+
+    A worker holds one such thing; the next operator's takes its place, so that
+    a chain of operators needs no more memory than its largest one.
+    """
+    if key not in _state:
+        release()
+        _state[key] = make()
+    return _state[key]
+
+
+def release() -> None:
+    """Give the held state's memory back to the system."""
+    if _state:
+        _state.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library keeps it for later use
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` has it (case aside)."""
     taken = {c.lower() for c in df.columns}

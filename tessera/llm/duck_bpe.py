@@ -13,7 +13,6 @@ task that is run again elsewhere builds them anew from the vocabulary file.
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 from collections.abc import Callable
 from itertools import chain
@@ -24,13 +23,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tessera.llm.common import add_struct
+from tessera.llm.common import add_struct, worker_state
 from tessera.llm.idpool import IdPool
 
 #: Words and chunks in each of the two generations that a worker remembers, and words that one query contracts.
-REMEMBERED, AT_ONCE = 160_000, 50_000
-#: Pieces contracted together hold about so many bytes.
-BYTES_AT_ONCE = 1 << 20
+REMEMBERED, AT_ONCE = 80_000, 50_000
+#: Pieces contracted together, and texts decoded together, hold about so many bytes.
+BYTES_AT_ONCE, TEXT_AT_ONCE = 1 << 20, 2 << 20
 
 CONTRACT = """
 WITH RECURSIVE words(w, ids, done) AS (
@@ -159,9 +158,8 @@ class DuckBpe:
         return out
 
 
-@functools.lru_cache(maxsize=2)
 def codec(ranks_path: str, pattern: str) -> DuckBpe:
-    return DuckBpe(ranks_path, pattern)
+    return worker_state(("bpe", ranks_path, pattern), lambda: DuckBpe(ranks_path, pattern))
 
 
 def _ids_of(texts: list, ranks_path: str, pattern: str) -> tuple[DuckBpe, np.ndarray, np.ndarray]:
@@ -175,7 +173,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
         _, ids, counts = _ids_of(texts, ranks_path, pattern)
         return {"ids": [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]}
 
-    return add_struct(df, text_col, out, T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))]), make, as_bytes=False)
+    return add_struct(df, text_col, out, T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))]), make, as_bytes=False, stateful=True, limit=TEXT_AT_ONCE)
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -188,7 +186,7 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", o
             raise ValueError("an id is not in the vocabulary")
         return {"bytes": bpe.decode(np.concatenate(arrays), np.array([len(a) for a in arrays]))}
 
-    return add_struct(df, ids_col, out, T.StructType([T.StructField("bytes", T.BinaryType())]), make, as_bytes=False)
+    return add_struct(df, ids_col, out, T.StructType([T.StructField("bytes", T.BinaryType())]), make, as_bytes=False, stateful=True, limit=TEXT_AT_ONCE)
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", out: str = "bpe",
@@ -208,4 +206,4 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "te
                 "ids_sha256": [hashlib.sha256(raw[4 * s:4 * e]).hexdigest() for s, e in zip(starts, ends)],
                 "decoded_sha256": [hashlib.sha256(b).hexdigest() for b in bpe.decode(ids, counts)]}
 
-    return add_struct(df, text_col, out, fields, make, keep=keep, as_bytes=False)
+    return add_struct(df, text_col, out, fields, make, keep=keep, as_bytes=False, stateful=True, limit=TEXT_AT_ONCE)

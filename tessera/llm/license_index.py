@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import add_struct, slices, utf8
+from tessera.llm.common import add_struct, release, slices, utf8
 
 #: A-Z in lower case, 0-9 and bytes of other scripts as they are, the rest of ASCII to spaces.
 _FOLD = bytes(i + 32 if 65 <= i <= 90 else i if 48 <= i <= 57 or 97 <= i <= 122 or i >= 128 else 32 for i in range(256))
@@ -138,6 +138,7 @@ def base_places(words: list[bytes], phrases: dict[str, str] = PHRASES) -> list[t
 def corpus_idf(df: DataFrame, text_col: str, vocabulary: set[bytes]) -> dict[bytes, float]:
     """ln((N + 1) / (n + 1)) of each vocabulary word over all rows; what comes to the driver is one row a word."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         n, found = 0, Counter()
         for whole in batches:
             for b in slices(whole, "text"):

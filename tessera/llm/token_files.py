@@ -8,7 +8,6 @@ which files count.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 from collections.abc import Iterator
@@ -20,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, shared_path, slices
+from tessera.llm.common import materialize, shared_path, slices, worker_state
 from tessera.llm.idpool import IdPool, by_group
 
 REMEMBERED = 160_000
@@ -94,9 +93,8 @@ class WordEncoder:
         return ids, by_group(size, pc.list_value_length(cut).to_numpy())
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    return worker_state(("words", path), lambda: WordEncoder(path))
 
 
 def part_bounds(df: DataFrame, id_col: str, parts: int) -> list[int]:
