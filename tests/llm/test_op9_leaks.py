@@ -14,6 +14,7 @@ def prose(n):
 ITEMS = [(1, "A farmer named Alice has 12 apples and sells 5 kg of them to Robert for 30 dollars. How much does Alice earn for each kg she sold?"),
          (2, "The river that runs by the old stone tower fills a quiet garden with water every spring and then slowly leaves it again"),
          (3, "Which metal melts first here"), (4, "12 34 56 78 90 11 13 15"), (5, None), (6, ""), (7, "one"),
+         (9, "Each day 12 pumps lift water from the deep well, and 12 keepers write down how much of it reached the upper basin"),
          (8, "The river that runs by the old stone tower fills a quiet garden with water every spring and then slowly leaves it again")]
 
 
@@ -25,14 +26,15 @@ def leaks(spark, docs, **kw):
 
 def test_whole_changed_and_inconsistent_questions(spark):
     changed = ITEMS[0][1].replace("Alice", "Maria").replace("Robert", "John Smith").replace("12", "40").replace("5 kg", "7 miles").replace("each kg", "each mile").replace("30", "99")
-    mixed = ITEMS[0][1].replace("Alice has", "Maria has")  # Alice stays elsewhere
+    pumps = dict(ITEMS)[9]
     docs = [(10, prose(80) + ". " + ITEMS[0][1] + " " + prose(50)), (11, prose(30) + ". " + changed + " " + prose(9)), (12, prose(300)),
             (13, prose(20) + " " + ITEMS[1][1].upper() + "!! " + prose(20)), (14, " ".join(ITEMS[1][1].split()[:9])), (15, "we ask Which metal melts first here"),
-            (16, "12 34 56 78 90 11 13 15"), (17, None), (18, ""), (19, "one two"), (20, " ".join(ITEMS[1][1].split()[4:19])), (21, mixed)]
+            (16, "12 34 56 78 90 11 13 15"), (17, None), (18, ""), (19, "one two"), (20, " ".join(ITEMS[1][1].split()[4:19])),
+            (21, pumps.replace("12", "70")), (22, pumps.replace("12", "70", 1)), (23, pumps)]
     got = leaks(spark, docs)
-    assert {k for k in got if k[0] != 21} == {(10, 1), (11, 1), (13, 2), (13, 8), (20, 2), (20, 8)} | {k for k in got if k[0] == 15}
+    assert set(got) == {(10, 1), (11, 1), (13, 2), (13, 8), (20, 2), (20, 8), (21, 9), (23, 9)} | {k for k in got if k[0] == 15}
+    assert got[21, 9].reparameterised and not got[23, 9].reparameterised  # 22: one value stands for two
     assert got[11, 1].reparameterised and not got[10, 1].reparameterised and got[10, 1].coverage > 0.9
-    assert (21, 1) not in got
 
 
 def test_short_items_need_all_their_tokens(spark):
@@ -49,15 +51,26 @@ def test_exact_at_any_size_of_the_bit_map(spark):
 def test_brute_force_windows(spark):
     c = D.Canon()
     docs = [(i, ". ".join(prose(rnd.randrange(3, 30)) for _ in range(3)) + (" " + ITEMS[0][1] if i % 4 == 0 else "")) for i in range(40)]
-    canonical = lambda t: D.Canon.tokens(c, [(t or "").encode()])[1].tolist()
-    items = {i: canonical(t) for i, t in ITEMS}
+    canonical = lambda t, form: c.forms([(t or "").encode()])[form][1].tolist()
     got = leaks(spark, docs)
     for i, t in docs:
-        mine = canonical(t)
-        runs = {tuple(mine[k:k + 8]) for k in range(len(mine) - 7)}
-        for item, toks in items.items():
-            seen = {p for k in range(len(toks) - 7) if tuple(toks[k:k + 8]) in runs for p in range(k, k + 8)}
-            assert ((i, item) in got) == (len(seen) >= 13), (i, item)
+        for item, text in ITEMS:
+            most = 0
+            for form in D.FORMS:
+                mine, toks = canonical(t, form), canonical(text, form)
+                runs = {tuple(mine[k:k + 8]) for k in range(len(mine) - 7)}
+                most = max(most, len({p for k in range(len(toks) - 7) if tuple(toks[k:k + 8]) in runs for p in range(k, k + 8)}))
+            assert ((i, item) in got) == (most >= 13), (i, item)
+
+
+def test_passages_without_punctuation_or_case(spark):
+    text = ITEMS[0][1] + " " + ITEMS[1][1] + ". Then Bob Stone walks to the Market of Lisbon. Every Friday he meets Carol there."
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    bare = "".join(x for x in text if x.isalnum() or x == " ")
+    df = spark.createDataFrame([(i, prose(20) + " " + t + " " + prose(20)) for i, t in enumerate([text, bare, bare.lower(), bare.upper(), bare.title(), text.replace(" ", "\n")])],
+                               "doc_id long, text string")
+    got = {r.doc_id: r.coverage for r in D.find_leaks(df, items).collect()}
+    assert set(got) == set(range(6)) and min(got.values()) > 0.9
 
 
 def test_frames_and_copies(spark, docs, none):
@@ -71,7 +84,7 @@ def test_frames_and_copies(spark, docs, none):
 
 def test_memory_may_forget(monkeypatch):
     texts = [prose(30).encode() for _ in range(20)]
-    want = [D.Canon().tokens([t])[1].tolist() for t in texts]
+    want = [D.Canon().forms([t])[0][1].tolist() for t in texts]
     monkeypatch.setattr(D, "REMEMBERED", 3)
     c = D.Canon()
-    assert [c.tokens([t])[1].tolist() for t in texts] == want
+    assert [c.forms([t])[0][1].tolist() for t in texts] == want
