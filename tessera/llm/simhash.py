@@ -69,7 +69,9 @@ def links(fps: DataFrame, max_distance: int = 2) -> DataFrame:
         raise ValueError("two segments with balls of radius one reach 0 to 2 bits")
     flip = F.explode(F.sequence(F.lit(0), F.lit(64))).alias("i")  # 0-31 low segment, 32-63 high one, 64 none
     bit = F.expr("CASE WHEN i < 64 THEN shiftleft(1L, i) ELSE 0L END")
-    entries = (fps.select("fp", flip).select(F.col("fp").bitwiseXOR(bit).alias("z"), bit.alias("b"))
+    # the few columns read would be few tasks: dealt out first, each one's partial sums stay small
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = (fps.select("fp").repartition(n).select("fp", flip).select(F.col("fp").bitwiseXOR(bit).alias("z"), bit.alias("b"))
                .groupBy("z").agg(F.bit_or("b").alias("flips"), F.max(F.col("b") == 0).alias("itself"))
                .where(F.bit_count("flips") + F.col("itself").cast("int") >= 2))
     members = F.expr("concat(CASE WHEN itself THEN array(z) ELSE array() END, "
@@ -124,9 +126,11 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     single = ids.where("n = 1").select(F.col("doc_id").alias("_kept"))
     # an id that is unique among the kept rows may still be repeated outside its component
     repeated = materialize(rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_again")), "repeated-ids")
+    # the kept ids grow with the rows: they are met by one exchange of the rows, at every size
+    kept = df.join(single.hint("shuffle_hash"), mine.eqNullSafe(F.col("_kept")), "left_semi")
     if repeated.isEmpty():
-        return df.join(single, mine.eqNullSafe(F.col("_kept")), "left_semi")
-    plain = df.join(single, mine.eqNullSafe(F.col("_kept")), "left_semi").join(repeated, mine.eqNullSafe(F.col("_again")), "left_anti")
+        return kept
+    plain = kept.join(repeated, mine.eqNullSafe(F.col("_again")), "left_anti")
     again = df.join(repeated, mine.eqNullSafe(F.col("_again")), "left_semi")
     tagged = with_fingerprint(again, text_col, shingle, "_simhash").withColumn("_fp", F.col("_simhash.value"))
     one = Window.partitionBy("_root").orderBy("_fp", F.xxhash64(F.col(f"`{text_col}`")))
