@@ -27,9 +27,9 @@ from tessera.llm.common import add_struct, worker_state
 from tessera.llm.idpool import IdPool
 
 #: Words and chunks in each of the two generations that a worker remembers, and words that one query contracts.
-REMEMBERED, AT_ONCE = 80_000, 50_000
+REMEMBERED, AT_ONCE = 160_000, 50_000
 #: Pieces contracted together, and texts decoded together, hold about so many bytes.
-BYTES_AT_ONCE, TEXT_AT_ONCE = 1 << 20, 2 << 20
+BYTES_AT_ONCE, TEXT_AT_ONCE = 1 << 20, 4 << 20
 
 CONTRACT = """
 WITH RECURSIVE words(w, ids, done) AS (
