@@ -2,8 +2,9 @@
 
 Rows are ordered by a 64-bit key. Splitters start as coarse probes; each round
 counts the exact bytes below every probe in all partitions and narrows the
-interval of each splitter until it meets the tolerance. Only then are the rows
-exchanged, once.
+interval of each splitter until it meets the tolerance. The rounds read sizes and
+keys only. Then the whole rows, texts and all other columns, are exchanged once
+and written, a folder for each shard.
 
 The key's high 40 bits are a hash of the text and its low 24 bits one of the
 id. Copies of a text are neighbours, and a splitter falls between two texts
@@ -18,10 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import free_name, materialize, shared_path
 
 LOW_BITS = 24
 GROUP = 1 << LOW_BITS
@@ -30,15 +31,12 @@ KEY_MIN, KEY_END = -(1 << 63), 1 << 63
 PROBES = 16_384
 
 
-def keyed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", overhead: int = 16) -> DataFrame:
-    """doc_id, size (UTF-8 bytes, null: none, plus ``overhead``), text_crc32, key: all that sharding needs."""
-    text = F.col(f"`{text_col}`").cast("string")
-    high = F.xxhash64(text).bitwiseAND(F.lit(-GROUP))
-    low = F.xxhash64(F.col(f"`{id_col}`")).bitwiseAND(F.lit(GROUP - 1))
-    return df.select(F.col(f"`{id_col}`").alias("doc_id"),
-                     (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + overhead).alias("size"),
-                     F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-                     high.bitwiseOR(low).alias("key"))
+def _size(text: Column, overhead: int) -> Column:
+    return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + overhead
+
+
+def _key(row_id: Column, text: Column) -> Column:
+    return F.xxhash64(text).bitwiseAND(F.lit(-GROUP)).bitwiseOR(F.xxhash64(row_id).bitwiseAND(F.lit(GROUP - 1)))
 
 
 def below(keyed: DataFrame, probes: np.ndarray) -> list[tuple[int, int]]:
@@ -103,34 +101,50 @@ def find_splitters(keyed: DataFrame, n: int, total: tuple[int, int], tolerance:
     return [done[i] for i in range(1, n)]
 
 
-def shard_by_bytes(df: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text",
-                   tolerance: float = 0.005, rows_a_range: int = 1 << 20) -> DataFrame:
-    """doc_id, size, text_crc32, shard, slot: every row in a shard of near equal bytes, slots gapless from 0.
+def shard_rows(df: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text", tolerance: float = 0.005,
+               rows_a_range: int = 1 << 20, bytes_a_range: int = 1 << 28, overhead: int = 16) -> DataFrame:
+    """``df``, sharded and written: all columns, and shard and slot. Shards have near equal bytes, slots are gapless from 0.
 
-    A shard is one or more key ranges of about ``rows_a_range`` rows; a range
-    is what one task sorts. Null ids and texts hash like any other value,
+    A row's size is its text in UTF-8 and ``overhead``. A shard is one or more
+    key ranges of about ``rows_a_range`` rows or ``bytes_a_range`` bytes; a
+    range is what one task sorts. Null ids and texts hash like any other value,
     repeated rows are placed each, an empty table gives an empty one. Fewer
-    rows than shards leave shards empty.
+    rows than shards leave shards empty. Input columns named shard or slot are
+    replaced. ``df`` is read twice and must give the same rows.
     """
-    keyed = materialize(keyed_rows(df, id_col, text_col), "shard-keys")
+    names = [c for c in df.columns if c.lower() not in ("shard", "slot")]
+    row_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
+    keyed = materialize(df.select(_size(text, overhead).alias("size"), _key(row_id, text).alias("key")), "shard-keys")
     rows, size = keyed.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    ranges = n_shards * max(1, math.ceil(rows / n_shards / rows_a_range))
-    a_shard = ranges // n_shards
-    found = find_splitters(keyed, ranges, (size, rows), tolerance) if rows else []
+    a_shard = max(1, math.ceil(rows / n_shards / rows_a_range), math.ceil(size / n_shards / bytes_a_range))
+    found = find_splitters(keyed, n_shards * a_shard, (size, rows), tolerance) if rows else []
     # a key of KEY_END stands above all rows
     splitters = np.array([min(k, KEY_END - 1) for k, _ in found], np.int64)
     starts = np.array([0, *(r for _, r in found)], np.int64)
     base = starts - np.repeat(starts[::a_shard], a_shard)[: len(starts)] if rows else starts
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = np.searchsorted(splitters, b.column("key").to_numpy(), side="right")
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(at.astype(np.int32)), pa.array((at // a_shard).astype(np.int32)), pa.array(base[at])],
-                names=[*b.schema.names, "_range", "shard", "_base"])
-
-    placed = keyed.mapInArrow(place, "doc_id {}, size long, text_crc32 long, key long, _range int, shard int, _base long"
-                              .format(keyed.schema["doc_id"].dataType.simpleString()))
-    order = Window.partitionBy("_range").orderBy("key", "doc_id", "text_crc32", "size")
-    return placed.select("doc_id", "size", "text_crc32", "shard",
-                         (F.col("_base") + F.row_number().over(order) - 1).alias("slot"))
+    # only keys go to Python, the rows stay where they are
+    @F.arrow_udf("struct<range: int, shard: int, base: long>")
+    def place(keys: pa.Array) -> pa.Array:
+        at = np.searchsorted(splitters, keys.to_numpy(zero_copy_only=False), side="right")
+        return pa.StructArray.from_arrays([pa.array(at.astype(np.int32)), pa.array((at // a_shard).astype(np.int32)), pa.array(base[at])],
+                                          names=["range", "shard", "base"])
+
+    key, to = free_name(df, "_key"), free_name(df, "_to")
+    placed = df.withColumn(key, _key(row_id, text)).withColumn(to, place(F.col(key)))
+    # the shard comes first, so that the order serves the writer too
+    order = Window.partitionBy(f"{to}.shard", f"{to}.range").orderBy(key, row_id, text)
+    out = placed.select(*[F.col(f"`{c}`") for c in names], F.col(f"{to}.shard").alias("shard"),
+                        (F.col(f"{to}.base") + F.row_number().over(order) - 1).alias("slot"))
+    path = shared_path(df.sparkSession, "shards")
+    out.write.partitionBy("shard").parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path).select(*[f"`{c}`" for c in out.columns])
+
+
+def shard_by_bytes(df: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text",
+                   tolerance: float = 0.005, rows_a_range: int = 1 << 20) -> DataFrame:
+    """doc_id, size, text_crc32, shard, slot: digests of the rows that ``shard_rows`` wrote, from their texts."""
+    text, overhead = F.col(f"`{text_col}`").cast("string"), 16
+    return shard_rows(df, n_shards, id_col, text_col, tolerance, rows_a_range, overhead=overhead).select(
+        F.col(f"`{id_col}`").alias("doc_id"), _size(text, overhead).alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), "shard", "slot")

@@ -1,9 +1,10 @@
+import os
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
 
-from tessera.llm.sharding import GROUP, _probes, shard_by_bytes
+from tessera.llm.sharding import GROUP, _probes, shard_by_bytes, shard_rows
 
 
 def rows_of(df, **kw):
@@ -53,3 +54,26 @@ def test_probes_fall_between_texts_while_they_can():
     assert all(p % GROUP == 0 for p in _probes(-(1 << 63), 1 << 63, 255))
     assert _probes(0, GROUP, 3) and all(0 < p < GROUP for p in _probes(0, GROUP, 3))
     assert _probes(5, 6, 3) == []
+
+
+def test_shards_hold_the_whole_rows(docs, none):
+    """Texts and extra columns arrive, in the order of the slots, in a folder for each shard."""
+    extra = docs.withColumnRenamed("shard", "_key")
+    got = shard_rows(extra, n_shards=3)
+    names = [c for c in extra.columns if c != "slot"]
+    assert got.columns == [*names, "shard", "slot"]
+    assert Counter(got.select(*names).collect()) == Counter(extra.select(*names).collect())
+    files = got.inputFiles()
+    assert {os.path.basename(os.path.dirname(f)) for f in files} == {f"shard={k}" for k in {r.shard for r in got.collect()}}
+    for f in files:
+        slots = [r.slot for r in got.sparkSession.read.parquet(f).select("slot").collect()]
+        assert slots == sorted(slots)
+    assert shard_rows(none).count() == 0 and "text" in shard_rows(none).columns
+
+
+def test_ranges_are_bounded_by_bytes_too(docs):
+    got = shard_rows(docs, n_shards=2, bytes_a_range=1000).select("shard", "slot").collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert set(slots) <= {0, 1} and all(sorted(v) == list(range(len(v))) for v in slots.values())
