@@ -32,7 +32,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak a benchmark item go."""
-    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"), **decontaminate.WHOLE)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ so every text is read in two forms, with names as placeholders and as plain
 words. Windows of a form's tokens are hashed and joined with the benchmark's
 windows of that form. Along each alignment of a document
 with an item the slots are compared: one benchmark value must stand for one
-document value throughout. What covers enough of an item is a leak.
+document value. What covers enough of an item is a leak.
 
 A bit map of the benchmark's window hashes, of a fixed size, goes to the tasks
 that read the documents; only windows that it lets through are exchanged. The
@@ -17,6 +17,7 @@ hash join that follows is exact at any size of the benchmark.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,8 @@ _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*[a-z%]{0,3}")
 #: Chunks that a worker remembers; past it they are forgotten, which costs time only.
 REMEMBERED = 150_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Settings of the query and the pipeline, which look for every leak.
+WHOLE = {"partial": True}
 
 
 class Canon:
@@ -205,14 +208,30 @@ def doc_windows(docs: DataFrame, id_col: str, text_col: str, lengths: list[int],
             .mapInArrow(make, "doc_id long, text_hash long, form int, n int, pos long, h long, slots array<string>"))
 
 
+def agreeing(windows: list) -> tuple[list[int], bool]:
+    """Places of an alignment's windows that agree with its mapping, and whether a value is changed there.
+
+    A benchmark value stands for the document value of most windows; of equal ones, for itself.
+    """
+    pairs = [{(p["a"], p["b"]) for p in w["pairs"]} for w in windows]
+    best: dict[str, tuple] = {}
+    for (a, b), votes in Counter(p for ps in pairs for p in ps).items():
+        best[a] = max(best.get(a, (0,)), (votes, a == b, b))
+    fits = [(w["at"], ps) for w, ps in zip(windows, pairs) if all(best[a][2] == b for a, b in ps)]
+    return [at for at, _ in fits], any(a != b for _, ps in fits for a, b in ps)
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-               item_text_col: str = "text", width: int = 8, least_literals: int = 5, min_tokens: int = 13, bits: int = 24) -> DataFrame:
+               item_text_col: str = "text", width: int = 8, least_literals: int = 5, min_tokens: int = 13, bits: int = 24,
+               partial: bool = False) -> DataFrame:
     """doc_id, text_hash, item_id, n_windows, covered, coverage, reparameterised: a row for each document that leaks an item.
 
     ``covered`` counts the item's template tokens under windows that match along
     an alignment whose slots are consistent; a leak covers ``min_tokens`` of
     them, or the whole of a shorter item. An item needs ``least_literals``
     literals in a window (all its tokens, if it has fewer).
+    ``partial``: where slots contradict each other, only the windows go that are
+    against the value most windows have; without it the whole alignment goes.
     Null and empty texts match nothing; copies of a row are one document;
     rows with one id but other texts are told apart by ``text_hash``.
     """
@@ -228,11 +247,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     pairs = F.transform(F.arrays_zip("values", "slots"), lambda p: F.struct(value(p["values"]).alias("a"), value(p["slots"]).alias("b")))
     aligned = (met.withColumn("pairs", pairs)
                .groupBy("doc_id", "text_hash", "item_id", "form", "n_tokens", "n", (F.col("pos") - F.col("at")).alias("shift"))
-               .agg(F.collect_set("at").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("values")))
-    one_to_one = F.size("values") == F.size(F.array_distinct(F.transform("values", lambda p: p.a)))
-    by_item = (aligned.where(one_to_one).groupBy("doc_id", "text_hash", "item_id", "form", "n_tokens", "n")
-               .agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"),
-                    F.max(F.exists("values", lambda p: p.a != p.b)).alias("reparameterised")))
+               .agg(F.collect_set(F.struct("at", "pairs")).alias("windows")))
+    if partial:
+        vote = F.udf(agreeing, "at array<int>, changed boolean", useArrow=True)
+        kept = aligned.withColumn("kept", vote("windows")).select("*", "kept.*").drop("windows", "kept")
+    else:
+        values = aligned.withColumn("values", F.array_distinct(F.flatten("windows.pairs")))
+        one_to_one = F.size("values") == F.size(F.array_distinct(F.transform("values", lambda p: p.a)))
+        kept = values.where(one_to_one).withColumn("at", F.col("windows.at")).withColumn("changed", F.exists("values", lambda p: p.a != p.b))
+    by_item = (kept.groupBy("doc_id", "text_hash", "item_id", "form", "n_tokens", "n")
+               .agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"), F.max("changed").alias("reparameterised")))
     covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + F.col("n") - 1)))))
     leaks = by_item.withColumn("covered", covered).where(F.col("covered") >= F.least(F.lit(min_tokens), "n_tokens"))
     # of two forms the one that covers more

@@ -65,7 +65,7 @@ def op8_duckdb_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    got = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), **decontaminate.WHOLE)
     return got.drop("text_hash").distinct()
 
 

@@ -88,3 +88,19 @@ def test_memory_may_forget(monkeypatch):
     monkeypatch.setattr(D, "REMEMBERED", 3)
     c = D.Canon()
     assert [c.forms([t])[0][1].tolist() for t in texts] == want
+
+
+def test_a_conflict_costs_its_windows_only(spark):
+    pumps = dict(ITEMS)[9]
+    other = pumps.replace("12 pumps", "70 pumps").replace("12 keepers", "80 keepers")
+    got = leaks(spark, [(1, pumps.replace("12", "70", 1)), (2, pumps.replace("12", "70")), (3, pumps), (4, other), (5, prose(60))], **D.WHOLE)
+    assert set(got) == {(1, 9), (2, 9), (3, 9), (4, 9)}
+    assert 20 <= got[1, 9].covered < got[2, 9].covered == got[3, 9].covered
+    assert not got[1, 9].reparameterised and got[2, 9].reparameterised
+
+
+def test_agreeing_windows():
+    w = lambda at, *pairs: {"at": at, "pairs": [{"a": a, "b": b} for a, b in pairs]}
+    assert D.agreeing([w(0, ("12", "70")), w(1, ("12", "12")), w(2, ("12", "12"), ("x", "y"))]) == ([1, 2], True)
+    assert D.agreeing([w(0, ("12", "70")), w(1, ("12", "12"))]) == ([1], False)
+    assert D.agreeing([w(0, ("12", "70"), ("12", "12"))]) == ([], False)
