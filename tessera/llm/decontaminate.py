@@ -4,10 +4,11 @@ Numbers, names and units become typed placeholders, so that a question whose
 values were changed keeps its template. Names are told by their capital, which
 a text that lost its punctuation or case does not have where the item has it;
 so every text is read in two forms, with names as placeholders and as plain
-words. Windows of a form's tokens are hashed and joined with the benchmark's
-windows of that form. Along each alignment of a document
-with an item the slots are compared: one benchmark value must stand for one
-document value. What covers enough of an item is a leak.
+words. Where it is asked for, texts are read in a third form too, word for word,
+for items that have too few literals for a template. Windows of a form's tokens
+are hashed and joined with the benchmark's windows of that form. Along each
+alignment of a document with an item the slots are compared: one benchmark value
+must stand for one document value. What covers enough of an item is a leak.
 
 A bit map of the benchmark's window hashes, of a fixed size, goes to the tasks
 that read the documents; only windows that it lets through are exchanged. The
@@ -30,6 +31,8 @@ from tessera.llm.common import free_name, materialize, slices, utf8, worker_stat
 LITERAL, NUMBER, UNIT, CAPITAL, NAME = range(5)
 #: Forms in which texts are read: names as placeholders, names as words.
 FORMS = (0, 1)
+#: The form without placeholders, in which numbers, units and names are compared as they are.
+EXACT = 9
 # Words that stand for numbers and units.
 NUMBERS = frozenset("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
                     "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split())
@@ -42,7 +45,7 @@ _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*[a-z%]{0,3}")
 REMEMBERED = 150_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Settings of the query and the pipeline, which look for every leak.
-WHOLE = {"partial": True}
+WHOLE = {"partial": True, "exact": True}
 
 
 class Canon:
@@ -83,7 +86,7 @@ class Canon:
         self.arrays = (np.array(self.hashes, np.uint64), np.array(self.kinds, np.int8), np.array(self.ends, bool))
 
     def forms(self, texts: list[bytes | None]) -> list[tuple[np.ndarray, ...]]:
-        """Both forms of all texts, in the order of ``FORMS``. A form has each token's text number, template hash and
+        """All forms of all texts, in the order of ``FORMS``, ``EXACT`` last. A form has each token's text number, template hash and
         kind, all words' chunks, each token's first word and the number of words that it spans.
 
         With names, a capital after a sentence's end or at the start is a literal;
@@ -104,7 +107,9 @@ class Canon:
         doc, hashes, kinds, codes, first = doc[word], hashes[word], kinds[word], codes[word], first[word]
         plain = np.where(kinds == CAPITAL, LITERAL, kinds)
         each = np.arange(len(codes))
-        out = [(doc, np.where(plain == LITERAL, hashes, self.typed[plain]), plain, codes, each, np.ones(len(codes), np.int64))]
+        one = np.ones(len(codes), np.int64)
+        out = [(doc, np.where(plain == LITERAL, hashes, self.typed[plain]), plain, codes, each, one),
+               (doc, hashes, np.full(len(codes), LITERAL, np.int8), codes, each, one)]
         kinds = np.where(kinds == CAPITAL, np.where(first, LITERAL, NAME), kinds)
         lead = np.ones(len(codes), bool)
         lead[1:] = (kinds[1:] != NAME) | (kinds[:-1] != NAME) | (doc[1:] != doc[:-1])
@@ -126,7 +131,7 @@ class Canon:
 def window_hashes(hashes: np.ndarray, n: int, form: int) -> np.ndarray:
     """A 64-bit hash of each window of ``n`` tokens of a form."""
     count = max(0, len(hashes) - n + 1)
-    out = np.full(count, np.uint64(2 * n + form))
+    out = np.full(count, np.uint64(16 * n + form))
     for j in range(n):
         out = (out ^ hashes[j:j + count]) * _MIX
         out ^= out >> np.uint64(29)
@@ -146,7 +151,12 @@ def usable(doc: np.ndarray, kinds: np.ndarray, n: int, least: int) -> np.ndarray
     return (doc[:count] == doc[n - 1:]) & (literal[n:] - literal[:count] >= least)
 
 
-def item_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int, least: int) -> DataFrame:
+def asked(forms: list, exact: bool) -> list[tuple]:
+    """(number of the form, form) of those in ``FORMS``, and the exact one if asked for."""
+    return list(zip((*FORMS, EXACT) if exact else FORMS, forms))
+
+
+def item_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int, least: int, exact: bool = False) -> DataFrame:
     """item_id, form, n_tokens, n (window length), pos, h, slots: an item shorter than ``width`` is one window."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -154,7 +164,7 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int, l
                 rows = []
                 for item, text in zip(b.column("id").to_pylist(), utf8(b.column("text"))):
                     c = canon()
-                    for form, (doc, hashes, kinds, codes, at, span) in zip(FORMS, c.forms([text])):
+                    for form, (doc, hashes, kinds, codes, at, span) in asked(c.forms([text]), exact):
                         n = min(width, len(doc))
                         h = window_hashes(hashes, n, form) if n else ()
                         for i in np.nonzero(usable(doc, kinds, n, min(least, n)))[0].tolist() if n else ():
@@ -180,7 +190,7 @@ def bit_map(windows: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def doc_windows(docs: DataFrame, id_col: str, text_col: str, lengths: list[int], least: int, seen: np.ndarray) -> DataFrame:
+def doc_windows(docs: DataFrame, id_col: str, text_col: str, lengths: list[int], least: int, seen: np.ndarray, exact: bool = False) -> DataFrame:
     """doc_id, text_hash, form, n, pos, h, slots of the documents' windows that the bit map lets through."""
     shared = docs.sparkSession.sparkContext.broadcast(seen.tobytes())
     bits = int(len(seen) * 64 - 1)
@@ -190,9 +200,9 @@ def doc_windows(docs: DataFrame, id_col: str, text_col: str, lengths: list[int],
         for whole in batches:
             for b in slices(whole, "text"):
                 c, rows = canon(), []
-                both = c.forms(utf8(b.column("text")))
+                every = asked(c.forms(utf8(b.column("text"))), exact)
                 ids, marks = b.column("id").to_pylist(), b.column("mark").to_pylist()
-                for form, (doc, hashes, kinds, codes, at, span) in zip(FORMS, both):
+                for form, (doc, hashes, kinds, codes, at, span) in every:
                     for n in lengths:
                         h = window_hashes(hashes, n, form)
                         low = h & np.uint64(bits)
@@ -223,7 +233,7 @@ def agreeing(windows: list) -> tuple[list[int], bool]:
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", width: int = 8, least_literals: int = 5, min_tokens: int = 13, bits: int = 24,
-               partial: bool = False) -> DataFrame:
+               partial: bool = False, exact: bool = False) -> DataFrame:
     """doc_id, text_hash, item_id, n_windows, covered, coverage, reparameterised: a row for each document that leaks an item.
 
     ``covered`` counts the item's template tokens under windows that match along
@@ -232,12 +242,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     literals in a window (all its tokens, if it has fewer).
     ``partial``: where slots contradict each other, only the windows go that are
     against the value most windows have; without it the whole alignment goes.
+    ``exact``: texts are compared word for word too, whatever literals an item
+    has, so that copies of items dense in values are leaks.
     Null and empty texts match nothing; copies of a row are one document;
     rows with one id but other texts are told apart by ``text_hash``.
     """
-    items = materialize(item_windows(benchmark, item_col, item_text_col, width, least_literals), "items")
+    items = materialize(item_windows(benchmark, item_col, item_text_col, width, least_literals, exact), "items")
     lengths = sorted(r["n"] for r in items.select("n").distinct().collect())  # ``width`` values at most
-    found = doc_windows(docs, id_col, text_col, lengths, least_literals, bit_map(items, bits))
+    found = doc_windows(docs, id_col, text_col, lengths, least_literals, bit_map(items, bits), exact)
     found = materialize(found.distinct(), "windows")
     # copies of a window in one item count once for each place
     met = found.join(items.withColumnRenamed("pos", "at").withColumnRenamed("slots", "values"), ["h", "n", "form"])
@@ -259,7 +271,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                .agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"), F.max("changed").alias("reparameterised")))
     covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + F.col("n") - 1)))))
     leaks = by_item.withColumn("covered", covered).where(F.col("covered") >= F.least(F.lit(min_tokens), "n_tokens"))
-    # of two forms the one that covers more
+    # of all forms the one that covers more
     best = F.max_by(F.struct(F.size("at").cast("long").alias("n_windows"), F.col("covered").cast("long").alias("covered"),
                              (F.col("covered") / F.col("n_tokens")).alias("coverage"), "reparameterised"),
                     F.struct(F.col("covered") / F.col("n_tokens"), "form"))

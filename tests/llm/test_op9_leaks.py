@@ -104,3 +104,21 @@ def test_agreeing_windows():
     assert D.agreeing([w(0, ("12", "70")), w(1, ("12", "12")), w(2, ("12", "12"), ("x", "y"))]) == ([1, 2], True)
     assert D.agreeing([w(0, ("12", "70")), w(1, ("12", "12"))]) == ([1], False)
     assert D.agreeing([w(0, ("12", "70"), ("12", "12"))]) == ([], False)
+
+
+def test_copies_of_items_dense_in_values(spark):
+    train = "A train travels 60 miles in 2 hours and 30 minutes at 45 mph"
+    mixed = "Mix 12 kg of lime with 5 kg of sand, then wait 3 days and sell it"
+    items = spark.createDataFrame([(1, train), (2, mixed), (3, "12 34 56 78 90 11 13 15")], "item_id long, text string")
+    rows = [(1, prose(20) + ". " + train + ". " + prose(20)), (2, prose(20) + " " + mixed.lower() + " " + prose(20)), (3, "12 34 56 78 90 11 13 15"),
+            (4, train.replace("60", "61")), (5, "12 34 56 78 90 11 13 16"), (6, prose(60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in D.find_leaks(df, items, **D.WHOLE).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3)} and all(r.coverage == 1 and not r.reparameterised for r in got.values())
+
+
+def test_a_verbatim_run_is_a_leak_whatever_the_other_slots_say(spark):
+    text = "12 boats and 12 nets and 12 ropes lie by 12 posts while 12 men at the old grey harbour wall mend one more sail before the tide is high"
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    df = spark.createDataFrame([(1, text.replace("12", "70", 4))], "doc_id long, text string")
+    assert D.find_leaks(df, items, **D.WHOLE).first().covered >= 13
