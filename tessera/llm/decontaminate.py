@@ -3,9 +3,10 @@
 Numbers, names and units become typed placeholders, so that a question whose
 values were changed keeps its template. Names are told by their capital, which
 a text that lost its punctuation or case does not have where the item has it;
-so every text is read in two forms, with names as placeholders and as plain
-words. Where it is asked for, texts are read in a third form too, word for word,
-for items that have too few literals for a template. Windows of a form's tokens
+so every text is read with names as placeholders and as plain words. A capital
+that begins a sentence may be a name or not; a further form takes it as one,
+unless it is a word that begins sentences. Where it is asked for, texts are read
+word for word too, for items that have too few literals for a template. Windows of a form's tokens
 are hashed and joined with the benchmark's windows of that form. Along each
 alignment of a document with an item the slots are compared: one benchmark value
 must stand for one document value. What covers enough of an item is a leak.
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import free_name, materialize, slices, utf8, worker_state
 
 LITERAL, NUMBER, UNIT, CAPITAL, NAME = range(5)
-#: Forms in which texts are read: names as placeholders, names as words.
-FORMS = (0, 1)
+#: Forms in which texts are read: names as placeholders, names as words, capitals that begin a sentence as names too.
+FORMS = (0, 1, 2)
 #: The form without placeholders, in which numbers, units and names are compared as they are.
 EXACT = 9
 # Words that stand for numbers and units.
@@ -40,6 +41,14 @@ UNITS = frozenset("mm cm m km inch inches foot feet yard yards mile miles mg g k
                   "pound pounds ton tons ml litre litres liter liters gallon gallons cup cups second seconds minute minutes hour hours "
                   "day days week weeks month months year years cent cents dollar dollars euro euros usd eur percent degree degrees "
                   "mph kmh meter meters metre metres kilometer kilometers kilometre kilometres".split())
+#: Words that begin sentences: with a capital they are no names in the form that reads a sentence's first word as one.
+OPENERS = frozenset("a about after all also although an and another any are as assume at because before besides between both but by calculate can "
+                    "choose compare complete compute consider could describe determine did do does during each either estimate evaluate every "
+                    "everyone explain express few finally find first for four from give given had has have he help her here his how however i if "
+                    "imagine in instead into is it its last later let list many may more most my name next no none not now of on once one only or "
+                    "other our over prove round select several she should show simplify since so solve some state suppose than that the their "
+                    "then there these they this those though three through to today together two under until use was we were what when where "
+                    "whereas whether which while who whom whose why will with within without would write yes yesterday you your".split())
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*[a-z%]{0,3}")
 #: Chunks that a worker remembers; past it they are forgotten, which costs time only.
 REMEMBERED = 150_000
@@ -61,8 +70,8 @@ class Canon:
 
     def forget(self) -> None:
         self.code: dict[bytes, int] = {}
-        self.hashes, self.kinds, self.ends, self.words = [], [], [], []
-        self.arrays = (np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool))
+        self.hashes, self.kinds, self.ends, self.opens, self.words = [], [], [], [], []
+        self.arrays = (np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool), np.zeros(0, bool))
 
     def learn(self, new: set[bytes]) -> None:
         for c in new:
@@ -82,15 +91,18 @@ class Canon:
             self.hashes.append(self.hash(low))
             self.kinds.append(kind)
             self.ends.append(bool(set(chunk[len(chunk.rstrip(".!?:;\"')]")):]) & set(".!?:;")))
+            self.opens.append(low in OPENERS)
             self.words.append(low)
-        self.arrays = (np.array(self.hashes, np.uint64), np.array(self.kinds, np.int8), np.array(self.ends, bool))
+        self.arrays = (np.array(self.hashes, np.uint64), np.array(self.kinds, np.int8), np.array(self.ends, bool), np.array(self.opens, bool))
 
     def forms(self, texts: list[bytes | None]) -> list[tuple[np.ndarray, ...]]:
         """All forms of all texts, in the order of ``FORMS``, ``EXACT`` last. A form has each token's text number, template hash and
         kind, all words' chunks, each token's first word and the number of words that it spans.
 
         With names, a capital after a sentence's end or at the start is a literal;
-        elsewhere it is a name, and names side by side are one token.
+        elsewhere it is a name, and names side by side are one token. In the further
+        form every capital is a name but those of ``OPENERS``, wherever it stands;
+        a sentence's end parts names.
         """
         if len(self.code) > REMEMBERED:
             self.forget()
@@ -100,23 +112,27 @@ class Canon:
             self.learn(new)
         codes = np.fromiter(map(self.code.__getitem__, every), np.int64, len(every))
         doc = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
-        hashes, kinds, ends = (a[codes] if len(codes) else a[:0] for a in self.arrays)
+        hashes, kinds, ends, opens = (a[codes] if len(codes) else a[:0] for a in self.arrays)
         first = np.ones(len(codes), bool)
         first[1:] = (doc[1:] != doc[:-1]) | ends[:-1]
         word = kinds >= 0
-        doc, hashes, kinds, codes, first = doc[word], hashes[word], kinds[word], codes[word], first[word]
+        sentence = np.cumsum(first)[word]
+        doc, hashes, kinds, codes, first, opens = doc[word], hashes[word], kinds[word], codes[word], first[word], opens[word]
         plain = np.where(kinds == CAPITAL, LITERAL, kinds)
         each = np.arange(len(codes))
         one = np.ones(len(codes), np.int64)
-        out = [(doc, np.where(plain == LITERAL, hashes, self.typed[plain]), plain, codes, each, one),
-               (doc, hashes, np.full(len(codes), LITERAL, np.int8), codes, each, one)]
-        kinds = np.where(kinds == CAPITAL, np.where(first, LITERAL, NAME), kinds)
-        lead = np.ones(len(codes), bool)
-        lead[1:] = (kinds[1:] != NAME) | (kinds[:-1] != NAME) | (doc[1:] != doc[:-1])
-        at = np.nonzero(lead)[0]
-        span = np.diff(np.append(at, len(codes)))
-        hashes = np.where(kinds == LITERAL, hashes, self.typed[kinds])
-        return [(doc[at], hashes[at], kinds[at], codes, at, span), *out]
+        one = np.ones(len(codes), np.int64)
+
+        def named(literal: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, ...]:
+            kind = np.where(kinds == CAPITAL, np.where(literal, LITERAL, NAME), kinds)
+            lead = np.ones(len(codes), bool)
+            lead[1:] = (kind[1:] != NAME) | (kind[:-1] != NAME) | (part[1:] != part[:-1])
+            at = np.nonzero(lead)[0]
+            span = np.diff(np.append(at, len(codes)))
+            return doc[at], np.where(kind == LITERAL, hashes, self.typed[kind])[at], kind[at], codes, at, span
+
+        return [named(first, doc), (doc, np.where(plain == LITERAL, hashes, self.typed[plain]), plain, codes, each, one),
+                named(opens, sentence), (doc, hashes, np.full(len(codes), LITERAL, np.int8), codes, each, one)]
 
     def slots(self, kinds: np.ndarray, codes: np.ndarray, at: np.ndarray, span: np.ndarray, i: int, n: int) -> list[str]:
         """Values of the placeholders of the window of ``n`` tokens at ``i``: offset and text, units without a plural s."""

@@ -122,3 +122,19 @@ def test_a_verbatim_run_is_a_leak_whatever_the_other_slots_say(spark):
     items = spark.createDataFrame([(1, text)], "item_id long, text string")
     df = spark.createDataFrame([(1, text.replace("12", "70", 4))], "doc_id long, text string")
     assert D.find_leaks(df, items, **D.WHOLE).first().covered >= 13
+
+
+def test_names_that_begin_sentences(spark):
+    tom = "Tom has 3 apples. Tom buys 5 more. How many apples does Tom have?"
+    items = spark.createDataFrame([(1, tom)], "item_id long, text string")
+    ann = tom.replace("Tom", "Ann").replace("3", "8")
+    rows = [(1, prose(20) + ". " + ann + " " + prose(20)), (2, prose(20) + ": " + tom), (3, "Say How to do. " + ann), (4, tom.replace("Tom", "Ann", 1)), (5, prose(60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for kw in ({}, D.WHOLE):
+        got = {r.doc_id: r for r in D.find_leaks(df, items, **kw).collect()}
+        assert {1, 2, 3} <= set(got) and 5 not in got and got[1].reparameterised and not got[2].reparameterised
+
+
+def test_a_sentence_end_parts_names():
+    doc, _, kinds, _, at, span = D.Canon().forms([b"we met Robert Stone. Tom left -. Ann"])[2]
+    assert span.tolist() == [1, 1, 2, 1, 1, 1] and (kinds == D.NAME).tolist() == [False, False, True, True, False, True]
