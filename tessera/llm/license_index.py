@@ -2,7 +2,7 @@
 
 The index maps each word of the licence templates to its postings (template,
 position). A word's rarity (IDF) is counted over the whole corpus. For each
-file, its highest-IDF licence words are looked up, and their postings vote for
+file, all its rare licence words are looked up, and their postings vote for
 a template and a relative position; where votes meet, the template is compared
 in full and its mandatory key phrases are verified there.
 """
@@ -10,8 +10,9 @@ in full and its mandatory key phrases are verified there.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from statistics import median
 
@@ -76,8 +77,8 @@ SCAN = T.StructType([T.StructField(n, T.LongType()) for n in ("n_words", "n_base
 class Index:
     """Postings of the templates' words, with the corpus' IDF."""
 
-    def __init__(self, templates: tuple[Template, ...], idf: dict[bytes, float], min_idf: float, top: int, slack: int, least: float):
-        self.templates, self.idf, self.min_idf, self.top, self.slack, self.least = templates, idf, min_idf, top, slack, least
+    def __init__(self, templates: tuple[Template, ...], idf: dict[bytes, float], min_idf: float, slack: int, least: float):
+        self.templates, self.idf, self.min_idf, self.slack, self.least = templates, idf, min_idf, slack, least
         self.words = [words_of(t.text.encode()) for t in templates]
         self.phrases = [[words_of(p.encode()) for p in t.phrases] for t in templates]
         least_idf = [min(min_idf, median(idf[w] for w in ws)) for ws in self.words]
@@ -90,23 +91,20 @@ class Index:
 
     def scan(self, words: list[bytes]) -> tuple[set[str], float]:
         """Labels of the verified templates of one file, and the best score of any template."""
-        mine = sorted(self.postings.keys() & set(words), key=lambda w: (-self.idf[w], w))[:self.top]
-        if not mine:
+        if self.postings.keys().isdisjoint(words):
             return set(), 0.0
-        chosen = set(mine)
         votes: dict[int, Counter] = defaultdict(Counter)
         at: dict[bytes, list[int]] = defaultdict(list)
         for p, w in enumerate(words):
             if w in self.postings:
                 at[w].append(p)
-                if w in chosen:
-                    for t, q in self.postings[w]:
-                        votes[t][p - q] += self.idf[w]
+                for t, q in self.postings[w]:
+                    votes[t][p - q] += self.idf[w]
         labels, best = set(), 0.0
         for t, offsets in votes.items():
             most = max(offsets.values())
             for o in sorted(o for o, v in offsets.items() if v >= 0.5 * most):
-                got = sum(self.idf[w] for q, w in self.rare[t] if any(abs(p - q - o) <= self.slack for p in at.get(w, ())))
+                got = sum(self.idf[w] for q, w in self.rare[t] if _within(at.get(w, ()), q + o, self.slack))
                 score = min(1.0, got / self.total[t])
                 best = max(best, score)
                 if score >= self.least and self.templates[t].label not in labels:
@@ -116,6 +114,12 @@ class Index:
         return labels, best
 
 
+def _within(places: Sequence[int], at: int, slack: int) -> bool:
+    """One of the places, which are in order, is ``slack`` from ``at`` at most."""
+    i = bisect_left(places, at - slack)
+    return i < len(places) and places[i] <= at + slack
+
+
 def _has(words: list[bytes], phrase: list[bytes]) -> bool:
     return any(words[i:i + len(phrase)] == phrase for i in range(len(words) - len(phrase) + 1))
 
@@ -154,18 +158,18 @@ def corpus_idf(df: DataFrame, text_col: str, vocabulary: set[bytes]) -> dict[byt
 
 
 def scan_licenses(df: DataFrame, text_col: str = "text", templates: tuple[Template, ...] = TEMPLATES, out: str = "license",
-                  min_idf: float = 1.5, top: int = 16, slack: int = 2, least: float = 0.7) -> DataFrame:
+                  min_idf: float = 1.5, slack: int = 2, least: float = 0.7) -> DataFrame:
     """``df`` and a struct ``out``: word and phrase counts, base labels, all labels, score.
 
     ``min_idf``: licence words more common than that do not enter the index
     (where a licence is very common, the rarer half of its words still does);
-    ``top``: words looked up for each file; ``slack``: words by which positions
+    ``slack``: words by which positions
     may shift; ``least``: share of a template's rare weight that must match.
     Null and empty texts have no words, no labels and score 0.
     """
     vocabulary = {w for t in templates for w in words_of(t.text.encode())}
     idf = corpus_idf(df, text_col, vocabulary)
-    index = Index(templates, idf, min_idf, top, slack, least)
+    index = Index(templates, idf, min_idf, slack, least)
 
     def make(texts: list) -> dict[str, list]:
         rows = []

@@ -53,3 +53,13 @@ def test_frames(docs, none):
 @pytest.mark.parametrize("t", L.TEMPLATES)
 def test_templates_hold_their_phrases(t):
     assert all(L._has(L.words_of(t.text.encode()), L.words_of(p.encode())) for p in t.phrases)
+
+
+def test_a_file_with_all_licences_has_all_labels(spark):
+    filler = "a house by the river with windows of stone and a garden to walk in for the day "
+    every = " ".join(f"{filler} {t.text}" for t in L.TEMPLATES)
+    rare = " ".join(sorted({w.decode() for t in L.TEMPLATES for w in L.words_of(t.text.encode())}))
+    rows = [(i, filler * (i % 5 + 1)) for i in range(300)] + [(1000, every), (1001, f"{rare} {filler} {NOTICE['isc']}"), (1002, rare)]
+    got = {r.doc_id: r.license for r in L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1000].labels == ",".join(sorted(NOTICE)) and got[1000].score == 1
+    assert "isc" in got[1001].labels.split(",") and "isc" not in got[1002].labels.split(",")
