@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tessera.llm.common import add_struct
 
 # Names of elements and words of class, id and role attributes.
-NO_TEXT = "script style title noscript template iframe svg math canvas object audio video select textarea datalist".split()
+NO_TEXT = "script style title noscript template iframe canvas object audio video select textarea datalist".split()
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
                    "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td "
                    "tfoot th thead tr ul caption".split())
@@ -35,7 +35,9 @@ BOILER_WORDS = frozenset("ad ads adv advert advertisement advertising advertoria
 HEADER_WORDS = frozenset(("header", "banner"))
 MAIN_WORDS = frozenset("article main post entry story articlebody".split())
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(NO_TEXT) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(" + "|".join(NO_TEXT) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    # an svg that closes itself is an empty element
+    r"|<svg(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</svg\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</[^a-zA-Z][^>]*>", re.S | re.I)
 _ATTR = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),

@@ -62,3 +62,12 @@ def test_frame(spark):
 
 def test_blocks_are_in_page_order():
     assert [b.text for b in blocks_of("<p>a<div>b<p>c</div>d")] == ["a", "b", "c", "d"]
+
+
+@pytest.mark.parametrize("page, said", [('<article><p>a</p><svg class="i"/><p>b</p></article>', "a\nb"), ("<article><p>a</p><video-js></video-js><p>b</p></article>", "a\nb"),
+                                        ("<article><p>a</p><svg-icon>c</svg-icon><title-bar>d</title-bar><p>b</p></article>", "a\ncd\nb"),
+                                        ("<article><p>a <svg width='1'><text>no</text></svg>b</p><svg/><p>c</p></article>", "a b\nc"),
+                                        ("<article><p>As <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p><math/><p>b</p></article>", "As x=1 holds\nb"),
+                                        ("<article><script/>no</script><SELECT><option>no</SELECT >b</article>", "b")])
+def test_only_elements_without_text_are_dropped(page, said):
+    assert main_text(page) == said
