@@ -26,6 +26,8 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILER_TAGS = frozenset("nav footer aside form menu dialog search button fieldset".split())
 MAIN_TAGS = frozenset(("article", "main"))
+#: Elements of single texts: a boilerplate name there is a doubt, on others it settles the matter.
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th caption figcaption span a em strong b i small".split())
 BOILER_WORDS = frozenset("ad ads adv advert advertisement advertising advertorial sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
                          "notices notification alert popup modal overlay sidebar side aside rail menu menus nav navbar navigation breadcrumb "
                          "breadcrumbs footer masthead topbar toolbar comment comments commentlist reply replies respond disqus discussion "
@@ -53,6 +55,7 @@ class Element:
     boiler: bool     # inside something that is never article text
     header: bool     # inside a header
     link: bool
+    doubts: int = 0  # elements around it, itself too, with a boilerplate word in a name
 
 
 @dataclass
@@ -64,23 +67,28 @@ class Block:
     boiler: bool
     header: bool
     links: int       # characters inside links
+    doubts: int = 0
 
 
 def _open(tag: str, attrs: str, number: int, above: Element) -> Element:
-    words: set[str] = set()
+    names: list[set[str]] = []
     hidden = False
     if attrs and not attrs.isspace():
         for name, value in _ATTR.findall(attrs):
             name, value = name.lower(), value.strip("\"'").lower()
             if name in ("class", "id", "role"):
-                words.update(re.split(r"[^a-z]+", value))
+                names += [w for n in value.split() if (w := {x for x in re.split(r"[^a-z]+", n) if x})]
             elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
                 hidden = True
-    header = tag == "header" or bool(words & HEADER_WORDS)
-    boiler = hidden or tag in BOILER_TAGS or tag not in ("body", "html") and not header and bool(words & BOILER_WORDS)
-    main = tag in MAIN_TAGS or bool(words & MAIN_WORDS)
+    page = tag in ("body", "html")
+    header = tag == "header" or not page and any(n <= HEADER_WORDS for n in names)
+    # a whole name says what an element is, a word in it may say what it is beside
+    whole = not page and not header and any(n <= BOILER_WORDS for n in names)
+    doubt = not page and not header and any(n & (BOILER_WORDS | HEADER_WORDS) for n in names)
+    boiler = hidden or tag in BOILER_TAGS or whole and tag not in TEXT_TAGS
+    main = tag in MAIN_TAGS or any(n & MAIN_WORDS and not n & BOILER_WORDS for n in names)
     return Element(tag, number, above.main or main and not boiler and not above.boiler, above.boiler or boiler, above.header or header,
-                   above.link or tag == "a")
+                   above.link or tag == "a", above.doubts + doubt)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -100,7 +108,8 @@ def blocks_of(page: str) -> list[Block]:
                 while i and stack[i].tag not in BLOCKS:
                     i -= 1
                 e, up = stack[i], stack[max(0, i - 1)]
-                out.append(Block(said, e.tag, up.number, e.main, e.boiler or stack[-1].boiler, e.header, min(links, len(said))))
+                out.append(Block(said, e.tag, up.number, e.main, e.boiler or stack[-1].boiler, e.header, min(links, len(said)),
+                                 max(e.doubts, stack[-1].doubts)))
             text.clear()
         links = 0
 
@@ -165,12 +174,12 @@ def score(b: Block, has_main: bool) -> float:
     if b.header:
         return 6.0 if heading and b.main else -6.0
     if has_main:
-        s = 6.0 if b.main else -6.0
+        s = (6.0 if b.main else -6.0) - 3.0 * b.doubts
     else:
-        s = -1.0 + min(words, 40) / 10 + (b.text[-1] in ".!?:;\"'”»…") * 0.8 + (b.tag in ("p", "blockquote", "pre")) * 1.2 + heading * 0.5
+        s = -1.0 + min(words, 40) / 10 + (b.text[-1] in ".!?:;\"'”»…") * 0.8 + (b.tag in ("p", "blockquote", "pre")) * 1.2 + heading * 0.5 - 1.5 * b.doubts
     if dense > 0.5 and words < 25 and b.tag == "li":
-        return s - 3.0
-    return s - 4.0 * dense * (not b.main)
+        return s - 3.0 - 4.0 * dense * (b.doubts > 0)
+    return s - 4.0 * dense * (not b.main or b.doubts > 0)
 
 
 def edges_of(blocks: list[Block], beside: float = 0.8, together: float = 0.6, reach: int = 4) -> dict[tuple[int, int], float]:

@@ -71,3 +71,30 @@ def test_blocks_are_in_page_order():
                                         ("<article><script/>no</script><SELECT><option>no</SELECT >b</article>", "b")])
 def test_only_elements_without_text_are_dropped(page, said):
     assert main_text(page) == said
+
+
+LONG = "This is a paragraph of the main text, with a number of words, and it ends in a period."
+
+
+@pytest.mark.parametrize("page", [f'<article class="post no-sidebar"><p>{LONG}</p></article>', f'<div class="content with-comments"><p>{LONG}</p></div>',
+                                  f'<article class="post tags-open"><p>{LONG}</p></article>', f'<article><p class="more">{LONG}</p></article>',
+                                  f'<article><p class="share">{LONG}</p></article>', f'<article class="no-header"><p>{LONG}</p></article>',
+                                  f'<body class="sidebar header-fixed"><main id="main-menu-open"><p>{LONG}</p></main>'])
+def test_a_word_in_a_class_name_does_not_decide_alone(page):
+    assert main_text(page) == LONG
+
+
+@pytest.mark.parametrize("other", [f'<div class="sidebar"><p>{LONG}</p></div>', f'<div class="cookie-notice">{LONG}</div>', '<div class="related-posts"><ul><li><a>One</a><li><a>Two</a></ul></div>',
+                                   f'<div role="complementary">{LONG}</div>', f"<section id=comments><article class=comment><p>{LONG}</p></article></section>"])
+def test_boilerplate_names_inside_an_article(other):
+    assert main_text(f"<article><p>{LONG}</p>{other}</article>") == LONG
+
+
+def test_names_of_parts_make_no_landmark():
+    assert main_text(f'<div><p>{LONG}</p></div><div class="main-menu"><a>Home</a> <a>News</a></div>') == LONG
+
+
+def test_the_cut_weighs_doubts():
+    lines = [f"<div>{LONG}</div>", '<div class="widget-area">Short words here</div>']
+    assert main_text(lines[0] + lines[1]) == LONG
+    assert main_text(f'{lines[0]}<div class="text-widget">{LONG}</div>{lines[0]}') == "\n".join([LONG] * 3)
