@@ -23,7 +23,7 @@ ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # runs of [0-9a-f]+ with 32 or more
 ADDED = {
-    "private_key": ("PRIVATE KEY-----", re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*-----END [A-Z ]{0,40}PRIVATE KEY-----)?")),
+    "private_key": ("PRIVATE KEY-----", re.compile(r"(?s)-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:((?:(?!-----BEGIN ).)*?)-----END [A-Z ]{0,40}PRIVATE KEY-----)?")),
     "jwt": ("eyJ", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
     "github": ("gh", re.compile(r"\bgh[pousr]_[A-Za-z0-9]{36,}")),
     "slack": ("xox", re.compile(r"\bxox[abprs]-[A-Za-z0-9-]{10,}")),
@@ -44,11 +44,11 @@ SCAN = T.StructType([T.StructField("n_assign", T.LongType()), T.StructField("n_a
 
 
 def looks_random(value: str, least: float = 3.0) -> bool:
-    """Long enough, no placeholder word, and at least ``least`` bits of entropy a character."""
-    if len(value) < 12 or PLACEHOLDERS.search(value):
-        return False
+    """No placeholder word, and at least ``least`` bits of entropy a character; of fewer than 12 the same share of what they can have."""
     n = len(value)
-    return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) >= least
+    if n < 2 or PLACEHOLDERS.search(value):
+        return False
+    return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) >= least * min(1.0, math.log2(n) / math.log2(12))
 
 
 def scan_text(raw: bytes | None) -> tuple[list, list, list]:
@@ -66,8 +66,8 @@ def scan_text(raw: bytes | None) -> tuple[list, list, list]:
         return [], [], []
     text, base, more, values = raw.decode(), [], [], []
 
-    def value(start: int, end: int) -> None:
-        v = text[start:end]
+    def value(start: int, end: int, said: str | None = None) -> None:
+        v = text[start:end] if said is None else said
         values.append({"hash": hashlib.blake2b(v.encode(), digest_size=16).digest(), "start": start, "end": end, "strong": looks_random(v)})
 
     if assign:
@@ -83,7 +83,8 @@ def scan_text(raw: bytes | None) -> tuple[list, list, list]:
     for kind, pattern in added:
         for m in pattern.finditer(text):
             more.append((m.start(), KINDS.index(kind), m.end()))
-            value(*m.span())
+            # a key is told by its body, however its lines are broken
+            value(*m.span(), "".join(m[1].split()) if kind == "private_key" and m[1] else None)
     return sorted(base), sorted(base + more), values
 
 

@@ -65,3 +65,16 @@ def test_redact(spark, docs, none):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
     out = {r.doc_id: r.text for r in S.redact(df).collect()}
     assert out[1] == "é token=[SECRET] end [SECRET]" and out[2] == "k token=[SECRET]" and all(out[10 + i] == f"token={live(3)}" for i in range(5))
+
+
+def test_keys_with_headers_and_short_passwords(spark):
+    body = lambda i: "\n".join(live(f"{i}-{k}") * 2 for k in range(4))
+    pem = lambda i: f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,{live(i).upper()}\n\n{body(i)}\n-----END RSA PRIVATE KEY-----"
+    rows = [(i, f"a {pem(i)} z", f"o{i}", "r") for i in range(5)] + [(10 + i, f"a {pem('all')} z", f"o{i}", "r") for i in range(5)]
+    rows += [(20, "password=k7Rq2ZpX9", "a", "r"), (21, "password=aaaaaaaa", "a", "r")] + [(30 + i, "password=Wm4t8sLq1", f"o{i}", "r") for i in range(5)]
+    rows += [(40, "-----BEGIN RSA PRIVATE KEY----- kept " + pem(0), "o0", "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    out = {r.doc_id: r.text for r in S.redact(df).collect()}
+    assert all(out[i] == "a [SECRET] z" for i in range(5)) and all(out[10 + i] == f"a {pem('all')} z" for i in range(5))
+    assert out[20] == "password=[SECRET]" and out[21] == "password=aaaaaaaa" and all(out[30 + i] == "password=Wm4t8sLq1" for i in range(5))
+    assert " kept [SECRET]" in out[40]
