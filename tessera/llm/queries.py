@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, duck_bpe, html_mincut, license_index, quality, secret_scan, sharding, simhash, token_files, url_vocab
+from tessera.llm import (conversation_repair, decontaminate, duck_bpe, html_mincut, importance_sample, license_index, quality, secret_scan,
+                         sharding, simhash, token_files, url_vocab, window_dedup)
 from tessera.llm.common import table
 
 URL_RULES = [
@@ -75,8 +76,28 @@ def op10_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.concat_ws(",", "judged.strict").alias("strict_terms"), F.concat_ws(",", "judged.soft").alias("soft_terms"))
 
 
+def op11_glr_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = conversation_repair.summaries(conversation_repair.repair(conversation_repair.damage(rows)))
+    every = rows.select("conv_id").distinct()
+    none = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit("").cast("binary"), 256)}
+    got = every.join(found.withColumnRenamed("conv_id", "_conv"), F.col("conv_id").cast("string").eqNullSafe(F.col("_conv")), "left")
+    return got.select("conv_id", *[F.coalesce(F.col(c), none.get(c, F.lit(0).cast("long"))).alias(c) for c in found.columns if c != "conv_id"])
+
+
+def op12_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = window_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return got.select("doc_id", "repeats.n_words", "repeats.n_removed", F.sha2(F.col("repeats.kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_radix_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = importance_sample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return got.select("doc_id", "sample.*")
+
+
 QUERIES = {f.__name__: f for f in (op1_histogram_shards, op2_mincut_text, op3_quality_ledger, op4_simhash_index, op5_secret_ownership, op6_license_index,
-                                  op7_simple8b_ids, op8_duckdb_bpe, op9_template_leaks, op10_url_vocabulary)}
+                                  op7_simple8b_ids, op8_duckdb_bpe, op9_template_leaks, op10_url_vocabulary, op11_glr_repair,
+                                  op12_superkmer_dedup, op13_radix_resample)}
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
