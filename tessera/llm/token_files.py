@@ -48,7 +48,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # added tokens are found in the text as it is, before normalisation
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word or t.content.split() != [t.content] for t in added):
+            raise ValueError("added tokens must be found in the text as it is, and hold no white space")
+        self.added = [t.content.encode() for t in added]
+        self.added_any_case = "|".join(re.escape(t.content) for t in added)
         self.merge = self.tokenizer.model.tokenize
         # letters in the Latin blocks, as decoded from Latin-1: their UTF-8 bytes as the model's characters
         self.chars = str.maketrans({chr(b): c for b, c in byte_chars().items()})
@@ -74,9 +79,9 @@ class WordEncoder:
             self.pieces.add(part, np.array(got.ids, np.int32), size)
 
     def learn_chunks(self, new: list[bytes]) -> None:
-        """Latin chunks are cut by the pattern; any other is one piece for the library."""
-        split = [LATIN_WORDS.findall(c.lower()) if c.isascii() or not c.translate(None, LATIN_BYTES) and not any(x in c for x in NOT_LATIN)
-                 else [c.decode()] for c in new]
+        """Latin chunks are cut by the pattern; any other, and one that holds an added token, is one piece for the library."""
+        split = [LATIN_WORDS.findall(c.lower()) if (c.isascii() or not c.translate(None, LATIN_BYTES) and not any(x in c for x in NOT_LATIN))
+                 and not any(x in c for x in self.added) else [c.decode()] for c in new]
         flat, size = self.pieces.gather(list(chain.from_iterable(split)), self.learn_pieces)
         self.chunks.add(new, flat, by_group(size, list(map(len, split))))
 
@@ -85,8 +90,11 @@ class WordEncoder:
         self.chunks.trim()
         self.pieces.trim()
         texts = pc.fill_null(texts, "")
-        # capitals of ASCII fold alike before and after normalisation, unless a combining mark follows
+        # capitals of ASCII fold alike before and after normalisation, unless a combining mark follows; where a text has an
+        # added token in some case, its chunks keep theirs
         marks = pc.match_substring_regex(texts, "[\u0300-\u036f]")
+        if self.added:
+            marks = pc.or_(marks, pc.match_substring_regex(texts, self.added_any_case, ignore_case=True))
         low = pc.ascii_lower(texts)
         cut = pc.ascii_split_whitespace(pc.if_else(marks, texts, low) if pc.any(marks).as_py() else low)
         ids, size = self.chunks.gather_array(cut.flatten().cast(pa.binary()), self.learn_chunks)
@@ -97,27 +105,44 @@ def encoder(path: str) -> WordEncoder:
     return worker_state(("words", path), lambda: WordEncoder(path))
 
 
-def part_bounds(df: DataFrame, id_col: str, parts: int) -> list[int]:
-    """Distinct ids that cut the rows into up to ``parts`` ranges of like size; from the id column alone."""
-    if parts < 2:
-        return []
-    at = [i / parts for i in range(1, parts)]
-    found = df.select(F.percentile_approx(f"`{id_col}`", at, 100 * parts)).first()[0]
-    return sorted(set(found or []))
+class Parts:
+    """Which part a row goes to: ranges of ids of like size. An id that fills several ranges, and null, has as many parts of its
+    own, dealt by a hash of the text. From the id column alone."""
+
+    def __init__(self, df: DataFrame, id_col: str, parts: int):
+        at = [i / parts for i in range(1, parts)]
+        row = df.select(F.count(F.lit(1)), F.count(f"`{id_col}`"), *([F.percentile_approx(f"`{id_col}`", at, 100 * parts)] if at else [F.lit(None)])).first()
+        self.nulls = -(-parts * (row[0] - row[1]) // row[0]) if row[0] else 0
+        self.bounds, self.copies = np.unique(np.array(row[2] or [], np.int64), return_counts=True)
+        self.first = self.nulls + 1 + np.cumsum(self.copies) - self.copies
+        self.n = int(self.nulls + 1 + self.copies.sum())
+
+    def of(self, doc: int | None, text_hash: int) -> int:
+        if doc is None:
+            return text_hash % self.nulls
+        i = int(np.searchsorted(self.bounds, doc, side="right")) - 1
+        if i < 0:
+            return self.nulls
+        n = int(self.copies[i])
+        return int(self.first[i]) + (text_hash % n if doc == self.bounds[i] else n - 1)
 
 
 def write_ids(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
               parts: int | None = None) -> DataFrame:
     """Write the ids of every text and ``end_id`` after it, ascending by id; return the manifest (part, path, n_docs, n_ids).
 
-    Null ids come first, null and empty texts have the end id alone, repeated
-    ids keep all rows (shorter ones first). An empty table writes no file.
+    Ids are integers (other types are cast, and one that is no number is an
+    error). Null ids come first, null and empty texts have the end id alone,
+    repeated ids keep all rows, shorter ones first within a part; an id, or
+    null, that very many rows have is spread over several parts. An empty
+    table writes no file.
     """
     import zstandard
 
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = np.array(part_bounds(df, id_col, parts), np.int64)
+    made = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    where = Parts(made, "id", parts)
     folder = shared_path(spark, "ids")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +154,7 @@ def write_ids(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "do
                 docs = b.column("id").to_pylist()
                 packed = [zip_.compress(np.append(flat[e - n:e], end_id).astype("<u4" if end_id > 65535 or n and flat[e - n:e].max() > 65535 else "<u2").tobytes())
                           for e, n in zip(ends.tolist(), counts.tolist())]
-                part = [0 if d is None else int(np.searchsorted(bounds, d, side="right")) for d in docs]
+                part = [where.of(d, h) for d, h in zip(docs, b.column("hash").to_pylist())]
                 yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(docs, pa.int64()), pa.array(counts + 1, pa.int64()),
                                                   pa.array(packed, pa.binary())], names=["part", "id", "n", "ids"])
 
@@ -154,9 +179,8 @@ def write_ids(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "do
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, (pa.int32(), pa.string(), pa.int64(), pa.int64()))],
                                          names=["part", "path", "n_docs", "n_ids"])
 
-    made = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    made = made.mapInArrow(make, "part int, id long, n long, ids binary")
-    ordered = made.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", F.col("id").asc_nulls_first(), "n")
+    made = made.withColumn("hash", F.xxhash64("text")).mapInArrow(make, "part int, id long, n long, ids binary")
+    ordered = made.repartitionById(where.n, F.col("part")).sortWithinPartitions("part", F.col("id").asc_nulls_first(), "n")
     return materialize(ordered.mapInArrow(write, "part int, path string, n_docs long, n_ids long"), "manifest")
 
 

@@ -15,9 +15,9 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
 def whole(texts):
+    """A tokenizer as it comes from the file, plain calls."""
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+    return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
 
 
 def coded(texts, enc):
@@ -31,6 +31,26 @@ def test_ids_are_the_librarys(text):
     assert coded([text], encoder(PATH)) == whole([text])
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "<", "a", "B", " ", "\n", "É", "\u0301", "日", ".", "'s", "İ"]), max_size=9))
+def test_added_tokens_are_the_librarys(parts):
+    assert coded(["".join(parts)], encoder(PATH)) == whole(["".join(parts)])
+
+
+def test_a_hot_id_has_several_parts(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text number {i} " * (i % 5)) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    manifest = write_ids(df, PATH, 2, parts=12)
+    sizes = [r.n_docs for r in manifest.collect()]
+    assert sum(sizes) == 600 and max(sizes) < 130
+    got = sorted(read_ids(manifest).collect(), key=lambda r: r.start)
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda x: (x is not None, x or 0))
+    want = sorted(zlib.crc32(np.array(x + [2], "<u4").tobytes()) for x in whole([t for _, t in rows]))
+    assert sorted(r.ids_crc32 for r in got) == want
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
+
+
 def test_memory_may_forget(monkeypatch):
     monkeypatch.setattr("tessera.llm.token_files.REMEMBERED", 3)
     enc = WordEncoder(PATH)

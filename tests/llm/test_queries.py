@@ -185,5 +185,5 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, docs, none):
 
 def test_names_and_oracles():
     assert sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0])) == list(queries.QUERIES)
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES) and corpus_pipeline.ORACLE_SQL is None
