@@ -1,185 +1,42 @@
-"""Exact k-nearest neighbours without all-pairs joins.
+"""Nearest-neighbour imputation (C3) and SMOTE (G4) on the exact block index.
 
-Candidates come from an equi-join on grid cells over g ≤ 3 coordinates
-(all of them, or the g of highest variance when there are more): each query looks at its own cell and the 3^g − 1
-around it. Any donor outside that block differs by ≥ w in some projected
-coordinate, hence lies at distance ≥ w (an orthonormal projection never
-lengthens a difference; the nan-Euclidean scale factor is ≥ 1). A query
-whose k-th candidate is closer than w is therefore exact; the others retry
-with 2w (lineage cut with ``checkpoint()`` each round). Pairs emitted per
-round follow local density, not group size; AQE's skew join splits a hot
-cell's partition. Ties order by (distance, donor key).
+All searches go through ``operators.neighbours``: leaves of median splits,
+lower bounds by boxes, the k best of a block leaving it. Ties order by
+(distance, donor key).
 """
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
+from tessera.operators import neighbours
 from tessera.operators.impute import normalize_nan
-from tessera.session import ensure_checkpoint_dir, written
-
-
-def sq_dist(a, b, dim: int | None = None):
-    """Squared Euclidean distance of two array<double> columns; with a known
-    (moderate) width it is written element by element so it compiles into
-    generated code instead of running interpreted array lambdas."""
-    if dim is not None and dim <= 256:
-        terms = [(a.getItem(i) - b.getItem(i)) * (a.getItem(i) - b.getItem(i)) for i in range(dim)]
-        return sum(terms[1:], terms[0]) if terms else F.lit(0.0)
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
-
-
-def _projection(donors: DataFrame, vec: str, dim: int, g: int):
-    """Grid coordinates: the g highest-variance coordinates (a coordinate
-    subset is an orthonormal projection, so the distance bound holds)."""
-    if dim <= g:
-        return [lambda c, i=i: F.col(c).getItem(i) for i in range(dim)]
-    row = donors.agg(*[F.var_pop(F.col(vec).getItem(i)).alias(f"v{i}") for i in range(dim)]).first()
-    best = sorted(range(dim), key=lambda i: -(row[f"v{i}"] or 0.0))[:g]
-    return [lambda c, i=i: F.col(c).getItem(i) for i in best]
 
 
 def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec: str = "vec", k: int = 5,
-              part=(), exclude_self: bool = False, scale: float = 1.0, grid_dims: int = 3) -> DataFrame:
+              part=(), exclude_self: bool = False, scale: float = 1.0, block: int = neighbours.BLOCK, stats: dict | None = None) -> DataFrame:
     """(part…, qkey, dkey, nn_rank, dist) for the k nearest donors of every
     query (fewer when fewer donors exist). ``vec`` is a complete
     array<double> in both frames; ``part`` restricts neighbours to the same
     partition values (e.g. the class)."""
-    spark = queries.sparkSession
     part = list(part)
-    q0 = queries.select(*part, F.col(qkey).alias("_q"), F.col(vec).alias("_qv"))
-    d0 = donors.select(*part, F.col(dkey).alias("_d"), F.col(vec).alias("_dv"))
-    # duplicate compression: donors sharing a vector tie on distance and
-    # break ties by key, so only their smallest k (+1 for self) keys can
-    # ever be chosen. row_number() ≤ m becomes a partial WindowGroupLimit
-    # before the shuffle, so a vector held by a third of all rows ships at
-    # most m rows per map task; the kept keys ride in an array.
-    m = k + 1 if exclude_self else k
-    d0 = (d0.withColumn("_r", F.row_number().over(W.partitionBy(*part, "_dv").orderBy("_d")))
-          .where(F.col("_r") <= m)
-          .groupBy(*part, "_dv").agg(F.array_sort(F.collect_list("_d")).alias("_keys")))
-    dim = d0.select(F.size("_dv")).limit(1).collect()
-    if not dim:
+    one = donors.select(F.size(vec)).limit(1).collect()
+    if not one:
         cols = [f"{p} {queries.schema[p].dataType.simpleString()}" for p in part]
         cols += [f"{qkey} {queries.schema[qkey].dataType.simpleString()}",
                  f"{dkey} {donors.schema[dkey].dataType.simpleString()}", "nn_rank int", "dist double"]
-        return spark.createDataFrame([], ", ".join(cols))
-    dim = dim[0][0]
-    ensure_checkpoint_dir(spark)
-    proj = _projection(d0.select(F.col("_dv").alias(vec)), vec, dim, grid_dims)
-    g = len(proj)
-    qp = q0.select("*", *[p("_qv").alias(f"_p{i}") for i, p in enumerate(proj)])
-    dp = d0.select("*", *[p("_dv").alias(f"_p{i}") for i, p in enumerate(proj)]).checkpoint()
-    st = dp.agg(F.count(F.lit(1)).alias("n"), *[a for i in range(g) for a in (
-        F.min(f"_p{i}").alias(f"lo{i}"), F.max(f"_p{i}").alias(f"hi{i}"))]).first()
-    qs = qp.agg(*[a for i in range(g) for a in (F.min(f"_p{i}").alias(f"lo{i}"),
-                                                   F.max(f"_p{i}").alias(f"hi{i}"))]).first()
-    n = st["n"] or 0
-    spans = [max((st[f"hi{i}"] if st[f"hi{i}"] is not None else 0.0),
-                 (qs[f"hi{i}"] if qs[f"hi{i}"] is not None else 0.0)) -
-             min((st[f"lo{i}"] if st[f"lo{i}"] is not None else 0.0),
-                 (qs[f"lo{i}"] if qs[f"lo{i}"] is not None else 0.0)) for i in range(g)]
-    # cells are counted from the lowest corner, so floor(·/w) stays small
-    origin = [min((st[f"lo{i}"] if st[f"lo{i}"] is not None else 0.0),
-                  (qs[f"lo{i}"] if qs[f"lo{i}"] is not None else 0.0)) for i in range(g)]
-    span = max(spans + [1e-12])
-    w = max(span * min(1.0, (4.0 * k / max(n, 1)) ** (1.0 / g)), 1e-9)
-    offsets = [list(o) for o in itertools.product([-1, 0, 1], repeat=g)]
-    done, pending = [], qp
-    while True:    # w at least doubles, and a round with w > span is the last
-        full = not w <= span
-        cell = lambda i: F.floor((F.col(f"_p{i}") - F.lit(origin[i])) / F.lit(w)).cast("long")
-        dcell = dp.select(*part, "_keys", "_dv", F.array(*[cell(i) for i in range(g)]).alias("_cell"))
-        qcell = pending.select(*part, "_q", "_qv", F.explode(F.array(*[
-            F.array(*[cell(i) + F.lit(o[i]) for i in range(g)]) for o in offsets])).alias("_cell"))
-        cand = qcell.join(dcell, [*part, "_cell"])
-        cand = cand.select(*part, "_q", "_keys", (F.sqrt(sq_dist(F.col("_qv"), F.col("_dv"), dim) * F.lit(scale * scale)))
-                           .alias("dist")).select(*part, "_q", "dist", F.explode("_keys").alias("_d"))
-        if exclude_self:
-            cand = cand.where(F.col("_q") != F.col("_d"))
-        wq = W.partitionBy(*part, "_q").orderBy("dist", "_d")
-        top = cand.withColumn("nn_rank", F.row_number().over(wq)).where(F.col("nn_rank") <= k).checkpoint()
-        stat = top.groupBy(*part, "_q").agg(F.count(F.lit(1)).alias("_c"), F.max("dist").alias("_dk"))
-        ok = stat.where((F.col("_c") == k) & (F.col("_dk") < F.lit(w))) if not full else stat
-        done.append(top.join(ok.select(*part, "_q"), [*part, "_q"], "left_semi"))
-        pending = pending.join(ok.select(*part, "_q"), [*part, "_q"], "left_anti").checkpoint()
-        if full:
-            break
-        # one small job: how many queries remain, and how far their k-th
-        # candidate is (any w above that resolves them)
-        left = pending.join(stat, [*part, "_q"], "left").agg(
-            F.count(F.lit(1)).alias("n"), F.percentile_approx("_dk", 0.9).alias("d90")).first()
-        if not left["n"]:
-            break
-        w = max(2.0 * w, (left["d90"] or 0.0) * 1.0001)
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select(*part, F.col("_q").alias(qkey), F.col("_d").alias(dkey), "nn_rank", "dist")
+        return queries.sparkSession.createDataFrame([], ", ".join(cols))
+    return neighbours.search(queries, donors, qkey, dkey, vec, k, one[0][0], part, exclude_self, None, scale, block, stats)
 
 
-def nan_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, p: int, width: int, vec: str = "vec", k: int = 5) -> DataFrame:
+def nan_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, p: int, width: int, vec: str = "vec", k: int = 5,
+            block: int = neighbours.BLOCK, stats: dict | None = None) -> DataFrame:
     """(qkey, dkey, nn_rank, dist): the k nearest donors of every query by the
     nan-Euclidean distance sqrt(p / |common| · Σ_common (a − b)²) of vectors
-    with ``width`` coordinates, any of which may be null.
-
-    One search whatever the missing-value patterns: a row enters the grid
-    under each coordinate that it has, so a donor that shares a coordinate and
-    differs by less than w in it is a candidate. All other donors differ by w
-    or more in every common coordinate and lie at distance w or more. A query
-    whose k-th candidate is closer than w is done, the others go on with a
-    larger w. A pair that meets under several coordinates counts at the first.
-    """
-    m = F.row_number().over(W.partitionBy("_dv").orderBy("_d"))
-    d0 = (donors.select(F.col(dkey).alias("_d"), F.col(vec).alias("_dv")).withColumn("_r", m).where(F.col("_r") <= k)
-          .groupBy("_dv").agg(F.array_sort(F.collect_list("_d")).alias("_keys")))
-    d0 = written(d0, "donors")
-    q0 = queries.select(F.col(qkey).alias("_q"), F.col(vec).alias("_qv"))
-    at = [F.col(vec).getItem(i) for i in range(width)]
-    both = q0.select(F.col("_qv").alias(vec)).unionByName(d0.select(F.col("_dv").alias(vec)))
-    st = both.agg(*[a for i in range(width) for a in (F.min(at[i]).alias(f"lo{i}"), F.max(at[i]).alias(f"hi{i}"))]).first()
-    low = [st[f"lo{i}"] if st[f"lo{i}"] is not None else 0.0 for i in range(width)]
-    span = max([(st[f"hi{i}"] or 0.0) - low[i] for i in range(width) if st[f"hi{i}"] is not None] + [1e-12])
-    n = d0.count()
-    w = max(span * min(1.0, 4.0 * k / max(n, 1)), 1e-9)
-
-    def distance(a, b):
-        d = [(F.col(a).getItem(i) - F.col(b).getItem(i)) for i in range(width)]
-        square = sum((F.coalesce(x * x, F.lit(0.0)) for x in d[1:]), F.coalesce(d[0] * d[0], F.lit(0.0)))
-        common = sum((F.when(x.isNotNull(), 1).otherwise(0) for x in d[1:]), F.when(d[0].isNotNull(), 1).otherwise(0))
-        return F.sqrt(F.lit(float(p)) / common * square)
-
-    done, pending = [], q0
-    while True:
-        full = not w <= span
-        cells = lambda v: F.array(*[F.floor((F.col(v).getItem(i) - F.lit(low[i])) / F.lit(w)) for i in range(width)])
-        dc = d0.withColumn("_dc", cells("_dv")).select("*", F.posexplode("_dc").alias("_c", "_cell")).where("_cell IS NOT NULL")
-        qc = (pending.withColumn("_qc", cells("_qv")).select("*", F.posexplode("_qc").alias("_c", "_x")).where("_x IS NOT NULL")
-              .select("*", F.explode(F.array(*[F.col("_x") + o for o in (-1, 0, 1)])).alias("_cell")))
-        first = F.expr("NOT exists(slice(arrays_zip(_qc, _dc), 1, _c), z -> coalesce(abs(z._qc - z._dc) <= 1, false))")
-        cand = qc.join(dc, ["_c", "_cell"]).where(first)
-        cand = cand.select("_q", distance("_qv", "_dv").alias("dist"), F.explode("_keys").alias("_d"))
-        near = F.row_number().over(W.partitionBy("_q").orderBy("dist", "_d"))
-        top = written(cand.withColumn("nn_rank", near).where(F.col("nn_rank") <= k), "nearest")
-        stat = top.groupBy("_q").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_dk"))
-        if full:
-            done.append(top)
-            break
-        ok = stat.where((F.col("_n") == k) & (F.col("_dk") < F.lit(w))).select("_q")
-        done.append(top.join(ok, "_q", "left_semi"))
-        pending = written(pending.join(ok, "_q", "left_anti"), "pending")
-        left = pending.join(stat, "_q", "left").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_dk", 0.9).alias("d90")).first()
-        if not left["n"]:
-            break
-        w = max(2.0 * w, (left["d90"] or 0.0) * 1.0001)
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select(F.col("_q").alias(qkey), F.col("_d").alias(dkey), "nn_rank", "dist")
+    with ``width`` coordinates, any of which may be null. One search whatever
+    the missing-value patterns."""
+    return neighbours.search(queries, donors, qkey, dkey, vec, k, width, p=p, block=block, stats=stats)
 
 
 def knn_impute(df: DataFrame, key: str, cols, k: int = 5, donors: DataFrame | None = None, means: dict | None = None) -> DataFrame:
