@@ -4,10 +4,11 @@ Numbers, names and units become typed placeholders, so that a question whose
 values were changed keeps its template. Names are told by their capital, which
 a text that lost its punctuation or case does not have where the item has it;
 so every text is read with names as placeholders and as plain words. A capital
-that begins a sentence may be a name or not; a further form takes it as one,
-unless it is a word that begins sentences. Where it is asked for, texts are read
+that begins a sentence may be a name or not; a further form takes every capital
+as one. Where it is asked for, texts are read
 word for word too, for items that have too few literals for a template. Windows of a form's tokens
-are hashed and joined with the benchmark's windows of that form. Along each
+are hashed and joined with the benchmark's windows of that form; where an item is
+dense in values, its window is widened until it holds enough literals. Along each
 alignment of a document with an item the slots are compared: one benchmark value
 must stand for one document value. What covers enough of an item is a leak.
 
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,18 +43,16 @@ UNITS = frozenset("mm cm m km inch inches foot feet yard yards mile miles mg g k
                   "pound pounds ton tons ml litre litres liter liters gallon gallons cup cups second seconds minute minutes hour hours "
                   "day days week weeks month months year years cent cents dollar dollars euro euros usd eur percent degree degrees "
                   "mph kmh meter meters metre metres kilometer kilometers kilometre kilometres".split())
-#: Words that begin sentences: with a capital they are no names in the form that reads a sentence's first word as one.
-OPENERS = frozenset("a about after all also although an and another any are as assume at because before besides between both but by calculate can "
-                    "choose compare complete compute consider could describe determine did do does during each either estimate evaluate every "
-                    "everyone explain express few finally find first for four from give given had has have he help her here his how however i if "
-                    "imagine in instead into is it its last later let list many may more most my name next no none not now of on once one only or "
-                    "other our over prove round select several she should show simplify since so solve some state suppose than that the their "
-                    "then there these they this those though three through to today together two under until use was we were what when where "
-                    "whereas whether which while who whom whose why will with within without would write yes yesterday you your".split())
+KINDS = {**dict.fromkeys(UNITS, UNIT), **dict.fromkeys(NUMBERS, NUMBER)}
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*[a-z%]{0,3}")
 #: Chunks that a worker remembers; past it they are forgotten, which costs time only.
 REMEMBERED = 150_000
+#: A window's first token and its length as one number.
+PLACE = 1 << 24
+#: Each step of a widened window is half as long again.
+WIDEN = 1.5
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0xD1342543DE82EF95
 #: Settings of the query and the pipeline, which look for every leak.
 WHOLE = {"partial": True, "exact": True}
 
@@ -70,58 +70,65 @@ class Canon:
 
     def forget(self) -> None:
         self.code: dict[bytes, int] = {}
-        self.hashes, self.kinds, self.ends, self.opens, self.words = [], [], [], [], []
-        self.arrays = (np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool), np.zeros(0, bool))
-
-    def learn(self, new: set[bytes]) -> None:
-        for c in new:
-            chunk = c.decode()
-            word = chunk.strip("".join({x for x in chunk if not x.isalnum()}))
-            low = word.lower()
-            if not word:
-                kind = -1
-            elif low in NUMBERS or _NUMBER.fullmatch(low):
-                kind = NUMBER
-            elif low in UNITS:
-                kind = UNIT
-            else:
-                # a word all in capitals says nothing about names
-                kind = CAPITAL if word[0].isupper() and word != word.upper() else LITERAL
-            self.code[c] = len(self.kinds)
-            self.hashes.append(self.hash(low))
-            self.kinds.append(kind)
-            self.ends.append(bool(set(chunk[len(chunk.rstrip(".!?:;\"')]")):]) & set(".!?:;")))
-            self.opens.append(low in OPENERS)
-            self.words.append(low)
-        self.arrays = (np.array(self.hashes, np.uint64), np.array(self.kinds, np.int8), np.array(self.ends, bool), np.array(self.opens, bool))
-
-    def forms(self, texts: list[bytes | None]) -> list[tuple[np.ndarray, ...]]:
+        self.words: list[str] = []
+        self.arrays = (np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool))
+
+    def learn(self, new: list[bytes]) -> None:
+        chunks = b"\n".join(new).decode().split("\n")  # a chunk holds no white space of ASCII
+        words, ends = chunks, [False] * len(chunks)
+        if odd := [i for i, ok in enumerate(map(str.isalpha, chunks)) if not ok]:
+            words = chunks.copy()
+            for i in odd:
+                c = chunks[i]
+                if c[-1:] in (".", ",") and c[:-1].isalpha():
+                    words[i], ends[i] = c[:-1], c[-1] == "."
+                else:
+                    words[i] = c.strip("".join({x for x in c if not x.isalnum()}))
+                    ends[i] = bool(set(c[len(c.rstrip(".!?:;\"')]")):]) & set(".!?:;"))
+        lows = "\n".join(words).lower().split("\n")
+        kinds = [LITERAL if k is None else k for k in map(KINDS.get, lows)]
+        for i in odd:
+            if not words[i]:
+                kinds[i] = -1
+            elif kinds[i] == LITERAL and not words[i].isalpha() and _NUMBER.fullmatch(lows[i]):
+                kinds[i] = NUMBER
+        for i, (word, low) in enumerate(zip(words, lows)):
+            # a word all in capitals says nothing about names
+            if word != low and kinds[i] == LITERAL and word[0].isupper() and word != word.upper():
+                kinds[i] = CAPITAL
+        self.code.update(zip(new, range(len(self.words), len(self.words) + len(new))))
+        self.words += lows
+        fresh = (np.fromiter(map(self.hash, lows), np.uint64, len(lows)), np.array(kinds, np.int8), np.array(ends, bool))
+        self.arrays = tuple(np.concatenate(x) for x in zip(self.arrays, fresh))
+
+    def forms(self, texts: pa.Array | list[bytes | None]) -> list[tuple[np.ndarray, ...]]:
         """All forms of all texts, in the order of ``FORMS``, ``EXACT`` last. A form has each token's text number, template hash and
         kind, all words' chunks, each token's first word and the number of words that it spans.
 
         With names, a capital after a sentence's end or at the start is a literal;
         elsewhere it is a name, and names side by side are one token. In the further
-        form every capital is a name but those of ``OPENERS``, wherever it stands;
-        a sentence's end parts names.
+        form every capital is a name; a sentence's end parts names.
         """
         if len(self.code) > REMEMBERED:
             self.forget()
-        cut = [t.split() if t else [] for t in texts]
-        every = [c for cs in cut for c in cs]
-        if new := set(every).difference(self.code):
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.binary()).cast(pa.string())
+        cut = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.fill_null(texts, "")))
+        found = cut.flatten().cast(pa.binary()).dictionary_encode()
+        own = found.dictionary.to_pylist()
+        if new := [c for c in own if c not in self.code]:
             self.learn(new)
-        codes = np.fromiter(map(self.code.__getitem__, every), np.int64, len(every))
-        doc = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
-        hashes, kinds, ends, opens = (a[codes] if len(codes) else a[:0] for a in self.arrays)
+        codes = np.fromiter(map(self.code.__getitem__, own), np.int64, len(own))[found.indices.to_numpy()]
+        doc = np.repeat(np.arange(len(texts)), pc.list_value_length(cut).to_numpy())
+        hashes, kinds, ends = (a[codes] if len(codes) else a[:0] for a in self.arrays)
         first = np.ones(len(codes), bool)
         first[1:] = (doc[1:] != doc[:-1]) | ends[:-1]
         word = kinds >= 0
         sentence = np.cumsum(first)[word]
-        doc, hashes, kinds, codes, first, opens = doc[word], hashes[word], kinds[word], codes[word], first[word], opens[word]
+        doc, hashes, kinds, codes, first = doc[word], hashes[word], kinds[word], codes[word], first[word]
         plain = np.where(kinds == CAPITAL, LITERAL, kinds)
         each = np.arange(len(codes))
         one = np.ones(len(codes), np.int64)
-        one = np.ones(len(codes), np.int64)
 
         def named(literal: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, ...]:
             kind = np.where(kinds == CAPITAL, np.where(literal, LITERAL, NAME), kinds)
@@ -132,7 +139,7 @@ class Canon:
             return doc[at], np.where(kind == LITERAL, hashes, self.typed[kind])[at], kind[at], codes, at, span
 
         return [named(first, doc), (doc, np.where(plain == LITERAL, hashes, self.typed[plain]), plain, codes, each, one),
-                named(opens, sentence), (doc, hashes, np.full(len(codes), LITERAL, np.int8), codes, each, one)]
+                named(np.zeros(len(codes), bool), sentence), (doc, hashes, np.full(len(codes), LITERAL, np.int8), codes, each, one)]
 
     def slots(self, kinds: np.ndarray, codes: np.ndarray, at: np.ndarray, span: np.ndarray, i: int, n: int) -> list[str]:
         """Values of the placeholders of the window of ``n`` tokens at ``i``: offset and text, units without a plural s."""
@@ -144,27 +151,66 @@ class Canon:
         return out
 
 
-def window_hashes(hashes: np.ndarray, n: int, form: int) -> np.ndarray:
-    """A 64-bit hash of each window of ``n`` tokens of a form."""
-    count = max(0, len(hashes) - n + 1)
-    out = np.full(count, np.uint64(16 * n + form))
-    for j in range(n):
-        out = (out ^ hashes[j:j + count]) * _MIX
+class WindowHashes:
+    """64-bit hashes of windows of a form's tokens: differences of one running sum, whatever the window's length."""
+
+    _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+    def __init__(self, hashes: np.ndarray, form: int):
+        size = len(hashes) + 1
+        if len(self._powers[0]) < size:
+            up = np.full(2 * size, _BASE, np.uint64)
+            down = np.full(2 * size, pow(_BASE, -1, 1 << 64), np.uint64)
+            up[0] = down[0] = 1
+            WindowHashes._powers = (np.cumprod(up), np.cumprod(down))
+        self.form, self.down = form, self._powers[1]
+        self.sums = np.zeros(size, np.uint64)
+        np.cumsum(hashes * self._powers[0][:size - 1], out=self.sums[1:])
+
+    def of(self, n: int, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Of the windows of ``n`` tokens, those that begin ``at``."""
+        if len(self.sums) <= n:
+            return np.zeros(0, np.uint64)
+        out = (self.sums[n:][at] - self.sums[:-n][at]) * self.down[:len(self.sums) - n][at]
+        out ^= np.uint64((16 * n + self.form) * 0x9E3779B97F4A7C15 % 2**64)
+        out ^= out >> np.uint64(32)
+        out *= _MIX
         out ^= out >> np.uint64(29)
-    return out
+        return out
 
 
 def canon() -> Canon:
     return worker_state(("canon",), Canon)
 
 
-def usable(doc: np.ndarray, kinds: np.ndarray, n: int, least: int) -> np.ndarray:
-    """Windows of ``n`` tokens within one text, with at least ``least`` literals."""
-    count = len(doc) - n + 1
-    if count <= 0:
-        return np.zeros(0, bool)
-    literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
-    return (doc[:count] == doc[n - 1:]) & (literal[n:] - literal[:count] >= least)
+def literals(kinds: np.ndarray) -> np.ndarray:
+    """Literals before each token, and in all."""
+    return np.concatenate([[0], np.cumsum(kinds == LITERAL)])
+
+
+def widths(kinds: np.ndarray, width: int, least: int) -> list[tuple[int, int]]:
+    """(first token, length) of an item's windows: ``width`` tokens, widened step by step until ``least`` are literals.
+
+    The last one of its length that fits ends with the item, too. An item shorter than ``width`` is one window, of
+    literals if it has fewer than ``least`` tokens; so is one in which no step fits.
+    """
+    size, before = len(kinds), literals(kinds)
+    least = min(least, size)
+    if not size or before[-1] < least:
+        return []
+    out = []
+    for i in range(size):
+        n = width
+        while i + n <= size and before[i + n] - before[i] < least:
+            n = int(n * WIDEN)
+        if i + n <= size:
+            out.append((i, n))
+    if not out or out[-1][0] + out[-1][1] < size:
+        n = width
+        while n < size and before[-1] - before[size - n] < least:
+            n = int(n * WIDEN)
+        out.append((max(0, size - n), min(n, size)))
+    return out
 
 
 def asked(forms: list, exact: bool) -> list[tuple]:
@@ -173,7 +219,7 @@ def asked(forms: list, exact: bool) -> list[tuple]:
 
 
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int, least: int, exact: bool = False) -> DataFrame:
-    """item_id, form, n_tokens, n (window length), pos, h, slots: an item shorter than ``width`` is one window."""
+    """item_id, form, n_tokens, n (window length), pos, h, slots: see ``widths``; in the exact form all words are literals."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text"):
@@ -181,10 +227,10 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int, l
                 for item, text in zip(b.column("id").to_pylist(), utf8(b.column("text"))):
                     c = canon()
                     for form, (doc, hashes, kinds, codes, at, span) in asked(c.forms([text]), exact):
-                        n = min(width, len(doc))
-                        h = window_hashes(hashes, n, form) if n else ()
-                        for i in np.nonzero(usable(doc, kinds, n, min(least, n)))[0].tolist() if n else ():
-                            rows.append((item, form, len(doc), n, i, int(h[i].view(np.int64)), c.slots(kinds, codes, at, span, i, n)))
+                        hashed = WindowHashes(hashes, form)
+                        for i, n in widths(kinds, width, least):
+                            h = int(hashed.of(n, slice(i, i + 1))[0].view(np.int64))
+                            rows.append((item, form, len(doc), n, i, h, c.slots(kinds, codes, at, span, i, n)))
                 yield _batch(rows, ("item_id", "form", "n_tokens", "n", "pos", "h", "slots"),
                              (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string())))
 
@@ -216,14 +262,18 @@ def doc_windows(docs: DataFrame, id_col: str, text_col: str, lengths: list[int],
         for whole in batches:
             for b in slices(whole, "text"):
                 c, rows = canon(), []
-                every = asked(c.forms(utf8(b.column("text"))), exact)
+                every = asked(c.forms(b.column("text")), exact)
                 ids, marks = b.column("id").to_pylist(), b.column("mark").to_pylist()
                 for form, (doc, hashes, kinds, codes, at, span) in every:
+                    hashed, before = WindowHashes(hashes, form), None
                     for n in lengths:
-                        h = window_hashes(hashes, n, form)
+                        h = hashed.of(n)
                         low = h & np.uint64(bits)
-                        hit = (have[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1)
-                        for i in np.nonzero((hit > 0) & usable(doc, kinds, n, min(least, n)))[0].tolist():
+                        hit = np.nonzero((have[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1))[0]
+                        if not len(hit):
+                            continue
+                        before = literals(kinds) if before is None else before
+                        for i in hit[(doc[hit] == doc[hit + n - 1]) & (before[hit + n] - before[hit] >= min(least, n))].tolist():
                             d = int(doc[i])
                             rows.append((ids[d], marks[d], form, n, i, int(h[i].view(np.int64)), c.slots(kinds, codes, at, span, i, n)))
                 yield _batch(rows, ("doc_id", "text_hash", "form", "n", "pos", "h", "slots"),
@@ -255,16 +305,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     ``covered`` counts the item's template tokens under windows that match along
     an alignment whose slots are consistent; a leak covers ``min_tokens`` of
     them, or the whole of a shorter item. An item needs ``least_literals``
-    literals in a window (all its tokens, if it has fewer).
+    literals in a window (all its tokens, if it has fewer); windows are widened up
+    to the whole item until they have them.
     ``partial``: where slots contradict each other, only the windows go that are
     against the value most windows have; without it the whole alignment goes.
     ``exact``: texts are compared word for word too, whatever literals an item
     has, so that copies of items dense in values are leaks.
     Null and empty texts match nothing; copies of a row are one document;
-    rows with one id but other texts are told apart by ``text_hash``.
+    rows with one id but other texts are told apart by ``text_hash``. Ids are
+    integers (other types are cast, and one that is no number is an error).
     """
     items = materialize(item_windows(benchmark, item_col, item_text_col, width, least_literals, exact), "items")
-    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())  # ``width`` values at most
+    # steps of ``WIDEN`` and lengths of items without room for a step: no more than the longest item has tokens
+    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())
     found = doc_windows(docs, id_col, text_col, lengths, least_literals, bit_map(items, bits), exact)
     found = materialize(found.distinct(), "windows")
     # copies of a window in one item count once for each place
@@ -274,18 +327,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     value = lambda x: F.regexp_replace(x, "^[0-9]+:", "")
     pairs = F.transform(F.arrays_zip("values", "slots"), lambda p: F.struct(value(p["values"]).alias("a"), value(p["slots"]).alias("b")))
     aligned = (met.withColumn("pairs", pairs)
-               .groupBy("doc_id", "text_hash", "item_id", "form", "n_tokens", "n", (F.col("pos") - F.col("at")).alias("shift"))
-               .agg(F.collect_set(F.struct("at", "pairs")).alias("windows")))
+               .groupBy("doc_id", "text_hash", "item_id", "form", "n_tokens", (F.col("pos") - F.col("at")).alias("shift"))
+               .agg(F.collect_set(F.struct((F.col("at").cast("long") * F.lit(PLACE) + F.col("n")).alias("at"), "pairs")).alias("windows")))
     if partial:
-        vote = F.udf(agreeing, "at array<int>, changed boolean", useArrow=True)
+        vote = F.udf(agreeing, "at array<long>, changed boolean", useArrow=True)
         kept = aligned.withColumn("kept", vote("windows")).select("*", "kept.*").drop("windows", "kept")
     else:
         values = aligned.withColumn("values", F.array_distinct(F.flatten("windows.pairs")))
         one_to_one = F.size("values") == F.size(F.array_distinct(F.transform("values", lambda p: p.a)))
         kept = values.where(one_to_one).withColumn("at", F.col("windows.at")).withColumn("changed", F.exists("values", lambda p: p.a != p.b))
-    by_item = (kept.groupBy("doc_id", "text_hash", "item_id", "form", "n_tokens", "n")
+    by_item = (kept.groupBy("doc_id", "text_hash", "item_id", "form", "n_tokens")
                .agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"), F.max("changed").alias("reparameterised")))
-    covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + F.col("n") - 1)))))
+    covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda w: F.sequence(F.floor(w / F.lit(PLACE)), F.floor(w / F.lit(PLACE)) + w % PLACE - 1)))))
     leaks = by_item.withColumn("covered", covered).where(F.col("covered") >= F.least(F.lit(min_tokens), "n_tokens"))
     # of all forms the one that covers more
     best = F.max_by(F.struct(F.size("at").cast("long").alias("n_windows"), F.col("covered").cast("long").alias("covered"),

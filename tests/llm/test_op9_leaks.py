@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter
 
 from tessera.llm import decontaminate as D
 
@@ -114,7 +116,8 @@ def test_copies_of_items_dense_in_values(spark):
             (4, train.replace("60", "61")), (5, "12 34 56 78 90 11 13 16"), (6, prose(60))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.item_id): r for r in D.find_leaks(df, items, **D.WHOLE).collect()}
-    assert set(got) == {(1, 1), (2, 2), (3, 3)} and all(r.coverage == 1 and not r.reparameterised for r in got.values())
+    # 4 has another number in the item's template
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 1)} and all(r.coverage == 1 and r.reparameterised == (r.doc_id == 4) for r in got.values())
 
 
 def test_a_verbatim_run_is_a_leak_whatever_the_other_slots_say(spark):
@@ -138,3 +141,122 @@ def test_names_that_begin_sentences(spark):
 def test_a_sentence_end_parts_names():
     doc, _, kinds, _, at, span = D.Canon().forms([b"we met Robert Stone. Tom left -. Ann"])[2]
     assert span.tolist() == [1, 1, 2, 1, 1, 1] and (kinds == D.NAME).tolist() == [False, False, True, True, False, True]
+
+
+def test_places_far_into_an_item(spark):
+    text = prose(400)
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    df = spark.createDataFrame([(1, " ".join(text.split()[300:330])), (2, text)], "doc_id long, text string")
+    assert {r.doc_id: r.covered for r in D.find_leaks(df, items, **D.WHOLE).collect()} == {1: 30, 2: 400}
+
+
+def own_tokens(text, form):
+    """An independent reading: (template token, kind or None, value) of each token."""
+    out, opens, named = [], True, False
+    for chunk in (text or "").split():
+        word = chunk
+        while word and not word[0].isalnum():
+            word = word[1:]
+        while word and not word[-1].isalnum():
+            word = word[:-1]
+        tail, end = chunk, False
+        while tail and tail[-1] in ".!?:;\"')]":
+            end, tail = end or tail[-1] in ".!?:;", tail[:-1]
+        low = word.lower()
+        if word:
+            kind = None
+            if form != D.EXACT:
+                if low in D.NUMBERS or re.fullmatch(r"[+-]?\d[\d.,:/]*[a-z%]{0,3}", low):
+                    kind = "number"
+                elif low in D.UNITS:
+                    kind = "unit"
+                elif form != 1 and word[0].isupper() and word != word.upper() and (form == 2 or not opens):
+                    kind = "name"
+            value = low.rstrip("s") if kind == "unit" else low
+            if kind == "name" and named:
+                out[-1] = (out[-1][0], "name", out[-1][2] + " " + low)
+            else:
+                out.append((f"<{kind}>" if kind else low, kind, value))
+            named = kind == "name"
+        opens = end or (opens and not word)
+        named = named and not (end and form == 2)
+    return out
+
+
+def own_leaks(docs, items):
+    """(doc, item) by loops over all pairs of places: the settings of the query."""
+    found = set()
+    for form in (0, 1, 2, D.EXACT):
+        mine = {d: own_tokens(t, form) for d, t in docs}
+        for item, text in items:
+            toks = own_tokens(text, form)
+            lit = [k is None for _, k, _ in toks]
+            need = min(5, len(toks))
+            spans = []
+            for i in range(len(toks)):
+                n = 8
+                while i + n <= len(toks) and sum(lit[i:i + n]) < need:
+                    n = int(n * 1.5)
+                if i + n <= len(toks) and sum(lit) >= need:
+                    spans.append((i, n))
+            if toks and sum(lit) >= need and (not spans or sum(spans[-1]) < len(toks)):
+                n = 8
+                while n < len(toks) and sum(lit[-n:]) < need:
+                    n = int(n * 1.5)
+                spans.append((max(0, len(toks) - n), min(n, len(toks))))
+            for d, have in mine.items():
+                shifts = {}
+                for i, n in spans:
+                    for k in range(len(have) - n + 1):
+                        if [x[0] for x in have[k:k + n]] == [x[0] for x in toks[i:i + n]]:
+                            shifts.setdefault(k - i, []).append((i, n, {(a[2], b[2]) for a, b in zip(toks[i:i + n], have[k:k + n]) if a[1]}))
+                covered = set()
+                for windows in shifts.values():
+                    votes = Counter(p for *_, ps in windows for p in ps)
+                    best = {}
+                    for (a, b), v in votes.items():
+                        best[a] = max(best.get(a, (0, False, "")), (v, a == b, b))
+                    for i, n, ps in windows:
+                        if all(best[a][2] == b for a, b in ps):
+                            covered.update(range(i, i + n))
+                if toks and len(covered) >= min(13, len(toks)):
+                    found.add((d, item))
+    return found
+
+
+TRAIN = "A train travels 60 miles in 2 hours and 30 minutes at 45 mph"
+
+
+def test_value_dense_items_with_other_values(spark):
+    items = spark.createDataFrame([(1, TRAIN), (2, "Mix 12 kg of lime with 5 kg of sand, then wait 3 days and sell it")], "item_id long, text string")
+    other = TRAIN.replace("60", "75").replace("2", "3").replace("30", "10").replace("45", "80")
+    df = spark.createDataFrame([(1, prose(20) + ". " + other + ". " + prose(9)), (2, prose(40)), (3, other.replace("train", "boat"))], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in D.find_leaks(df, items, **D.WHOLE).collect()}
+    assert set(got) == {(1, 1)} and got[1, 1].reparameterised
+
+
+def test_against_an_independent_reading(spark):
+    pool = ["Tom", "Ann Lee", "Oslo", "12", "7", "3.5", "seven", "kg", "miles", "miles", "THE", "each", "a", "of", "river.", "How", "ran,", "to", "(old)", "boat!"]
+    text = lambda n: " ".join(rnd.choice(pool) for _ in range(n))
+    items = [(i, text(rnd.randrange(4, 30))) for i in range(25)] + [(90, TRAIN), (91, TRAIN.replace("60", "61"))]
+
+    def changed(t):
+        return " ".join(rnd.choice(pool) if rnd.random() < .07 else x for x in t.replace("12", "99").replace("Tom", "Eve").split())
+    docs = [(i, " ".join([text(rnd.randrange(20)), changed(rnd.choice(items)[1]) if i % 3 else rnd.choice(items)[1], text(rnd.randrange(20))])) for i in range(150)]
+    got = D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), **D.WHOLE)
+    want = own_leaks(docs, items)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) > 80
+
+
+def test_planted_items_in_the_whole_table(spark):
+    """Benchmark items with other numbers, among all documents of the smallest data."""
+    from pyspark.sql import functions as F
+
+    from tests.conftest import SF
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    own = [(1_000_000 + i, f"{prose(15)} where {9 + i} {prose(12)} {40 + i} miles {prose(6)} while Robert {prose(8)}") for i in range(6)]
+    more = [(2_000_000 + i, prose(30) + " " + t.replace(f" {9 + i} ", f" {500 + i} ").replace("Robert", "Ann Lee").replace(str(40 + i), "7")) for i, (_, t) in enumerate(own)]
+    items = bench.select("item_id", "text").union(spark.createDataFrame(own, "item_id long, text string"))
+    got = D.find_leaks(docs.union(spark.createDataFrame(more, docs.schema)), items, **D.WHOLE).where(F.col("item_id") >= 1_000_000).collect()
+    assert {(r.doc_id - 1_000_000, r.item_id) for r in got} == {(k, k) for k, _ in own} and all(r.reparameterised for r in got)
