@@ -15,7 +15,7 @@ from tessera.operators.impute import normalize_nan
 
 
 def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec: str = "vec", k: int = 5,
-              part=(), exclude_self: bool = False, scale: float = 1.0, block: int = neighbours.BLOCK, stats: dict | None = None) -> DataFrame:
+              part=(), exclude_self: bool = False, scale: float = 1.0, stats: dict | None = None, **sizes) -> DataFrame:
     """(part…, qkey, dkey, nn_rank, dist) for the k nearest donors of every
     query (fewer when fewer donors exist). ``vec`` is a complete
     array<double> in both frames; ``part`` restricts neighbours to the same
@@ -27,16 +27,16 @@ def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec:
         cols += [f"{qkey} {queries.schema[qkey].dataType.simpleString()}",
                  f"{dkey} {donors.schema[dkey].dataType.simpleString()}", "nn_rank int", "dist double"]
         return queries.sparkSession.createDataFrame([], ", ".join(cols))
-    return neighbours.search(queries, donors, qkey, dkey, vec, k, one[0][0], part, exclude_self, None, scale, block, stats)
+    return neighbours.search(queries, donors, qkey, dkey, vec, k, one[0][0], part, exclude_self, None, scale, stats, **sizes)
 
 
 def nan_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, p: int, width: int, vec: str = "vec", k: int = 5,
-            block: int = neighbours.BLOCK, stats: dict | None = None) -> DataFrame:
+            stats: dict | None = None, **sizes) -> DataFrame:
     """(qkey, dkey, nn_rank, dist): the k nearest donors of every query by the
     nan-Euclidean distance sqrt(p / |common| · Σ_common (a − b)²) of vectors
     with ``width`` coordinates, any of which may be null. One search whatever
     the missing-value patterns."""
-    return neighbours.search(queries, donors, qkey, dkey, vec, k, width, p=p, block=block, stats=stats)
+    return neighbours.search(queries, donors, qkey, dkey, vec, k, width, p=p, stats=stats, **sizes)
 
 
 def knn_impute(df: DataFrame, key: str, cols, k: int = 5, donors: DataFrame | None = None, means: dict | None = None) -> DataFrame:

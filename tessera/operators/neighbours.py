@@ -1,18 +1,19 @@
 """Exact k nearest neighbours by a block index.
 
-Donors are cut into leaves by a tree of median splits, one tree for each value
-of the partition columns, grown on a hashed sample of bounded size; every donor
-goes to its leaf, and a leaf is stored as blocks, one row a block, with the box
-around its points. A split on a coordinate sends donors that lack it to a third
-child, so that leaves tell patterns of missing values apart. Vectors with more
+Donors are cut into small leaves by a tree of median splits, one tree for each
+value of the partition columns, grown on a hashed sample of bounded size; every
+donor goes to its leaf, and each leaf has the box around its points. Leaves side
+by side make a cell, which is stored as blocks, one row a block. A split on a
+coordinate sends donors that lack it to a third child, so that leaves tell
+patterns of missing values apart. Vectors with more
 than ``AXES`` coordinates are indexed by their leading principal axes: an
 orthonormal projection never lengthens a difference, so the distance to a box
 stays a lower bound.
 
 A query first visits the leaves next to it, which gives an upper bound of its
 k-th distance, and then every leaf whose box is within that bound. Queries meet
-a block in batches, and only the k best of a block leave it: pairs are never
-rows. The sample and the trees decide the work, not the result.
+a block in batches, each for the leaves that it asks for, and only the k best of
+a block leave it: pairs are never rows. The sample and the trees decide the work, not the result.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from tessera.session import written
 
 #: Coordinates that boxes have at most, and numbers that the sample holds at most.
 AXES, SAMPLE = 16, 1 << 21
-#: Donors in a block, and queries that meet a block at a time.
-BLOCK, BATCH = 256, 512
+#: Donors in a leaf and in a block, donors that a query visits first, and queries that meet a block at a time.
+LEAF, BLOCK, FIRST, BATCH = 16, 512, 1024, 512
 #: Numbers in one matrix of bounds or distances.
 CELLS = 1 << 22
 
@@ -44,16 +45,19 @@ class Tree:
     feature: np.ndarray
     threshold: np.ndarray
     child: np.ndarray   # nodes × 3; a leaf's first entry is its number
+    cell: np.ndarray    # of each leaf; leaves of a subtree follow each other
 
     @staticmethod
-    def grow(z: np.ndarray, leaf: int) -> "Tree":
-        feature, threshold, child, leaves = [-1], [0.0], [[0, 0, 0]], 0
+    def grow(z: np.ndarray, leaf: int, cell: int) -> "Tree":
+        """Leaves of ``leaf`` rows at most where rows differ, cells of about ``cell`` rows."""
+        feature, threshold, child, size = [-1], [0.0], [[0, 0, 0]], []
         todo = [(0, np.arange(len(z)))]
         while todo:
             node, rows = todo.pop()
             cut = _cut(z[rows]) if len(rows) > leaf else None
             if cut is None:
-                child[node], leaves = [leaves, 0, 0], leaves + 1
+                child[node] = [len(size), 0, 0]
+                size.append(len(rows))
                 continue
             j, t = cut
             v = z[rows, j]
@@ -64,7 +68,7 @@ class Tree:
                 feature.append(-1)
                 threshold.append(0.0)
                 child.append([0, 0, 0])
-        return Tree(np.array(feature), np.array(threshold), np.array(child))
+        return Tree(np.array(feature), np.array(threshold), np.array(child), (np.cumsum(size) - size) // cell)
 
     def leaf_of(self, z: np.ndarray) -> np.ndarray:
         at = np.zeros(len(z), np.int64)
@@ -94,6 +98,7 @@ class Boxes:
     """Leaves of one tree: box, which coordinates any and all of its donors have, and how many donors there are."""
 
     leaf: np.ndarray
+    cell: np.ndarray
     low: np.ndarray
     high: np.ndarray
     any: np.ndarray
@@ -108,7 +113,8 @@ class Boxes:
             q = z[:, j, None]
             gap = np.maximum(np.maximum(self.low[:, j] - q, q - self.high[:, j]), 0.0)
             near += np.where(self.all[:, j] & ~np.isnan(q), gap, 0.0) ** 2
-            mid += np.nan_to_num(q - (self.low[:, j] + self.high[:, j]) / 2) ** 2
+            some = self.any[:, j]  # elsewhere the box is empty
+            mid[:, some] += np.nan_to_num(q - (self.low[some, j] / 2 + self.high[some, j] / 2)) ** 2
         if p is None:
             rough = 1e-10 * (np.abs(z).max(1, initial=0.0)[:, None] + np.maximum(np.abs(self.low), np.abs(self.high)).max(1, initial=0.0))
             return np.sqrt(near) * scale * (1 - 1e-9) - rough * scale, np.sqrt(mid)
@@ -149,10 +155,6 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
 
 
-def _key(part: dict) -> tuple:
-    return tuple(part.values())
-
-
 @dataclass
 class Plan:
     """What tasks need: trees by part, axes, boxes by part."""
@@ -173,41 +175,45 @@ class BlockIndex:
     vectors, whose distance is multiplied by ``scale``. ``copies``: how many donors with one vector can be wanted.
     """
 
-    def __init__(self, donors: DataFrame, width: int, copies: int, p: int | None = None, scale: float = 1.0, block: int = BLOCK):
-        self.width, self.p, self.scale, self.block = width, p, scale, block
+    def __init__(self, donors: DataFrame, width: int, copies: int, p: int | None = None, scale: float = 1.0, leaf: int = LEAF,
+                 block: int = BLOCK, first: int = FIRST):
+        self.width, self.p, self.scale, self.leaf, self.block, self.first = width, p, scale, leaf, block, first
         spark = donors.sparkSession
         # of donors with one vector only the smallest keys can be chosen: limited in each task before the exchange
         same = W.partitionBy("_p", "_dv").orderBy("_d")
-        d0 = written(donors.withColumn("_r", F.row_number().over(same)).where(F.col("_r") <= copies).drop("_r"), "donors")
+        d0 = written(donors.withColumn("_r", F.row_number().over(same)).where(F.col("_r") <= copies).drop("_r"), "donors").select("_p", "_d", "_dv")
         self.n = d0.count()
         self.plan = self._grow(d0)
         shared = spark.sparkContext.broadcast(self.plan)
-        key_type = d0.schema["_d"].dataType
 
         def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                leaf = _by_part(b.column("_p"), shared.value.trees, lambda tree, rows, z: tree.leaf_of(z[rows]),
-                                shared.value.place(matrix(b.column("_dv"), width)))
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(leaf, pa.int32())], names=[*b.schema.names, "_leaf"])
+                z = shared.value.place(matrix(b.column("_dv"), width))
+                at = np.zeros((len(z), 2), np.int32)
+                for part, rows in _parts(b.column("_p")):
+                    if tree := shared.value.trees.get(part):
+                        number = tree.leaf_of(z[rows])
+                        at[rows] = np.column_stack([tree.cell[number], number])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at[:, 0]), pa.array(at[:, 1])], names=[*b.schema.names, "_cell", "_leaf"])
 
         def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from _pack(batches, width, block, shared.value)
-
-        placed = d0.select("_p", "_d", "_dv").mapInArrow(leaves, T.StructType([*d0.select("_p", "_d", "_dv").schema, T.StructField("_leaf", T.IntegerType())]))
-        doubles, flags = T.ArrayType(T.DoubleType()), T.ArrayType(T.BooleanType())
-        schema = T.StructType([d0.schema["_p"], T.StructField("_leaf", T.IntegerType()), T.StructField("_n", T.LongType()),
-                               T.StructField("_keys", T.ArrayType(key_type)), T.StructField("_vec", T.BinaryType()),
-                               T.StructField("_total", T.LongType()), T.StructField("_low", doubles), T.StructField("_high", doubles),
-                               T.StructField("_any", flags), T.StructField("_all", flags)])
-        packed = placed.repartition("_p", "_leaf").sortWithinPartitions("_p", "_leaf", "_d").mapInArrow(blocks, schema)
-        self.blocks = written(packed, "blocks")
+            yield from Packer(width, block, shared.value).run(batches)
+
+        ints, doubles, flags = T.ArrayType(T.IntegerType()), T.ArrayType(T.DoubleType()), T.ArrayType(T.BooleanType())
+        of = lambda **kinds: [T.StructField(c, t) for c, t in kinds.items()]
+        cell, leaf_no = of(_cell=T.IntegerType(), _leaf=T.IntegerType())
+        placed = d0.mapInArrow(leaves, T.StructType([*d0.schema, cell, leaf_no]))
+        schema = T.StructType([d0.schema["_p"], cell, *of(_n=T.LongType(), _keys=T.ArrayType(d0.schema["_d"].dataType), _vec=T.BinaryType(), _leaves=ints),
+                               leaf_no, *of(_low=doubles, _high=doubles, _any=flags, _all=flags)])
+        packed = placed.repartition("_p", "_cell").sortWithinPartitions("_p", "_cell", "_leaf", "_d").mapInArrow(blocks, schema)
+        stored = written(packed, "blocks")
+        self.blocks = stored.where("_vec IS NOT NULL").select("_p", "_cell", "_n", "_keys", "_vec", "_leaves")
         # boxes of the trees' leaves, which are no more than the sample's rows
         meta: dict = {}
-        for r in self.blocks.where("_low IS NOT NULL").select("_p", "_leaf", "_total", "_low", "_high", "_any", "_all").collect():
+        for r in stored.where("_low IS NOT NULL").select("_p", "_leaf", "_cell", "_low", "_high", "_any", "_all", "_n").collect():
             meta.setdefault(tuple(r["_p"]), []).append(tuple(r)[1:])
         for part, rows in meta.items():
-            leaf, total, low, high, some, every = (np.array(c) for c in zip(*sorted(rows, key=lambda r: r[0])))
-            self.plan.boxes[part] = Boxes(leaf, low, high, some, every, total)
+            self.plan.boxes[part] = Boxes(*(np.array(c) for c in zip(*sorted(rows, key=lambda r: r[0]))))
         self.shared = spark.sparkContext.broadcast(self.plan)
 
     def _grow(self, d0: DataFrame) -> Plan:
@@ -223,10 +229,11 @@ class BlockIndex:
             centre = every.mean(0)
             axes = np.linalg.svd(every - centre, full_matrices=False)[2][:AXES]
         plan = Plan({}, centre, axes)
-        leaf = max(2, round(self.block * min(1.0, size / max(1, self.n))))
+        share = min(1.0, size / max(1, self.n))
+        leaf, cell = max(2, round(self.leaf * share)), max(2, round(self.block * share))
         for part, vectors in parts.items():
             if len(vectors) > leaf:
-                plan.trees[part] = Tree.grow(plan.place(np.array(vectors, np.float64)), leaf)
+                plan.trees[part] = Tree.grow(plan.place(np.array(vectors, np.float64)), leaf, cell)
         return plan
 
     def nearest(self, queries: DataFrame, k: int, exclude_self: bool = False, stats: dict | None = None) -> DataFrame:
@@ -243,145 +250,187 @@ class BlockIndex:
         return every.withColumn("nn_rank", F.row_number().over(near)).where(F.col("nn_rank") <= k)
 
     def _visits(self, queries: DataFrame, k: int, home: bool) -> DataFrame:
-        """_p, _leaf, _q, _qv: the leaves next to each query, or all others within its ``_limit`` (none: any distance)."""
-        shared, width, scale, p, least = self.shared, self.width, self.scale, self.p, max(k, self.block // 2)
+        """_p, _cell, _q, _qv, _leaves, _n: the leaves next to each query, or all others within its ``_limit`` (none: any
+        distance), by cell; and how many donors they hold."""
+        shared, width, scale, p, least = self.shared, self.width, self.scale, self.p, max(k, self.first)
 
         def chosen(boxes: Boxes, z: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             near, mid = boxes.bounds(z, scale, p)
             order = np.lexsort((mid, near), axis=1)
-            held = np.cumsum(boxes.n[order], axis=1)
+            before = np.cumsum(boxes.n[order], axis=1) - boxes.n[order]
             first = np.zeros_like(order, dtype=bool)
-            # leaves in that order until they hold enough donors
-            np.put_along_axis(first, order, np.concatenate([np.zeros((len(z), 1), held.dtype), held[:, :-1]], axis=1) < least, axis=1)
-            go = first & np.isfinite(near) if home else ~first & (near <= limit[:, None]) & np.isfinite(near)
-            row, at = np.nonzero(go)
-            return row, boxes.leaf[at]
+            np.put_along_axis(first, order, before < least, axis=1)  # leaves in that order until they hold enough donors
+            return np.nonzero((first if home else ~first & (near <= limit[:, None])) & np.isfinite(near))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             plan = shared.value
-            names = ["_p", "_leaf", "_q", "_qv"]
             for b in batches:
                 z = plan.place(matrix(b.column("_qv"), width))
                 limit = b.column("_limit").to_numpy(zero_copy_only=False).astype(np.float64)
                 limit = np.where(np.isnan(limit), np.inf, limit)
-                groups: dict = {}
-                for i, part in enumerate(b.column("_p").to_pylist()):
-                    groups.setdefault(_key(part), []).append(i)
-                for part, rows in groups.items():
-                    boxes, rows = plan.boxes.get(part), np.array(rows)
-                    step = max(1, CELLS // max(1, len(boxes.leaf))) if boxes else len(rows)
+                for part, rows in _parts(b.column("_p")):
+                    boxes = plan.boxes.get(part)
+                    step = max(1, CELLS // len(boxes.leaf)) if boxes else len(rows)
                     for at in range(0, len(rows), step):
                         some = rows[at:at + step]
                         if boxes:
-                            row, leaf = chosen(boxes, z[some], limit[some])
+                            row, col = chosen(boxes, z[some], limit[some])
+                            leaf, cell, n = boxes.leaf[col], boxes.cell[col], boxes.n[col]
                         else:  # a part without a tree is one leaf
-                            row, leaf = (np.arange(len(some)), np.zeros(len(some))) if home else (np.zeros(0, np.int64),) * 2
-                        take = pa.array(some[row])
-                        yield pa.RecordBatch.from_arrays([b.column("_p").take(take), pa.array(leaf.astype(np.int32)), b.column("_q").take(take),
-                                                          b.column("_qv").take(take)], names=names)
-
-        fields = [queries.schema["_p"], T.StructField("_leaf", T.IntegerType()), queries.schema["_q"], queries.schema["_qv"]]
+                            row = np.arange(len(some) if home else 0)
+                            leaf = cell = n = np.zeros(len(row), np.int64)
+                        new = np.ones(len(row), bool)
+                        new[1:] = (row[1:] != row[:-1]) | (cell[1:] != cell[:-1])
+                        head = np.nonzero(new)[0]
+                        take = pa.array(some[row[head]])
+                        lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(row)), pa.int32()), pa.array(leaf, pa.int32()))
+                        held = np.add.reduceat(n, head) if len(head) else n
+                        yield pa.RecordBatch.from_arrays([b.column("_p").take(take), pa.array(cell[head], pa.int32()), b.column("_q").take(take),
+                                                          b.column("_qv").take(take), lists, pa.array(held, pa.int64())],
+                                                         names=["_p", "_cell", "_q", "_qv", "_leaves", "_n"])
+
+        fields = [queries.schema["_p"], T.StructField("_cell", T.IntegerType()), queries.schema["_q"], queries.schema["_qv"],
+                  T.StructField("_leaves", T.ArrayType(T.IntegerType())), T.StructField("_n", T.LongType())]
         return queries.select("_p", "_q", "_qv", "_limit").mapInArrow(run, T.StructType(fields))
 
     def _evaluate(self, visits: DataFrame, k: int, exclude_self: bool, stats: dict | None) -> DataFrame:
-        """_p, _q, _d, dist: of each block and query the k nearest."""
+        """_p, _q, _d, dist: of each block and query the k nearest in the leaves asked for."""
         visits = written(visits, "visits")
         if stats is not None:
-            total = self.blocks.groupBy("_p", "_leaf").agg(F.sum("_n").alias("_n"))
-            stats["candidates"] = stats.get("candidates", 0) + (visits.join(total, ["_p", "_leaf"]).agg(F.sum("_n")).first()[0] or 0)
-        # queries meet a block in batches; a leaf that very many queries visit has as many batches as it takes
-        many = visits.groupBy("_p", "_leaf").agg(F.ceil(F.count(F.lit(1)) / BATCH).alias("_s"))
-        salted = visits.join(many, ["_p", "_leaf"]).withColumn("_salt", F.pmod(F.xxhash64("_q"), F.col("_s")))
-        batches = salted.groupBy("_p", "_leaf", "_salt").agg(F.collect_list(F.struct("_q", "_qv")).alias("_qs"))
-        pairs = batches.join(self.blocks.select("_p", "_leaf", "_keys", "_vec"), ["_p", "_leaf"]).select("_p", "_qs", "_keys", "_vec")
+            stats["candidates"] = stats.get("candidates", 0) + (visits.agg(F.sum("_n")).first()[0] or 0)
+        # queries meet a block in batches; a cell that very many queries visit has as many batches as it takes
+        many = visits.groupBy("_p", "_cell").agg(F.ceil(F.count(F.lit(1)) / BATCH).alias("_s"))
+        salted = visits.join(many, ["_p", "_cell"]).withColumn("_salt", F.pmod(F.xxhash64("_q"), F.col("_s")))
+        batches = salted.groupBy("_p", "_cell", "_salt").agg(F.collect_list(F.struct("_q", "_qv", "_leaves")).alias("_qs"))
+        pairs = batches.join(self.blocks.withColumnRenamed("_leaves", "_at"), ["_p", "_cell"]).select("_p", "_qs", "_keys", "_vec", "_at")
         width, scale, p = self.width, self.scale, self.p
-        key_type, q_type = self.blocks.schema["_keys"].dataType.elementType, visits.schema["_q"].dataType
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                vec = b.column("_vec")
                 for i in range(b.num_rows):
                     qs, keys = b.column("_qs")[i].values, b.column("_keys")[i].values
-                    d = np.frombuffer(vec[i].as_buffer(), np.float64).reshape(-1, width)
-                    step = max(1, CELLS // len(d))
-                    for at in range(0, len(qs), step):
-                        some = qs.slice(at, step)
-                        q_key, q = some.field("_q"), matrix(some.field("_qv"), width)
-                        dist = distances(q, d, scale, p)
-                        row, col = nearest_in(dist, k)
-                        yield pa.RecordBatch.from_arrays([b.column("_p").take(pa.array(np.full(len(row), i))), q_key.take(pa.array(row)),
-                                                          keys.take(pa.array(col)), pa.array(dist[row, col])], names=["_p", "_q", "_d", "dist"])
-
-        schema = T.StructType([visits.schema["_p"], T.StructField("_q", q_type), T.StructField("_d", key_type), T.StructField("dist", T.DoubleType())])
+                    d = np.frombuffer(b.column("_vec")[i].as_buffer(), np.float64).reshape(-1, width)
+                    q, lists = matrix(qs.field("_qv"), width), qs.field("_leaves")
+                    who = np.repeat(np.arange(len(qs)), np.diff(lists.offsets.to_numpy()))
+                    row, col, dist = best_in_block(q, who, lists.flatten().to_numpy(), d, b.column("_at")[i].values.to_numpy(), k, scale, p)
+                    yield pa.RecordBatch.from_arrays([b.column("_p").take(pa.array(np.full(len(row), i))), qs.field("_q").take(pa.array(row)),
+                                                      keys.take(pa.array(col)), pa.array(dist)], names=["_p", "_q", "_d", "dist"])
+
+        schema = T.StructType([visits.schema["_p"], visits.schema["_q"], T.StructField("_d", self.blocks.schema["_keys"].dataType.elementType),
+                               T.StructField("dist", T.DoubleType())])
         found = pairs.mapInArrow(run, schema)
         return found.where(F.col("_q") != F.col("_d")) if exclude_self else found
 
 
-def _by_part(parts: pa.Array, trees: dict, of, z: np.ndarray) -> np.ndarray:
-    """``of(tree, rows, z)`` for the rows of each part that has a tree, 0 for the others."""
-    out = np.zeros(len(parts), np.int64)
+def best_in_block(q: np.ndarray, who: np.ndarray, leaf: np.ndarray, d: np.ndarray, at: np.ndarray, k: int, scale: float,
+                  p: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query, donor and distance of the k best donors of each query in the leaves it asks for: ``who`` asks for ``leaf``,
+    and ``at`` is each donor's leaf, in order."""
+    order = np.argsort(leaf, kind="stable")
+    who, leaf = who[order], leaf[order]
+    rows, cols, dists = [], [], []
+    for number in np.unique(at).tolist():
+        lo, hi = np.searchsorted(at, number), np.searchsorted(at, number, side="right")
+        asks = who[np.searchsorted(leaf, number):np.searchsorted(leaf, number, side="right")]
+        step = max(1, CELLS // (hi - lo))
+        for i in range(0, len(asks), step):
+            some = asks[i:i + step]
+            dist = distances(q[some], d[lo:hi], scale, p)
+            row, col = nearest_in(dist, k)
+            rows.append(some[row])
+            cols.append(lo + col)
+            dists.append(dist[row, col])
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    row, col, dist = np.concatenate(rows), np.concatenate(cols), np.concatenate(dists)
+    order = np.lexsort((col, dist, row))  # equal distances of two leaves may be told apart by keys: all of them stay
+    row, col, dist = row[order], col[order], dist[order]
+    start = np.searchsorted(row, row)
+    edge = dist[np.minimum(start + k - 1, np.searchsorted(row, row, side="right") - 1)]
+    keep = dist <= edge
+    return row[keep], col[keep], dist[keep]
+
+
+def _parts(column: pa.Array) -> list[tuple[tuple, np.ndarray]]:
+    """Rows of each value of the partition columns."""
     groups: dict = {}
-    for i, part in enumerate(parts.to_pylist()):
-        groups.setdefault(_key(part), []).append(i)
-    for part, rows in groups.items():
-        if part in trees:
-            out[rows] = of(trees[part], rows, z)
-    return out
-
-
-def _pack(batches: Iterator[pa.RecordBatch], width: int, block: int, plan: Plan) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (_p, _leaf, _d) to blocks; a leaf's last block brings the leaf's box where its part has a tree."""
-    now, held, box, total, p_type, k_type = None, [], None, 0, None, None
-
-    def emit(last: bool) -> pa.RecordBatch:
-        keys = pa.concat_arrays([k for k, _ in held])
-        x = np.concatenate([v for _, v in held])
-        part = dict(now[0])
-        boxed = last and _key(part) in plan.trees
-        values = [part, now[1], len(x), None, x.tobytes(), total if last else None, *([c.tolist() for c in box] if boxed else [None] * 4)]
-        kinds = [p_type, pa.int32(), pa.int64(), pa.list_(k_type), pa.binary(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()),
-                 pa.list_(pa.bool_()), pa.list_(pa.bool_())]
-        cols = [pa.array([v], t) for v, t in zip(values, kinds)]
-        cols[3] = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
-        return pa.RecordBatch.from_arrays(cols, names=["_p", "_leaf", "_n", "_keys", "_vec", "_total", "_low", "_high", "_any", "_all"])
-
-    for b in batches:
-        if not b.num_rows:
-            continue
-        p_type, k_type = b.column("_p").type, b.column("_d").type
-        x = matrix(b.column("_dv"), width)
-        at = [(tuple(p.items()), leaf) for p, leaf in zip(b.column("_p").to_pylist(), b.column("_leaf").to_pylist())]
-        bounds = [0, *(i for i in range(1, len(at)) if at[i] != at[i - 1]), len(at)]
-        for lo, hi in zip(bounds, bounds[1:]):
-            if at[lo] != now:
-                if held:
-                    yield emit(True)
-                now, held, box, total = at[lo], [], None, 0
-            while lo < hi:
-                have = sum(len(v) for _, v in held)
-                if have == block:
-                    yield emit(False)
-                    held, have = [], 0
-                end = min(hi, lo + block - have)
-                part = x[lo:end]
-                held.append((b.column("_d").slice(lo, end - lo), part))
-                z = plan.place(part)
-                there = ~np.isnan(z)
-                one = (np.where(there, z, np.inf).min(0), np.where(there, z, -np.inf).max(0), there.any(0), there.all(0))
-                box = one if box is None else (np.minimum(box[0], one[0]), np.maximum(box[1], one[1]), box[2] | one[2], box[3] & one[3])
-                total += end - lo
-                lo = end
-    if held:
-        yield emit(True)
+    for i, part in enumerate(column.to_pylist()):
+        groups.setdefault(tuple(part.values()), []).append(i)
+    return [(part, np.array(rows)) for part, rows in groups.items()]
+
+
+class Packer:
+    """Rows in order of (_p, _cell, _leaf, _d) to blocks, and a row with the box of each leaf of a tree."""
+
+    def __init__(self, width: int, block: int, plan: Plan):
+        self.width, self.block, self.plan = width, block, plan
+        self.at = self.box = None
+        self.leaf, self.total = None, 0
+        self.held: list = []
+
+    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            self.kinds = (b.column("_p").type, b.column("_d").type)
+            x = matrix(b.column("_dv"), self.width)
+            leaf = b.column("_leaf").to_numpy()
+            at = [(tuple(p.items()), c, n) for p, c, n in zip(b.column("_p").to_pylist(), b.column("_cell").to_pylist(), leaf.tolist())]
+            bounds = [0, *(i for i in range(1, len(at)) if at[i] != at[i - 1]), len(at)]
+            for lo, hi in zip(bounds, bounds[1:]):
+                if (at[lo][:2], at[lo][2]) != (self.at, self.leaf):
+                    yield from self.end_leaf()
+                    if at[lo][:2] != self.at:
+                        yield from self.end_block()
+                    self.at, self.leaf, self.box, self.total = at[lo][:2], at[lo][2], None, 0
+                self.add_box(x[lo:hi])
+                while lo < hi:
+                    have = sum(len(v) for _, v, _ in self.held)
+                    end = min(hi, lo + self.block - have)
+                    self.held.append((b.column("_d").slice(lo, end - lo), x[lo:end], leaf[lo:end]))
+                    if have + end - lo == self.block:
+                        yield from self.end_block()
+                    lo = end
+        yield from self.end_leaf()
+        yield from self.end_block()
+
+    def add_box(self, x: np.ndarray) -> None:
+        z = self.plan.place(x)
+        there = ~np.isnan(z)
+        one = (np.where(there, z, np.inf).min(0), np.where(there, z, -np.inf).max(0), there.any(0), there.all(0))
+        box = self.box
+        self.box = one if box is None else (np.minimum(box[0], one[0]), np.maximum(box[1], one[1]), box[2] | one[2], box[3] & one[3])
+        self.total += len(x)
+
+    def row(self, n: int, keys: pa.Array | None, vec: bytes | None, leaves: list | None, leaf: int | None, box: list) -> pa.RecordBatch:
+        p_type, k_type = self.kinds
+        kinds = (p_type, pa.int32(), pa.int64(), pa.list_(k_type), pa.binary(), pa.list_(pa.int32()), pa.int32(), pa.list_(pa.float64()),
+                 pa.list_(pa.float64()), pa.list_(pa.bool_()), pa.list_(pa.bool_()))
+        cols = [pa.array([v], t) for v, t in zip((dict(self.at[0]), self.at[1], n, None, vec, leaves, leaf, *box), kinds)]
+        if keys is not None:
+            cols[3] = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
+        return pa.RecordBatch.from_arrays(cols, names=["_p", "_cell", "_n", "_keys", "_vec", "_leaves", "_leaf", "_low", "_high", "_any", "_all"])
+
+    def end_leaf(self) -> Iterator[pa.RecordBatch]:
+        if self.at and tuple(v for _, v in self.at[0]) in self.plan.trees:
+            yield self.row(self.total, None, None, None, self.leaf, [c.tolist() for c in self.box])
+
+    def end_block(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            keys, vec, leaf = zip(*self.held)
+            x = np.concatenate(vec)
+            yield self.row(len(x), pa.concat_arrays(keys), x.tobytes(), np.concatenate(leaf).tolist(), None, [None] * 4)
+            self.held = []
 
 
 def search(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec: str, k: int, width: int, part=(), exclude_self: bool = False,
-           p: int | None = None, scale: float = 1.0, block: int = BLOCK, stats: dict | None = None) -> DataFrame:
-    """(part…, qkey, dkey, nn_rank, dist) for the k nearest donors of every query, among those with the same ``part`` values."""
+           p: int | None = None, scale: float = 1.0, stats: dict | None = None, **sizes) -> DataFrame:
+    """(part…, qkey, dkey, nn_rank, dist) for the k nearest donors of every query, among those with the same ``part`` values.
+    ``sizes``: ``leaf``, ``block`` and ``first`` of ``BlockIndex``."""
     part = list(part)
     p_col = F.struct(*[F.col(c) for c in part]) if part else F.struct(F.lit(0).alias("one"))
     d = donors.select(p_col.alias("_p"), F.col(dkey).alias("_d"), F.col(vec).alias("_dv"))
     q = queries.select(p_col.alias("_p"), F.col(qkey).alias("_q"), F.col(vec).alias("_qv"))
-    index = BlockIndex(d, width, k + 1 if exclude_self else k, p, scale, block)
+    index = BlockIndex(d, width, k + 1 if exclude_self else k, p, scale, **sizes)
     found = index.nearest(q, k, exclude_self, stats)
     return found.select(*[F.col(f"_p.{c}").alias(c) for c in part], F.col("_q").alias(qkey), F.col("_d").alias(dkey), "nn_rank", "dist")

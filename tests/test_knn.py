@@ -156,3 +156,64 @@ def test_knn_impute_with_more_patterns_than_could_be_listed(spark):
                 best = sorted(have, key=lambda j: (d[j], j))[:5]
                 want = X[best, c].mean() if best else mean[c]
                 assert abs(got[i][c] - want) < 1e-9, (i, c)
+
+
+def _frame(spark, X):
+    return spark.createDataFrame([(i, [None if math.isnan(v) else float(v) for v in x]) for i, x in enumerate(X)], "k long, vec array<double>")
+
+
+def test_nan_neighbours_with_small_leaves_and_blocks(spark):
+    """Trees with missing children, blocks smaller than leaves, rows without a coordinate in common, ties."""
+    rng = np.random.default_rng(3)
+    X = np.round(rng.normal(size=(300, 4)), 1)
+    X[rng.random(X.shape) < 0.35] = np.nan
+    X = X[~np.isnan(X).all(1)]
+    df = _frame(spark, X)
+    got = {}
+    for r in knn.nan_knn(df, df.withColumnRenamed("k", "d"), "k", "d", 7, 4, "vec", 6, leaf=3, block=5, first=2).collect():
+        got.setdefault(r["k"], []).append((r["nn_rank"], r["d"]))
+    for i, x in enumerate(X):
+        common = (~np.isnan(X) & ~np.isnan(x)).sum(1)
+        dist = [(math.sqrt(7 / c * s), j) for j, (c, s) in enumerate(zip(common, np.nan_to_num((X - x) ** 2).sum(1))) if c]
+        assert [d for _, d in sorted(got[i])] == [j for _, j in sorted(dist)[:6]], i
+
+
+def test_neighbours_by_class_in_many_dimensions(spark):
+    """64 coordinates go by their leading axes; classes of very different size, one of a single row."""
+    rng = np.random.default_rng(4)
+    X = rng.normal(size=(500, 5)) @ rng.normal(size=(5, 64)) + 0.01 * rng.normal(size=(500, 64)) + 100
+    y = np.array([0] * 400 + [1] * 90 + [2] * 9 + [3])
+    df = spark.createDataFrame([(f"r{i:03}", int(y[i]), X[i].tolist()) for i in range(500)], "k string, y int, vec array<double>")
+    stats = {}
+    got = {}
+    for r in knn.exact_knn(df, df.withColumnRenamed("k", "d"), "k", "d", "vec", 5, part=["y"], exclude_self=True, stats=stats, leaf=8, block=30, first=20).collect():
+        got.setdefault(r["k"], []).append((r["nn_rank"], r["d"]))
+    for i in range(500):
+        same = [j for j in range(500) if y[j] == y[i] and j != i]
+        want = sorted((float(np.sqrt(((X[j] - X[i]) ** 2).sum())), f"r{j:03}") for j in same)[:5]
+        assert [d for _, d in sorted(got.get(f"r{i:03}", []))] == [d for _, d in want]
+    assert stats["candidates"] < 0.45 * sum(int((y == c).sum()) ** 2 for c in range(4))
+
+
+def test_candidates_grow_little_faster_than_the_rows(spark):
+    """Ten columns of three factors, a fifth missing: twice the rows, less than 1.3 times the candidates a row."""
+    rng = np.random.default_rng(1)
+    mix, seen = rng.normal(size=(3, 10)), []
+    for n in (4000, 8000):
+        X = rng.normal(size=(n, 3)) @ mix + 0.1 * rng.normal(size=(n, 10))
+        X[rng.random(X.shape) < 0.2] = np.nan
+        gone = np.isnan(X[:, 0])
+        df, stats = _frame(spark, X[:, 1:]), {}
+        rows = df.join(spark.createDataFrame([(i, bool(g)) for i, g in enumerate(gone)], "k long, gone boolean"), "k")
+        q = rows.where("gone")
+        assert knn.nan_knn(q, rows.where("NOT gone").withColumnRenamed("k", "d"), "k", "d", 10, 9, "vec", 5, stats=stats).count() == 5 * int(gone.sum())
+        seen.append(stats["candidates"])
+    assert seen[1] < 1.3 * 2 * seen[0]
+
+
+def test_a_hot_cell_is_met_in_batches(spark):
+    """Very many queries at one place: no task takes them all at once."""
+    df = spark.range(3000).select(F.col("id").alias("k"), F.array(F.lit(0.5), (F.col("id") % 7).cast("double") * 1e-3).alias("vec"))
+    donors = spark.range(40).select(F.col("id").alias("d"), F.array((F.col("id") / 40), F.lit(0.0)).alias("vec"))
+    out = knn.exact_knn(df, donors, "k", "d", "vec", 2)
+    assert out.groupBy("d").count().count() <= 3 and out.count() == 6000
