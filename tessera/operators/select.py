@@ -100,8 +100,9 @@ def quantile_cuts(df: DataFrame, p: int, col: str = "features", bins: int = 10,
 
 
 def mutual_info_scores(df: DataFrame, label: str, col: str = "features", bins: int = 10) -> DataFrame:
-    """F6 (re-aimed): mutual information of quantile-binned features with the
-    class, Σ p(b,y) ln(p(b,y) / (p(b) p(y))). A value's bin is the number of
+    """F6 by bins (``bins=…`` of ``fit_select``; the default is the estimator
+    by nearest neighbours, ``operators.mutual_info``): mutual information of
+    quantile-binned features with the class, Σ p(b,y) ln(p(b,y) / (p(b) p(y))). A value's bin is the number of
     edges below it, so one far value moves no other."""
     df = df.where(F.col(label).isNotNull())
     p = _width(df, col)
@@ -348,7 +349,9 @@ def fit_select(df: DataFrame, method: str, label: str | None, col: str = "featur
         s = {int(r["fi"]): r["score"] for r in rows}
         return Selection(method, _topk(s, k), s)
     if method in ("k_best", "mutual_info"):
-        s = _collect_scores(mutual_info_scores(df, label, col, kw.get("bins", 10)))
+        from tessera.operators.mutual_info import neighbour_scores
+        scores = mutual_info_scores(df, label, col, kw["bins"]) if kw.get("bins") else neighbour_scores(df, label, col)
+        s = _collect_scores(scores)
         return Selection(method, _topk(s, k, ascending_output=(method == "mutual_info")), s)
     if method == "correlation_threshold":
         idx, ry, _ = correlation_select(df, label, col, kw.get("threshold", 0.9), kw.get("target_threshold", 0.05),

@@ -352,6 +352,22 @@ c2 AS (SELECT *, sum(n) OVER (PARTITION BY fi) AS nn, sum(n) OVER (PARTITION BY
               sum(n) OVER (PARTITION BY fi, y) AS ny FROM c),
 s AS (SELECT fi, sum(n / nn * ln(n * nn / (nb * ny))) AS score FROM c2 GROUP BY fi)
 """ + topk_sql("s", 4), "tab")
+# the k-th neighbour of the class is the least of k + 1 choices of neighbours on either side; every class has more than k rows
+ORACLES["f6_mutual_info_neighbours"] = with_views(f"""WITH {FEAT},
+cf AS (SELECT fi, y, count(*) AS nc FROM fy GROUP BY fi, y),
+sd AS (SELECT fi, stddev_pop(x) AS sd FROM fy GROUP BY fi),
+q AS (SELECT fi, y, nc, CAST(round(x / (sd * 1e-8)) AS BIGINT) AS q FROM fy JOIN cf USING (fi, y) JOIN sd USING (fi) WHERE nc > 1 AND sd > 0),
+d AS (SELECT *, {", ".join(f"coalesce(q - lag(q, {j}) OVER w, 4000000000000000000) AS l{j}, coalesce(lead(q, {j}) OVER w - q, 4000000000000000000) AS r{j}" for j in (1, 2, 3))},
+             count(*) OVER (PARTITION BY fi, y, q) AS own FROM q WINDOW w AS (PARTITION BY fi, y ORDER BY q)),
+r AS (SELECT fi, nc, q, own, least(l3, greatest(l2, r1), greatest(l1, r2), r3) AS r FROM d),
+m AS (SELECT fi, nc, CASE WHEN r > 0 THEN 3 ELSE own END AS k,
+             count(*) OVER (PARTITION BY fi ORDER BY q RANGE BETWEEN greatest(r - 1, 0) PRECEDING AND greatest(r - 1, 0) FOLLOWING) AS m FROM r),
+n AS (SELECT fi, count(*) AS n FROM m GROUP BY fi),
+psi AS (SELECT i, coalesce(sum(1.0 / i) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS h
+        FROM (SELECT unnest(range(1, (SELECT max(n) + 1 FROM n))) AS i)),
+t AS (SELECT m.fi, avg(pk.h) - avg(pc.h) - avg(pm.h) AS t FROM m JOIN psi pk ON pk.i = m.k JOIN psi pc ON pc.i = m.nc JOIN psi pm ON pm.i = m.m GROUP BY m.fi),
+s AS (SELECT sd.fi, coalesce(greatest(0, t + psi.h), 0) AS score FROM sd LEFT JOIN t ON t.fi = sd.fi LEFT JOIN n ON n.fi = sd.fi LEFT JOIN psi ON psi.i = n.n)
+""" + topk_sql("s", 4), "tab")
 ORACLES["f11_correlation_threshold"] = with_views(f"""WITH {FEAT},
 pr AS (SELECT a.fi AS i, b.fi AS j, covar_pop(a.x, b.x) / NULLIF(stddev_pop(a.x) * stddev_pop(b.x), 0) AS r
        FROM fy a JOIN fy b ON a.o_orderkey = b.o_orderkey AND a.fi < b.fi GROUP BY 1, 2),

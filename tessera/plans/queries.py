@@ -510,10 +510,17 @@ def f8_chi2(spark, sf):
 @query("f6_mutual_info")
 def f6_mutual_info(spark, sf):
     feats, _ = _tab_features(spark, sf)
-    sel = fsel.fit_select(feats, "k_best", "y", k=4)
+    sel = fsel.fit_select(feats, "k_best", "y", k=4, bins=10)
     return _stat_scores(spark, sel)
 
 
+@query("f6_mutual_info_neighbours")
+def f6_mutual_info_neighbours(spark, sf):
+    """The library's estimator: neighbours along each feature, within the class and in all."""
+    feats, _ = _tab_features(spark, sf)
+    return _stat_scores(spark, fsel.fit_select(feats, "mutual_info", "y", k=4))
+
+
 @query("f11_correlation_threshold")
 def f11_correlation_threshold(spark, sf):
     feats, st = _tab_features(spark, sf)
