@@ -53,7 +53,7 @@ class WordEncoder:
         if any(t.normalized or t.lstrip or t.rstrip or t.single_word or t.content.split() != [t.content] for t in added):
             raise ValueError("added tokens must be found in the text as it is, and hold no white space")
         self.added = [t.content.encode() for t in added]
-        self.added_any_case = "|".join(re.escape(t.content) for t in added)
+        self.added_here = False
         self.merge = self.tokenizer.model.tokenize
         # letters in the Latin blocks, as decoded from Latin-1: their UTF-8 bytes as the model's characters
         self.chars = str.maketrans({chr(b): c for b, c in byte_chars().items()})
@@ -64,6 +64,10 @@ class WordEncoder:
         at once. All others go through the library's whole path."""
         plain, letters, rest = [], [], []
         for p in new:
+            if isinstance(p, bytes) and p.isalpha():  # letters of ASCII, in lower case from the chunk
+                plain.append(p)
+                letters.append(p.decode())
+                continue
             low = p.decode().lower() if isinstance(p, bytes) else ""
             if low.isalpha():
                 plain.append(p)
@@ -80,8 +84,11 @@ class WordEncoder:
 
     def learn_chunks(self, new: list[bytes]) -> None:
         """Latin chunks are cut by the pattern; any other, and one that holds an added token, is one piece for the library."""
-        split = [LATIN_WORDS.findall(c.lower()) if (c.isascii() or not c.translate(None, LATIN_BYTES) and not any(x in c for x in NOT_LATIN))
-                 and not any(x in c for x in self.added) else [c.decode()] for c in new]
+        times, over, dotted = NOT_LATIN
+        split = [LATIN_WORDS.findall(c.lower()) if c.isascii() or not (c.translate(None, LATIN_BYTES) or times in c or over in c or dotted in c)
+                 else [c.decode()] for c in new]
+        if self.added_here:
+            split = [[c.decode()] if any(x in c for x in self.added) else s for c, s in zip(new, split)]
         flat, size = self.pieces.gather(list(chain.from_iterable(split)), self.learn_pieces)
         self.chunks.add(new, flat, by_group(size, list(map(len, split))))
 
@@ -93,9 +100,12 @@ class WordEncoder:
         # capitals of ASCII fold alike before and after normalisation, unless a combining mark follows; where a text has an
         # added token in some case, its chunks keep theirs
         marks = pc.match_substring_regex(texts, "[\u0300-\u036f]")
-        if self.added:
-            marks = pc.or_(marks, pc.match_substring_regex(texts, self.added_any_case, ignore_case=True))
         low = pc.ascii_lower(texts)
+        self.added_here = False
+        for token in self.added:
+            there = pc.match_substring(low, token.lower().decode())
+            if pc.any(there).as_py():
+                marks, self.added_here = pc.or_(marks, there), True
         cut = pc.ascii_split_whitespace(pc.if_else(marks, texts, low) if pc.any(marks).as_py() else low)
         ids, size = self.chunks.gather_array(cut.flatten().cast(pa.binary()), self.learn_chunks)
         return ids, by_group(size, pc.list_value_length(cut).to_numpy())
