@@ -66,8 +66,17 @@ class Canon:
         self.hash = xxhash.xxh64_intdigest
         #: Hash of each placeholder; a literal has its own.
         self.typed = np.array([0, *(self.hash(f"<{k}>") for k in ("number", "unit", "capital", "name"))], np.uint64)
+        self.powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
         self.forget()
 
+    def windows(self, hashes: np.ndarray, form: int) -> WindowHashes:
+        if len(self.powers[0]) <= len(hashes):
+            up = np.full(len(hashes) * 5 // 4 + 1, _BASE, np.uint64)
+            down = np.full(len(up), pow(_BASE, -1, 1 << 64), np.uint64)
+            up[0] = down[0] = 1
+            self.powers = (np.cumprod(up), np.cumprod(down))
+        return WindowHashes(hashes, form, *self.powers)
+
     def forget(self) -> None:
         self.code: dict[bytes, int] = {}
         self.words: list[str] = []
@@ -154,18 +163,11 @@ class Canon:
 class WindowHashes:
     """64-bit hashes of windows of a form's tokens: differences of one running sum, whatever the window's length."""
 
-    _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
-
-    def __init__(self, hashes: np.ndarray, form: int):
+    def __init__(self, hashes: np.ndarray, form: int, up: np.ndarray, down: np.ndarray):
         size = len(hashes) + 1
-        if len(self._powers[0]) < size:
-            up = np.full(2 * size, _BASE, np.uint64)
-            down = np.full(2 * size, pow(_BASE, -1, 1 << 64), np.uint64)
-            up[0] = down[0] = 1
-            WindowHashes._powers = (np.cumprod(up), np.cumprod(down))
-        self.form, self.down = form, self._powers[1]
+        self.form, self.down = form, down
         self.sums = np.zeros(size, np.uint64)
-        np.cumsum(hashes * self._powers[0][:size - 1], out=self.sums[1:])
+        np.cumsum(hashes * up[:size - 1], out=self.sums[1:])
 
     def of(self, n: int, at: np.ndarray | slice = slice(None)) -> np.ndarray:
         """Of the windows of ``n`` tokens, those that begin ``at``."""
@@ -227,7 +229,7 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int, l
                 for item, text in zip(b.column("id").to_pylist(), utf8(b.column("text"))):
                     c = canon()
                     for form, (doc, hashes, kinds, codes, at, span) in asked(c.forms([text]), exact):
-                        hashed = WindowHashes(hashes, form)
+                        hashed = c.windows(hashes, form)
                         for i, n in widths(kinds, width, least):
                             h = int(hashed.of(n, slice(i, i + 1))[0].view(np.int64))
                             rows.append((item, form, len(doc), n, i, h, c.slots(kinds, codes, at, span, i, n)))
@@ -265,7 +267,7 @@ def doc_windows(docs: DataFrame, id_col: str, text_col: str, lengths: list[int],
                 every = asked(c.forms(b.column("text")), exact)
                 ids, marks = b.column("id").to_pylist(), b.column("mark").to_pylist()
                 for form, (doc, hashes, kinds, codes, at, span) in every:
-                    hashed, before = WindowHashes(hashes, form), None
+                    hashed, before = c.windows(hashes, form), None
                     for n in lengths:
                         h = hashed.of(n)
                         low = h & np.uint64(bits)
