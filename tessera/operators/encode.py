@@ -58,6 +58,47 @@ def fit_categories(df: DataFrame, cols, max_categories: int = 10_000) -> dict:
     return {c: sorted(vc[c]) for c in cols}
 
 
+@dataclass
+class CategoryTable:
+    """The categories of a column with too many for a list: (v, idx) in the shared folder, idx from 0 in order of v."""
+
+    path: str
+    n: int
+    mode: str | None = None     # most frequent value, ties to the smallest
+
+    def frame(self, spark) -> DataFrame:
+        return spark.read.schema("v string, idx long").parquet(self.path)
+
+    def code(self, df: DataFrame, value: Column, out: str) -> DataFrame:
+        """``df`` and the index of ``value`` as ``out``, null where it is no category. A join of two tables: adaptive
+        execution broadcasts the categories where their measured size allows it, and splits a value that very many rows have."""
+        table = self.frame(df.sparkSession).select(F.col("v").alias(f"{out}_v"), F.col("idx").alias(out))
+        return df.join(table, value == F.col(f"{out}_v"), "left").drop(f"{out}_v")
+
+
+def category_tables(df: DataFrame, cols, limit: int = 10_000) -> dict:
+    """Categories of each column, however many: {value: rows} for up to ``limit`` values, a ``CategoryTable`` beyond.
+    One job counts all columns' values (partial counts per task); only the short lists come to the driver."""
+    from tessera.operators.rank import ordered_rank
+    from tessera.session import written
+    cols = list(cols)
+    if not cols:
+        return {}
+    values = F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)]))
+    counts = written(df.select(values.alias("s")).select("s.*").where(F.col("v").isNotNull()).groupBy("ci", "v").agg(F.count(F.lit(1)).alias("k")), "category-counts")
+    sizes = {r["ci"]: r["n"] for r in counts.groupBy("ci").agg(F.count(F.lit(1)).alias("n")).collect()}
+    few = [i for i in range(len(cols)) if sizes.get(i, 0) <= limit]
+    out: dict = {cols[i]: {} for i in few}
+    for r in counts.where(F.col("ci").isin(few)).collect():
+        out[cols[r["ci"]]][r["v"]] = r["k"]
+    for i in sorted(set(range(len(cols))) - set(few)):
+        own = counts.where(F.col("ci") == i)
+        mode = own.agg(F.min_by("v", F.struct(-F.col("k"), F.col("v")))).first()[0]
+        table = written(ordered_rank(own.select("v"), ["v"], out="idx").select("v", (F.col("idx") - 1).alias("idx")), "categories")
+        out[cols[i]] = CategoryTable(table.inputFiles()[0].rsplit("/", 1)[0], sizes[i], mode)
+    return out
+
+
 def onehot_exprs(c: str, cats: list) -> list[Column]:
     """D3: one 0/1 column per sorted category; unseen or null → all zeros."""
     x = F.col(c).cast("string")
@@ -96,10 +137,31 @@ def label_code(c: str, classes: list, unseen: str = "error") -> Column:
     return idx
 
 
-def fit_label_encode(df: DataFrame, cols) -> dict:
-    return fit_categories(df, cols)
+def fit_label_encode(df: DataFrame, cols, max_categories: int = 10_000) -> dict:
+    """Sorted classes of each column; a ``CategoryTable`` for more than ``max_categories``."""
+    got = category_tables(df, cols, max_categories)
+    return {c: v if isinstance(v, CategoryTable) else sorted(v) for c, v in got.items()}
 
 
 def apply_label_encode(df: DataFrame, classes: dict, unseen: str = "error") -> DataFrame:
-    return df.select(*[label_code(c, classes[c], unseen).alias(c) if c in classes else F.col(c)
-                       for c in df.columns])
+    names = df.columns
+    for c, table in classes.items():
+        if isinstance(table, CategoryTable) and c in names:
+            df = table.code(df, F.col(c).cast("string"), f"_code_{c}")
+
+    def one(c):
+        if c not in classes:
+            return F.col(c)
+        if isinstance(classes[c], CategoryTable):
+            return table_code(c, f"_code_{c}", unseen).alias(c)
+        return label_code(c, classes[c], unseen).alias(c)
+    return df.select(*[one(c) for c in names])
+
+
+def table_code(c: str, idx: str, unseen: str = "error", value: Column | None = None) -> Column:
+    """As ``label_code``, from the joined index of a ``CategoryTable``: null stays null, an unseen value is an error or -1."""
+    x = F.col(c).cast("string") if value is None else value
+    code = F.col(idx).cast("double")
+    if unseen == "error":
+        return F.when(code.isNull(), F.raise_error(F.concat(F.lit(f"unseen label in {c}: "), F.coalesce(x, F.lit("null"))))).otherwise(code)
+    return F.when(x.isNotNull(), F.coalesce(code, F.lit(-1.0)))

@@ -51,13 +51,13 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000,
     histograms reach the driver. Result per column: value or None (no data).
     ``first`` is a Row already holding the ``bracket_aggs`` results.
     ``cat_cols``: value counts of these columns ride along in the first
-    histogram job (written into ``cat_out``), saving a scan.
+    histogram job (written into ``cat_out``), saving a scan; where they are more than ``cat_limit``, ``cat_out`` stays without them.
     """
     cols = list(cols)
     cat_cols = list(cat_cols)
     if not cols:
         if cat_cols and cat_out is not None:
-            cat_out.update(value_counts(df, cat_cols, cat_limit))
+            cat_out.update(counts_if_few(df, cat_cols, cat_limit))
         return {}
     eps = 1.0 / accuracy
     xs = {c: F.col(c).cast("double") for c in cols}
@@ -96,7 +96,7 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000,
     todo = list(st)
     ride = list(cat_cols) if cat_out is not None else []
     if ride and not todo:
-        cat_out.update(value_counts(df, ride, cat_limit))
+        cat_out.update(counts_if_few(df, ride, cat_limit))
         ride = []
     while todo:    # each round fixes a column or narrows its bracket
         nt = len(todo)
@@ -121,7 +121,7 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000,
                         got[ride[r["ci"] - nt]][r["t"]] = r["count"]
                 cat_out.update(got)
             else:   # cannot tell which part overflowed: count categories on their own
-                cat_out.update(value_counts(df, ride, cat_limit))
+                cat_out.update(counts_if_few(df, ride, cat_limit))
             ride = []
         refine, nxt = [], []
         for j, c in enumerate(todo):
@@ -176,6 +176,18 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000,
     return result
 
 
+class TooManyCategories(ValueError):
+    """More distinct values than were to be fetched; ``encode.category_tables`` takes any number."""
+
+
+def counts_if_few(df: DataFrame, cols, limit: int) -> dict:
+    """``value_counts``, or nothing where there are more than ``limit``."""
+    try:
+        return value_counts(df, cols, limit)
+    except TooManyCategories:
+        return {}
+
+
 def value_counts(df: DataFrame, cols, limit: int) -> dict:
     """Distinct non-null values with counts for many columns in one job
     (partial counts per task). At most ``limit`` groups are fetched; more
@@ -187,7 +199,7 @@ def value_counts(df: DataFrame, cols, limit: int) -> dict:
     ])).alias("s")).select("s.*").where(F.col("v").isNotNull())
     rows = long.groupBy("ci", "v").agg(F.count(F.lit(1)).alias("k")).limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct categorical values; use a sparse encoding")
+        raise TooManyCategories(f"more than {limit} distinct categorical values; use a sparse encoding")
     out = {c: {} for c in cols}
     for r in rows:
         out[cols[r["ci"]]][r["v"]] = r["k"]

@@ -628,6 +628,22 @@ ORACLES["a4_missing_ids"] = with_views("SELECT id FROM subj WHERE id NOT IN (SEL
 ORACLES["a2_csv_string_key"] = """
 SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS id, CAST(c_nationkey AS INTEGER) AS c_nationkey, round(CAST(c_acctbal AS DOUBLE), 6) AS c_acctbal
 FROM customer"""
+_LINES = """l AS (SELECT l_orderkey || '-' || l_linenumber AS id, CAST(l_quantity AS DOUBLE) AS x, l_returnflag AS r,
+             CASE WHEN l_orderkey % 5 <> 0 THEN l_orderkey || '-' || l_partkey || '-' || l_suppkey END AS p FROM lineitem),
+m AS (SELECT avg(x) AS m, stddev_pop(x) AS s FROM l)"""
+ORACLES["d5_prep_many_categories"] = f"""WITH {_LINES},
+r AS (SELECT r, row_number() OVER (ORDER BY r) AS i FROM (SELECT DISTINCT r FROM l)),
+p AS (SELECT p, k, row_number() OVER (ORDER BY p) + (SELECT count(*) FROM r) AS i FROM (SELECT p, count(*) AS k FROM l WHERE p IS NOT NULL GROUP BY p)),
+f AS (SELECT p FROM p ORDER BY k DESC, p LIMIT 1)
+SELECT id, 0 AS fi, round((x - m) / s, 6) AS value FROM l, m
+UNION ALL SELECT id, CAST(r.i AS INTEGER), 1.0 FROM l JOIN r ON l.r = r.r
+UNION ALL SELECT id, CAST(p.i AS INTEGER), 1.0 FROM l JOIN p ON p.p = coalesce(l.p, (SELECT p FROM f))"""
+ORACLES["d6_static_vector_many"] = f"""WITH {_LINES},
+r AS (SELECT r, row_number() OVER (ORDER BY r) - 1 AS i FROM (SELECT DISTINCT r FROM l)),
+p AS (SELECT p, row_number() OVER (ORDER BY p) - 1 AS i FROM (SELECT DISTINCT coalesce(p, 'Unknown') AS p FROM l))
+SELECT id, 0 AS fi, round((x - m) / s, 6) AS value FROM l, m
+UNION ALL SELECT id, 1, CAST(r.i AS DOUBLE) FROM l JOIN r ON l.r = r.r
+UNION ALL SELECT id, 2, CAST(p.i AS DOUBLE) FROM l JOIN p ON p.p = coalesce(l.p, 'Unknown')"""
 ORACLES["d3_onehot_sparse"] = """
 WITH v AS (SELECT 0 AS ci, c_name AS v FROM customer WHERE c_custkey % 4 <> 0 UNION SELECT 1, c_mktsegment FROM customer WHERE c_custkey % 4 <> 0),
 i AS (SELECT ci, v, row_number() OVER (ORDER BY ci, v) - 1 AS idx FROM v),

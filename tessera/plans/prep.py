@@ -11,11 +11,11 @@ import json
 import math
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.missing import number
-from tessera.operators import impute, schema
+from tessera.operators import encode, impute, schema
 
 
 @dataclass
@@ -30,7 +30,7 @@ class PrepConfig:
     correlation_threshold: float = 0.9
     target_corr_threshold: float = 0.05
     seed: int = 42
-    max_categories: int = 10_000
+    max_categories: int = 10_000     # beyond it a column's categories stay a table and vectors are sparse
 
 
 @dataclass
@@ -46,6 +46,7 @@ class PrepState:
     mean: dict = field(default_factory=dict)
     scale: dict = field(default_factory=dict)
     categories: dict = field(default_factory=dict)
+    tables: dict = field(default_factory=dict)           # columns with more than max_categories: CategoryTable as a dict
     feature_names: list = field(default_factory=list)    # after the column transformer
     selected: list | None = None                          # indices into feature_names
     selected_names: list | None = None
@@ -55,6 +56,19 @@ class PrepState:
     knn_donors: str | None = None        # imp='knn': training rows (key + numerics) in the shared folder
     knn_means: dict | None = None
 
+    @property
+    def width(self) -> int:
+        """Features after the column transformer."""
+        return len(self.num) + sum(self.tables[c]["n"] if c in self.tables else len(self.categories[c]) for c in self.cat)
+
+    def offsets(self) -> dict:
+        """The first one-hot position of each categorical column."""
+        out, at = {}, len(self.num)
+        for c in self.cat:
+            out[c] = at
+            at += self.tables[c]["n"] if c in self.tables else len(self.categories[c])
+        return out
+
     def to_json(self) -> str:
         return json.dumps(asdict(self))
 
@@ -74,7 +88,7 @@ def _imputed_moments(df: DataFrame, cols, strategy: str, cat_cols=(), cat_limit:
     cols = list(cols)
     if not cols:
         if cat_cols and cat_out is not None:
-            cat_out.update(impute.value_counts(df, list(cat_cols), cat_limit))
+            cat_out.update(impute.counts_if_few(df, list(cat_cols), cat_limit))
         return {}, [], {}, {}
     if strategy not in ("mean", "median"):
         raise ValueError(f"unsupported imputation method: {strategy}")
@@ -85,7 +99,7 @@ def _imputed_moments(df: DataFrame, cols, strategy: str, cat_cols=(), cat_limit:
     if strategy == "mean":
         fills = {c: row[f"m{i}"] for i, c in enumerate(cols)}
         if cat_cols and cat_out is not None:
-            cat_out.update(impute.value_counts(df, list(cat_cols), cat_limit))
+            cat_out.update(impute.counts_if_few(df, list(cat_cols), cat_limit))
     else:
         fills = impute.exact_quantiles(df, cols, 0.5, first=row, cat_cols=cat_cols, cat_limit=cat_limit,
                                        cat_out=cat_out, **kw)
@@ -103,10 +117,36 @@ def _imputed_moments(df: DataFrame, cols, strategy: str, cat_cols=(), cat_limit:
     return {c: f for c, f in fills.items() if c not in dropped}, dropped, mean, scale
 
 
-def _check_categories(vc: dict, limit: int) -> None:
-    big = [c for c, v in vc.items() if len(v) > limit]
-    if big:
-        raise ValueError(f"too many categories for a dense one-hot encoding: {big}")
+def _fit_categories(df: DataFrame, cfg: PrepConfig, st: PrepState, cat, vc: dict) -> list:
+    """Modes and sorted categories; a column with more than ``max_categories`` keeps its categories as a table.
+    ``vc``: value counts where they are known. Returns the columns without a value."""
+    unknown = [c for c in cat if c not in vc or len(vc[c]) > cfg.max_categories]
+    vc = {**vc, **encode.category_tables(df, unknown, cfg.max_categories)}
+    st.tables = {c: asdict(vc[c]) for c in cat if isinstance(vc[c], encode.CategoryTable)}
+    st.cat_fill = {c: st.tables[c]["mode"] if c in st.tables else min(vc[c].items(), key=lambda kv: (-kv[1], kv[0]))[0] for c in cat if c in st.tables or vc[c]}
+    st.cat = [c for c in cat if c in st.cat_fill]
+    st.categories = {c: sorted(vc[c]) for c in st.cat if c not in st.tables}
+    return [c for c in cat if c not in st.cat_fill]
+
+
+def _feature_names(st: PrepState) -> list:
+    """Names of the features; those of a category table are read from it where they are wanted (``names_at``)."""
+    return list(st.num) + [f"{c}_{v}" for c in st.cat for v in st.categories.get(c, ())]
+
+
+def names_at(spark, st: PrepState, positions) -> list:
+    """Names of the features at ``positions``."""
+    if not st.tables:
+        return [st.feature_names[i] for i in positions]
+    found = dict(enumerate(st.num))
+    for c, at in st.offsets().items():
+        if c in st.tables:
+            want = [i - at for i in positions if at <= i < at + st.tables[c]["n"]]
+            rows = encode.CategoryTable(**st.tables[c]).frame(spark).where(F.col("idx").isin(want)).collect() if want else []
+            found |= {at + r["idx"]: f"{c}_{r['v']}" for r in rows}
+        else:
+            found |= {at + i: f"{c}_{v}" for i, v in enumerate(st.categories[c])}
+    return [found[i] for i in positions]
 
 
 def fit(df: DataFrame, cfg: PrepConfig) -> PrepState:
@@ -127,16 +167,9 @@ def fit(df: DataFrame, cfg: PrepConfig) -> PrepState:
     vc = {}
     st.num_fill, dropped_n, st.mean, st.scale = _imputed_moments(
         df, num, cfg.imp, cat_cols=cat, cat_limit=cfg.max_categories * max(1, len(cat)), cat_out=vc)
-    if cat and not vc:
-        vc = impute.value_counts(df, cat, cfg.max_categories * max(1, len(cat)))
-    _check_categories(vc, cfg.max_categories)
-    st.cat_fill = {c: min(v.items(), key=lambda kv: (-kv[1], kv[0]))[0] for c, v in vc.items() if v}
-    dropped_c = [c for c in cat if c not in st.cat_fill]
-    st.dropped = dropped_n + dropped_c
+    st.dropped = dropped_n + _fit_categories(df, cfg, st, cat, vc)
     st.num = [c for c in num if c not in dropped_n]
-    st.cat = [c for c in cat if c not in dropped_c]
-    st.categories = {c: sorted(vc[c]) for c in st.cat}
-    st.feature_names = list(st.num) + [f"{c}_{v}" for c in st.cat for v in st.categories[c]]
+    st.feature_names = _feature_names(st)
     return st
 
 
@@ -148,16 +181,11 @@ def _fit_knn(df: DataFrame, cfg: PrepConfig, st: PrepState, num, cat) -> PrepSta
     from tessera.operators.knn import knn_impute
     from tessera.session import ensure_checkpoint_dir
     key = cfg.keys[0]
-    vc = impute.value_counts(df, cat, cfg.max_categories * max(1, len(cat)))
-    _check_categories(vc, cfg.max_categories)
-    st.cat_fill = {c: min(v.items(), key=lambda kv: (-kv[1], kv[0]))[0] for c, v in vc.items() if v}
+    dropped_c = _fit_categories(df, cfg, st, cat, {})
     row = df.agg(*[F.count(F.col(c)).alias(c) for c in num]).first() if num else {}
     dropped_n = [c for c in num if not row[c]]
-    dropped_c = [c for c in cat if c not in st.cat_fill]
     st.dropped = dropped_n + dropped_c
     st.num = [c for c in num if c not in dropped_n]
-    st.cat = [c for c in cat if c not in dropped_c]
-    st.categories = {c: sorted(vc[c]) for c in st.cat}
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/knn-donors-{uuid.uuid4().hex}"
     df.select(key, *st.num).write.mode("overwrite").parquet(path)
     st.knn_donors = path
@@ -171,7 +199,7 @@ def _fit_knn(df: DataFrame, cfg: PrepConfig, st: PrepState, num, cat) -> PrepSta
         st.mean[c] = sc[f"m{i}"]
         st.scale[c] = sc[f"s{i}"] or 1.0
         st.num_fill[c] = st.knn_means[c]      # only a fallback; rows are kNN-imputed first
-    st.feature_names = list(st.num) + [f"{c}_{v}" for c in st.cat for v in st.categories[c]]
+    st.feature_names = _feature_names(st)
     return st
 
 
@@ -199,12 +227,45 @@ def feature_exprs(st: PrepState):
 
 
 def features(df: DataFrame, st: PrepState, keep=(), out: str = "features") -> DataFrame:
-    """Apply imputation + scaling + one-hot in one projection → array<double>."""
+    """Apply imputation + scaling + one-hot in one projection → array<double>.
+    A state with category tables gives sparse vectors (see ``sparse_features``)."""
+    if st.tables:
+        return sparse_features(df, st, keep, out)
     ex = feature_exprs(st)
     arr = F.array(*ex) if ex else F.array().cast("array<double>")
     return df.select(*[F.col(k) for k in keep], arr.alias(out))
 
 
+def sparse_features(df: DataFrame, st: PrepState, keep=(), out: str = "features") -> DataFrame:
+    """The features as struct<size, indices, values>: the numerics at their positions and a 1 for each category.
+    A category that is not known sets none."""
+    keep, at = list(keep), st.offsets()
+    value = {c: F.coalesce(F.col(c).cast("string"), F.lit(st.cat_fill[c])) for c in st.cat}
+    code = {}
+    for i, c in enumerate(st.cat):
+        if c in st.tables:
+            name = f"_slot{i}"
+            df = encode.CategoryTable(**st.tables[c]).code(df, value[c], name)
+            code[c] = F.col(name)
+        else:
+            code[c] = F.nullif(F.array_position(F.array(*[F.lit(v) for v in st.categories[c]]), value[c]), F.lit(0)) - 1
+    num = [(F.coalesce(number(c), F.lit(st.num_fill[c])) - F.lit(st.mean[c])) / F.lit(st.scale[c]) for c in st.num]
+    hot = F.filter(F.array(*[(code[c] + F.lit(at[c])).cast("int") for c in st.cat]), lambda i: i.isNotNull())
+    indices = F.concat(F.array(*[F.lit(i) for i in range(len(num))]).cast("array<int>"), hot)
+    values = F.concat(F.array(*num).cast("array<double>"), F.transform(hot, lambda i: F.lit(1.0)))
+    return df.select(*[F.col(k) for k in keep], F.struct(F.lit(st.width).alias("size"), indices.alias("indices"), values.alias("values")).alias(out))
+
+
+def _entry(col: str, i) -> Column:
+    """The value of a sparse vector at a position."""
+    return F.coalesce(F.element_at(F.map_from_arrays(F.col(f"{col}.indices"), F.col(f"{col}.values")), F.lit(i) if isinstance(i, int) else i), F.lit(0.0))
+
+
+def densify(df: DataFrame, col: str = "features") -> DataFrame:
+    """Sparse vectors as array<double>, for what reads all positions (selection, SMOTE)."""
+    return df.withColumn(col, F.transform(F.sequence(F.lit(0), F.col(f"{col}.size") - 1), lambda i: _entry(col, i)))
+
+
 def align(df: DataFrame, st: PrepState, keep=()) -> DataFrame:
     """B6 against the fitted schema."""
     return schema.align_columns(df, st.train_features, st.cat, st.types, keep=keep)
@@ -218,6 +279,12 @@ def explode_features(df: DataFrame, keys, names, col: str = "features") -> DataF
                     F.round("value", 6).alias("value")))
 
 
+def explode_sparse(df: DataFrame, keys, col: str = "features") -> DataFrame:
+    """Long form (keys…, fi, value) of sparse vectors: the positions that are set."""
+    return (df.select(*keys, F.explode(F.arrays_zip(f"{col}.indices", f"{col}.values")).alias("e"))
+            .select(*keys, F.col("e.indices").alias("fi"), F.round("e.values", 6).alias("value")))
+
+
 def fit_transform(df: DataFrame, cfg: PrepConfig, out: str = "features"):
     """Training preparation end to end: drop null target → fit imputers,
     scaler, one-hot → features → (optional) selection → (optional)
@@ -230,6 +297,8 @@ def fit_transform(df: DataFrame, cfg: PrepConfig, out: str = "features"):
     st = fit(df, cfg)
     base = schema.drop_missing_target(df, cfg.target) if cfg.drop_missing_target else df
     x = features(knn_fill(base, st), st, keep=[*cfg.keys, cfg.target], out=out)
+    if st.tables and (cfg.fts not in (None, "none") or cfg.imb == "smote"):
+        x = densify(x, out)
     st.num_classes = schema.num_classes(base, cfg.target).first()[0] if cfg.target in base.columns else None
     if cfg.fts and cfg.fts != "none":
         kw = {}
@@ -238,7 +307,7 @@ def fit_transform(df: DataFrame, cfg: PrepConfig, out: str = "features"):
         sel = select.fit_select(x, cfg.fts, cfg.target, out, k=cfg.k_best, **kw)
         x = select.apply_select(x, sel, out)
         st.selected, st.projection, st.centre = sel.indices, sel.projection, sel.centre
-        st.selected_names = ([st.feature_names[i] for i in sel.indices] if sel.indices is not None
+        st.selected_names = (names_at(df.sparkSession, st, sel.indices) if sel.indices is not None
                              else [f"PC{i + 1}" for i in range(len(sel.projection or []))])
     key = cfg.keys[0] if len(cfg.keys) == 1 else list(cfg.keys)
     weights = None
@@ -265,9 +334,9 @@ def transform(df: DataFrame, st: PrepState, out: str = "features", keep=()) -> D
     x = features(knn_fill(align(df, st, keep=keys), st), st, keep=keys, out=out)
     if st.projection is not None:
         from tessera.operators.select import pca_project
-        x = x.withColumn(out, pca_project(out, st.projection, st.centre))
+        x = (densify(x, out) if st.tables else x).withColumn(out, pca_project(out, st.projection, st.centre))
     elif st.selected is not None:
-        x = x.withColumn(out, pick(F.col(out), st.selected))
+        x = x.withColumn(out, F.array(*[_entry(out, i) for i in st.selected]) if st.tables else pick(F.col(out), st.selected))
     return x
 
 
@@ -284,7 +353,7 @@ def output_width(st: PrepState) -> int:
     """Width of ``transform``'s feature vector under this state."""
     if st.projection is not None:
         return len(st.projection)
-    return len(st.selected) if st.selected is not None else len(st.feature_names)
+    return len(st.selected) if st.selected is not None else st.width
 
 
 def check_width(st: PrepState, model_input: int) -> None:

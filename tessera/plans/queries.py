@@ -316,6 +316,29 @@ def d3_onehot_sparse(spark, sf):
     return enc.onehot_sparse(c, "c_custkey", cols, index).select("c_custkey", F.concat_ws(",", F.transform("slots", lambda x: x.cast("string"))).alias("slots"))
 
 
+def _lines(spark, sf):
+    """Line items with a key that nearly each has of its own as a categorical column, a fifth of it missing."""
+    name = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey")
+    return fx.table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_quantity").cast("double").alias("l_quantity"), "l_returnflag",
+        F.when(F.col("l_orderkey") % 5 != 0, name).alias("part"), (F.col("l_linenumber") % 3).cast("int").alias("sii"))
+
+
+@query("d5_prep_many_categories")
+def d5_prep_many_categories(spark, sf):
+    """Column transformer over tens of thousands of categories: sparse vectors, a category table in the state."""
+    x, _, _ = prep.fit_transform(_lines(spark, sf), prep.PrepConfig(target="sii", keys=("id",), imp="mean", max_categories=100))
+    return prep.explode_sparse(x, ["id"])
+
+
+@query("d6_static_vector_many")
+def d6_static_vector_many(spark, sf):
+    """Static vectors with label codes of tens of thousands of classes."""
+    df = _lines(spark, sf)
+    v = sp.static_vector(df, sp.fit_static(df, "id", "sii", max_categories=100))
+    return v.select("id", F.posexplode("static").alias("fi", "value")).select("id", F.col("fi").cast("int").alias("fi"), F.round("value", 6).alias("value"))
+
+
 @query("a4_missing_ids")
 def a4_missing_ids(spark, sf):
     """Subjects of the static table that have no series row."""

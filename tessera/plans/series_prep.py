@@ -29,6 +29,7 @@ class SeriesState:
     mean: dict = field(default_factory=dict)
     scale: dict = field(default_factory=dict)
     classes: dict = field(default_factory=dict)
+    tables: dict = field(default_factory=dict)       # columns with very many classes: CategoryTable as a dict
     selection: str = "none"
     projection: list | None = None      # PCA: PC loadings over the filled numerics
     centre: list | None = None
@@ -52,12 +53,13 @@ def load_state(spark, path: str) -> SeriesState:
 
 
 def fit_static(static: DataFrame, id_col: str = "id", target: str = "sii", columns=None,
-               feature_selection: str = "none", n_features: int = 10) -> SeriesState:
+               feature_selection: str = "none", n_features: int = 10, max_categories: int = 10_000) -> SeriesState:
     """Fit on labelled subjects: numeric mean fill → (optional selection over
     the filled numerics: ``mutual_info``, ``lasso`` (CV), ``rf_importance``,
     ``pca`` → PC1…) → standardize; strings filled with 'Unknown' → sorted
     label codes (series kind policy: other types are ignored). ``columns``
-    restricts to e.g. common static columns."""
+    restricts to e.g. common static columns; a column with more than
+    ``max_categories`` classes keeps them as a table."""
     df = schema.drop_missing_target(static, target)
     if columns is not None:
         df = df.select(id_col, target, *[c for c in columns if c in df.columns])
@@ -72,7 +74,9 @@ def fit_static(static: DataFrame, id_col: str = "id", target: str = "sii", colum
     if feature_selection not in ("none", None) and st.num:
         _select_static(df, st, feature_selection, n_features)
     filled = impute.fill_unknown(df.select(*cat), cat)
-    st.classes = encode.fit_label_encode(filled, cat)
+    classes = encode.fit_label_encode(filled, cat, max_categories)
+    st.tables = {c: asdict(v) for c, v in classes.items() if isinstance(v, encode.CategoryTable)}
+    st.classes = {c: v for c, v in classes.items() if c not in st.tables}
     return st
 
 
@@ -118,6 +122,10 @@ def static_vector(df: DataFrame, st: SeriesState, keep=None, unseen: str = "keep
         ex.append((x - F.lit(st.mean[c])) / F.lit(st.scale[c]))
     for c in st.cat:
         x = F.coalesce(F.col(c).cast("string"), F.lit("Unknown"))
+        if c in st.tables:
+            df = encode.CategoryTable(**st.tables[c]).code(df, x, f"_code_{c}")
+            ex.append(encode.table_code(c, f"_code_{c}", unseen, x))
+            continue
         idx = (F.array_position(F.array(*[F.lit(v) for v in st.classes[c]]), x) - 1).cast("double")
         if unseen == "error":
             idx = F.when(idx < 0, F.raise_error(F.lit(f"unseen label in {c}"))).otherwise(idx)

@@ -3,11 +3,13 @@ unseen category, subject without series."""
 
 from pyspark.sql import functions as F
 
+from tessera.operators import encode as enc
 from tessera.operators import balance as bal
 from tessera.operators import metrics as met
 from tessera.operators import schema as sch
 from tessera.operators import series as ser
 from tessera.plans import prep
+from tessera.plans import series_prep as sp
 
 
 def test_empty_frame_fit_and_transform(spark):
@@ -91,9 +93,44 @@ def test_series_static_selection(spark):
     assert np.allclose(pcs.mean(axis=0), 0, atol=1e-9) and np.allclose(pcs.std(axis=0), 1, atol=1e-9)
 
 
-def test_dense_onehot_width_is_checked_per_column(spark):
+def test_columns_with_too_many_categories_become_sparse(spark):
+    """Beyond max_categories a column's categories stay a table; the vectors hold the same values, sparse."""
+    rows = [(i, f"v{i % 29:02}", "a" if i % 3 else None, float(i), i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, wide string, narrow string, x double, y int")
+    cfg = lambda n, **kw: prep.PrepConfig(target="y", keys=("id",), max_categories=n, **kw)
+    dense, few = prep.fit_transform(df, cfg(100))[:2]
+    sparse, many = prep.fit_transform(df, cfg(20))[:2]
+    assert list(many.tables) == ["wide"] and many.width == few.width == 31 and many.cat_fill == few.cat_fill
+    want = {r["id"]: r["features"] for r in dense.collect()}
+    full = lambda x: {r["id"]: r["features"] for r in prep.densify(x).collect()}
+    assert full(sparse) == want
+    import json
+    back = prep.PrepState.from_json(json.dumps(json.loads(many.to_json())))
+    new = df.drop("y", "narrow").unionByName(spark.createDataFrame([(100, "unseen", 3.0), (101, None, None)], "id long, wide string, x double"))
+    assert full(prep.transform(new, back)) == {r["id"]: r["features"] for r in prep.transform(new, few).collect()}
+    assert prep.names_at(spark, many, range(31)) == few.feature_names
+    # selection, PCA, class balance and kNN imputation on either
+    for kw in (dict(fts="f_classif", k_best=3), dict(fts="pca", k_best=2), dict(imb="smote"), dict(imp="knn")):
+        a, b = (prep.fit_transform(df, cfg(n, **kw)) for n in (100, 20))
+        assert a[1].selected_names == b[1].selected_names
+        if kw.get("imp") or kw.get("imb"):
+            continue
+        rows = [{r["id"]: r["features"] for r in prep.transform(df.drop("y"), st).collect()} for st in (a[1], b[1])]
+        assert rows[0].keys() == rows[1].keys() and all(abs(p - q) < 1e-9 for i in rows[0] for p, q in zip(rows[0][i], rows[1][i]))
+
+
+def test_label_codes_of_any_number(spark):
     import pytest
-    rows = [(i, f"v{i}", "a", i % 2) for i in range(30)]
-    df = spark.createDataFrame(rows, "id long, wide string, narrow string, y int")
-    with pytest.raises(ValueError):
-        prep.fit(df, prep.PrepConfig(target="y", keys=("id",), imp="mean", max_categories=20))
+    df = spark.createDataFrame([(i, f"w{i % 40:02}" if i % 9 else None, "ab"[i % 2], i % 3) for i in range(90)], "id long, c string, d string, sii int")
+    for unseen in ("keep", "error"):
+        rows = [enc.apply_label_encode(df.where("c IS NOT NULL"), enc.fit_label_encode(df, ["c", "d"], n), unseen).collect() for n in (100, 20)]
+        assert sorted(map(tuple, rows[0])) == sorted(map(tuple, rows[1]))
+    wide = enc.fit_label_encode(df.where("id < 50"), ["c"], 5)
+    with pytest.raises(Exception, match="unseen label"):
+        enc.apply_label_encode(df.withColumn("c", F.lit("nowhere")), wide).collect()
+    vectors = []
+    for n in (100, 20):
+        st = sp.fit_static(df, "id", "sii", max_categories=n)
+        st = sp.SeriesState.from_json(st.to_json())
+        vectors.append({r["id"]: r["static"] for r in sp.static_vector(df.withColumn("c", F.when(F.col("id") == 7, "new").otherwise(F.col("c"))), st).collect()})
+    assert vectors[0] == vectors[1] and bool(st.tables)
