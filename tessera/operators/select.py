@@ -3,8 +3,8 @@
 Statistical scores are wide aggregates of the vectors (per class where a label
 counts): each task adds up its rows, and what is shuffled is one row per class
 per task — independent of the row count. Lasso is solved on the (p + 2)²
-moments of one pass; forests and logistic regression use ``pyspark.ml``
-learners (distributed fitting). Every method returns a ``Selection``: 0-based
+moments of one pass; forests are grown to the end by ``operators.forest``,
+logistic regression is a ``pyspark.ml`` learner. Every method returns a ``Selection``: 0-based
 indices into the input features (or a projection for PCA) plus a small score
 table (one row per feature).
 """
@@ -262,19 +262,11 @@ def lasso_cv_coefficients(df, label, col="features", folds=5, n_alphas=100, eps=
     return list(lasso_descent(a, c, best))
 
 
-def rf_importances(df, label, col="features", trees=100, seed=42, regression=False, max_depth=10):
-    """F3 (classifier) / F4 (regressor): impurity importances of a forest.
-
-    As in the library, a classifier's split sees the square root of the
-    features and a regressor's all of them. The library grows trees to the
-    end; here the depth is a parameter (Spark allows 30 at most)."""
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.regression import RandomForestRegressor
-    cls = RandomForestRegressor if regression else RandomForestClassifier
-    m = cls(featuresCol="_v", labelCol="_y", numTrees=trees, seed=seed, maxDepth=max_depth,
-            featureSubsetStrategy="all" if regression else "sqrt")
-    d = _vec(df, col).withColumn("_y", F.col(label).cast("double"))
-    return list(m.fit(d).featureImportances.toArray())
+def rf_importances(df, label, col="features", trees=100, seed=42, regression=False):
+    """F3 (classifier) / F4 (regressor): impurity importances of a forest
+    whose trees grow to the end (``operators.forest``)."""
+    from tessera.operators.forest import importances
+    return importances(df, label, col, trees, seed, regression)
 
 
 def logistic_first_row(df, label, col="features", C=1.0, max_iter=1000):
@@ -369,7 +361,7 @@ def fit_select(df: DataFrame, method: str, label: str | None, col: str = "featur
     if method in ("random_forest", "rf_importance"):
         if k is None:
             raise ValueError("random_forest selection needs k")
-        imp = rf_importances(df, label, col, regression=(method == "rf_importance"), max_depth=kw.get("max_depth", 10))
+        imp = rf_importances(df, label, col, trees=kw.get("trees", 100), regression=(method == "rf_importance"))
         s = dict(enumerate(imp))
         return Selection(method, _topk(s, k, ascending_output=True), s)
     if method == "logistic_regression":
