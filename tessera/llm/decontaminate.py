@@ -111,7 +111,11 @@ class Canon:
         self.arrays = tuple(np.concatenate(x) for x in zip(self.arrays, fresh))
 
     def forms(self, texts: pa.Array | list[bytes | None]) -> list[tuple[np.ndarray, ...]]:
-        """All forms of all texts, in the order of ``FORMS``, ``EXACT`` last. A form has each token's text number, template hash and
+        """All forms of ``each_form`` at once."""
+        return list(self.each_form(texts))
+
+    def each_form(self, texts: pa.Array | list[bytes | None]) -> Iterator[tuple[np.ndarray, ...]]:
+        """All forms of all texts, in the order of ``FORMS``, ``EXACT`` last, made one by one. A form has each token's text number, template hash and
         kind, all words' chunks, each token's first word and the number of words that it spans.
 
         With names, a capital after a sentence's end or at the start is a literal;
@@ -147,8 +151,10 @@ class Canon:
             span = np.diff(np.append(at, len(codes)))
             return doc[at], np.where(kind == LITERAL, hashes, self.typed[kind])[at], kind[at], codes, at, span
 
-        return [named(first, doc), (doc, np.where(plain == LITERAL, hashes, self.typed[plain]), plain, codes, each, one),
-                named(np.zeros(len(codes), bool), sentence), (doc, hashes, np.full(len(codes), LITERAL, np.int8), codes, each, one)]
+        yield named(first, doc)
+        yield doc, np.where(plain == LITERAL, hashes, self.typed[plain]), plain, codes, each, one
+        yield named(np.zeros(len(codes), bool), sentence)
+        yield doc, hashes, np.full(len(codes), LITERAL, np.int8), codes, each, one
 
     def slots(self, kinds: np.ndarray, codes: np.ndarray, at: np.ndarray, span: np.ndarray, i: int, n: int) -> list[str]:
         """Values of the placeholders of the window of ``n`` tokens at ``i``: offset and text, units without a plural s."""
@@ -215,9 +221,9 @@ def widths(kinds: np.ndarray, width: int, least: int) -> list[tuple[int, int]]:
     return out
 
 
-def asked(forms: list, exact: bool) -> list[tuple]:
+def asked(forms: Iterator[tuple], exact: bool) -> Iterator[tuple]:
     """(number of the form, form) of those in ``FORMS``, and the exact one if asked for."""
-    return list(zip((*FORMS, EXACT) if exact else FORMS, forms))
+    return zip((*FORMS, EXACT) if exact else FORMS, forms)
 
 
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int, least: int, exact: bool = False) -> DataFrame:
@@ -228,7 +234,7 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int, l
                 rows = []
                 for item, text in zip(b.column("id").to_pylist(), utf8(b.column("text"))):
                     c = canon()
-                    for form, (doc, hashes, kinds, codes, at, span) in asked(c.forms([text]), exact):
+                    for form, (doc, hashes, kinds, codes, at, span) in asked(c.each_form([text]), exact):
                         hashed = c.windows(hashes, form)
                         for i, n in widths(kinds, width, least):
                             h = int(hashed.of(n, slice(i, i + 1))[0].view(np.int64))
@@ -264,7 +270,7 @@ def doc_windows(docs: DataFrame, id_col: str, text_col: str, lengths: list[int],
         for whole in batches:
             for b in slices(whole, "text"):
                 c, rows = canon(), []
-                every = asked(c.forms(b.column("text")), exact)
+                every = asked(c.each_form(b.column("text")), exact)
                 ids, marks = b.column("id").to_pylist(), b.column("mark").to_pylist()
                 for form, (doc, hashes, kinds, codes, at, span) in every:
                     hashed, before = c.windows(hashes, form), None
