@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -36,11 +36,11 @@ BOILER_WORDS = frozenset("ad ads adv advert advertisement advertising advertoria
                          "contentinfo tags".split())
 HEADER_WORDS = frozenset(("header", "banner"))
 MAIN_WORDS = frozenset("article main post entry story articlebody".split())
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(NO_TEXT) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    # an svg that closes itself is an empty element
-    r"|<svg(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</svg\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</[^a-zA-Z][^>]*>", re.S | re.I)
+# Attributes up to the tag's end: a quote counts only where a value begins, any other value ends at white space or >. Nothing is
+# tried twice (possessive parts), and a tag that does not end takes the rest of the page.
+_REST = r"""((?>[^>=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>]*+))*+)"""
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)" + _REST + r"(?:>|\Z)|<[!?][^>]*+(?:>|\Z)|</[^a-zA-Z][^>]*+(?:>|\Z)", re.S)
+_ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in (*NO_TEXT, "svg")}
 _ATTR = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
               "option": ("option",)}
@@ -56,6 +56,10 @@ class Element:
     header: bool     # inside a header
     link: bool
     doubts: int = 0  # elements around it, itself too, with a boilerplate word in a name
+    hard: bool = False       # boilerplate by a tag or because it is hidden, not by a name
+    landmark: bool = False   # inside an article or main element, whatever its names
+    block: Element | None = None   # the nearest element that makes a block, itself if it does
+    parent: Element | None = None
 
 
 @dataclass
@@ -68,6 +72,7 @@ class Block:
     header: bool
     links: int       # characters inside links
     doubts: int = 0
+    named: bool = False      # boilerplate by a name alone, inside an article or main element
 
 
 def _open(tag: str, attrs: str, number: int, above: Element) -> Element:
@@ -85,16 +90,22 @@ def _open(tag: str, attrs: str, number: int, above: Element) -> Element:
     # a whole name says what an element is, a word in it may say what it is beside
     whole = not page and not header and any(n <= BOILER_WORDS for n in names)
     doubt = not page and not header and any(n & (BOILER_WORDS | HEADER_WORDS) for n in names)
-    boiler = hidden or tag in BOILER_TAGS or whole and tag not in TEXT_TAGS
+    hard = hidden or tag in BOILER_TAGS
+    boiler = hard or whole and tag not in TEXT_TAGS
     main = tag in MAIN_TAGS or any(n & MAIN_WORDS and not n & BOILER_WORDS for n in names)
-    return Element(tag, number, above.main or main and not boiler and not above.boiler, above.boiler or boiler, above.header or header,
-                   above.link or tag == "a", above.doubts + doubt)
+    made = Element(tag, number, above.main or main and not boiler and not above.boiler, above.boiler or boiler, above.header or header,
+                   above.link or tag == "a", above.doubts + doubt, above.hard or hard, above.landmark or tag in MAIN_TAGS, above.block, above)
+    if tag in BLOCKS:
+        made.block = made
+    return made
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order; references decoded, white space folded. Malformed markup closes what browsers close."""
     out: list[Block] = []
-    stack = [Element("", 0, False, False, False, False)]
+    root = Element("", 0, False, False, False, False)
+    root.block = root.parent = root
+    stack, opened = [root], Counter()
     text: list[str] = []
     links = number = at = 0
 
@@ -104,12 +115,10 @@ def blocks_of(page: str) -> list[Block]:
             said = "".join(text)
             said = " ".join((html.unescape(said) if "&" in said else said).split())
             if said:
-                i = len(stack) - 1
-                while i and stack[i].tag not in BLOCKS:
-                    i -= 1
-                e, up = stack[i], stack[max(0, i - 1)]
-                out.append(Block(said, e.tag, up.number, e.main, e.boiler or stack[-1].boiler, e.header, min(links, len(said)),
-                                 max(e.doubts, stack[-1].doubts)))
+                top, e = stack[-1], stack[-1].block
+                boiler = e.boiler or top.boiler
+                out.append(Block(said, e.tag, e.parent.number, e.main, boiler, e.header, min(links, len(said)), max(e.doubts, top.doubts),
+                                 boiler and not top.hard and top.landmark))
             text.clear()
         links = 0
 
@@ -119,46 +128,46 @@ def blocks_of(page: str) -> list[Block]:
         if stack[-1].link:
             links += len(s)
 
-    for m in _TAG.finditer(page):
+    def close(tags: tuple, stops) -> None:
+        """The innermost open element of ``tags`` ends, with all in it, unless one of ``stops`` lies further in."""
+        if any(opened[t] for t in tags):
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].tag in tags:
+                    opened.subtract(e.tag for e in stack[i:])
+                    del stack[i:]
+                    return
+                if stack[i].tag in stops:
+                    return
+
+    while m := _TAG.search(page, at):
         if m.start() > at:
             add(page[at:m.start()])
         at = m.end()
-        tag = m[3]
-        if tag is None:
+        if m[2] is None:
+            continue
+        tag, empty = m[2].lower(), m[3].endswith("/")
+        if not m[1] and tag in _ENDS and not (empty and tag == "svg"):
+            end = _ENDS[tag].search(page, at)
+            at = end.end() if end else len(page)
             continue
-        tag = tag.lower()
         block = tag in BLOCKS
         if block:
             flush()
         elif tag == "br":
             text.append(" ")
             continue
-        if m[2]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if not block and stack[i].tag in BLOCKS:
-                    break
+        if m[1]:
+            close((tag,), () if block else BLOCKS)
             continue
         if block:
             # an open paragraph, and what it holds, ends where a block begins
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in BLOCKS:
-                    break
+            close(("p",), BLOCKS)
             if tag in _CLOSED_BY:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag in _CLOSED_BY[tag]:
-                        del stack[i:]
-                        break
-                    if stack[i].tag in _STOPS.get(tag, ()):
-                        break
-        if tag not in VOID and not m[4].endswith("/"):
+                close(_CLOSED_BY[tag], _STOPS.get(tag, ()))
+        if tag not in VOID and not empty:
             number += 1
-            stack.append(_open(tag, m[4], number, stack[-1]))
+            stack.append(_open(tag, m[3], number, stack[-1]))
+            opened[tag] += 1
     if at < len(page):
         add(page[at:])
     flush()
@@ -225,46 +234,93 @@ def min_cut(scores: list[float], edges: dict[tuple[int, int], float]) -> list[bo
 
 
 def _max_flow(nodes: list[int], pull: list[float], near: list[dict[int, float]]) -> set[int]:
-    """Nodes that the source still reaches after a maximum flow (shortest augmenting paths)."""
-    left: dict = {i: dict(near[i]) for i in nodes}
-    source, sink = "s", "t"
-    left[source] = {i: pull[i] for i in nodes if pull[i] > 0}
-    left[sink] = {}
-    for i in nodes:
-        left[i][source] = 0.0
-        left[i][sink] = max(0.0, -pull[i])
+    """Nodes that the source still reaches after a maximum flow.
+
+    Blocking flows: a search from the sink gives every node its distance, and all shortest paths are filled before the
+    next search. Residual capacities stay; paths that are longer than any before are few, as page neighbours' ties are small.
+    """
+    place = {i: k for k, i in enumerate(nodes)}
+    n = len(nodes)
+    to: list[list[int]] = [[place[j] for j in near[i]] for i in nodes]
+    left: list[list[float]] = [list(near[i].values()) for i in nodes]
+    back: list[list[int]] = [[0] * len(t) for t in to]
+    at = [{j: e for e, j in enumerate(t)} for t in to]
+    for i, t in enumerate(to):
+        for e, j in enumerate(t):
+            back[i][e] = at[j][i]
+    gives, takes = [max(0.0, pull[i]) for i in nodes], [max(0.0, -pull[i]) for i in nodes]
+    tiny = 1e-9
     while True:
-        came, queue = {source: None}, deque([source])
-        while queue and sink not in came:
-            u = queue.popleft()
-            for v, c in left[u].items():
-                if c > 1e-9 and v not in came:
-                    came[v] = u
-                    queue.append(v)
-        if sink not in came:
-            return {i for i in nodes if i in came}
-        path, v = [], sink
-        while came[v] is not None:
-            path.append((came[v], v))
-            v = came[v]
-        flow = min(left[u][v] for u, v in path)
-        for u, v in path:
-            left[u][v] -= flow
-            left[v][u] = left[v].get(u, 0.0) + flow
+        # distance to the sink; what cannot reach it stays at n + 1
+        far = [n + 1] * n
+        row = [i for i in range(n) if takes[i] > tiny]
+        for i in row:
+            far[i] = 0
+        while row:
+            after = []
+            for j in row:
+                for e, i in enumerate(to[j]):
+                    if far[i] > n and left[i][back[j][e]] > tiny:
+                        far[i] = far[j] + 1
+                        after.append(i)
+            row = after
+        sources = [i for i in range(n) if gives[i] > tiny and far[i] <= n]
+        if not sources:
+            break
+        turn = [0] * n
+        for start in sources:
+            path: list[tuple[int, int]] = []
+            u = start
+            while gives[start] > tiny:
+                if far[u] == 0 and takes[u] > tiny:
+                    flow = min([gives[start], takes[u], *(left[i][e] for i, e in path)])
+                    gives[start] -= flow
+                    takes[u] -= flow
+                    for i, e in path:
+                        left[i][e] -= flow
+                        left[to[i][e]][back[i][e]] += flow
+                    path, u = [], start
+                    continue
+                while turn[u] < len(to[u]) and not (left[u][turn[u]] > tiny and far[to[u][turn[u]]] == far[u] - 1):
+                    turn[u] += 1
+                if turn[u] < len(to[u]):
+                    path.append((u, turn[u]))
+                    u = to[u][turn[u]]
+                elif path:
+                    u, e = path.pop()
+                    turn[u] += 1
+                else:
+                    break
+    seen = {i for i in range(n) if gives[i] > tiny}
+    row = list(seen)
+    while row:
+        i = row.pop()
+        for e, j in enumerate(to[i]):
+            if left[i][e] > tiny and j not in seen:
+                seen.add(j)
+                row.append(j)
+    return {nodes[i] for i in seen}
 
 
 def main_text(page: str | None) -> str:
-    """Content blocks in page order, joined by line ends. Null, empty or all boilerplate: empty."""
+    """Content blocks in page order, joined by line ends. Null, empty or all boilerplate: empty.
+
+    Where that leaves nothing, names alone may have spoken against an article or main element: they are doubts then,
+    which the cut weighs against the element.
+    """
     blocks = blocks_of(page) if page else []
     if not blocks:
         return ""
     has_main = any(b.main and not b.boiler for b in blocks)
     keep = min_cut([score(b, has_main) for b in blocks], edges_of(blocks))
+    if not any(keep) and any(b.named for b in blocks):
+        keep = min_cut([6.0 - 3.0 * b.doubts if b.named else score(b, True) for b in blocks], edges_of(blocks))
     return "\n".join(b.text for b, k in zip(blocks, keep) if k)
 
 
 def extract(df: DataFrame, html_col: str = "html", out: str = "main", keep: list[str] | None = None) -> DataFrame:
-    """``df`` and a struct ``out`` with ``text`` and ``n_chars`` (code points) of the whole page. Repeated rows are extracted each."""
+    """``df`` and a struct ``out`` with ``text`` and ``n_chars`` (code points) of the whole page. Repeated rows are extracted each;
+    an empty table gives an empty result."""
     def make(pages: list) -> dict[str, list]:
         texts = [main_text(p) for p in pages]
         return {"text": texts, "n_chars": [len(t) for t in texts]}

@@ -98,3 +98,41 @@ def test_the_cut_weighs_doubts():
     lines = [f"<div>{LONG}</div>", '<div class="widget-area">Short words here</div>']
     assert main_text(lines[0] + lines[1]) == LONG
     assert main_text(f'{lines[0]}<div class="text-widget">{LONG}</div>{lines[0]}') == "\n".join([LONG] * 3)
+
+
+@pytest.mark.parametrize("page, said", [("<article><p data-t=it's>two</p></article>", "two"), ('<article><a href=x">link</a> text</article>', "link text"),
+                                        ("<article>one<p a='x' b=\"y>z\" c>two</p></article>", "one\ntwo"), ('<article>one<p title="abc>two', "one"),
+                                        ("<article>one <b", "one"), ("<article>one</ x>two<!x>three<?y?>four</article>", "onetwothreefour"),
+                                        ("<article><i / >x</i>y</article>", "xy")])
+def test_stray_quotes_and_unclosed_tags(page, said):
+    assert main_text(page) == said
+
+
+@pytest.mark.parametrize("page", ['<article class="widget"><p>{}</p></article>', '<main><div id="more"><p>{}</p></div></main>'])
+def test_names_do_not_leave_a_page_without_text(page):
+    assert main_text(page.format(LONG)) == LONG
+    assert main_text(page.format(LONG) + f"<nav>{LONG}</nav><div class=sidebar>{LONG}</div>") == LONG
+
+
+def test_no_text_where_all_is_boilerplate():
+    assert main_text(f"<nav>{LONG}</nav><div class=sidebar>{LONG}</div><section id=comments><article class=comment><p>{LONG}</p></article></section>") == ""
+
+
+@pytest.mark.parametrize("page", ["<a " * 200_000, "<!" * 200_000, "</ " * 200_000, "<a b='" * 100_000, "<b>" * 60_000 + "</i>" * 60_000, "<b>" * 40_000 + "<p>x</p>y" * 20_000,
+                                  "<script>" * 100_000, "<svg" * 100_000, "<li><b>" * 50_000, "<a =" * 200_000, "<!--" * 100_000])
+def test_time_grows_with_the_page(page):
+    import time
+    start = time.process_time()
+    main_text(page)
+    assert time.process_time() - start < 5
+
+
+def test_flow_over_very_many_undecided_blocks():
+    import time
+    rnd = random.Random(5)
+    n = 50_000
+    edges = {(i - 1, i): .8 for i in range(1, n)} | {(i - d, i): .6 / d for i in range(4, n) for d in (2, 3, 4) if rnd.random() < .3}
+    for scores in ([rnd.uniform(-1.5, 1.5) for _ in range(n)], [.7 if i % 2 else -.7 for i in range(n)]):
+        start = time.process_time()
+        min_cut(scores, edges)
+        assert time.process_time() - start < 6
