@@ -124,6 +124,29 @@ class Boxes:
             return np.where(common > 0, np.sqrt(factor * near) * (1 - 1e-9), np.inf), np.where(common > 0, np.sqrt(factor * mid), np.inf)
 
 
+    def pair_bounds(self, z: np.ndarray, leaf: np.ndarray, scale: float, p: int | None) -> np.ndarray:
+        """The lower bounds of ``bounds`` for single pairs: the i-th query and the leaf at place ``leaf[i]``."""
+        near, common, rough = np.zeros(len(z)), np.zeros(len(z)), np.zeros(len(z))
+        for j in range(z.shape[1]):
+            q, low, high = z[:, j], self.low[leaf, j], self.high[leaf, j]
+            there = ~np.isnan(q)
+            near += np.where(self.all[leaf, j] & there, np.maximum(np.maximum(low - q, q - high), 0.0), 0.0) ** 2
+            common += there & self.any[leaf, j]
+            if p is None:
+                rough = np.maximum(rough, np.abs(q) + np.maximum(np.abs(low), np.abs(high)))
+        if p is None:
+            return np.sqrt(near) * scale * (1 - 1e-9) - 1e-10 * rough * scale
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(common > 0, np.sqrt(p / common * near) * (1 - 1e-9), np.inf)
+
+    def cells(self) -> "Boxes":
+        """The boxes around all leaves of each cell; ``leaf`` is the place of a cell's first leaf."""
+        at = np.nonzero(np.append(True, self.cell[1:] != self.cell[:-1]))[0]
+        of = lambda f, x: f.reduceat(x, at, axis=0)
+        return Boxes(at, self.cell[at], of(np.minimum, self.low), of(np.maximum, self.high), of(np.logical_or, self.any), of(np.logical_and, self.all),
+                     of(np.add, self.n))
+
+
 def distances(q: np.ndarray, d: np.ndarray, scale: float, p: int | None) -> np.ndarray:
     """Euclidean distances times ``scale``, or nan-Euclidean ones of vectors with ``p`` features (nothing in common: infinite)."""
     acc = np.zeros((len(q), len(d)))
@@ -205,7 +228,9 @@ class BlockIndex:
         placed = d0.mapInArrow(leaves, T.StructType([*d0.schema, cell, leaf_no]))
         schema = T.StructType([d0.schema["_p"], cell, *of(_n=T.LongType(), _keys=T.ArrayType(d0.schema["_d"].dataType), _vec=T.BinaryType(), _leaves=ints),
                                leaf_no, *of(_low=doubles, _high=doubles, _any=flags, _all=flags)])
-        packed = placed.repartition("_p", "_cell").sortWithinPartitions("_p", "_cell", "_leaf", "_d").mapInArrow(blocks, schema)
+        # a given number of partitions: small data, much work
+        self.parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        packed = placed.repartition(self.parts, "_p", "_cell").sortWithinPartitions("_p", "_cell", "_leaf", "_d").mapInArrow(blocks, schema)
         stored = written(packed, "blocks")
         self.blocks = stored.where("_vec IS NOT NULL").select("_p", "_cell", "_n", "_keys", "_vec", "_leaves")
         # boxes of the trees' leaves, which are no more than the sample's rows
@@ -241,26 +266,40 @@ class BlockIndex:
         fewer), ties to the smaller key. ``stats`` gets the number of donors whose distance was taken."""
         wanted = k + 1 if exclude_self else k
         queries = written(queries.select("_p", "_q", "_qv"), "queries")
-        first = self._evaluate(self._visits(queries.withColumn("_limit", F.lit(None).cast("double")), wanted, True), wanted, exclude_self, stats)
+        home = written(self._visits(queries.withColumn("_limit", F.lit(None).cast("double")), wanted, True), "visits")
+        first = self._evaluate(home, wanted, exclude_self, stats)
         near = W.partitionBy("_p", "_q").orderBy("dist", "_d")
         best = written(first.withColumn("nn_rank", F.row_number().over(near)).where(F.col("nn_rank") <= k).drop("nn_rank"), "nearest")
         limit = best.groupBy("_p", "_q").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).alias("_limit"))
-        more = self._evaluate(self._visits(queries.join(limit, ["_p", "_q"], "left"), wanted, False), wanted, exclude_self, stats)
-        every = best.unionByName(more)
-        return every.withColumn("nn_rank", F.row_number().over(near)).where(F.col("nn_rank") <= k)
+        rest = written(self._visits(queries.join(limit, ["_p", "_q"], "left"), wanted, False), "visits")
+        if not rest.isEmpty():
+            every = best.unionByName(self._evaluate(rest, wanted, exclude_self, stats))
+            best = written(every.withColumn("nn_rank", F.row_number().over(near)).where(F.col("nn_rank") <= k).drop("nn_rank"), "nearest")
+        return best.withColumn("nn_rank", F.row_number().over(near))
 
     def _visits(self, queries: DataFrame, k: int, home: bool) -> DataFrame:
         """_p, _cell, _q, _qv, _leaves, _n: the leaves next to each query, or all others within its ``_limit`` (none: any
         distance), by cell; and how many donors they hold."""
         shared, width, scale, p, least = self.shared, self.width, self.scale, self.p, max(k, self.first)
 
-        def chosen(boxes: Boxes, z: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            near, mid = boxes.bounds(z, scale, p)
-            order = np.lexsort((mid, near), axis=1)
-            before = np.cumsum(boxes.n[order], axis=1) - boxes.n[order]
-            first = np.zeros_like(order, dtype=bool)
-            np.put_along_axis(first, order, before < least, axis=1)  # leaves in that order until they hold enough donors
-            return np.nonzero((first if home else ~first & (near <= limit[:, None])) & np.isfinite(near))
+        def chosen(boxes: Boxes, cells: Boxes, z: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Query and place of the leaf: all leaves of the nearest cells that hold ``least`` donors, or those within the
+            limit in the other cells, whose boxes are tried first."""
+            near, mid = cells.bounds(z, scale, p)
+            score = np.where(np.isfinite(near), near + 0.01 * mid, np.inf)
+            some = min(len(cells.n), 2 + 2 * int(least / cells.n.mean()))
+            order = np.argpartition(score, some - 1, axis=1)[:, :some]
+            order = np.take_along_axis(order, np.argsort(np.take_along_axis(score, order, 1), axis=1, kind="stable"), 1)
+            before = np.cumsum(cells.n[order], axis=1) - cells.n[order]
+            first = np.zeros(near.shape, bool)
+            np.put_along_axis(first, order, before < least, axis=1)
+            row, cell = np.nonzero((first if home else ~first & (near <= limit[:, None])) & np.isfinite(near))
+            n = np.diff(np.append(cells.leaf, len(boxes.leaf)))[cell]  # leaves of each cell
+            each = np.repeat(np.arange(len(row)), n)
+            leaf = cells.leaf[cell[each]] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+            row = row[each]
+            keep = np.isfinite(b := boxes.pair_bounds(z[row], leaf, scale, p)) & (home | (b <= limit[row]))
+            return row[keep], leaf[keep]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             plan = shared.value
@@ -270,11 +309,12 @@ class BlockIndex:
                 limit = np.where(np.isnan(limit), np.inf, limit)
                 for part, rows in _parts(b.column("_p")):
                     boxes = plan.boxes.get(part)
+                    cells = boxes and boxes.cells()
                     step = max(1, CELLS // len(boxes.leaf)) if boxes else len(rows)
                     for at in range(0, len(rows), step):
                         some = rows[at:at + step]
                         if boxes:
-                            row, col = chosen(boxes, z[some], limit[some])
+                            row, col = chosen(boxes, cells, z[some], limit[some])
                             leaf, cell, n = boxes.leaf[col], boxes.cell[col], boxes.n[col]
                         else:  # a part without a tree is one leaf
                             row = np.arange(len(some) if home else 0)
@@ -295,14 +335,16 @@ class BlockIndex:
 
     def _evaluate(self, visits: DataFrame, k: int, exclude_self: bool, stats: dict | None) -> DataFrame:
         """_p, _q, _d, dist: of each block and query the k nearest in the leaves asked for."""
-        visits = written(visits, "visits")
         if stats is not None:
             stats["candidates"] = stats.get("candidates", 0) + (visits.agg(F.sum("_n")).first()[0] or 0)
         # queries meet a block in batches; a cell that very many queries visit has as many batches as it takes
         many = visits.groupBy("_p", "_cell").agg(F.ceil(F.count(F.lit(1)) / BATCH).alias("_s"))
         salted = visits.join(many, ["_p", "_cell"]).withColumn("_salt", F.pmod(F.xxhash64("_q"), F.col("_s")))
-        batches = salted.groupBy("_p", "_cell", "_salt").agg(F.collect_list(F.struct("_q", "_qv", "_leaves")).alias("_qs"))
-        pairs = batches.join(self.blocks.withColumnRenamed("_leaves", "_at"), ["_p", "_cell"]).select("_p", "_qs", "_keys", "_vec", "_at")
+        at = ["_p", "_cell", "_salt"]
+        batches = salted.repartition(self.parts, *at).groupBy(*at).agg(F.collect_list(F.struct("_q", "_qv", "_leaves")).alias("_qs"))
+        blocks = self.blocks.withColumnRenamed("_leaves", "_at").join(many, ["_p", "_cell"])
+        blocks = blocks.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_s") - 1))).drop("_s")
+        pairs = batches.join(blocks.repartition(self.parts, *at), at).select("_p", "_qs", "_keys", "_vec", "_at")
         width, scale, p = self.width, self.scale, self.p
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,6 +409,7 @@ class Packer:
         self.at = self.box = None
         self.leaf, self.total = None, 0
         self.held: list = []
+        self.made: list = []
 
     def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -379,9 +422,9 @@ class Packer:
             bounds = [0, *(i for i in range(1, len(at)) if at[i] != at[i - 1]), len(at)]
             for lo, hi in zip(bounds, bounds[1:]):
                 if (at[lo][:2], at[lo][2]) != (self.at, self.leaf):
-                    yield from self.end_leaf()
+                    self.end_leaf()
                     if at[lo][:2] != self.at:
-                        yield from self.end_block()
+                        self.end_block()
                     self.at, self.leaf, self.box, self.total = at[lo][:2], at[lo][2], None, 0
                 self.add_box(x[lo:hi])
                 while lo < hi:
@@ -389,10 +432,19 @@ class Packer:
                     end = min(hi, lo + self.block - have)
                     self.held.append((b.column("_d").slice(lo, end - lo), x[lo:end], leaf[lo:end]))
                     if have + end - lo == self.block:
-                        yield from self.end_block()
+                        self.end_block()
                     lo = end
-        yield from self.end_leaf()
-        yield from self.end_block()
+            if len(self.made) >= 256:
+                yield self.flush()
+        self.end_leaf()
+        self.end_block()
+        if self.made:
+            yield self.flush()
+
+    def flush(self) -> pa.RecordBatch:
+        out = pa.Table.from_batches(self.made).combine_chunks().to_batches()[0]
+        self.made = []
+        return out
 
     def add_box(self, x: np.ndarray) -> None:
         z = self.plan.place(x)
@@ -411,15 +463,15 @@ class Packer:
             cols[3] = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
         return pa.RecordBatch.from_arrays(cols, names=["_p", "_cell", "_n", "_keys", "_vec", "_leaves", "_leaf", "_low", "_high", "_any", "_all"])
 
-    def end_leaf(self) -> Iterator[pa.RecordBatch]:
+    def end_leaf(self) -> None:
         if self.at and tuple(v for _, v in self.at[0]) in self.plan.trees:
-            yield self.row(self.total, None, None, None, self.leaf, [c.tolist() for c in self.box])
+            self.made.append(self.row(self.total, None, None, None, self.leaf, [c.tolist() for c in self.box]))
 
-    def end_block(self) -> Iterator[pa.RecordBatch]:
+    def end_block(self) -> None:
         if self.held:
             keys, vec, leaf = zip(*self.held)
             x = np.concatenate(vec)
-            yield self.row(len(x), pa.concat_arrays(keys), x.tobytes(), np.concatenate(leaf).tolist(), None, [None] * 4)
+            self.made.append(self.row(len(x), pa.concat_arrays(keys), x.tobytes(), np.concatenate(leaf).tolist(), None, [None] * 4))
             self.held = []
 
 

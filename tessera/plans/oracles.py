@@ -368,6 +368,41 @@ psi AS (SELECT i, coalesce(sum(1.0 / i) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED
 t AS (SELECT m.fi, avg(pk.h) - avg(pc.h) - avg(pm.h) AS t FROM m JOIN psi pk ON pk.i = m.k JOIN psi pc ON pc.i = m.nc JOIN psi pm ON pm.i = m.m GROUP BY m.fi),
 s AS (SELECT sd.fi, coalesce(greatest(0, t + psi.h), 0) AS score FROM sd LEFT JOIN t ON t.fi = sd.fi LEFT JOIN n ON n.fi = sd.fi LEFT JOIN psi ON psi.i = n.n)
 """ + topk_sql("s", 4), "tab")
+# covariances as a list of lists, in the order of the features
+_COV = """pr AS (SELECT a.fi AS i, b.fi AS j, covar_pop(a.x, b.x) AS v FROM fy a JOIN fy b ON a.o_orderkey = b.o_orderkey GROUP BY 1, 2),
+cv AS (SELECT list(r ORDER BY i) AS a FROM (SELECT i, list(v ORDER BY j) AS r FROM pr GROUP BY i))"""
+# cyclic coordinate descent from zero, one coordinate a step
+ORACLES["f1_lasso"] = with_views(f"""WITH {FEAT},
+{_COV},
+cy AS (SELECT list(v ORDER BY fi) AS c, count(*) AS p FROM (SELECT fi, covar_pop(x, y) AS v FROM fy GROUP BY fi)),
+w(step, w) AS (SELECT 0, list_transform(c, lambda v: CAST(0 AS DOUBLE)) FROM cy
+  UNION ALL
+  SELECT step + 1, list_transform(w, lambda v, k: CASE WHEN k = j AND d > 0 THEN sign(r) * greatest(abs(r) - 0.01, 0) / d ELSE v END)
+  FROM (SELECT step, w, j, a[j][j] AS d, c[j] - list_dot_product(a[j], w) + a[j][j] * w[j] AS r FROM (SELECT *, step % p + 1 AS j FROM w, cy, cv)) WHERE step < 3000),
+l AS (SELECT unnest(range(len(w))) AS fi, unnest(w) AS score FROM w WHERE step = 3000)
+SELECT CAST(fi AS INTEGER) AS fi, round(score, 6) AS score, score <> 0 AS selected FROM l""", "tab").replace("WITH", "WITH RECURSIVE", 1)
+
+
+def _component_sql(n: int) -> str:
+    """The n-th component: the covariance without the ones before is squared until one direction is left of it."""
+    return f"""s{n}(step, m) AS (SELECT 0, a FROM c{n} UNION ALL
+  SELECT step + 1, list_transform(q, lambda r: list_transform(r, lambda x: x / list_sum(list_transform(q, lambda y, i: y[i])))) FROM (
+    SELECT step, list_transform(m, lambda r: list_transform(m, lambda o: list_dot_product(r, o))) AS q FROM s{n}) WHERE step < 30),
+d{n} AS (SELECT m, list_transform(m, lambda r, i: r[i]) AS diag FROM s{n} WHERE step = 30),
+v{n} AS (SELECT list_transform(m[j], lambda x: x / sqrt(m[j][j])) AS v FROM (SELECT m, list_position(diag, list_max(diag)) AS j FROM d{n})),
+c{n + 1} AS (SELECT list_transform(a, lambda r, i: list_transform(r, lambda x, j: x - v[i] * v[j] * list_dot_product(v, list_transform(a, lambda y: list_dot_product(y, v))))) AS a
+             FROM c{n}, v{n})"""
+
+
+ORACLES["f9_pca"] = with_views(f"""WITH {FEAT},
+{_COV},
+c1 AS (SELECT a FROM cv),
+{", ".join(map(_component_sql, (1, 2, 3)))},
+mu AS (SELECT fi, avg(x) AS mu FROM fy GROUP BY fi)
+SELECT o_orderkey, {", ".join(f"round(sum((x - mu) * v{n}.v[fy.fi + 1]), 6) AS PC{n}" for n in (1, 2, 3))}
+FROM fy JOIN mu ON fy.fi = mu.fi, v1, v2, v3 GROUP BY o_orderkey""", "tab").replace("WITH", "WITH RECURSIVE", 1)
+# the classes lie apart, and a trained network tells them
+ORACLES["e1_fit_relu_network"] = "SELECT vec_id, label, label AS prediction FROM embeddings WHERE label < 3"
 ORACLES["f11_correlation_threshold"] = with_views(f"""WITH {FEAT},
 pr AS (SELECT a.fi AS i, b.fi AS j, covar_pop(a.x, b.x) / NULLIF(stddev_pop(a.x) * stddev_pop(b.x), 0) AS r
        FROM fy a JOIN fy b ON a.o_orderkey = b.o_orderkey AND a.fi < b.fi GROUP BY 1, 2),

@@ -77,3 +77,32 @@ def test_knn_state_is_refused_by_the_stream(spark):
     st = prep.PrepState(config={"keys": ["id"]}, knn_donors="somewhere")
     with pytest.raises(ValueError, match="knn"):
         inference.score_stream(spark.range(1), st, [])
+
+
+def test_ten_thousand_chunks_plan_and_run(spark):
+    """Bounds come from a hash share of the rows, not from one task's top list, and are one literal of the plan."""
+    from tessera.functions.ranges import chunk_column
+    df = spark.range(0, 700_000).select((F.col("id") * 7919 % 1_000_003).alias("v"), F.concat(F.lit("k"), F.col("id") % 10).alias("s"))
+    c = df.select("v", chunk_column(df, ["v", "s"], 10_000).alias("c"))
+    got = c.agg(F.max("c").alias("m"), F.count_distinct("c").alias("n")).first()
+    assert got["n"] == got["m"] + 1 > 9000
+    # ascending with the key, and of like size
+    per = c.groupBy("c").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("k")).orderBy("c").collect()
+    assert all(a["hi"] <= b["lo"] for a, b in zip(per, per[1:])) and max(r["k"] for r in per) < 700
+    plan = df.select(chunk_column(df, ["v"], 50).alias("c"))._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "named_struct" not in plan
+
+
+def test_chunks_of_every_key_type(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from tessera.functions.ranges import chunk_column
+    rows = [(i, f"é\"{i % 40:03}", float(i) / 7, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i % 90), dt.date(2020, 1, 1 + i % 28), Decimal(i) / 3, i % 2 == 0, bytes([i % 200]))
+            for i in range(600)] + [(None,) * 8]
+    df = spark.createDataFrame(rows, "a long, b string, c double, d timestamp, e date, f decimal(20,6), g boolean, h binary")
+    for c in df.columns:
+        per = df.where(f"{c} IS NOT NULL").select(F.col(c).alias("v"), chunk_column(df, [c], 6).alias("k")).groupBy("k").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("k").collect()
+        assert len(per) >= (2 if c == "g" else 5), c
+        assert all(x["hi"] < y["lo"] for x, y in zip(per, per[1:])), c
+        assert df.where(f"{c} IS NULL").select(chunk_column(df, [c], 6).alias("k")).first()["k"] == 0
