@@ -3,7 +3,9 @@
 Texts are cut into words by the vocabulary's pattern. Words not seen before
 become token-position rows; each step of the recursive query joins them with
 the merge table and contracts the leftmost pair of minimum rank of each word,
-until no word has a pair left. Decoding joins the ids with the vocabulary and
+until no word has a pair left. Words are cut beforehand where no token spans
+two bytes, and a long word has its best pair contracted wherever it stands, so
+that a word of a million bytes takes seconds. Decoding joins the ids with the vocabulary and
 concatenates in order.
 
 The connection, its tables and the words seen stay with the Python worker; a
@@ -31,9 +33,13 @@ REMEMBERED, AT_ONCE = 160_000, 50_000
 #: Pieces contracted together, and texts decoded together, hold about so many bytes.
 BYTES_AT_ONCE, TEXT_AT_ONCE = 1 << 20, 4 << 20
 
+#: Words beyond so many bytes have all disjoint places of their best pair contracted in a step, others the leftmost one.
+LONG = 64
+
+#: The best pair of each word at its leftmost place; ``top`` is the highest rank that the word took.
 CONTRACT = """
-WITH RECURSIVE words(w, ids, done) AS (
-    SELECT w, list(id ORDER BY pos), false FROM positions GROUP BY w
+WITH RECURSIVE words(w, ids, done, top) AS (
+    SELECT w, list(id ORDER BY pos), false, -1 FROM positions GROUP BY w
   UNION ALL (
     WITH p AS (
         SELECT w, unnest(ids) AS id, unnest(ids[2:] || [-1]) AS next, generate_subscripts(ids, 1) AS pos
@@ -44,9 +50,32 @@ WITH RECURSIVE words(w, ids, done) AS (
     SELECT words.w,
            CASE WHEN k IS NULL THEN ids
                 ELSE ids[:(k & 4294967295) - 1] || [(k >> 32)::INTEGER] || ids[(k & 4294967295) + 2:] END,
-           k IS NULL
+           k IS NULL, greatest(top, (k >> 32)::INTEGER)
     FROM words LEFT JOIN best ON words.w = best.w WHERE NOT words.done))
-SELECT ids FROM words WHERE done ORDER BY w
+SELECT w, ids, top FROM words WHERE done ORDER BY w
+"""
+#: The best pair of each word at all places: of places that follow each other directly the first, third, fifth ...
+CONTRACT_LONG = """
+WITH RECURSIVE words(w, ids, done) AS (
+    SELECT w, list(id ORDER BY pos), false FROM positions GROUP BY w
+  UNION ALL (
+    WITH p AS (
+        SELECT w, unnest(ids) AS id, unnest(ids[2:] || [-1]) AS next, generate_subscripts(ids, 1) AS pos
+        FROM words WHERE NOT done),
+    pairs AS (SELECT p.w, p.pos, m.rank FROM p JOIN merges AS m ON p.id = m.l AND p.next = m.r),
+    best AS (SELECT w, min(rank) AS rank FROM pairs GROUP BY w),
+    places AS (
+        SELECT w, pos, rank, pos - row_number() OVER (PARTITION BY w ORDER BY pos) AS run
+        FROM pairs JOIN best USING (w, rank)),
+    taken AS (
+        SELECT w, pos, rank FROM places
+        QUALIFY row_number() OVER (PARTITION BY w, run ORDER BY pos) % 2 = 1),
+    joined AS (
+        SELECT p.w, p.pos, coalesce(taken.rank, p.id) AS id, taken.rank IS NOT NULL AS first
+        FROM p LEFT JOIN taken ON taken.w = p.w AND taken.pos = p.pos),
+    second AS (SELECT w, pos + 1 AS pos FROM taken)
+    SELECT w, list(id ORDER BY pos), NOT bool_or(first) FROM joined ANTI JOIN second USING (w, pos) GROUP BY w))
+SELECT w, ids FROM words WHERE done ORDER BY w
 """
 DECODE = """
 SELECT d, unhex(string_agg(v.hex, '' ORDER BY t.pos)) AS bytes
@@ -73,19 +102,69 @@ class DuckBpe:
         merges = pa.table([pa.array(c, pa.int32()) for c in zip(*rows)], names=["l", "r", "rank"])  # noqa: F841 (read by name)
         vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]})  # noqa: F841
         self.con.execute("CREATE TABLE merges AS FROM merges")
+        self._ordered: bool | None = None
+        self.inside = np.zeros((256, 256), bool)
+        for tok in self.ranks:
+            for a, b in zip(tok, tok[1:]):
+                self.inside[a, b] = True
         self.con.execute("CREATE TABLE vocabulary AS FROM vocabulary")
 
     def contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words one after the other, and how many each has, by the recursive query."""
-        lens = np.array([len(w) for w in words], np.int64)
-        starts = np.cumsum(lens) - lens
+        """Ids of all words one after the other, and how many each has, by the recursive queries.
+
+        Words are cut first between two bytes that follow each other in no
+        token, since no merge spans such a place.
+        """
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        starts = np.cumsum([0, *map(len, words)])[:-1]
+        cut = np.ones(len(raw), bool)
+        cut[1:] = ~self.inside[raw[:-1], raw[1:]]
+        cut[starts] = True
+        firsts = np.nonzero(cut)[0]
+        lens = np.diff(np.append(firsts, len(raw)))
+        long = lens > LONG
+        parts = [(nums, query) for nums, query in ((np.nonzero(~long)[0], CONTRACT), (np.nonzero(long)[0], CONTRACT_LONG)) if len(nums)]
+        if long.any() and not self.ordered():
+            parts = [(np.arange(len(lens)), CONTRACT)]
+        got = [self._contracted(raw, firsts[nums], lens[nums], nums, query) for nums, query in parts]
+        size = np.zeros(len(lens), np.int64)
+        for (nums, _), (_, n) in zip(parts, got):
+            size[nums] = n
+        ends = np.cumsum(size)
+        ids = np.empty(ends[-1], np.int32)
+        for (nums, _), (flat, n) in zip(parts, got):
+            ids[np.repeat(ends[nums] - size[nums] - (np.cumsum(n) - n), n) + np.arange(len(flat))] = flat
+        return ids, np.add.reduceat(size, np.cumsum(cut)[starts] - 1)
+
+    def _contracted(self, raw: np.ndarray, starts: np.ndarray, lens: np.ndarray, nums: np.ndarray, query: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of the words ``nums``, which lie in ``raw`` at ``starts``, by one of the queries."""
+        within = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
         positions = pa.table({  # noqa: F841 (read by name)
-            "w": np.repeat(np.arange(len(words), dtype=np.int32), lens),
-            "pos": (np.arange(lens.sum()) - np.repeat(starts, lens)).astype(np.int32),
-            "id": self.byte_id[np.frombuffer(b"".join(words), np.uint8)]})
-        got = self.con.sql(CONTRACT).to_arrow_table().column("ids").combine_chunks()
+            "w": np.repeat(nums.astype(np.int32), lens), "pos": within.astype(np.int32),
+            "id": self.byte_id[raw[np.repeat(starts, lens) + within]]})
+        got = self.con.sql(query).to_arrow_table().column("ids").combine_chunks()
         return got.flatten().to_numpy(), pc.list_value_length(got).to_numpy()
 
+    def ordered(self) -> bool:
+        """Whether each token's own bytes contract to it by ranks up to its own.
+
+        Then the ranks that a word takes never fall: a contraction that made a
+        pair of a lower rank would stand in that lower token's own contraction.
+        All disjoint places of a word's best pair may so be contracted at once.
+        """
+        if self._ordered is None:
+            tokens = sorted((t for t in self.ranks if len(t) > 1), key=len)
+            lens = np.array([len(t) for t in tokens])
+            raw = np.frombuffer(b"".join(tokens), np.uint8)
+            positions = pa.table({  # noqa: F841 (read by name)
+                "w": np.repeat(np.arange(len(tokens), dtype=np.int32), lens),
+                "pos": (np.arange(len(raw)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.int32), "id": self.byte_id[raw]})
+            got = self.con.sql(f"SELECT len(ids) AS n, ids[1] AS id, top FROM ({CONTRACT}) ORDER BY w").to_arrow_table()
+            own = np.array([self.ranks[t] for t in tokens])
+            n, ids, top = (got.column(c).to_numpy() for c in ("n", "id", "top"))
+            self._ordered = bool((n == 1).all() and (ids == own).all() and (top == own).all())
+        return self._ordered
+
     def learn_pieces(self, new: list[str]) -> None:
         """A token of its own, or the contracted bytes."""
         raw = {p: p.encode() for p in new}
@@ -194,6 +273,9 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "te
     """``df`` and a struct ``out``: n_tokens, ids_sha256 (ids as little-endian 32-bit integers), decoded_sha256.
 
     The ids are decoded again in the same pass and need not leave the task.
+    Null and empty texts have no ids and the digests of nothing; repeated rows
+    are returned each; an empty table gives an empty one; a column named
+    ``out`` is replaced, all others stay.
     """
     fields = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
                            T.StructField("decoded_sha256", T.StringType())])

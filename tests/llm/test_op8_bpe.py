@@ -1,5 +1,7 @@
 import base64
 import hashlib
+import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -44,6 +46,50 @@ def test_long_text(reference):
     assert ids == [reference(text)] and back == [text.encode()]
 
 
+def words_without_spaces(kind, n):
+    rnd = random.Random(n)
+    if kind == "base64":
+        return base64.b64encode(rnd.randbytes(n * 3 // 4)).decode()
+    if kind == "cjk":
+        return "".join(chr(rnd.randrange(0x4E00, 0x9FFF)) for _ in range(n))
+    if kind == "letters":
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    return "".join(rnd.choice(["the", "quick", "ing", "lazy", "nation", "aa", "a"]) for _ in range(n // 4))
+
+
+@pytest.mark.parametrize("kind", ["base64", "cjk", "letters", "words"])
+@pytest.mark.parametrize("n", [70, 5_000, 200_000])
+def test_long_words(reference, kind, n):
+    text = words_without_spaces(kind, n)
+    start = time.monotonic()
+    ids, back = both([text, "short ones " + text[:40], None])
+    assert time.monotonic() - start < 20
+    assert ids == [reference(text), reference("short ones " + text[:40]), []] and back[0] == text.encode()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="abthein日", min_size=1, max_size=150), min_size=1, max_size=5))
+def test_all_places_of_a_pair_at_once(reference, words):
+    c = D.codec(PATH, PATTERN)
+    raw = [w.encode() for w in words]
+    flat, n = c.contract(raw)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(D, "LONG", 0)
+        again = c.contract(raw)
+    assert flat.tolist() == again[0].tolist() and n.tolist() == again[1].tolist()
+    assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == [reference(w) for w in words]
+
+
+def test_ranks_out_of_order_take_the_leftmost_pair(tmp_path):
+    """A token of a lower rank than its part: places are contracted one at a time."""
+    tokens = [bytes([i]) for i in range(256)] + [b"abc", b"ab"]
+    path = tmp_path / "odd.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(tokens)))
+    c = D.DuckBpe(str(path), PATTERN)
+    assert not c.ordered() and D.codec(PATH, PATTERN).ordered()
+    assert c.encode(["ab" * 50 + "abc"])[0].tolist() == [257] * 50 + [256]
+
+
 def test_memory_may_forget(reference, monkeypatch):
     monkeypatch.setattr(D, "REMEMBERED", 5)
     monkeypatch.setattr(D, "BYTES_AT_ONCE", 40)
