@@ -91,6 +91,21 @@ def a6_state_roundtrip(spark, sf):
     return prep.explode_features(prep.features(new, st, keep=TAB_KEYS), TAB_KEYS, st.feature_names)
 
 
+@query("a6_pipeline_model")
+def a6_pipeline_model(spark, sf):
+    """The preparation as a stage of a ``pyspark.ml`` pipeline, saved, loaded and applied to new rows."""
+    import uuid
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.functions import vector_to_array
+    from tessera.plans.ml import TabularPrep
+    from tessera.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    Pipeline(stages=[TabularPrep(_tab_cfg("median"))]).fit(fx.tab(spark, sf)).write().save(path)
+    model = PipelineModel.load(path)
+    got = model.transform(fx.tab_new(spark, sf)).withColumn("features", vector_to_array("features"))
+    return prep.explode_features(got, TAB_KEYS, model.stages[0].state.feature_names)
+
+
 # ---------------------------------------------------------------- series (H)
 
 SER_ORDER = ("ts", "event_id")
@@ -820,16 +835,16 @@ def a5_prediction_sink(spark, sf):
 
 @query("a7_metrics_history")
 def a7_metrics_history(spark, sf):
-    """One report row per epoch appended to a run-partitioned history
-    table in the shared folder, read back."""
+    """One report row per epoch put into a history partitioned by run and
+    epoch, the second epoch twice as a retried job does, read back."""
     import uuid
     from tessera.session import ensure_checkpoint_dir
     path = f"{ensure_checkpoint_dir(spark)}/history-{uuid.uuid4().hex}"
     run = io.run_name(mod="mlp", fts="f_classif", k=4, imb="class_weight")
     rep = met.report(_pred(spark, sf), batch="batch", n_classes=3)
-    for epoch in (1, 2):
+    for epoch in (1, 2, 2):
         io.append_metrics(_r6(rep).withColumn("epoch", F.lit(epoch)).withColumn("run", F.lit(run)), path)
-    return spark.read.parquet(path).select("run", "epoch", "loss", "accuracy", "balanced_accuracy",
+    return io.read_metrics(spark, path).select("run", "epoch", "loss", "accuracy", "balanced_accuracy",
                                            "precision", "recall", "f1")
 
 

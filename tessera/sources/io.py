@@ -94,10 +94,34 @@ def run_name(**params) -> str:
     return "-".join(f"{k}={v}" for k, v in params.items()).replace(" ", "")
 
 
-def append_metrics(df: DataFrame, path: str, run_col: str = "run") -> None:
-    """Append one row per (run, epoch/step) to a metrics history table
-    partitioned by run name."""
-    df.write.mode("append").partitionBy(run_col).parquet(path)
+def append_metrics(df: DataFrame, path: str, run_col: str = "run", step_col: str = "epoch") -> None:
+    """Put the rows of ``df`` into a metrics history partitioned by run
+    and step, and mark those steps as committed.
+
+    A step that is written again (a retried job, a repeated epoch) replaces
+    its former rows, other steps stay. The marker, the number of the step's
+    rows, follows the rows, so a job that ends between the two leaves nothing
+    that ``read_metrics`` shows.
+    """
+    from tessera.session import written
+    rows = written(df, "metrics")  # computed once: the rows and their markers agree
+    marks = rows.groupBy(run_col, step_col).agg(F.count(F.lit(1)).alias("n_rows"))
+    for part, folder in ((rows, "history"), (marks, "commits")):
+        (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(run_col, step_col).parquet(f"{path}/{folder}"))
+
+
+def read_metrics(spark: SparkSession, path: str, run_col: str = "run", step_col: str = "epoch", step_type: str = "int") -> DataFrame:
+    """The committed rows of a metrics history. A step is shown if its
+    marker counts as many rows as it has; ``step_type`` is the type of the step."""
+    history = read_series(spark, f"{path}/history", run_col)
+    marks = read_series(spark, f"{path}/commits", run_col).select(
+        F.col(run_col).alias("_run"), F.col(step_col).alias("_step"), F.col("n_rows").alias("_n"))
+    held = history.groupBy(run_col, step_col).agg(F.count(F.lit(1)).alias("_held"))
+    whole = held.join(marks, F.col(run_col).eqNullSafe(F.col("_run")) & F.col(step_col).eqNullSafe(F.col("_step"))).where("_held = _n")
+    whole = whole.select(F.col(run_col).alias("_run"), F.col(step_col).alias("_step"))
+    got = history.join(whole, F.col(run_col).eqNullSafe(F.col("_run")) & F.col(step_col).eqNullSafe(F.col("_step")), "left_semi")
+    return got.withColumn(step_col, F.col(step_col).cast(step_type))
 
 
 def profile(df: DataFrame, n: int = 5, order_by=None) -> DataFrame:

@@ -56,7 +56,22 @@ def test_prediction_sink_and_metrics_history(spark):
     m = spark.createDataFrame([("run1", 1, 0.5), ("run1", 2, 0.4)], "run string, epoch int, loss double")
     io.append_metrics(m, d + "/hist")
     io.append_metrics(m.withColumn("run", F.lit("run2")), d + "/hist")
-    assert spark.read.parquet(d + "/hist").groupBy("run").count().count() == 2
+    assert io.read_metrics(spark, d + "/hist").groupBy("run").count().count() == 2
+
+
+def test_metrics_of_a_repeated_step_replace_its_rows(spark):
+    d = _tmp()
+    row = lambda *r: spark.createDataFrame([r], "run string, epoch int, loss double")
+    for r in (("run=a/b", 1, 0.5), ("run=a/b", 2, 0.4), ("run=a/b", 2, 0.3), (None, 1, 0.2), ("007", 10, 0.1), (None, 1, 0.6)):
+        io.append_metrics(row(*r), d)
+    want = {("run=a/b", 1, 0.5), ("run=a/b", 2, 0.3), (None, 1, 0.6), ("007", 10, 0.1)}
+    assert {(r.run, r.epoch, r.loss) for r in io.read_metrics(spark, d).collect()} == want
+    io.append_metrics(row("x", 1, 0.0).limit(0), d)  # no rows: no step
+    # a job that ended before its marker: its step is not shown, until it runs again
+    (row("late", 1, 0.9).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "epoch").parquet(d + "/history"))
+    assert {(r.run, r.epoch, r.loss) for r in io.read_metrics(spark, d).collect()} == want
+    io.append_metrics(row("late", 1, 0.8), d)
+    assert {(r.run, r.epoch, r.loss) for r in io.read_metrics(spark, d).collect()} == want | {("late", 1, 0.8)}
 
 
 def test_profile(spark):
