@@ -32,28 +32,59 @@ def numeric_columns(df: DataFrame, exclude=()) -> list:
             and isinstance(f.dataType, NumericType) and not isinstance(f.dataType, BooleanType)]
 
 
+#: Columns of a clustered table (``write_clustered``): the chunk of a row, and the subject's part in it, which is never null.
+CHUNK, CELL = "_chunk", "_cell"
+
+
 def _chunked(df: DataFrame, id_col: str, order, cols, chunks: int | None):
+    """Rows with their chunk and its carry-in, and the columns that tell the parts of a subject apart."""
+    clustered = CELL in df.columns
     n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.withColumn("_chunk", chunk_column(df, [id_col, *order], n))
+    ranged = df if clustered else df.withColumn(CHUNK, chunk_column(df, [id_col, *order], n))
+    part = [CELL] if clustered else [id_col, CHUNK]
     ordk = F.struct(*[F.col(o) for o in order])
     aggs = [F.count(F.lit(1)).alias("_n")]
+    if clustered:  # by the cell alone, as the table lies
+        aggs += [F.first(id_col).alias(id_col), F.first(CHUNK).alias(CHUNK)]
     for c in cols:
         present = F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
         aggs.append(F.max_by(F.col(c), F.when(present, ordk)).alias(f"_last_{c}"))
         aggs.append(F.min_by(F.col(c), F.when(present, ordk)).alias(f"_first_{c}"))
-    summ = ranged.groupBy(id_col, "_chunk").agg(*aggs)
-    ws = W.partitionBy(id_col).orderBy("_chunk")
+    summ = ranged.groupBy(*part).agg(*aggs)
+    ws = W.partitionBy(id_col).orderBy(CHUNK)
     before = ws.rowsBetween(W.unboundedPreceding, -1)
     whole = ws.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     carry = summ.select(
-        id_col, "_chunk",
+        *[F.col(c).alias(f"_to{c}") for c in part],
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
         F.sum("_n").over(whole).alias("_total"),
         *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols],
         *[F.first(f"_first_{c}", ignorenulls=True).over(whole).alias(f"_head_{c}") for c in cols])
-    # null-safe: a row without an id belongs to the subject "null"
-    carry = carry.withColumnRenamed(id_col, "_cid").withColumnRenamed("_chunk", "_cchunk")
-    return ranged.join(carry, F.col(id_col).eqNullSafe(F.col("_cid")) & (F.col("_chunk") == F.col("_cchunk"))).drop("_cid", "_cchunk")
+    if clustered:
+        on = F.col(CELL) == F.col(f"_to{CELL}")
+    else:  # null-safe: a row without an id belongs to the subject "null"
+        on = F.col(id_col).eqNullSafe(F.col(f"_to{id_col}")) & (F.col(CHUNK) == F.col(f"_to{CHUNK}"))
+    return ranged.join(carry, on), part
+
+
+def write_clustered(df: DataFrame, table: str, id_col: str, order, path: str | None = None, buckets: int | None = None,
+                    chunks: int | None = None) -> None:
+    """A3: the series as a table bucketed and sorted by subject and ordered chunk, one file a bucket.
+
+    ``fill_series`` and what builds on it read such a table without exchanging
+    its rows; a hot subject lies in as many buckets as it has chunks, and a
+    subject costs no folder and no file of its own. ``path``: where the table
+    lies, if not in the warehouse. Rows without an id are the subject null.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or n
+    # several cells a bucket, so that a hash deals them out evenly
+    rows = df.withColumn(CHUNK, chunk_column(df, [id_col, *order], chunks or 4 * buckets))
+    mine = F.col(id_col).cast("string")
+    rows = rows.withColumn(CELL, F.concat(F.col(CHUNK).cast("string"), F.coalesce(F.concat(F.lit(":"), mine), F.lit(""))))
+    w = rows.repartition(buckets, CELL).write.mode("overwrite").format("parquet").bucketBy(buckets, CELL).sortBy(CELL, *order)
+    (w.option("path", path) if path else w).saveAsTable(table)
 
 
 def fill_series(df: DataFrame, id_col: str, order, cols=None, bfill: bool = True, zero: bool = True,
@@ -61,15 +92,18 @@ def fill_series(df: DataFrame, id_col: str, order, cols=None, bfill: bool = True
     """H1-H5 in one pass: forward fill (NaN counts as missing), then back fill
     of the leading gap (``bfill``), then 0 (``zero``); then keep rows
     0, n, 2n… of each subject (``every``, after filling) and of those the last
-    ``tail``. Output keeps the input columns (filled) in input order.
+    ``tail``. Output keeps the input columns (filled) in input order. A table
+    of ``write_clustered`` is taken as it lies: no row is exchanged.
     """
     order = [order] if isinstance(order, str) else list(order)
-    cols = list(cols) if cols is not None else numeric_columns(df, exclude=[id_col, *order])
-    j = _chunked(df, id_col, order, cols, chunks)
-    wl = W.partitionBy(id_col, "_chunk").orderBy(*order)
+    cols = list(cols) if cols is not None else numeric_columns(df, exclude=[id_col, CHUNK, *order])
+    j, part = _chunked(df, id_col, order, cols, chunks)
+    wl = W.partitionBy(*part).orderBy(*order)
     upto = wl.rowsBetween(W.unboundedPreceding, 0)
     sel = []
     for c in df.columns:
+        if c in (CHUNK, CELL):
+            continue
         if c in cols:
             x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) \
                 if df.schema[c].dataType.typeName() in ("double", "float") else F.col(c)

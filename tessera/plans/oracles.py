@@ -656,7 +656,7 @@ SELECT id, sii, batch_id, CAST(n_steps AS INTEGER) AS n_steps,
 # the same rows must come out where missing values are NaN, where columns
 # without any value are added, and where the state was saved and loaded
 for _again, _first in (("d5_prep_train_nan", "d5_prep_train_median"), ("c6_all_missing_dropped", "d5_prep_train_median"),
-                       ("a6_state_roundtrip", "d5_transform_new_rows"), ("a6_pipeline_model", "d5_transform_new_rows"), ("d6_static_vector_nan", "d6_static_vector"),
+                       ("a6_state_roundtrip", "d5_transform_new_rows"), ("a6_pipeline_model", "d5_transform_new_rows"), ("a3_series_clustered", "h5_tail"), ("d6_static_vector_nan", "d6_static_vector"),
                        ("c3_knn_impute_nan", "c3_knn_impute")):
     ORACLES[_again] = ORACLES[_first]
 ORACLES["a4_missing_ids"] = with_views("SELECT id FROM subj WHERE id NOT IN (SELECT id FROM series)", "subj", "series")

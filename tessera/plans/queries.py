@@ -147,6 +147,16 @@ def h5_tail(spark, sf):
     return _ser_out(ser.fill_series(s, "id", SER_ORDER, ["value", "k"], every=EVERY, tail=TAIL))
 
 
+@query("a3_series_clustered")
+def a3_series_clustered(spark, sf):
+    """The series written as a clustered table in the shared folder; fill, down-sampling and tail on it, rows as they lie."""
+    import uuid
+    from tessera.session import ensure_checkpoint_dir
+    name = f"series_{uuid.uuid4().hex}"
+    ser.write_clustered(fx.series(spark, sf), name, "id", SER_ORDER, f"{ensure_checkpoint_dir(spark)}/{name}")
+    return _ser_out(ser.fill_series(spark.table(name), "id", SER_ORDER, ["value", "k"], every=EVERY, tail=TAIL))
+
+
 SER_KEEP = ("id", "ts", "event_id", "event_type")
 
 

@@ -98,3 +98,44 @@ def test_series_without_an_id_and_without_rows(spark):
     got = {(r.id, r.o): r.v for r in ser.fill_series(df, "id", "o", ["v"]).collect()}
     assert got == {(None, 1): 5.0, (None, 2): 5.0, ("a", 1): 1.0}
     assert ser.fill_series(df.where("false"), "id", "o", ["v"]).count() == 0
+
+
+def _exchanged(df) -> list:
+    """Names of the columns that each shuffle of the plan moves."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        p = todo.pop()
+        if p.nodeName() == "Exchange":
+            cols = p.output()
+            out.append([cols.apply(i).name() for i in range(cols.size())])
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+        if p.nodeName() == "AdaptiveSparkPlan":
+            todo.append(p.initialPlan())
+    return out
+
+
+def test_clustered_table_moves_no_rows(spark):
+    import tempfile
+    rows = [("hot" if i % 3 else (f"s{i % 7}" if i % 21 else None), i * 7919 % 4001, None if i % 4 == 0 else float(i), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id string, t long, v double, n long")
+    ser.write_clustered(df, "clustered_series", "id", ["t"], tempfile.mkdtemp() + "/t", buckets=5, chunks=40)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a large carry-in is no broadcast
+    try:
+        kw = dict(id_col="id", order=["t"], cols=["v", "n"])
+        for more in ({}, {"every": 3}, {"every": 3, "tail": 50}, {"bfill": False, "zero": False}):
+            got = ser.fill_series(spark.table("clustered_series"), **kw, **more)
+            want = ser.fill_series(df, **kw, **more)
+            assert got.columns == df.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+            assert all("t" not in cols for cols in _exchanged(got)) and any("t" in cols for cols in _exchanged(want))
+            assert _exchanged(got)  # the summary's own
+        assert spark.table("clustered_series").where("id = 'hot'").select("_cell").distinct().count() > 10
+        files = [f.rsplit("_", 1)[1][:5] for f in spark.table("clustered_series").inputFiles()]
+        assert len(files) == len(set(files)) <= 5  # a file a bucket
+        ser.write_clustered(df.limit(0), "clustered_none", "id", ["t"], tempfile.mkdtemp() + "/t", buckets=3)
+        assert ser.fill_series(spark.table("clustered_none"), **kw).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS clustered_series")
+        spark.sql("DROP TABLE IF EXISTS clustered_none")
