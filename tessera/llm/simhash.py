@@ -1,16 +1,20 @@
 """SimHash near-duplicates by multi-index hashing.
 
 A 64-bit fingerprint is cut into two segments of 32 bits. Two fingerprints at
-most two bits apart differ by at most one bit in some segment, or by two bits
-in one segment and none in the other. Each distinct fingerprint therefore
-enters the tables under the Hamming ball of radius one within each segment,
-the other segment unchanged: 65 keys. Fingerprints that meet in a table entry
-are candidates; their complete distance is verified.
-
-An entry z holds only z and z with one bit flipped, 65 fingerprints at most,
-so it is kept as a bit set (which bits are flipped) that partial sums build
-before the shuffle. A bucket is linked as a star from its first member, never
-as all pairs, and copies are folded into their fingerprint beforehand.
+most two bits apart differ by at most one bit in some segment. Each distinct
+fingerprint is entered once in each segment's table, under the value of that
+segment; it looks up the small Hamming ball around its own value there (33
+values), and what it meets is a candidate whose complete distance is verified.
+
+A segment value that very many fingerprints share (near copies by the
+thousand) would meet all its pairs. Fingerprints of a crowded value, and those
+whose ball touches one, take the other segment as a second key: they enter
+under themselves and under each of the 64 fingerprints one bit away. Such an
+entry z holds 65 fingerprints at most, so it is kept as a bit set (which bits
+are flipped) that partial sums build before the shuffle, and it is linked as a
+star from its first member, never as all pairs. Two fingerprints that the
+tables do not bring together both are of this kind, so no link is lost.
+Copies are folded into their fingerprint beforehand.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np
 FINGERPRINT = T.StructType([T.StructField("value", T.LongType())])
 #: Shingles hashed at a time: a very long text is summed in parts.
 PART = 1 << 16
+#: Fingerprints that an entry of a segment's table holds; a value of more is crowded and takes the second key.
+CROWD = 64
 
 
 def fingerprint(text: bytes | None, shingle: int = 3) -> int:
@@ -62,15 +68,47 @@ def with_fingerprint(df: DataFrame, text_col: str = "text", shingle: int = 3, ou
 def links(fps: DataFrame, max_distance: int = 2) -> DataFrame:
     """(u, v): verified links that join all of ``fps`` (distinct, column fp) at most ``max_distance`` bits apart.
 
-    One star for each table entry; the pairs within reach are all connected
-    through it. ``max_distance`` is 0 to 2, the reach of radius one in two segments.
+    All pairs that the segment tables bring together; for crowded values one
+    star for each entry, through which the pairs within reach are connected.
+    ``max_distance`` is 0 to 2, the reach of radius one in two segments.
     """
     if not 0 <= max_distance <= 2:
         raise ValueError("two segments with balls of radius one reach 0 to 2 bits")
-    flip = F.explode(F.sequence(F.lit(0), F.lit(64))).alias("i")  # 0-31 low segment, 32-63 high one, 64 none
-    bit = F.expr("CASE WHEN i < 64 THEN shiftleft(1L, i) ELSE 0L END")
     # the few columns read would be few tasks: dealt out first, each one's partial sums stay small
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = F.explode(F.expr("array(fp & 4294967295L, shiftrightunsigned(fp, 32) | 4294967296L)")).alias("key")  # bit 32: which segment
+    entries = materialize(fps.select("fp").repartition(n).select("fp", own), "segments")
+    crowded = materialize(entries.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded")
+    any_crowded = not crowded.isEmpty()
+    light = materialize(entries.join(crowded, "key", "left_anti"), "light-segments") if any_crowded else entries
+    found = candidates(light, max_distance).where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_distance)
+    if not any_crowded:
+        return found
+    touching = _probes(light, max_distance).join(crowded, F.col("z") == F.col("key"), "left_semi").select("fp")
+    second = materialize(entries.join(crowded, "key", "left_semi").select("fp").union(touching).distinct(), "second-key")
+    return found.union(_stars(second, max_distance))
+
+
+def _probes(entries: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, z): the keys that each fingerprint looks up, the ball of half the distance around its own."""
+    if max_distance < 2:
+        return entries.select("fp", F.col("key").alias("z"))
+    flip = F.explode(F.sequence(F.lit(0), F.lit(32))).alias("i")  # 32: none
+    return entries.select("fp", "key", flip).select("fp", F.expr("key ^ CASE WHEN i < 32 THEN shiftleft(1L, i) ELSE 0L END").alias("z"))
+
+
+def candidates(entries: DataFrame, max_distance: int) -> DataFrame:
+    """(u, v), u > v: fingerprints of ``entries`` (fp, key) that meet in a segment's table, whatever their complete distance."""
+    table = entries.select(F.col("fp").alias("v"), "key").hint("shuffle_hash")
+    met = _probes(entries, max_distance).join(table, F.col("z") == F.col("key"))
+    return met.where("fp > v").select(F.col("fp").alias("u"), "v")
+
+
+def _stars(fps: DataFrame, max_distance: int) -> DataFrame:
+    """Links by the whole fingerprint less one bit: a bit set of its members for each entry, and a star from the first."""
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    flip = F.explode(F.sequence(F.lit(0), F.lit(64))).alias("i")  # 64: none
+    bit = F.expr("CASE WHEN i < 64 THEN shiftleft(1L, i) ELSE 0L END")
     entries = (fps.select("fp").repartition(n).select("fp", flip).select(F.col("fp").bitwiseXOR(bit).alias("z"), bit.alias("b"))
                .groupBy("z").agg(F.bit_or("b").alias("flips"), F.max(F.col("b") == 0).alias("itself"))
                .where(F.bit_count("flips") + F.col("itself").cast("int") >= 2))

@@ -50,8 +50,10 @@ def test_long_text_is_summed_in_parts(monkeypatch):
     assert S.fingerprint(text) == whole == brute_fp(text.decode())
 
 
+@pytest.mark.parametrize("crowd", [0, 3, 64])
 @pytest.mark.parametrize("r", [0, 1, 2])
-def test_links_join_what_brute_force_joins(spark, r):
+def test_links_join_what_brute_force_joins(spark, r, crowd, monkeypatch):
+    monkeypatch.setattr(S, "CROWD", crowd)  # 0: all by the second key; 3: some; 64: hardly any
     rnd = random.Random(r)
     fps = set()
     for _ in range(40):  # dense balls, chains and single ones, with sign bits
@@ -69,6 +71,19 @@ def test_links_join_what_brute_force_joins(spark, r):
     assert groups({f: got.get(f, f) for f in fps}) == groups({f: v for (f, _), v in want.items()})
 
 
+def test_complete_distance_rejects_candidates(spark):
+    """Fingerprints that share a segment, or nearly, and differ elsewhere meet in a table and are no link."""
+    low, rnd = 0xDEADBEEF, random.Random(3)
+    fps = [low | rnd.getrandbits(32) << 32 for _ in range(40)] + [(low ^ 1) | rnd.getrandbits(32) << 32 for _ in range(10)]
+    fps += [fps[0] ^ 1 << 40, fps[0] ^ 1 << 41 ^ 1 << 3]
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+    entries = df.selectExpr("fp", "explode(array(fp & 4294967295L, shiftrightunsigned(fp, 32) | 4294967296L)) AS key")
+    met = {(r.u % (1 << 64), r.v % (1 << 64)) for r in S.candidates(entries, 2).collect()}
+    near = {frozenset((a, b)) for i, a in enumerate(fps) for b in fps[:i] if bin(a ^ b).count("1") <= 2}
+    got = {frozenset((r.u % (1 << 64), r.v % (1 << 64))) for r in S.links(df).collect()}
+    assert got == near and near < {frozenset(p) for p in met} and len(met) > 700
+
+
 def test_bad_distance(spark):
     with pytest.raises(ValueError):
         S.links(spark.createDataFrame([(1,)], "fp long"), 3)
