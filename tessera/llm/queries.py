@@ -43,7 +43,7 @@ def op4_simhash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = secret_scan.scan(table(spark, sf_dir, "documents"), owner_col="source", repo_col="lang")
     return got.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
-                      "spans", "n_live", "n_example")
+                      "spans", "n_live", "n_example", "n_spread")
 
 
 def op6_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Every candidate value is hashed; over the whole corpus each hash is counted by
-distinct repositories and owners. A value that many owners have is a widely
-copied example; one that few owners have and that looks random is live.
+distinct repositories and owners. A value that many owners have, or that a
+few owners have in many repositories, is a widely copied example; one that few
+owners have and that looks random is live, in however many repositories of one
+owner it stands.
 """
 
 from __future__ import annotations
@@ -113,8 +115,12 @@ def ownership(values: DataFrame) -> DataFrame:
     return owners.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"))
 
 
-def judge(found: DataFrame, key: str, scan: str, owner: str, repo: str, max_owners: int) -> DataFrame:
-    """key, n_live, n_example, live (spans): a row for each ``key`` of ``found`` that has values.
+def judge(found: DataFrame, key: str, scan: str, owner: str, repo: str, max_owners: int, max_repos: int) -> DataFrame:
+    """key, n_live, n_example, n_spread, live (spans): a row for each ``key`` of ``found`` that has values.
+
+    Examples are values of more than ``max_owners`` owners, and of two owners or
+    more in more than ``max_repos`` repositories. ``n_spread`` counts live values
+    that one owner has in several repositories.
 
     ``found`` must be a written table. Both sides of the join by hash are plain
     tables, so that adaptive execution can split a value that very many rows have.
@@ -123,34 +129,36 @@ def judge(found: DataFrame, key: str, scan: str, owner: str, repo: str, max_owne
               .select(key, F.col(f"`{owner}`").cast("string").alias("owner"), F.col(f"`{repo}`").cast("string").alias("repo"),
                       F.explode(f"{scan}.values").alias("v")).select(key, "owner", "repo", "v.*"))
     owned = materialize(ownership(values.select("hash", "owner", "repo")), "ownership")
-    example = F.col("n_owners") > max_owners
+    example = (F.col("n_owners") > max_owners) | ((F.col("n_owners") > 1) & (F.col("n_repos") > max_repos))
     live = ~example & F.col("strong")
     return (values.drop("owner", "repo").join(owned, "hash").groupBy(key)
             .agg(F.sum(live.cast("long")).alias("n_live"), F.sum(example.cast("long")).alias("n_example"),
+                 F.sum((live & (F.col("n_owners") == 1) & (F.col("n_repos") > 1)).cast("long")).alias("n_spread"),
                  F.collect_list(F.when(live, F.struct("start", "end"))).alias("live")))
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "lang",
-         max_owners: int = 2) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base, spans, n_live, n_example: a row for each row of ``df``.
+         max_owners: int = 2, max_repos: int = 8) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base, spans, n_live, n_example, n_spread: a row for each row of ``df``.
 
-    A value that more than ``max_owners`` distinct owners have is an example; of
-    the others, those that look random are live. Repeated rows are returned
+    A value that more than ``max_owners`` distinct owners have, or several owners
+    in more than ``max_repos`` repositories, is an example; of the others, those
+    that look random are live (``n_spread``: those in several repositories of one owner). Repeated rows are returned
     each, an empty table gives an empty one.
     """
     key = "_row"
     narrow = find(df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                             F.col(f"`{owner_col}`").alias("owner"), F.col(f"`{repo_col}`").alias("repo")), "text")
     found = materialize(narrow.drop("text").withColumn(key, F.monotonically_increasing_id()), "secrets")
-    judged = judge(found, key, "scan", "owner", "repo", max_owners).drop("live")
+    judged = judge(found, key, "scan", "owner", "repo", max_owners, max_repos).drop("live")
     zero = F.lit(0).cast("long")
     return found.join(judged, key, "left").select(
         "doc_id", *[f"scan.{c}" for c in ("n_assign", "n_access", "n_hex", "base", "spans")],
-        F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_example", zero).alias("n_example"))
+        F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_example", zero).alias("n_example"), F.coalesce("n_spread", zero).alias("n_spread"))
 
 
 def redact(df: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "lang", max_owners: int = 2,
-           mark: str = "[SECRET]", length_col: str | None = None) -> DataFrame:
+           mark: str = "[SECRET]", length_col: str | None = None, max_repos: int = 8) -> DataFrame:
     """``df`` with every live value replaced by ``mark``; examples and all else stay, and so does every row.
 
     Rows without a value pass straight through; only the others are written and
@@ -160,7 +168,7 @@ def redact(df: DataFrame, text_col: str = "text", owner_col: str = "source", rep
     tagged = find(df, text_col, s)
     plain = tagged.where(F.size(f"{s}.values") == 0).drop(s)
     held = materialize(tagged.where(F.size(f"{s}.values") > 0).withColumn(key, F.monotonically_increasing_id()), "with-secrets")
-    live = judge(held, key, s, owner_col, repo_col, max_owners).where(F.size("live") > 0).select(key, F.col("live").alias(s))
+    live = judge(held, key, s, owner_col, repo_col, max_owners, max_repos).where(F.size("live") > 0).select(key, F.col("live").alias(s))
 
     @F.udf(returnType="string", useArrow=True)
     def cut(text: str | None, spans: list | None) -> str | None:

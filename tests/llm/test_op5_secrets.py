@@ -55,6 +55,26 @@ def test_ownership_separates_examples_from_live_ones(spark):
     assert own == {50: 50, 1: 1, 2: 2}
 
 
+def test_repositories_take_part_in_the_verdict(spark):
+    """One owner's many repositories: live. Two owners' many: an example. Two owners' few: live. Against a count by hand."""
+    rows = [(i, f"token={live('mine')}", "a", f"r{i}") for i in range(30)]
+    rows += [(100 + i, f"token={live('template')}", "ab"[i % 2], f"r{i // 2}") for i in range(10)]
+    rows += [(200 + i, f"token={live('pair')}", "ab"[i % 2], f"r{i // 2 % 4}") for i in range(16)]
+    rows += [(300, f"token={live('once')}", "a", None), (301, f"token={live('once')}", "a", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    seen: dict = {}
+    for _, text, owner, repo in rows:
+        seen.setdefault(text, set()).add((owner, repo))
+    for r in S.scan(df).join(df, "doc_id").collect():
+        owners, repos = len({o for o, _ in seen[r.text]}), len(seen[r.text])
+        example = owners > 2 or owners > 1 and repos > 8
+        n = r.n_live + r.n_example
+        assert n == 2 and (r.n_example == n) == example and r.n_spread == (n if owners == 1 and repos > 1 else 0)
+    out = {r.doc_id: r.text for r in S.redact(df).collect()}
+    assert out[0] == out[200] == out[300] == "token=[SECRET]" and out[100] == f"token={live('template')}"
+    assert S.redact(df, max_repos=10).where("doc_id = 100").first().text == "token=[SECRET]"
+
+
 def test_redact(spark, docs, none):
     got = S.redact(docs, length_col="n_chars")
     assert got.columns == docs.columns and got.count() == docs.count() and S.redact(none).count() == 0
