@@ -799,7 +799,7 @@ def a3_read_series_layout(spark, sf):
     import uuid
     from tessera.session import ensure_checkpoint_dir
     path = f"{ensure_checkpoint_dir(spark)}/series-{uuid.uuid4().hex}"
-    fx.series(spark, sf).write.partitionBy("id").mode("overwrite").parquet(path)
+    io.write_series(fx.series(spark, sf), path, "id", SER_ORDER)
     back = io.read_series(spark, path)
     return back.select("id", "event_id", F.round("value", 6).alias("value"), F.round("k", 6).alias("k"))
 

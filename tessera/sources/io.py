@@ -34,21 +34,43 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     return df
 
 
+def write_series(df: DataFrame, path: str, id_col: str = "id", order=(), parts: int | None = None) -> None:
+    """A3: the series as an ``id=<subject>/part-*.parquet`` layout, rows of a file in ``order``.
+
+    The rows are exchanged once, by ranges of (id, order…), so that a subject
+    lies in one file, or in the files of neighbouring ranges where it is larger
+    than a range: there are about as many files as subjects, however many
+    tasks read the input. The tasks move their files to their folders
+    themselves (a retried task writes the same names again); the driver would
+    move them one by one. ``parts``: number of ranges.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    spark = df.sparkSession
+    # a given number: few bytes, but a file for each subject, which adaptive execution would leave to a few tasks
+    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    (df.repartitionByRange(parts, id_col, *order).sortWithinPartitions(id_col, *order)
+     .write.partitionBy(id_col).mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(path))
+
+
 def read_series(spark: SparkSession, path: str, id_col: str = "id") -> DataFrame:
     """A3: one scan over an ``id=<subject>/part-*.parquet`` layout.
 
     Partition discovery turns the directory names into a string ``id``
     column (type inference of partition values is switched off for this
     read), so ``where(id == x)`` prunes whole directories instead of opening
-    one file per subject.
+    one file per subject. Many folders are listed by tasks, several folders a
+    task and not one each.
     """
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    old = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
+    mine = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(8 * spark.sparkContext.defaultParallelism)}
+    old = {key: spark.conf.get(key, None) for key in mine}
     try:
+        for key, value in mine.items():
+            spark.conf.set(key, value)
         df = spark.read.parquet(path)
     finally:
-        spark.conf.set(key, old)
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     if id_col in df.columns:
         df = df.withColumn(id_col, F.col(id_col).cast("string"))
     return df
