@@ -86,3 +86,39 @@ def test_weights_are_poisson():
     w = fo.poisson_weights(np.arange(200_000), 3, 42)
     assert abs(w.mean() - 1) < .01 and abs(w.var() - 1) < .02 and (w == fo.poisson_weights(np.arange(200_000), 3, 42)).all()
     assert (w != fo.poisson_weights(np.arange(200_000), 4, 42)).mean() > .5
+
+
+def test_large_nodes_are_spread_and_counted_by_their_own_slots(spark, monkeypatch):
+    """One input task becomes many; a pass allocates what a tree's nodes need, whatever the group holds."""
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.normal(size=3000), rng.normal(size=3000), *np.eye(3)[rng.integers(0, 3, 3000)].T])
+    y = (x[:, 0] > 0).astype(int) + (x[:, 3] > 0)
+    sizes, real = [], fo._histograms
+
+    def seen(rows, p, cuts, uppers, group, chosen, classes, *more):
+        sizes.append(rows.rdd.getNumPartitions())
+        out = real(rows, p, cuts, uppers, group, chosen, classes, *more)
+        # every node's drawn features count the same rows
+        assert np.allclose(out.sum(axis=2), out.sum(axis=2)[:, :1]) and (out.sum(axis=(1, 2, 3)) > 0).all()
+        return out
+
+    monkeypatch.setattr(fo, "_histograms", seen)
+    df = spark.createDataFrame([(list(map(float, a)), float(b)) for a, b in zip(x, y)], "features array<double>, y double").coalesce(1)
+    for regression in (False, True):
+        got = fo.importances(df, "y", trees=7, regression=regression, held=5 * 400)
+        assert got[0] == max(got) and abs(sum(got) - 1) < 1e-9
+    assert len(sizes) > 2 and min(sizes) > 1  # it was the one task that the rows came in
+
+
+def test_tree_with_folded_features_equals_plain_recursion():
+    """Features of two values, constant ones and others, with repeated values, unequal weights and none."""
+    rng = np.random.default_rng(9)
+    x = np.column_stack([rng.integers(0, 9, 300), np.full(300, 2.0), rng.integers(0, 2, 300) * 3.5 - 1, rng.normal(size=300).round(1)])
+    c = ((x[:, 0] > 4) + (x[:, 3] > .5) + (rng.random(300) < .1)).astype(float)
+    w = rng.integers(1, 4, 300)
+    each = np.repeat(np.arange(300), w)
+    for classes in (3, None):
+        gain, depth = fo.finish(x, c, w.astype(float), classes, 4, np.random.default_rng(0))
+        want, deepest = naive(x[each], c[each].astype(int) if classes else c[each], classes)
+        assert np.allclose(gain / gain.sum(), want, atol=.03) and abs(depth - deepest) <= 3 and gain[1] == 0
+    assert fo.finish(x[:0], c[:0], c[:0], 3, 4, np.random.default_rng(0))[1] == 0
