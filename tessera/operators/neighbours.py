@@ -30,8 +30,8 @@ from pyspark.sql import Window as W
 
 from tessera.session import written
 
-#: Coordinates that boxes have at most, and numbers that the sample holds at most.
-AXES, SAMPLE = 16, 1 << 21
+#: Coordinates that boxes have at most, numbers and rows that the sample holds at most: rows, leaves and boxes pass through the driver.
+AXES, SAMPLE, ROWS = 16, 1 << 21, 1 << 16
 #: Donors in a leaf and in a block, donors that a query visits first, and queries that meet a block at a time.
 LEAF, BLOCK, FIRST, BATCH = 16, 512, 1024, 512
 #: Numbers in one matrix of bounds or distances.
@@ -242,8 +242,8 @@ class BlockIndex:
         self.shared = spark.sparkContext.broadcast(self.plan)
 
     def _grow(self, d0: DataFrame) -> Plan:
-        """Trees from a sample of at most about ``SAMPLE`` numbers, drawn by a hash of the key."""
-        size = max(1024, SAMPLE // max(1, self.width))
+        """Trees from a sample of at most about ``SAMPLE`` numbers in ``ROWS`` rows, drawn by a hash of the key."""
+        size = max(1024, min(ROWS, SAMPLE // max(1, self.width)))
         rows = d0 if self.n <= size else d0.where(F.pmod(F.xxhash64(F.lit("block index"), "_d"), F.lit(1 << 40)) < int(size / self.n * (1 << 40)))
         parts: dict = {}
         for r in rows.select("_p", "_dv").collect():

@@ -217,3 +217,19 @@ def test_a_hot_cell_is_met_in_batches(spark):
     donors = spark.range(40).select(F.col("id").alias("d"), F.array((F.col("id") / 40), F.lit(0.0)).alias("vec"))
     out = knn.exact_knn(df, donors, "k", "d", "vec", 2)
     assert out.groupBy("d").count().count() <= 3 and out.count() == 6000
+
+
+def test_sample_of_the_index_has_bounded_rows(spark, monkeypatch):
+    """One coordinate leaves room for two million rows in ``SAMPLE``: rows, leaves and boxes in the driver stay below ``ROWS``."""
+    from tessera.operators import neighbours as nb
+    monkeypatch.setattr(nb, "ROWS", 1500)
+    grown, real = [], nb.Tree.grow
+    monkeypatch.setattr(nb.Tree, "grow", staticmethod(lambda z, leaf, cell: grown.append(len(z)) or real(z, leaf, cell)))
+    d = spark.range(20_000).select(F.col("id").alias("dk"), F.array(((F.col("id") * 7919) % 20_011).cast("double")).alias("vec"))
+    q = d.where("dk % 40 = 0").select(F.col("dk").alias("qk"), F.transform("vec", lambda v: v + 0.25).alias("vec"))
+    got = {(r.qk, r.nn_rank): r.dist for r in knn.nan_knn(q, d, "qk", "dk", 2, 1, k=3).collect()}
+    assert grown and max(grown) < 2000
+    values = np.sort(np.arange(20_000) * 7919 % 20_011)
+    for r in q.collect():
+        want = np.sort(np.abs(values - r.vec[0]))[:3] * 2 ** 0.5
+        assert np.allclose([got[(r.qk, i)] for i in (1, 2, 3)], want)
