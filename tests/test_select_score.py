@@ -263,3 +263,25 @@ def test_lasso_cv_falls_back_to_top_n(spark):
     df = spark.createDataFrame([(x.tolist(), float(t)) for x, t in zip(X, y)], "features array<double>, y double")
     sel = fsel.fit_select(df, "lasso_cv", "y", k=2)
     assert 1 in sel.indices
+
+
+def test_quantile_cuts_are_exact_by_a_small_sketch(spark, monkeypatch):
+    """Edges are the values of rank ceil(n·k / bins) whatever the sketch's error; ties, few values, nulls, a bracket that misses."""
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(size=3000), rng.integers(0, 2, 3000), rng.integers(0, 40, 3000), np.full(3000, 7.0), rng.normal(size=3000)])
+    rows = [([None if j == 4 and i % 3 == 0 else float(v) for j, v in enumerate(r)],) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "features array<double>").repartition(5)
+
+    def want(bins):
+        cols = [np.sort([r[0][j] for r in rows if r[0][j] is not None]) for j in range(5)]
+        return [[c[-(-len(c) * k // bins) - 1] for k in range(1, bins)] for c in cols]
+
+    asked = []
+    real = F.percentile_approx
+    monkeypatch.setattr(F, "percentile_approx", lambda c, at, accuracy: asked.append(accuracy) or real(c, at, accuracy))
+    assert fsel.quantile_cuts(df, 5) == want(10) and max(asked) <= 10_000  # a sketch of 1,000,000 held every value
+    assert fsel.quantile_cuts(df, 5, bins=3, accuracy=50) == want(3)
+    monkeypatch.setattr(F, "percentile_approx", lambda c, at, accuracy: F.array(*[F.min(c)] * 18))
+    assert fsel.quantile_cuts(df, 5) == want(10)
+    monkeypatch.undo()
+    assert fsel.quantile_cuts(df.where("false"), 2) == [[], []] and fsel.quantile_cuts(df, 0) == []
