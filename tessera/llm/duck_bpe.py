@@ -30,8 +30,8 @@ from tessera.llm.idpool import IdPool
 
 #: Words and chunks in each of the two generations that a worker remembers, and words that one query contracts.
 REMEMBERED, AT_ONCE = 160_000, 50_000
-#: Pieces contracted together, and texts decoded together, hold about so many bytes.
-BYTES_AT_ONCE, TEXT_AT_ONCE = 1 << 20, 4 << 20
+#: Pieces contracted together, and texts decoded together, hold about so many bytes: a worker's peak is that of these two queries.
+BYTES_AT_ONCE, TEXT_AT_ONCE = 1 << 18, 1 << 20
 
 #: Words beyond so many bytes have all disjoint places of their best pair contracted in a step, others the leftmost one.
 LONG = 64

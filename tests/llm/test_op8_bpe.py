@@ -118,3 +118,12 @@ def test_unknown_id(spark):
     with pytest.raises(Exception, match="not in the vocabulary"):
         D.decode(df, PATH, PATTERN).collect()
     assert bytes(D.decode(spark.createDataFrame([(None,)], "ids array<int>"), PATH, PATTERN).first().decoded.bytes) == b""
+
+
+def test_a_query_holds_few_words_and_texts(monkeypatch):
+    """Six workers share an executor of 3,000 MB: a megabyte of new words, or four of texts, in one query took 350 MB each."""
+    bpe, calls = D.DuckBpe(PATH, PATTERN), []
+    monkeypatch.setattr(bpe, "contract", lambda words: calls.append(sum(map(len, words))) or (np.zeros(len(words), np.int32), np.ones(len(words), int)))
+    bpe.learn_pieces([f"zq{i:x}xv" * 3 for i in range(40_000)])
+    assert sum(calls) > 700_000 and max(calls) <= 300_000
+    assert D.TEXT_AT_ONCE <= 1 << 20
