@@ -122,3 +122,56 @@ def test_tree_with_folded_features_equals_plain_recursion():
         want, deepest = naive(x[each], c[each].astype(int) if classes else c[each], classes)
         assert np.allclose(gain / gain.sum(), want, atol=.03) and abs(depth - deepest) <= 3 and gain[1] == 0
     assert fo.finish(x[:0], c[:0], c[:0], 3, 4, np.random.default_rng(0))[1] == 0
+
+
+def test_many_classes_are_summed_without_a_column_each():
+    """What a level sums up grows with its rows, not with the rows times the classes."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(6000, 2)), np.repeat(np.arange(300), 20)[rng.permutation(6000)].astype(float)
+    x[:, 0] = y + rng.normal(size=6000) / 9  # few levels
+    tracemalloc.start()
+    fo.finish(x, y, np.ones(6000), 300, 2, np.random.default_rng(0))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 * 6000 * 8 * 2
+
+
+def test_sums_by_class_equal_plain_ones():
+    rng = np.random.default_rng(4)
+    nd, code, w = np.sort(rng.integers(0, 7, 200)), rng.integers(0, 4, 200), rng.integers(1, 4, 200).astype(float)
+    total = np.array([[w[(nd == k) & (code == c)].sum() for k in range(7)] for c in range(4)])
+    n, below, above = fo._class_runs(code, w, nd, total)
+    for i in range(200):
+        left = np.array([w[:i + 1][(nd[:i + 1] == nd[i]) & (code[:i + 1] == c)].sum() for c in range(4)])
+        assert (n[i], below[i], above[i]) == (left.sum(), (left ** 2).sum(), ((total[:, nd[i]] - left) ** 2).sum())
+
+
+def test_rows_are_placed_by_bits_however_many_ends():
+    rng = np.random.default_rng(6)
+    tree, ends = fo.Upper(), [0]
+    while len(ends) < 3 * fo.WORD:
+        n = ends.pop(int(rng.integers(len(ends))))
+        ends += tree.split(n, int(rng.integers(4)), int(rng.integers(fo.BINS)))
+    binned = rng.integers(0, fo.BINS, (4, 5000)).astype(np.uint8)
+    want = []
+    for row in binned.T:
+        n = 0
+        while tree.feature[n] >= 0:
+            n = tree.child[n] + (row[tree.feature[n]] > tree.bin[n])
+        want.append(n)
+    got = tree.place_of(ends)(binned)
+    assert [ends[i] for i in got] == want
+    some = tree.place_of(ends[::2])(binned)
+    assert [ends[::2][i] if i >= 0 else None for i in some] == [n if n in ends[::2] else None for n in want]
+    assert (fo.Upper().place_of([0])(binned) == 0).all()
+
+
+def test_blocks_hold_small_numbers_in_a_byte():
+    ids, w, y = np.arange(5) + (1 << 40), np.array([1, 2, 1, 3, 1], np.int8), np.array([0.0, 1, 2, 1, 0])
+    x = [np.array([.5, -1, 2, 3, 1e9]), np.array([0.0, 1, 0, 0, 1]), np.array([-128.0, 127, 0, 5, 5]), np.array([128.0, 1, 0, 0, 1])]
+    kinds, columns = fo._narrow([y, *x])
+    block = b"".join([kinds, *(c.tobytes() for c in (ids, w, *columns))])
+    assert len(block) == 5 + 5 * (8 + 1 + 1 + 8 + 1 + 1 + 8)
+    for got, want in zip(fo._wide(block, 4), [ids, w, y, *x], strict=True):
+        assert (got == want).all()
