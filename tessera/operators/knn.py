@@ -1,17 +1,23 @@
 """Nearest-neighbour imputation (C3) and SMOTE (G4) on the exact block index.
 
-All searches go through ``operators.neighbours``: leaves of median splits,
-lower bounds by boxes, the k best of a block leaving it. Ties order by
-(distance, donor key).
+Searches go through ``operators.neighbours``: leaves of median splits,
+lower bounds by boxes, the k best of a block leaving it; the imputation of two
+columns, whose vectors are numbers, goes through ``operators.line``. Ties order
+by (distance, donor key).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.operators import neighbours
+from tessera.operators import line, neighbours
 from tessera.operators.impute import normalize_nan
+from tessera.session import written
 
 
 def exact_knn(queries: DataFrame, donors: DataFrame, qkey: str, dkey: str, vec: str = "vec", k: int = 5,
@@ -44,37 +50,60 @@ def knn_impute(df: DataFrame, key: str, cols, k: int = 5, donors: DataFrame | No
     nearest rows having it, by nan-Euclidean distance over the other columns
     present in both (p = all columns); column mean when no row shares a present
     column. Distances use the original (unimputed) values for every column. One
-    search a column, whatever the patterns of missing values.
+    search a column, whatever the patterns of missing values; two columns have
+    one search for both.
 
     ``donors`` (default: ``df`` itself) are the fitted rows, e.g. the
     training table when new rows are transformed; ``means`` their column
     means (computed when not given)."""
     cols = list(cols)
+    same = donors is None or donors is df
     df = normalize_nan(df, cols)
-    dsrc = df if donors is None else normalize_nan(donors, cols)
+    if set(df.columns) <= {key, *cols}:  # else the columns of the search alone are written, by ``fills``
+        df = written(df, "rows")
+    return filled(df, key, cols, *fills(df, key, cols, k, None if same else donors, means))
+
+
+def fills(df: DataFrame, key: str, cols, k: int = 5, donors: DataFrame | None = None, means: dict | None = None) -> tuple[DataFrame | None, dict]:
+    """What ``knn_impute`` puts in place of missing values: a row (key, ``_imp_`` of the columns) for each key that gets
+    any, found and written once, and the column means. NaN in ``df`` must be null."""
+    cols = list(cols)
+    rows = df if set(df.columns) <= {key, *cols} else written(df.select(key, *cols), "rows")
+    given = None if donors is None else normalize_nan(donors, cols).select(key, *cols)
     if means is None:
-        row = dsrc.agg(*[F.avg(c).alias(c) for c in cols]).first()
+        row = (rows if given is None else given).agg(*[F.avg(c).alias(c) for c in cols]).first()
         means = {c: row[c] for c in cols}
-    out = df
+    if len(cols) < 2:
+        return None, means
+    if len(cols) == 2 and not any(isinstance(rows.schema[c].dataType, T.DecimalType) for c in cols):
+        found = line.fills(rows, key, cols, k, given)
+        if found is not None:
+            return written(found, "fills"), means
+    out = None
     for t in cols:
         others = [c for c in cols if c != t]
-        if not others:
-            out = out.withColumn(f"_imp_{t}", F.lit(None).cast("double"))
-            continue
         vec = F.array(*[F.col(c).cast("double") for c in others]).alias("vec")
         some = F.coalesce(*[F.col(c).cast("double") for c in others]).isNotNull()
-        rec = df.where(F.col(t).isNull() & some).select(key, vec)
-        don = dsrc.where(F.col(t).isNotNull() & some).select(F.col(key).alias("_dk"), F.col(t).alias("_tv"), vec)
+        rec = rows.where(F.col(t).isNull() & some).select(key, vec)
+        don = (rows if given is None else given).where(F.col(t).isNotNull() & some).select(F.col(key).alias("_dk"), F.col(t).alias("_tv"), vec)
         best = nan_knn(rec, don, key, "_dk", len(cols), len(others), "vec", k)
-        vals = best.join(don.select("_dk", "_tv"), "_dk").groupBy(key).agg(F.avg("_tv").alias(f"_imp_{t}"))
-        out = out.join(vals, key, "left")
-    sel = []
-    for c in df.columns:
-        if c in cols:
-            sel.append(F.coalesce(F.col(c).cast("double"), F.col(f"_imp_{c}"), F.lit(means[c])).alias(c))
-        else:
-            sel.append(F.col(c))
-    return out.select(*sel)
+        vals = best.join(don.select("_dk", "_tv"), "_dk").groupBy(key).agg(F.avg("_tv").alias("_v"))
+        vals = vals.select(key, *[(F.col("_v") if c == t else F.lit(None)).cast("double").alias(f"_imp_{c}") for c in cols])
+        out = vals if out is None else out.unionByName(vals)
+    return written(out.groupBy(key).agg(*[F.max(f"_imp_{c}").alias(f"_imp_{c}") for c in cols]), "fills"), means
+
+
+def filled(df: DataFrame, key: str, cols, vals: DataFrame | None, means: dict) -> DataFrame:
+    """``df`` with the values of ``fills`` in place of missing ones; only rows that lack one are joined."""
+    def put(rows: DataFrame, of) -> DataFrame:
+        return rows.select(*[of(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+    value = lambda c: F.col(c).cast("double")
+    if vals is None:
+        return put(df, lambda c: F.coalesce(value(c), F.lit(means[c])))
+    lacks = reduce(or_, [F.col(c).isNull() for c in cols])
+    joined = df.where(lacks).join(vals, key, "left")
+    return put(df.where(~lacks), value).unionByName(put(joined, lambda c: F.coalesce(value(c), F.col(f"_imp_{c}"), F.lit(means[c]))))
 
 
 def smote(df: DataFrame, label: str, key: str, vec: str = "features", k: int = 5, seed=42) -> DataFrame:
