@@ -149,9 +149,10 @@ def names_at(spark, st: PrepState, positions) -> list:
     return [found[i] for i in positions]
 
 
-def fit(df: DataFrame, cfg: PrepConfig) -> PrepState:
+def fit(df: DataFrame, cfg: PrepConfig, found: dict | None = None) -> PrepState:
     """Fit imputers, scaler and one-hot categories (training preparation up
-    to the column transformer). Selection is fitted by ``fit_select``."""
+    to the column transformer). Selection is fitted by ``fit_select``.
+    ``found`` gets the neighbours' values of the training rows (imp='knn')."""
     if cfg.drop_missing_target and cfg.target in df.columns:
         df = schema.drop_missing_target(df, cfg.target)
     num, cat = schema.feature_kinds(df, cfg.target, exclude=cfg.keys)
@@ -160,7 +161,7 @@ def fit(df: DataFrame, cfg: PrepConfig) -> PrepState:
     st.train_features = [c for c in df.columns if c != cfg.target and c not in cfg.keys]
     st.types = {c: df.schema[c].dataType.simpleString() for c in st.train_features}
     if cfg.imp == "knn":
-        return _fit_knn(df, cfg, st, num, cat)
+        return _fit_knn(df, cfg, st, num, cat, {} if found is None else found)
     # value counts give both the mode (ties → smallest) and the sorted
     # category list (the fill is an existing value, so it adds none); with
     # median imputation they ride along in the exact-median histogram job
@@ -173,12 +174,12 @@ def fit(df: DataFrame, cfg: PrepConfig) -> PrepState:
     return st
 
 
-def _fit_knn(df: DataFrame, cfg: PrepConfig, st: PrepState, num, cat) -> PrepState:
+def _fit_knn(df: DataFrame, cfg: PrepConfig, st: PrepState, num, cat, found: dict) -> PrepState:
     """imp='knn': the training rows are the donors. They are written once to
     the shared checkpoint folder (the state keeps the path), the scaler is
     fitted on the kNN-imputed training rows."""
     import uuid
-    from tessera.operators.knn import knn_impute
+    from tessera.operators.knn import filled, fills
     from tessera.session import ensure_checkpoint_dir
     key = cfg.keys[0]
     dropped_c = _fit_categories(df, cfg, st, cat, {})
@@ -192,7 +193,9 @@ def _fit_knn(df: DataFrame, cfg: PrepConfig, st: PrepState, num, cat) -> PrepSta
     donors = df.sparkSession.read.parquet(path)
     m = donors.agg(*[F.avg(c).alias(c) for c in st.num]).first() if st.num else {}
     st.knn_means = {c: m[c] for c in st.num}
-    imputed = knn_impute(donors, key, st.num, donors=donors, means=st.knn_means) if st.num else donors
+    if st.num:
+        found["fills"], _ = fills(donors, key, st.num, means=st.knn_means)
+    imputed = filled(donors, key, st.num, found["fills"], st.knn_means) if st.num else donors
     sc = imputed.agg(*[a for i, c in enumerate(st.num) for a in (
         F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"))]).first() if st.num else {}
     for i, c in enumerate(st.num):
@@ -203,13 +206,16 @@ def _fit_knn(df: DataFrame, cfg: PrepConfig, st: PrepState, num, cat) -> PrepSta
     return st
 
 
-def knn_fill(df: DataFrame, st: PrepState) -> DataFrame:
+def knn_fill(df: DataFrame, st: PrepState, found: dict | None = None) -> DataFrame:
     """imp='knn': impute the numeric columns of ``df`` from the stored
-    training donors (no-op for other strategies)."""
+    training donors (no-op for other strategies). ``found``: what ``fit``
+    found for the training rows, when ``df`` is those."""
     if not st.knn_donors or not st.num:
         return df
-    from tessera.operators.knn import knn_impute
+    from tessera.operators.knn import filled, knn_impute
     key = st.config["keys"][0]
+    if found:
+        return filled(impute.normalize_nan(df, st.num), key, st.num, found["fills"], st.knn_means)
     donors = df.sparkSession.read.parquet(st.knn_donors)
     return knn_impute(impute.normalize_nan(df, st.num), key, st.num, donors=donors, means=st.knn_means)
 
@@ -294,9 +300,10 @@ def fit_transform(df: DataFrame, cfg: PrepConfig, out: str = "features"):
     the DataFrame is lazy and the state is driver-sized.
     """
     from tessera.operators import balance, select
-    st = fit(df, cfg)
+    found: dict = {}
+    st = fit(df, cfg, found)
     base = schema.drop_missing_target(df, cfg.target) if cfg.drop_missing_target else df
-    x = features(knn_fill(base, st), st, keep=[*cfg.keys, cfg.target], out=out)
+    x = features(knn_fill(base, st, found), st, keep=[*cfg.keys, cfg.target], out=out)
     if st.tables and (cfg.fts not in (None, "none") or cfg.imb == "smote"):
         x = densify(x, out)
     st.num_classes = schema.num_classes(base, cfg.target).first()[0] if cfg.target in base.columns else None

@@ -74,3 +74,15 @@ def test_a_line_keeps_the_least_keys_and_widens_for_ties():
     near = {i: sorted(zip(dist[row == i], keys.take(pa.array(at.at[donor[row == i]])).to_pylist())) for i in range(3)}
     every = lambda q: sorted((float(d), k) for d, k in zip(line.distance(np.float64(q), v), keys.to_pylist()))[:2]
     assert near == {0: every(0.0), 1: every(3.0), 2: every(1.0)} and not open_.any()
+
+
+def test_fit_transform_searches_the_training_rows_once(spark, monkeypatch):
+    from tessera.plans import prep
+    rows = [(i, None if i % 4 == 0 else float(i), float(i % 7), i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, x double, z double, y int")
+    calls, real = [], line.fills
+    monkeypatch.setattr(line, "fills", lambda *a, **k: calls.append(1) or real(*a, **k))
+    x, st, _ = prep.fit_transform(df, prep.PrepConfig(target="y", keys=("id",), imp="knn"))
+    assert len(calls) == 1
+    a = {r["id"]: r["features"] for r in x.collect()}
+    assert a == {r["id"]: r["features"] for r in prep.transform(df.drop("y"), st).collect()} and len(calls) == 2
