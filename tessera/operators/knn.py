@@ -1,9 +1,9 @@
 """Nearest-neighbour imputation (C3) and SMOTE (G4) on the exact block index.
 
 Searches go through ``operators.neighbours``: leaves of median splits,
-lower bounds by boxes, the k best of a block leaving it; the imputation of two
-columns, whose vectors are numbers, goes through ``operators.line``. Ties order
-by (distance, donor key).
+lower bounds by boxes, the k best of a block leaving it. The imputation of two
+columns, whose vectors are numbers, goes through ``operators.line``, that of more
+through ``operators.tiles``. Ties order by (distance, donor key).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators import line, neighbours
+from tessera.operators import line, neighbours, tiles
 from tessera.operators.impute import normalize_nan
 from tessera.session import written
 
@@ -50,8 +50,7 @@ def knn_impute(df: DataFrame, key: str, cols, k: int = 5, donors: DataFrame | No
     nearest rows having it, by nan-Euclidean distance over the other columns
     present in both (p = all columns); column mean when no row shares a present
     column. Distances use the original (unimputed) values for every column. One
-    search a column, whatever the patterns of missing values; two columns have
-    one search for both.
+    search for all columns, whatever the patterns of missing values.
 
     ``donors`` (default: ``df`` itself) are the fitted rows, e.g. the
     training table when new rows are transformed; ``means`` their column
@@ -75,8 +74,8 @@ def fills(df: DataFrame, key: str, cols, k: int = 5, donors: DataFrame | None =
         means = {c: row[c] for c in cols}
     if len(cols) < 2:
         return None, means
-    if len(cols) == 2 and not any(isinstance(rows.schema[c].dataType, T.DecimalType) for c in cols):
-        found = line.fills(rows, key, cols, k, given)
+    if not any(isinstance(rows.schema[c].dataType, T.DecimalType) for c in cols):
+        found = (line if len(cols) == 2 else tiles).fills(rows, key, cols, k, given)
         if found is not None:
             return written(found, "fills"), means
     out = None
