@@ -207,10 +207,11 @@ def fills(rows: DataFrame, key: str, cols: list, k: int, donors: DataFrame | Non
 
     groups, tasks = max(1, -(-n // GROUP)), int(spark.conf.get("spark.sql.shuffle.partitions"))
     salts = max(1, -(-m // ASKED), min(-(-4 * tasks // groups), -(-m // TILE)))
-    gives = packed(given, groups, "tiles").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).select(
-        (F.col("part") * salts + F.col("salt")).alias("slot"), F.lit(0).alias("kind"), "number", "v", "keys")
+    parts = -(-max(groups, min(tasks, -(-n // TILE))) // groups) * groups  # several of neighbouring ranges make a group
+    gives = packed(given, parts, "tiles").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).select(
+        (F.floor(F.col("part") / (parts // groups)) * salts + F.col("salt")).cast("int").alias("slot"), F.lit(0).alias("kind"), "part", "number", "v", "keys")
     asks = packed(asked, max(1, min(tasks, -(-m // TILE))), "tiles").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select(
-        (F.col("group") * salts + F.pmod(F.col("part") + F.col("number") * 7919, F.lit(salts))).alias("slot"), F.lit(1).alias("kind"), "number", "v", "keys")
+        (F.col("group") * salts + F.pmod(F.col("part") + F.col("number") * 7919, F.lit(salts))).alias("slot"), F.lit(1).alias("kind"), "part", "number", "v", "keys")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, group = None, [], None
@@ -229,7 +230,7 @@ def fills(rows: DataFrame, key: str, cols: list, k: int, donors: DataFrame | Non
                                                      names=["t", "key", "d", "dist"])
 
     out = T.StructType([field("t", T.IntegerType()), field("key", key_type), field("d", key_type), field("dist", T.DoubleType())])
-    found = gives.unionByName(asks).repartition(max(tasks, groups * salts), "slot").sortWithinPartitions("slot", "kind", "number").mapInArrow(search, out)
+    found = gives.unionByName(asks).repartition(max(tasks, groups * salts), "slot").sortWithinPartitions("slot", "kind", "part", "number").mapInArrow(search, out)
     near = written(found, "near")
     best = near.withColumn("_r", F.row_number().over(W.partitionBy("t", "key").orderBy("dist", "d"))).where(F.col("_r") <= k)
     # a donor's value counts where it has another one as well
